@@ -1,0 +1,19 @@
+"""Scan parallelism."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, *cols: str, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that arrives in fewer partitions than the cluster has
+    cores (one large file with a single row group is read by one task).
+
+    Planning the scan to count its partitions reads no data; a scan that is
+    already wide enough (the normal case for a large table) is returned
+    unchanged, so no shuffle is added at scale."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *cols) if cols else df.repartition(want)
