@@ -52,9 +52,9 @@ def dict_values(with_user: bool = True) -> str:
 
 ROOM_FILES = f"""
 docs AS (
-  SELECT doc_id, text, lang, source, doc_id // 20 AS k FROM documents),
+  SELECT doc_id, n_chars, lang, source, doc_id // 20 AS k FROM documents),
 named AS (
-  SELECT doc_id, text,
+  SELECT doc_id, n_chars,
     '/room/' || source || '/' ||
     CASE k % 5 WHEN 0 THEN ''
                WHEN 1 THEN CAST(k % 9 + 1 AS VARCHAR) || '.' || CAST(k % 4 AS VARCHAR) || '_'
@@ -65,7 +65,7 @@ named AS (
     CASE lang WHEN 'en' THEN 'txt' WHEN 'fr' THEN 'csv' WHEN 'de' THEN 'docx' ELSE 'md' END AS path
   FROM docs),
 parts AS (
-  SELECT doc_id, text, path, string_split(path, '/')[-1] AS file_name FROM named),
+  SELECT doc_id, n_chars, path, string_split(path, '/')[-1] AS file_name FROM named),
 files AS (
   SELECT doc_id, path, file_name,
     substr(path, 1, length(path) - length(file_name)) AS folder,
@@ -73,7 +73,7 @@ files AS (
     CASE WHEN regexp_extract(file_name, '^[0-9.]*', 0) = '.' THEN ' '
          ELSE regexp_extract(file_name, '^[0-9.]*', 0) END AS index_number,
     CASE WHEN suffix(path, '.md') THEN 'unknown'
-         WHEN length(text) < {MIN_EXTRACTABLE_CHARS} THEN 'failed' ELSE 'scanned' END AS status
+         WHEN n_chars < {MIN_EXTRACTABLE_CHARS} THEN 'failed' ELSE 'scanned' END AS status
   FROM parts),
 seg AS (
   SELECT p.path, s.seg_ord, s.text FROM (

@@ -85,7 +85,10 @@ def keyword_report(files: DataFrame, hits: DataFrame, by: str = "path") -> DataF
 
     ``by="path"`` counts files by path; ``by="name"`` reproduces the reference,
     which counts distinct file names (same-named files merge)."""
-    per_file = (hits.groupBy("keyword", "path").agg(F.sum("hits").alias("n"))
+    # One aggregate of the hits feeds both the per-file counts and the
+    # (keyword, category) pairs, so the hits are computed once.
+    base = hits.groupBy("keyword", "category", "path").agg(F.sum("hits").alias("n"))
+    per_file = (base.groupBy("keyword", "path").agg(F.sum("n").alias("n"))
                     .join(files.select("path", "file_name", "index_number"), "path"))
     n_files = F.count_distinct("path") if by == "path" else F.count_distinct("file_name")
     # First appearance of a name / index number = its smallest path.
@@ -102,7 +105,7 @@ def keyword_report(files: DataFrame, hits: DataFrame, by: str = "path") -> DataF
         F.array_sort(F.collect_list(F.struct("file_name", "path"))).alias("_top"))
     name_list = names.groupBy("keyword").agg(ordered_values(F.col("_p"), F.col("file_name")).alias("_names"))
     idx_list = idx.groupBy("keyword").agg(ordered_values(F.col("_p"), F.col("index_number")).alias("_idx"))
-    pairs = hits.select("keyword", F.col("category").alias("keyword_category")).distinct()
+    pairs = base.select("keyword", F.col("category").alias("keyword_category")).distinct()
     return (pairs.join(totals, "keyword").join(top, "keyword").join(name_list, "keyword")
                  .join(idx_list, "keyword")
                  .select("keyword", "keyword_category", F.col("n_files").cast("long").alias("n_files"),

@@ -39,11 +39,6 @@ def quarantined_requests(requests: DataFrame) -> DataFrame:
                     .where(F.col("request_no").cast("string").try_cast("int").isNull()))
 
 
-def _file_keywords(files: DataFrame, hits: DataFrame) -> DataFrame:
-    fk = hits.select("path", "keyword").repartition("path").dropDuplicates(["path", "keyword"])
-    return fk
-
-
 def _roll_up(reqs: DataFrame, pairs: DataFrame, files: DataFrame) -> DataFrame:
     """Per request the flag, the number of relevant files and the three
     lists (trailing ``", "``); requests without a relevant file are kept."""
@@ -65,37 +60,45 @@ def _roll_up(reqs: DataFrame, pairs: DataFrame, files: DataFrame) -> DataFrame:
                         .alias("paths")))
 
 
+def _sheet_bound(requests: DataFrame, dictionary: DataFrame) -> int:
+    """Upper bound of (request, keyword) rows: sheet rows x dictionary rows."""
+    return requests.count() * dictionary.count()
+
+
 def request_matches(files: DataFrame, hits: DataFrame, requests: DataFrame,
-                    min_keywords: int = 5,
+                    dictionary: DataFrame, min_keywords: int = 5,
                     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """Relevant (request, file) pairs with the number of the file's
-    distinct keywords found (word-bounded) in the request sentence."""
-    reqs = it_requests(requests)
-    dictionary = (hits.groupBy("keyword").agg(F.min("kw_ord").alias("row_ord"))
-                      .select(F.lit("k").alias("category"), "keyword", "row_ord"))
-    req_kw = (keyword_hits(reqs.select("request_no", "sentence"), dictionary,
-                           key=("request_no",), text="sentence", broadcast_limit=broadcast_limit)
+    distinct keywords found (word-bounded) in the request sentence.
+
+    ``dictionary`` is the run's (prepared) dictionary: a keyword absent from
+    every file pairs with no file, so matching requests against the whole
+    dictionary gives the same pairs without a pass over the hits."""
+    reqs = it_requests(requests).select("request_no", "sentence")
+    req_kw = (keyword_hits(reqs, dictionary, key=("request_no",), text="sentence",
+                           broadcast_limit=broadcast_limit, prepared=True)
               .select("request_no", "keyword").distinct())
-    n = req_kw.count()
-    rk = F.broadcast(req_kw) if n <= broadcast_limit else req_kw
-    fk = _file_keywords(files, hits)
+    rk = F.broadcast(req_kw) if _sheet_bound(reqs, dictionary) <= broadcast_limit else req_kw
+    # File keywords hash-partitioned by path once; the join to the broadcast
+    # request keywords and the per-(file, request) count stay in partition.
+    fk = hits.select("path", "keyword").repartition("path").dropDuplicates(["path", "keyword"])
     return (fk.join(rk, "keyword")
               .groupBy("path", "request_no").agg(F.count(F.lit(1)).alias("n_keywords"))
               .where(F.col("n_keywords") >= min_keywords))
 
 
-def request_report(files: DataFrame, hits: DataFrame, requests: DataFrame,
+def request_report(files: DataFrame, hits: DataFrame, requests: DataFrame, dictionary: DataFrame,
                    min_keywords: int = 5,
                    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """Per IT request, the files with at least ``min_keywords`` distinct
     file keywords in the request (by path; the reference merges same-named
     files)."""
-    pairs = request_matches(files, hits, requests, min_keywords, broadcast_limit)
+    pairs = request_matches(files, hits, requests, dictionary, min_keywords, broadcast_limit)
     return _roll_up(it_requests(requests), pairs, files)
 
 
 def request_report_weighted(files: DataFrame, hits: DataFrame, requests: DataFrame,
-                            min_score: int = 5,
+                            dictionary: DataFrame, min_score: int = 5,
                             broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """R4b (A22): score of a (request, file) = sum of the file's hits of every
     keyword contained (as a substring, any case) in the request; relevant at
@@ -103,14 +106,15 @@ def request_report_weighted(files: DataFrame, hits: DataFrame, requests: DataFra
     keyword-details text; this uses the hits themselves."""
     reqs = it_requests(requests).select("request_no", "sentence")
     per_kw = hits.groupBy("path", "keyword").agg(F.sum("hits").alias("n"))
-    kws = per_kw.select("keyword").distinct()
-    n = kws.count()
-    kb = F.broadcast(kws) if n <= broadcast_limit else kws
-    # Requests x distinct keywords: a sheet against a dictionary, both bounded.
-    rk = (reqs.join(kb, F.contains(F.lower("sentence"), F.lower("keyword")))
+    kws = dictionary.select("keyword").distinct()
+    bound = _sheet_bound(reqs, dictionary)
+    # Requests x dictionary keywords by containment: a sheet against a
+    # dictionary, both bounded (checked), nothing from the corpus.
+    rk = (reqs.join(F.broadcast(kws) if bound <= broadcast_limit else kws,
+                    F.contains(F.lower("sentence"), F.lower("keyword")))
               .select("request_no", "keyword"))
-    rk = F.broadcast(rk) if rk.count() <= broadcast_limit else rk
-    pairs = (per_kw.repartition("path").join(rk, "keyword")
+    rk = F.broadcast(rk) if bound <= broadcast_limit else rk
+    pairs = (per_kw.join(rk, "keyword")
                    .groupBy("path", "request_no").agg(F.sum("n").alias("score"))
                    .where(F.col("score") >= min_score))
     return _roll_up(it_requests(requests), pairs, files)

@@ -6,18 +6,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.match import expand_occurrences, keyword_hits
+from ..operators.match import expand_occurrences, keyword_hits, prepare_dictionary
 from ..sources import testbed as tb
 from . import reports
+from .materialize import materialize
 
 
-def _hits(spark: SparkSession, sf_dir: str, with_user: bool = True) -> DataFrame:
-    return keyword_hits(tb.room_segments(spark, sf_dir), tb.room_dictionary(spark, with_user))
+_DICTS: dict[tuple[int, bool], DataFrame] = {}
+
+
+def room_dictionary(spark: SparkSession, with_user: bool = True) -> DataFrame:
+    """The run's dictionary, prepared (category order, keyword ids) and cached
+    once per session: every report of a run matches against the same one."""
+    k = (id(spark), with_user)
+    if k not in _DICTS:
+        _DICTS[k] = prepare_dictionary(tb.room_dictionary(spark, with_user)).cache()
+    return _DICTS[k]
+
+
+def _hits(spark: SparkSession, sf_dir: str, with_user: bool = True, reused: bool = True) -> DataFrame:
+    """The hit table of the room. Reports read it several times, so it is
+    checkpointed (``reused``); a single consumer reads the plan directly."""
+    h = keyword_hits(tb.room_segments(spark, sf_dir), room_dictionary(spark, with_user), prepared=True)
+    return materialize(h) if reused else h
 
 
 def q_keyword_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits per line and dictionary entry."""
-    return _hits(spark, sf_dir).select("path", "seg_ord", "category", "keyword", "hits")
+    return _hits(spark, sf_dir, reused=False).select("path", "seg_ord", "category", "keyword", "hits")
 
 
 def q_raw_details(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,14 +90,15 @@ def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_request_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R4 (J4, J5, A13, A14, P15)."""
     from .requests import request_report
-    return request_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir), tb.room_requests(spark, sf_dir))
+    return request_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir), tb.room_requests(spark, sf_dir),
+                          room_dictionary(spark))
 
 
 def q_request_report_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R4b (A22)."""
     from .requests import request_report_weighted
     return request_report_weighted(tb.room_files(spark, sf_dir), _hits(spark, sf_dir),
-                                   tb.room_requests(spark, sf_dir))
+                                   tb.room_requests(spark, sf_dir), room_dictionary(spark))
 
 
 def q_path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,36 +66,39 @@ def room_path(doc_id, source, lang):
 
 
 def room_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, path, text`` for every document."""
-    from .partitioning import ensure_parallelism
-    d = ensure_parallelism(read(spark, sf_dir, "documents"), "doc_id")
-    return d.select("doc_id", room_path(F.col("doc_id"), F.col("source"), F.col("lang")).alias("path"),
-                    "text")
+    """``doc_id, path, n_chars, handler`` for every document (no text read)."""
+    from ..functions.paths import handler
+    d = read(spark, sf_dir, "documents")
+    return (d.select("doc_id", room_path(F.col("doc_id"), F.col("source"), F.col("lang")).alias("path"),
+                     "n_chars")
+             .withColumn("handler", handler(F.col("path"))))
 
 
 def room_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File inventory with path parts, handler route and extraction status.
 
-    ``status``: ``unknown`` (no handler), ``failed`` (extraction error) or
-    ``scanned``."""
-    from ..functions.paths import handler
+    ``status``: ``unknown`` (no handler), ``failed`` (extraction error; in the
+    room, files shorter than ``MIN_EXTRACTABLE_CHARS``) or ``scanned``. Only
+    metadata columns are read, never the text."""
     docs = room_documents(spark, sf_dir)
-    files = with_path_parts(docs.select("doc_id", "path", "text"))
-    route = handler(F.col("path"))
-    status = (F.when(route == "unknown", F.lit("unknown"))
-               .when(F.length("text") < MIN_EXTRACTABLE_CHARS, F.lit("failed"))
+    status = (F.when(F.col("handler") == "unknown", F.lit("unknown"))
+               .when(F.col("n_chars") < MIN_EXTRACTABLE_CHARS, F.lit("failed"))
                .otherwise(F.lit("scanned")))
-    return files.withColumn("handler", route).withColumn("status", status).drop("text")
+    return with_path_parts(docs).withColumn("status", status).drop("n_chars")
 
 
 def room_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line segments of the scanned files (S8): ``path, seg_ord, location,
-    page_count, text``. Unknown and failed files have none."""
+    page_count, text``. Unknown and failed files have none; the filter is on
+    metadata and runs before the text is spread over the cores."""
     from ..functions.paths import handler
-    docs = room_documents(spark, sf_dir)
-    ok = (handler(F.col("path")) != "unknown") & (F.length("text") >= MIN_EXTRACTABLE_CHARS)
+    from .partitioning import ensure_parallelism
     from .scans import line_segments
-    return line_segments(docs.where(ok), "path", "text")
+    d = read(spark, sf_dir, "documents")
+    path = room_path(F.col("doc_id"), F.col("source"), F.col("lang"))
+    ok = (handler(path) != "unknown") & (F.col("n_chars") >= MIN_EXTRACTABLE_CHARS)
+    docs = ensure_parallelism(d.where(ok).select("doc_id", path.alias("path"), "text"), "doc_id")
+    return line_segments(docs, "path", "text")
 
 
 def room_dictionary(spark: SparkSession, with_user: bool = True) -> DataFrame:
