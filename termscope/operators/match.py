@@ -145,31 +145,41 @@ def expand_occurrences(hits: DataFrame) -> DataFrame:
 
 
 def category_patterns(dictionary: DataFrame, escape: bool = False) -> DataFrame:
-    """One alternation pattern per category (P10b): ``category, cat_ord, pattern``."""
-    d = prepare_dictionary(dictionary)
-    grouped = d.groupBy("category", "cat_ord").agg(
-        F.array_sort(F.collect_list(F.struct("kw_ord", "keyword"))).alias("_kws"))
+    """One alternation pattern per category (P10b): ``category, first,
+    pattern`` where ``first`` (the category's first ``row_ord``) orders the
+    categories. Blank keywords are dropped (F8)."""
+    d = dictionary.where(F.col("keyword").isNotNull() & (F.trim("keyword") != ""))
+    grouped = d.groupBy("category").agg(
+        F.min("row_ord").alias("first"),
+        F.array_sort(F.collect_list(F.struct("row_ord", "keyword"))).alias("_kws"))
     kws = F.transform("_kws", lambda s: s["keyword"])
-    return grouped.select("category", "cat_ord", category_alternation(kws, escape=escape).alias("pattern"))
+    return grouped.select("category", "first", category_alternation(kws, escape=escape).alias("pattern"))
+
+
+# Most categories inlined as literal patterns (a category dictionary has about
+# ten; every pattern is compiled once per task).
+MAX_INLINE_CATEGORIES = 64
 
 
 def _per_category(segments: DataFrame, dictionary: DataFrame, key: list[str], text: str,
                   escape: bool, fn, broadcast_limit: int, keep_text: bool = False) -> DataFrame:
     """Evaluate ``fn(text, pattern)`` for every category inside each row.
 
-    The category count is tiny (about ten); after a size check the patterns
-    are inlined as an array, so each row is scanned once per category with
-    neither a join nor a copy of the text per category."""
+    The category patterns are a handful of strings derived from the
+    dictionary; after a size check they are read once and placed in the plan
+    as literals, so each pattern is compiled once per task and each row is
+    scanned once per category with neither a join nor a copy of the text."""
     cats = category_patterns(dictionary, escape)
-    if cats.count() > broadcast_limit:
-        raise ValueError("too many categories for per-row category matching")
-    arr = cats.select(F.collect_list(F.struct("category", "cat_ord", "pattern"))).scalar()
+    rows = cats.limit(MAX_INLINE_CATEGORIES + 1).collect()
+    if len(rows) > MAX_INLINE_CATEGORIES:
+        raise ValueError(f"more than {MAX_INLINE_CATEGORIES} categories for alternation matching")
     extra = [text] if keep_text else []
-    return (segments.select(*key, text).withColumn("_cats", arr)
-            .select(*key, *extra, F.explode(F.transform("_cats", lambda c: F.struct(
-                c["category"].alias("category"), c["cat_ord"].alias("cat_ord"),
-                fn(F.col(text), c["pattern"]).alias("m")))).alias("c"))
-            .select(*key, *extra, "c.category", "c.cat_ord", "c.m"))
+    ordered = sorted(rows, key=lambda r: (r["first"], r["category"]))
+    arr = F.array(*[F.struct(F.lit(r["category"]).alias("category"), F.lit(i + 1).alias("cat_ord"),
+                             fn(F.col(text), F.lit(r["pattern"])).alias("m"))
+                    for i, r in enumerate(ordered)])
+    return (segments.select(*key, *extra, F.explode(arr).alias("c"))
+                    .select(*key, *extra, "c.category", "c.cat_ord", "c.m"))
 
 
 def category_hits(segments: DataFrame, dictionary: DataFrame,
@@ -208,8 +218,8 @@ def first_hit_per_category(segments: DataFrame, dictionary: DataFrame,
     left out."""
     key = list(key)
     per = _per_category(segments, dictionary, key, text, False,
-                        lambda t, p: F.regexp_extract(t, p, 0), broadcast_limit)
-    return per.where(F.col("m") != "").withColumnRenamed("m", "first_match")
+                        lambda t, p: F.regexp_substr(t, p), broadcast_limit)
+    return per.where(F.col("m").isNotNull() & (F.col("m") != "")).withColumnRenamed("m", "first_match")
 
 
 def contains_keyword(sentence: Column, keyword: Column) -> Column:

@@ -17,6 +17,30 @@ QUERIES = {
     "request_report": room.q_request_report,
     "request_report_weighted": room.q_request_report_weighted,
     "path_parts": room.q_path_parts,
+    "index_numbers": room.q_index_numbers,
+    "extension_routing": room.q_extension_routing,
+    "extension_census": room.q_extension_census,
+    "cell_addresses": room.q_cell_addresses,
+    "numeric_cell_filter": room.q_numeric_cell_filter,
+    "float_column_drop": room.q_float_column_drop,
+    "cell_hits": room.q_cell_hits,
+    "workbook_segments": room.q_workbook_segments,
+    "category_hits": room.q_category_hits,
+    "first_hit_per_category": room.q_first_hit_per_category,
+    "first_hit_per_document": room.q_first_hit_per_document,
+    "scope_index": room.q_scope_index,
+    "prior_index_parse": room.q_prior_index_parse,
+    "request_report_any": room.q_request_report_any,
+    "dictionary_unpivot": room.q_dictionary_unpivot,
+    "dictionary_dedup": room.q_dictionary_dedup,
+    "team_dictionary": room.q_team_dictionary,
+    "user_keywords": room.q_user_keywords,
+    "pages_per_file": room.q_pages_per_file,
+    "density_route": room.q_density_route,
+    "slide_skip_rule": room.q_slide_skip_rule,
+    "special_char_strip": room.q_special_char_strip,
+    "null_tokens": room.q_null_tokens,
+    "extract_with_errors": room.q_extract_with_errors,
 }
 
 

@@ -109,3 +109,243 @@ def q_path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_expanded_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand_occurrences(_hits(spark, sf_dir))
+
+
+# ---- paths, routing, census -------------------------------------------------
+
+def q_index_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4, P4b, P4b', P4c, P4d on every file name."""
+    from ..functions.paths import index_number
+    f = tb.room_files(spark, sf_dir).select("path", "file_name")
+    n = F.col("file_name")
+    return f.select("path", "file_name",
+                    index_number(n, "latest").alias("idx_latest"),
+                    index_number(n, "token_test").alias("idx_token_test"),
+                    index_number(n, "cut_then_test").alias("idx_cut_then_test"),
+                    index_number(n, "token_cut").alias("idx_token_cut"),
+                    index_number(n, "token_cut_keep_dot").alias("idx_token_cut_keep_dot"),
+                    index_number(n, "token").alias("idx_token"))
+
+
+def q_extension_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P13 (case-sensitive list and lower-cased), P3, P14."""
+    from ..functions.paths import file_name, file_type, handler, kind
+    p = tb.routing_paths(spark, sf_dir)
+    return p.select("path", file_type("path").alias("file_type"), handler("path").alias("handler"),
+                    handler("path", case_sensitive=False).alias("handler_any_case"),
+                    kind(file_name("path")).alias("kind"))
+
+
+def q_extension_census(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files per extension."""
+    from ..functions.paths import file_type
+    return (tb.routing_paths(spark, sf_dir).groupBy(file_type("path").alias("file_type"))
+              .agg(F.count(F.lit(1)).alias("n_files")))
+
+
+# ---- cells ------------------------------------------------------------------
+
+def q_cell_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses over the whole column range (1..16384)."""
+    from ..functions.cells import cell_address, qualified_location
+    p = tb.read(spark, sf_dir, "part")
+    col = (F.col("p_partkey") % 16384 + 1).cast("int")
+    row = (F.floor(F.col("p_partkey") / 16384) + 1).cast("int")
+    return p.select("p_partkey", col.alias("col"), row.alias("row"),
+                    cell_address(col, row).alias("address"),
+                    qualified_location(F.col("p_brand"), col, row).alias("location"))
+
+
+def q_numeric_cell_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which string cells are matched."""
+    from ..functions.text import numeric_looking, text_cell_keep
+    c = tb.room_cells(spark, sf_dir).where(F.col("value").isNotNull())
+    return c.select("path", "sheet", "row", "col", "value",
+                    numeric_looking("value").alias("numeric_looking"),
+                    text_cell_keep("value").alias("keep"))
+
+
+def q_float_column_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """drop the columns of a sheet whose cells are all numbers."""
+    c = tb.room_cells(spark, sf_dir)
+    numeric_cols = (c.groupBy("path", "sheet", "col")
+                     .agg(F.bool_and(F.col("value").isNull() & F.col("number").isNotNull()).alias("all_num"))
+                     .where("all_num"))
+    return c.join(numeric_cols, ["path", "sheet", "col"], "left_anti").select("path", "sheet", "row", "col", "value")
+
+
+def q_cell_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 (S5, P7): string cells holding a term of a category."""
+    from ..operators.match import cell_hits
+    from ..sources.scans import workbook_segments
+    seg = workbook_segments(tb.room_cells(spark, sf_dir))
+    d = tb.dict_from_rows(spark, tb.CELL_DICTIONARY)
+    return (cell_hits(seg, d, key=("path", "seg_ord", "location"))
+            .select("path", "location", "category", "text"))
+
+
+def q_workbook_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell segments with ``Sheet: A1`` locations and sheet counts."""
+    from ..sources.scans import workbook_segments
+    return workbook_segments(tb.room_cells(spark, sf_dir), skip_falsy=True).select(
+        "path", "location", "page_count", "text")
+
+
+# ---- other match modes ------------------------------------------------------
+
+def q_category_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-category alternation, matches as written."""
+    from ..operators.match import category_hits
+    d = tb.dict_from_rows(spark, tb.TEST_DICTIONARY)
+    return (category_hits(tb.room_segments(spark, sf_dir), d)
+            .select("path", "seg_ord", "category", "keyword", F.col("hits").cast("long").alias("hits")))
+
+
+def q_first_hit_per_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: first match of each category per line."""
+    from ..operators.match import first_hit_per_category
+    d = tb.dict_from_rows(spark, tb.TEST_DICTIONARY)
+    return first_hit_per_category(tb.room_segments(spark, sf_dir), d).select(
+        "path", "seg_ord", "category", "first_match")
+
+
+def _room_whole_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.scans import whole_text_segments
+    from ..sources.partitioning import ensure_parallelism
+    d = tb.read(spark, sf_dir, "documents")
+    path = tb.room_path(F.col("doc_id"), F.col("source"), F.col("lang"))
+    docs = ensure_parallelism(d.where(F.col("n_chars") >= tb.MIN_EXTRACTABLE_CHARS)
+                               .select(path.alias("path"), "text", "doc_id"), "doc_id")
+    return whole_text_segments(docs)
+
+
+def q_first_hit_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: first match of each category per document (whole text)."""
+    from ..operators.match import first_hit_per_category
+    d = tb.dict_from_rows(spark, tb.TEST_DICTIONARY)
+    return first_hit_per_category(_room_whole_text(spark, sf_dir), d, key=("path",)).select(
+        "path", "category", "first_match")
+
+
+def _scope_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.match import first_hit_per_category
+    from ..sources.inventory import with_folders
+    d = tb.dict_from_rows(spark, tb.TEST_DICTIONARY)
+    first = first_hit_per_category(tb.room_segments(spark, sf_dir), d).select("path", "first_match")
+    entries = with_folders(tb.room_files(spark, sf_dir).select("path", "file_name"))
+    return reports.scope_index(entries, first)
+
+
+def q_scope_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R7 (S2, M4, A15, P14)."""
+    return _scope_index(spark, sf_dir)
+
+
+def q_prior_index_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scope index's notes parsed back into terms."""
+    from .requests import parse_prior_index
+    idx = _scope_index(spark, sf_dir).where(F.col("notes") != "")
+    return parse_prior_index(idx).select(F.col("folder_path").alias("path"), "title", "match")
+
+
+def q_request_report_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4c (A23, M6): requests against the scope index's match lists."""
+    from .requests import parse_prior_index, request_report_any
+    idx = materialize(_scope_index(spark, sf_dir).where(F.col("notes") != ""))
+    matches = parse_prior_index(idx).select(F.col("folder_path").alias("path"),
+                                            F.col("title").alias("file_name"), "match")
+    return request_report_any(tb.room_requests(spark, sf_dir), matches)
+
+
+# ---- dictionaries -----------------------------------------------------------
+
+def _wide_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = tb.read(spark, sf_dir, "part")
+    return p.select((F.col("p_partkey") + 1).cast("long").alias("row"), "p_name", "p_brand", "p_type")
+
+
+def q_dictionary_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide sheet (one column per category) to a long dictionary."""
+    from ..sources.dictionary import unpivot_wide
+    return unpivot_wide(_wide_sheet(spark, sf_dir), ["p_name", "p_brand", "p_type"])
+
+
+def q_dictionary_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First category wins per keyword."""
+    from ..sources.dictionary import dedup_keywords, unpivot_wide
+    return dedup_keywords(unpivot_wide(_wide_sheet(spark, sf_dir), ["p_name", "p_brand", "p_type"]))
+
+
+def q_team_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run user's team, then that team's dictionary."""
+    from ..sources.dictionary import team_dictionary
+    return team_dictionary(tb.room_users(spark, sf_dir), tb.team_keywords(spark, sf_dir), tb.TEST_GUID)
+
+
+def q_user_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each request text read as a comma list of user terms."""
+    from ..sources.dictionary import user_keywords_column
+    b = tb.read(spark, sf_dir, "benchmark")
+    return (b.select("item_id", F.posexplode(user_keywords_column(F.col("text"))).alias("pos", "keyword"))
+             .select("item_id", F.col("pos").cast("long").alias("pos"), "keyword"))
+
+
+# ---- pages, density, slides -------------------------------------------------
+
+def q_pages_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages per file and page segments' page_count."""
+    from ..operators.density import pages_per_file
+    return pages_per_file(tb.room_pages(spark, sf_dir))
+
+
+def q_density_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text layer or OCR per paged file."""
+    from ..operators.density import density_route
+    return density_route(tb.room_pages(spark, sf_dir))
+
+
+def q_slide_skip_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A20."""
+    from ..operators.density import slide_skip
+    return slide_skip(tb.room_slides(spark, sf_dir))
+
+
+# ---- scalar helpers ---------------------------------------------------------
+
+def q_special_char_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9 on page URLs (with and without dots kept)."""
+    from ..functions.text import strip_special
+    p = tb.read(spark, sf_dir, "pages")
+    return p.select("page_id", strip_special("url").alias("stripped"),
+                    strip_special("url", keep_dots=True).alias("stripped_keep_dots"))
+
+
+def q_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null spellings to '' over documents left-joined to labels."""
+    from ..functions.text import null_token
+    d = tb.read(spark, sf_dir, "documents").select("doc_id")
+    lab = tb.read(spark, sf_dir, "labels")
+    j = d.join(lab, "doc_id", "left")
+    return j.select("doc_id", null_token(F.col("quality").cast("string")).alias("quality"),
+                    null_token(F.col("toxic").cast("string")).alias("toxic"))
+
+
+# ---- extractor hook ---------------------------------------------------------
+
+def _line_extractor(path, body):
+    """Test-room extractor: lines of a text body; bodies shorter than the
+    room's minimum raise, as a corrupt file would."""
+    if body is None or len(body) < tb.MIN_EXTRACTABLE_CHARS:
+        raise ValueError("file too short to parse")
+    lines = body.split("\n")
+    return [(i + 1, str(i + 1), len(lines), line) for i, line in enumerate(lines)]
+
+
+def q_extract_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-file Python extraction; failures become error rows."""
+    from ..operators.extract import extract
+    from ..sources.partitioning import ensure_parallelism
+    d = tb.read(spark, sf_dir, "documents")
+    path = tb.room_path(F.col("doc_id"), F.col("source"), F.col("lang"))
+    files = ensure_parallelism(d.select("doc_id", path.alias("path"), F.col("text").alias("content")), "doc_id")
+    return extract(files, _line_extractor).select("path", "seg_ord", "location", "page_count", "text", "error")

@@ -120,3 +120,100 @@ def room_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
              .otherwise(F.lit("HR")))
     return b.select(F.col("item_id").cast("string").alias("request_no"), area.alias("area"),
                     F.col("text").alias("sentence"), F.col("item_id").cast("int").alias("row_ord"))
+
+
+# Extensions given to the routing test paths (includes spellings
+# outside the routing list and two dot-less endings).
+TEST_EXTENSIONS = ["csv", "xlsb", "msg", "txt", "rtf", "docx", "DOCX", "doc", "DOC", "odt",
+                   "pptx", "ppt", "PPTX", "PPT", "PNG", "png", "JPEG", "jpeg", "JPG", "jpg",
+                   "gif", "pnm", "PNM", "xlsx", "xlsm", "xls", "XLS", "XLSX", "pdf", "PDF",
+                   "tiff", "tif", "jfif", "bmp", "md", "Csv", "Txt", "zip", "appt", "bXLSX"]
+
+# The cell dictionary (category, keyword) used on the part sheets.
+CELL_DICTIONARY: list[tuple[str, str]] = [
+    ("Colors", "red"), ("Colors", "blue"),
+    ("Temperature", "hot"), ("Temperature", "cold"),
+    ("Shapes", "ring"), ("Shapes", "rod"), ("Shapes", "plate"),
+    ("Things", "widget"), ("Things", "gizmo"), ("Things", "gear"), ("Things", "bolt"), ("Things", "anvil"),
+]
+
+# Market segments, used as teams.
+TEAMS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+# The run's user in the team-dictionary query.
+TEST_GUID = "Customer#000000007"
+
+# Slide text runs shorter than this count as failed shapes.
+MIN_SHAPE_CHARS = 25
+
+
+def routing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One path per part with an extension from ``TEST_EXTENSIONS``."""
+    p = read(spark, sf_dir, "part")
+    exts = F.array(*[F.lit(e) for e in TEST_EXTENSIONS])
+    ext = F.element_at(exts, (F.col("p_partkey") % len(TEST_EXTENSIONS) + 1).cast("int"))
+    path = F.concat(F.lit("/room/mixed/"), F.replace(F.col("p_name"), F.lit(" "), F.lit("_")), F.lit("_"),
+                    F.col("p_partkey").cast("string"), F.lit("."), ext)
+    return p.select(path.alias("path"))
+
+
+def room_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbook cells from ``part``: one workbook per part type, one sheet per
+    brand, one row per part. Columns: name, brand, type (text), size and price
+    (numbers), size as text, ``#`` + key (text that looks numeric).
+
+    ``path, sheet, sheet_ord, row, col, value, number``: ``value`` is the text
+    of a string cell (null for numbers), ``number`` the numeric value."""
+    p = read(spark, sf_dir, "part")
+
+    def cell(col, value, number):
+        return F.struct(F.lit(col).alias("col"), value.cast("string").alias("value"),
+                        number.cast("double").alias("number"))
+    none_s, none_d = F.lit(None).cast("string"), F.lit(None).cast("double")
+    cells = F.array(cell(1, F.col("p_name"), none_d), cell(2, F.col("p_brand"), none_d),
+                    cell(3, F.col("p_type"), none_d), cell(4, none_s, F.col("p_size")),
+                    cell(5, none_s, F.col("p_retailprice")), cell(6, F.col("p_size").cast("string"), none_d),
+                    cell(7, F.concat(F.lit("#"), F.col("p_partkey").cast("string")), none_d))
+    return (p.select(F.concat(F.lit("/room/sheets/"), F.col("p_type"), F.lit(".xlsx")).alias("path"),
+                     F.col("p_brand").alias("sheet"),
+                     F.element_at(F.split("p_brand", "#"), 2).cast("int").alias("sheet_ord"),
+                     (F.col("p_partkey") + 1).cast("int").alias("row"), F.explode(cells).alias("c"))
+             .select("path", "sheet", "sheet_ord", "row", "c.col", "c.value", "c.number"))
+
+
+def room_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paged files from ``conversations``: one file per conversation (``.doc``
+    for every fourth, else ``.pdf``), page = turn + 1."""
+    c = read(spark, sf_dir, "conversations")
+    ext = F.when(F.col("conv_id") % 4 == 0, F.lit(".doc")).otherwise(F.lit(".pdf"))
+    return c.select(F.concat(F.lit("/room/chats/conv "), F.col("conv_id").cast("string"), ext).alias("path"),
+                    (F.col("turn") + 1).cast("int").alias("page"), "text")
+
+
+def room_slides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slide decks from ``conversations``: slide = turn + 1, one text run per
+    slide; a run shorter than ``MIN_SHAPE_CHARS`` is a failed shape."""
+    c = read(spark, sf_dir, "conversations")
+    return c.select(F.concat(F.lit("/room/decks/conv "), F.col("conv_id").cast("string"), F.lit(".pptx")).alias("path"),
+                    (F.col("turn") + 1).cast("int").alias("slide"), F.lit(1).alias("run_ord"), "text",
+                    (F.length(F.trim("text")) < MIN_SHAPE_CHARS).alias("failed"))
+
+
+def dict_from_rows(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
+    return spark.createDataFrame([(c, k, i + 1) for i, (c, k) in enumerate(rows)],
+                                 "category string, keyword string, row_ord int")
+
+
+def room_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``user_details(guid, team)`` from ``customer``."""
+    return read(spark, sf_dir, "customer").select(F.col("c_name").alias("guid"), F.col("c_mktsegment").alias("team"))
+
+
+def team_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored multi-team dictionary from ``part``: team by size, category =
+    type, keyword = name, row_ord = key."""
+    p = read(spark, sf_dir, "part")
+    teams = F.array(*[F.lit(t) for t in TEAMS])
+    return p.select(F.element_at(teams, (F.col("p_size") % len(TEAMS) + 1).cast("int")).alias("team"),
+                    F.col("p_type").alias("category"), F.col("p_name").alias("keyword"),
+                    F.col("p_partkey").cast("long").alias("row_ord"))
