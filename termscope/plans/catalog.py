@@ -45,5 +45,6 @@ QUERIES = {
 
 
 def oracle() -> dict[str, str]:
-    from .oracle import sql_queries
-    return {k: v for k, v in sql_queries().items() if k in QUERIES}
+    from .oracle import sql_queries, sql_queries_2
+    q = {**sql_queries(), **sql_queries_2()}
+    return {k: v for k, v in q.items() if k in QUERIES}

@@ -219,3 +219,247 @@ pairs AS (SELECT path, request_no FROM per_kw JOIN rk USING (keyword)
         "CASE WHEN suffix(path, '.txt') THEN 'txt' WHEN suffix(path, '.csv') THEN 'csv' " \
         "WHEN suffix(path, '.docx') THEN 'docx' ELSE 'unknown' END AS handler FROM files"
     return q
+
+
+# ---- second batch -----------------------------------------------------------
+
+from ..functions.paths import HANDLER_SUFFIXES, KIND_SUFFIXES  # noqa: E402
+from ..functions.text import FLOAT_TEXT  # noqa: E402
+from ..sources.testbed import (CELL_DICTIONARY, MIN_SHAPE_CHARS, TEAMS, TEST_EXTENSIONS,  # noqa: E402
+                               TEST_GUID)
+
+
+def _addr(c: str, r: str) -> str:
+    c = f"CAST({c} AS INTEGER)"
+    return (f"(CASE WHEN {c} <= 26 THEN chr(64 + {c}) "
+            f"WHEN {c} <= 702 THEN chr(64 + ({c} - 1) // 26) || chr(65 + ({c} - 1) % 26) "
+            f"ELSE chr(65 + ({c} - 703) // 676) || chr(65 + (({c} - 703) // 26) % 26) || chr(65 + ({c} - 703) % 26) END"
+            f" || CAST({r} AS VARCHAR))")
+
+
+def _suffix_case(expr: str, groups, lower: bool = False, default: str = "'unknown'") -> str:
+    parts = []
+    for name, suffixes in groups:
+        conds = " OR ".join(f"suffix({expr}, {_q(s.lower() if lower else s)})" for s in suffixes)
+        parts.append(f"WHEN {conds} THEN {_q(name)}")
+    return "CASE " + " ".join(parts) + f" ELSE {default} END"
+
+
+ROUTING = """
+rp AS (
+  SELECT '/room/mixed/' || replace(p_name, ' ', '_') || '_' || CAST(p_partkey AS VARCHAR) || '.' ||
+         {exts}[p_partkey % {n} + 1] AS path FROM part)""".format(
+    exts="[" + ", ".join(_q(e) for e in TEST_EXTENSIONS) + "]", n=len(TEST_EXTENSIONS))
+
+CELLS = """
+cells AS (
+  SELECT '/room/sheets/' || p_type || '.xlsx' AS path, p_brand AS sheet,
+         CAST(p_partkey + 1 AS INTEGER) AS row, c.col, c.value, c.number
+  FROM part, unnest([
+    {'col': 1, 'value': p_name, 'number': NULL::DOUBLE},
+    {'col': 2, 'value': p_brand, 'number': NULL::DOUBLE},
+    {'col': 3, 'value': p_type, 'number': NULL::DOUBLE},
+    {'col': 4, 'value': NULL::VARCHAR, 'number': CAST(p_size AS DOUBLE)},
+    {'col': 5, 'value': NULL::VARCHAR, 'number': p_retailprice},
+    {'col': 6, 'value': CAST(p_size AS VARCHAR), 'number': NULL::DOUBLE},
+    {'col': 7, 'value': '#' || CAST(p_partkey AS VARCHAR), 'number': NULL::DOUBLE}]) AS t(c))"""
+
+
+def _category_patterns(rows) -> list[tuple[str, str]]:
+    """(category, doubled-text RE2 pattern with the keyword in group 1)."""
+    cats: dict[str, list[str]] = {}
+    for c, k in rows:
+        cats.setdefault(c, []).append(k)
+    out = []
+    for c, kws in cats.items():
+        alts = "|".join(re.escape(re.sub(r"([^\w])", r"\1\1", k)).replace("\\ ", " ") for k in kws)
+        out.append((c, f"(?i)[^{W}]({alts})[^{W}]"))
+    return out
+
+
+T2O = f"""
+t2o AS (
+  SELECT path, seg_ord, ' ' || regexp_replace(text, '([^{W}])', '\\1\\1', 'g') || ' ' AS t2 FROM seg)"""
+
+WHOLE = f"""
+whole AS (
+  SELECT p.path, ' ' || regexp_replace(d.text, '([^{W}])', '\\1\\1', 'g') || ' ' AS t2
+  FROM documents d JOIN parts p USING (doc_id) WHERE d.n_chars >= {MIN_EXTRACTABLE_CHARS})"""
+
+
+def _undouble(x: str) -> str:
+    return f"replace({x}, '  ', ' ')"
+
+
+def _first_hits(src: str, key: str) -> str:
+    branches = [f"SELECT {key}, {_q(c)} AS category, {_undouble(f'regexp_extract(t2, {_q(p)}, 1)')} AS first_match "
+                f"FROM {src}" for c, p in _category_patterns(TEST_DICTIONARY)]
+    return "SELECT * FROM (" + " UNION ALL ".join(branches) + ") WHERE first_match <> ''"
+
+
+SCOPE = f"""
+fh AS ({_first_hits('t2o', 'path, seg_ord')}),
+m AS (SELECT path, '[' || string_agg('''' || first_match || '''', ', ' ORDER BY first_match) || ']' AS lst
+      FROM (SELECT DISTINCT path, first_match FROM fh) GROUP BY path),
+scope AS (
+  SELECT k.kind, f.file_name AS title, f.path AS folder_path, 'Scanned' AS reviewed, 'On File System' AS status,
+         CASE WHEN k.kind <> 'Unknown' AND m.lst IS NOT NULL THEN 'In Scope' ELSE 'Out of Scope' END AS scope,
+         CASE WHEN k.kind <> 'Unknown' AND m.lst IS NOT NULL THEN 'Matches: ' || m.lst ELSE '' END AS notes
+  FROM files f LEFT JOIN m USING (path)
+  CROSS JOIN LATERAL (SELECT {_suffix_case('f.file_name', KIND_SUFFIXES, default="'Unknown'")} AS kind) k
+  UNION ALL
+  SELECT 'Folder', 'room', '/room', '', '', '', ''
+  UNION ALL
+  SELECT DISTINCT 'Folder', source, '/room/' || source, '', '', '', '' FROM documents)"""
+
+
+def sql_queries_2() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["raw_details"] = room_hits_sql("""
+SELECT file_name, index_number, folder, path, file_type, page_count, keyword, category, location FROM (
+  SELECT f.file_name, f.index_number, f.folder, f.path, f.file_type, s.page_count, h.keyword, h.category,
+         s.location, unnest(range(h.hits)) AS occ
+  FROM hits h JOIN seg2 s USING (path, seg_ord) JOIN files f USING (path))
+UNION ALL
+SELECT file_name, index_number, folder, path, 'Unknown', '', '', '', '' FROM files WHERE status = 'unknown'""",
+        extra="""
+seg2 AS (
+  SELECT p.path, s.seg_ord, CAST(s.seg_ord AS VARCHAR) AS location, CAST(s.n AS VARCHAR) AS page_count FROM (
+    SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS seg_ord,
+           len(string_split(text, chr(10))) AS n FROM documents) s JOIN parts p USING (doc_id))""")
+    single_case = "(upper({s}) <> lower({s}) AND ({s} = upper({s}) OR {s} = lower({s})))"
+    special = "regexp_matches({s}, '[@_!#$%^&*()<>?/|}}{{~:]')"
+    keep = "regexp_replace({s}, '[^0-9.\\s]+', '', 'g')"
+
+    def lone(x):
+        return f"(CASE WHEN length({x}) = 1 THEN replace({x}, '.', ' ') ELSE {x} END)"
+    first, cut = "string_split(file_name, ' ')[1]", "string_split(string_split(file_name, ' ')[1], '_')[1]"
+    bad_first = single_case.format(s=first) + " OR " + special.format(s=first)
+    bad_cut = single_case.format(s=cut) + " OR " + special.format(s=cut)
+    q["index_numbers"] = f"""WITH {ROOM_FILES}
+SELECT path, file_name,
+  {lone("regexp_extract(file_name, '^[0-9.]*', 0)")} AS idx_latest,
+  CASE WHEN {bad_first} THEN ' ' ELSE {lone(keep.format(s=cut))} END AS idx_token_test,
+  CASE WHEN {bad_cut} THEN ' ' ELSE {lone(keep.format(s=cut))} END AS idx_cut_then_test,
+  {lone(keep.format(s=cut))} AS idx_token_cut,
+  {keep.format(s=cut)} AS idx_token_cut_keep_dot,
+  {first} AS idx_token
+FROM files"""
+    q["extension_routing"] = f"""WITH {ROUTING}
+SELECT path, string_split(path, '.')[-1] AS file_type,
+  {_suffix_case('path', HANDLER_SUFFIXES)} AS handler,
+  {_suffix_case('lower(path)', HANDLER_SUFFIXES, lower=True)} AS handler_any_case,
+  {_suffix_case("string_split(path, '/')[-1]", KIND_SUFFIXES, default="'Unknown'")} AS kind
+FROM rp"""
+    q["extension_census"] = f"""WITH {ROUTING}
+SELECT string_split(path, '.')[-1] AS file_type, CAST(count(*) AS BIGINT) AS n_files FROM rp GROUP BY 1"""
+    col, row = "(p_partkey % 16384 + 1)", "(p_partkey // 16384 + 1)"
+    q["cell_addresses"] = f"""
+SELECT p_partkey, CAST({col} AS INTEGER) AS col, CAST({row} AS INTEGER) AS row,
+       {_addr(col, row)} AS address, p_brand || ': ' || {_addr(col, row)} AS location FROM part"""
+    numeric = f"regexp_matches(regexp_replace(value, '[^A-Za-z0-9\\s.]+', '', 'g'), {_q(FLOAT_TEXT)})"
+    q["numeric_cell_filter"] = f"""WITH {CELLS}
+SELECT path, sheet, row, col, value, {numeric} AS numeric_looking,
+       (length(value) >= 2 AND NOT {numeric}) AS keep
+FROM cells WHERE value IS NOT NULL"""
+    q["float_column_drop"] = f"""WITH {CELLS},
+numcols AS (SELECT path, sheet, col FROM cells GROUP BY ALL HAVING bool_and(value IS NULL AND number IS NOT NULL))
+SELECT c.path, c.sheet, c.row, c.col, c.value FROM cells c
+WHERE NOT EXISTS (SELECT 1 FROM numcols n WHERE n.path = c.path AND n.sheet = c.sheet AND n.col = c.col)"""
+    branches = []
+    cats: dict[str, list[str]] = {}
+    for c, k in CELL_DICTIONARY:
+        cats.setdefault(c, []).append(k)
+    for c, kws in cats.items():
+        pat = f"(?i)(^|[^{W}])(" + "|".join(re.escape(k) for k in kws) + f")($|[^{W}])"
+        branches.append(f"SELECT path, sheet || ': ' || {_addr('col', 'row')} AS location, {_q(c)} AS category, "
+                        f"value AS text FROM cells WHERE value IS NOT NULL AND regexp_matches(value, {_q(pat)})")
+    q["cell_hits"] = f"WITH {CELLS}\n" + " UNION ALL ".join(branches)
+    q["workbook_segments"] = f"""WITH {CELLS},
+sheets AS (SELECT path, CAST(count(DISTINCT sheet) AS INTEGER) AS page_count FROM cells GROUP BY path)
+SELECT c.path, c.sheet || ': ' || {_addr('c.col', 'c.row')} AS location, s.page_count, c.value AS text
+FROM cells c JOIN sheets s USING (path)
+WHERE c.value IS NOT NULL AND c.value <> '' AND c.value <> '0'"""
+    branches = [f"SELECT path, seg_ord, {_q(c)} AS category, "
+                f"{_undouble(f'unnest(regexp_extract_all(t2, {_q(p)}, 1))')} AS keyword FROM t2o"
+                for c, p in _category_patterns(TEST_DICTIONARY)]
+    q["category_hits"] = f"""WITH {ROOM_FILES},{T2O}
+SELECT path, CAST(seg_ord AS BIGINT) AS seg_ord, category, keyword, CAST(count(*) AS BIGINT) AS hits
+FROM ({' UNION ALL '.join(branches)}) WHERE keyword <> '' GROUP BY ALL"""
+    q["first_hit_per_category"] = f"""WITH {ROOM_FILES},{T2O}
+SELECT path, CAST(seg_ord AS BIGINT) AS seg_ord, category, first_match FROM ({_first_hits('t2o', 'path, seg_ord')})"""
+    q["first_hit_per_document"] = f"""WITH {ROOM_FILES},{WHOLE}
+SELECT path, category, first_match FROM ({_first_hits('whole', 'path')})"""
+    q["scope_index"] = f"""WITH {ROOM_FILES},{T2O},{SCOPE}
+SELECT * FROM scope"""
+    parsed = f"""SELECT folder_path AS path, title, trim(unnest(regexp_extract_all(notes, '''([^'']*)''', 1))) AS match
+FROM scope WHERE notes <> ''"""
+    q["prior_index_parse"] = f"WITH {ROOM_FILES},{T2O},{SCOPE}\n{parsed}"
+    q["request_report_any"] = f"""WITH {ROOM_FILES},{T2O},{SCOPE},
+im AS ({parsed}),
+rq AS (SELECT item_id AS request_no, text AS sentence FROM benchmark),
+pairs AS (SELECT DISTINCT rq.request_no, im.path, im.title AS file_name FROM rq JOIN im
+          ON contains(lower(rq.sentence), lower(im.match)))
+SELECT CAST(request_no AS BIGINT) AS request_no, CAST(count(*) AS BIGINT) AS n_files,
+       string_agg(file_name, ' ' ORDER BY path) AS file_names FROM pairs GROUP BY request_no"""
+    uni = " UNION ALL ".join(
+        f"SELECT {_q(c)} AS category, CAST({c} AS VARCHAR) AS keyword, "
+        f"CAST({i} * 1000000000 + p_partkey + 1 AS BIGINT) AS row_ord FROM part"
+        for i, c in enumerate(["p_name", "p_brand", "p_type"]))
+    longd = f"SELECT * FROM ({uni}) WHERE keyword IS NOT NULL AND trim(keyword) <> ''"
+    q["dictionary_unpivot"] = longd
+    q["dictionary_dedup"] = (f"SELECT category, keyword, row_ord FROM ({longd}) "
+                             "QUALIFY row_number() OVER (PARTITION BY keyword ORDER BY row_ord) = 1")
+    teams = "[" + ", ".join(_q(t) for t in TEAMS) + "]"
+    q["team_dictionary"] = f"""
+SELECT d.team, d.category, d.keyword, d.row_ord FROM (
+  SELECT {teams}[p_size % {len(TEAMS)} + 1] AS team, p_type AS category, p_name AS keyword,
+         CAST(p_partkey AS BIGINT) AS row_ord FROM part) d
+WHERE d.team IN (SELECT c_mktsegment FROM customer WHERE c_name = {_q(TEST_GUID)})"""
+    q["user_keywords"] = """
+WITH t AS (
+  SELECT item_id, CASE WHEN text IS NULL OR lower(trim(text)) IN ('none', 'nan') THEN []::VARCHAR[]
+    ELSE list_filter(list_transform(string_split(text, ','),
+                                    lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') END AS terms
+  FROM benchmark)
+SELECT item_id, CAST(generate_subscripts(terms, 1) - 1 AS BIGINT) AS pos, unnest(terms) AS keyword FROM t"""
+    pages = """
+pg AS (
+  SELECT '/room/chats/conv ' || CAST(conv_id AS VARCHAR) ||
+         CASE WHEN conv_id % 4 = 0 THEN '.doc' ELSE '.pdf' END AS path,
+         CAST(turn + 1 AS INTEGER) AS page, text FROM conversations)"""
+    q["pages_per_file"] = f"""WITH {pages}
+SELECT path, CAST(max(page) AS BIGINT) AS pages, CAST(count(*) AS BIGINT) AS page_rows FROM pg GROUP BY path"""
+    clean = "replace(replace(replace(replace(text, '\\r', ' '), '\\n', ' '), '\\x', ' '), '0c', ' ')"
+    q["density_route"] = f"""WITH {pages},
+per AS (SELECT path, CAST(sum(length(replace(trim({clean}), ' ', ''))) AS BIGINT) AS letters,
+               CAST(count(*) AS BIGINT) AS pages FROM pg GROUP BY path)
+SELECT path, letters, pages,
+       CASE WHEN suffix(path, '.doc') OR suffix(path, '.DOC') OR letters >= pages * 150 THEN 'text' ELSE 'ocr' END AS route
+FROM per"""
+    q["slide_skip_rule"] = f"""
+WITH per AS (
+  SELECT '/room/decks/conv ' || CAST(conv_id AS VARCHAR) || '.pptx' AS path, CAST(count(*) AS BIGINT) AS shapes,
+         CAST(count(*) FILTER (WHERE length(trim(text)) < {MIN_SHAPE_CHARS}) AS BIGINT) AS failed_shapes,
+         CAST(max(turn + 1) AS BIGINT) AS slides
+  FROM conversations GROUP BY conv_id)
+SELECT path, shapes, failed_shapes, slides, (failed_shapes > 0 AND failed_shapes = shapes) AS skipped,
+       (failed_shapes = slides) AS skipped_by_slide_count FROM per"""
+    q["special_char_strip"] = """
+SELECT page_id, regexp_replace(url, '[^A-Za-z0-9\\s]+', '', 'g') AS stripped,
+       regexp_replace(url, '[^A-Za-z0-9\\s.]+', '', 'g') AS stripped_keep_dots FROM pages"""
+    nt = "CASE WHEN {c} IS NULL OR CAST({c} AS VARCHAR) IN ('None', 'NaN', 'nan') THEN '' ELSE CAST({c} AS VARCHAR) END"
+    q["null_tokens"] = f"""
+SELECT d.doc_id, {nt.format(c='l.quality')} AS quality, {nt.format(c='l.toxic')} AS toxic
+FROM documents d LEFT JOIN labels l USING (doc_id)"""
+    q["extract_with_errors"] = f"""WITH {ROOM_FILES}
+SELECT p.path, CAST(s.seg_ord AS BIGINT) AS seg_ord, CAST(s.seg_ord AS VARCHAR) AS location,
+       CAST(s.n AS INTEGER) AS page_count, s.line AS text, NULL::VARCHAR AS error
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+             generate_subscripts(string_split(text, chr(10)), 1) AS seg_ord,
+             len(string_split(text, chr(10))) AS n FROM documents WHERE n_chars >= {MIN_EXTRACTABLE_CHARS}) s
+JOIN parts p USING (doc_id)
+UNION ALL
+SELECT p.path, NULL, NULL, NULL, NULL, 'ValueError: file too short to parse'
+FROM documents d JOIN parts p USING (doc_id) WHERE d.n_chars < {MIN_EXTRACTABLE_CHARS}"""
+    return q

@@ -42,7 +42,7 @@ def user_keywords_column(arg) -> "F.Column":
     """S17 as a column: a comma list -> array of trimmed, non-blank terms.
     A whole value of ``none``/``nan`` (any case) gives no terms. Blank items
     are dropped (the reference keeps them and they match zero-width)."""
-    items = F.transform(F.split(arg, ","), lambda s: F.trim(s))
+    items = F.transform(F.split(arg, ","), lambda s: F.regexp_replace(s, r"^\s+|\s+$", ""))
     cleaned = F.filter(items, lambda s: s != "")
     return F.when(arg.isNull() | F.lower(F.trim(arg)).isin(*NO_KEYWORDS), F.array().cast("array<string>")) \
             .otherwise(cleaned)
