@@ -83,60 +83,84 @@ def keyword_hits(segments: DataFrame, dictionary: DataFrame,
     small = kinds["n"] <= broadcast_limit
     dj = F.broadcast(d) if small else d
     seg = segments.select(*key, text)
+    if not (kinds["single"] or kinds["multi"] or kinds["symbolic"]):
+        return (seg.limit(0).select(
+            *key, F.lit(None).cast("string").alias("category"), F.lit(None).cast("int").alias("cat_ord"),
+            F.lit(None).cast("string").alias("keyword"), F.lit(None).cast("long").alias("kw_ord"),
+            F.lit(None).cast("long").alias("hits")))
+    if small:
+        hits = _hits_one_pass(seg, dj, key, text, kinds)
+    else:
+        hits = _hits_shuffled(seg, dj, key, text, kinds)
+    attrs = dj.select(*DICT_COLS)
+    return hits.join(attrs, "kw_ord").select(*key, "category", "cat_ord", "keyword", "kw_ord",
+                                             F.col("hits").cast("long").alias("hits"))
+
+
+def _hits_one_pass(seg: DataFrame, dj: DataFrame, key: list[str], text: str, kinds) -> DataFrame:
+    """Small (broadcast) dictionary: one scan, one generator, one aggregate.
+
+    Each row carries its tokens and, computed inside the row, the verified
+    counts of the phrase / symbol keywords whose probe it holds (the probe ->
+    patterns map is a scalar subquery over the small dictionary). Tokens and
+    phrase counts are exploded together; a left broadcast join gives the
+    single-word keyword of each token, and one aggregate (partial in the same
+    stage) sums both kinds per (segment, keyword)."""
+    toks = F.split(F.lower(F.col(text)), NON_WORD_RUN)
+    rows = seg.select(*key, text, toks.alias("probe"))
+    rows = (rows.withColumn("kw_ord", F.array_repeat(F.lit(None).cast("long"), F.size("probe")))
+                .withColumn("hits", F.array_repeat(F.lit(None).cast("long"), F.size("probe"))))
+    parts = [F.arrays_zip("probe", "kw_ord", "hits")]
+
+    def counted(k):
+        return F.struct(F.lit(None).cast("string").alias("probe"), k["kw_ord"].alias("kw_ord"),
+                        F.regexp_count(F.col(text), k["pattern"]).cast("long").alias("hits"))
+
+    if kinds["multi"]:
+        multi = (dj.where(~F.col("single") & (F.col("probe") != ""))
+                   .groupBy("probe").agg(F.collect_list(F.struct("kw_ord", "pattern")).alias("ks")))
+        rows = rows.withColumn("_m", multi.select(F.map_from_entries(F.collect_list(F.struct("probe", "ks")))).scalar())
+        cands = F.array_intersect("probe", F.map_keys("_m"))
+        parts.append(F.flatten(F.transform(cands, lambda c: F.transform(F.col("_m")[c], counted))))
+    if kinds["symbolic"]:
+        sym = dj.where(F.col("probe") == "").select(F.collect_list(
+            F.struct("kw_ord", "pattern", F.lower("keyword").alias("needle")))).scalar()
+        rows = rows.withColumn("_s", sym)
+        present = F.filter("_s", lambda k: F.instr(F.lower(F.col(text)), k["needle"]) > 0)
+        parts.append(F.transform(present, counted))
+    items = parts[0] if len(parts) == 1 else F.concat(*parts)
+    flat = rows.select(*key, F.explode(items).alias("e")).select(*key, "e.probe", "e.kw_ord", "e.hits")
+    single = dj.where("single").select("probe", F.col("kw_ord").alias("_kw"))
+    joined = flat.join(single, "probe", "left") if kinds["single"] else flat.withColumn("_kw", F.lit(None).cast("long"))
+    return (joined.select(*key, F.coalesce("kw_ord", "_kw").alias("kw_ord"), F.coalesce("hits", F.lit(1)).alias("n"))
+                  .where(F.col("kw_ord").isNotNull() & (F.col("n") > 0))
+                  .groupBy(*key, "kw_ord").agg(F.sum("n").alias("hits")))
+
+
+def _hits_shuffled(seg: DataFrame, dj: DataFrame, key: list[str], text: str, kinds) -> DataFrame:
+    """Dictionary above the broadcast bound: token equi-joins with shuffles;
+    phrase candidates are joined back to their segment's text by key."""
     toks_of = F.split(F.lower(F.col(text)), NON_WORD_RUN)
+    toks = seg.select(*key, F.explode(toks_of).alias("probe"))
     parts = []
-
     if kinds["single"]:
-        # Fast path: single-word keywords, hits = equal tokens. Only key and
-        # token are exploded (never the text); the partial aggregate runs in
-        # the same stage, so the shuffle carries (segment, keyword) counts.
         single = dj.where("single").select("probe", "kw_ord")
-        toks = seg.select(*key, F.explode(toks_of).alias("probe"))
-        parts.append(toks.join(single, "probe")
-                         .groupBy(*key, "kw_ord").agg(F.count(F.lit(1)).alias("hits")))
-
+        parts.append(toks.join(single, "probe").groupBy(*key, "kw_ord").agg(F.count(F.lit(1)).alias("hits")))
     if kinds["multi"]:
-        # Phrases / symbol edges: a segment is a candidate for a keyword when
-        # it holds the keyword's probe token; the exact pattern verifies.
         multi = dj.where(~F.col("single") & (F.col("probe") != "")).select("probe", "kw_ord", "pattern")
-        if small:
-            probes = multi.select(F.collect_set("probe")).scalar()
-            cand = (seg.select(*key, text, F.explode(F.array_intersect(toks_of, probes)).alias("probe"))
-                       .join(multi, "probe"))
-        else:
-            pairs = (seg.select(*key, F.explode(toks_of).alias("probe"))
-                        .join(multi.select("probe", "kw_ord"), "probe").select(*key, "kw_ord").distinct())
-            cand = pairs.join(seg, key).join(multi.select("kw_ord", "pattern"), "kw_ord")
+        pairs = toks.join(multi.select("probe", "kw_ord"), "probe").select(*key, "kw_ord").distinct()
+        cand = pairs.join(seg, key).join(multi.select("kw_ord", "pattern"), "kw_ord")
         parts.append(cand.select(*key, "kw_ord", F.regexp_count(F.col(text), F.col("pattern")).alias("hits"))
                          .where("hits > 0"))
-
     if kinds["symbolic"]:
-        # Keywords without a word character: literal pre-check in the row.
-        symbolic = dj.where(F.col("probe") == "").select(
-            "kw_ord", "pattern", F.lower("keyword").alias("needle"))
-        if small:
-            arr = symbolic.select(F.collect_list(F.struct("kw_ord", "pattern", "needle"))).scalar()
-            sym = (seg.withColumn("_sym", arr)
-                      .select(*key, text, F.explode(F.filter(
-                          "_sym", lambda k: F.instr(F.lower(F.col(text)), k["needle"]) > 0)).alias("k"))
-                      .select(*key, F.col("k.kw_ord").alias("kw_ord"),
-                              F.regexp_count(F.col(text), F.col("k.pattern")).alias("hits")))
-        else:
-            sym = (seg.join(symbolic, F.instr(F.lower(F.col(text)), F.col("needle")) > 0)
-                      .select(*key, "kw_ord", F.regexp_count(F.col(text), F.col("pattern")).alias("hits")))
-        parts.append(sym.where("hits > 0"))
-
-    if not parts:
-        return (segments.select(*key).limit(0)
-                .select(*key, F.lit(None).cast("string").alias("category"), F.lit(None).cast("int").alias("cat_ord"),
-                        F.lit(None).cast("string").alias("keyword"), F.lit(None).cast("long").alias("kw_ord"),
-                        F.lit(None).cast("long").alias("hits")))
+        symbolic = dj.where(F.col("probe") == "").select("kw_ord", "pattern", F.lower("keyword").alias("needle"))
+        parts.append(seg.join(symbolic, F.instr(F.lower(F.col(text)), F.col("needle")) > 0)
+                        .select(*key, "kw_ord", F.regexp_count(F.col(text), F.col("pattern")).alias("hits"))
+                        .where("hits > 0"))
     hits = parts[0]
     for p in parts[1:]:
         hits = hits.unionByName(p)
-    attrs = dj.select(*DICT_COLS)
-    return hits.join(attrs, "kw_ord").select(*key, "category", "cat_ord", "keyword", "kw_ord",
-                                             F.col("hits").cast("long").alias("hits"))
+    return hits
 
 
 def expand_occurrences(hits: DataFrame) -> DataFrame:

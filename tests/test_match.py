@@ -73,3 +73,18 @@ def test_category_mode_priority(spark):
     assert rows == {("Learning and Development", 1), ("learning", 1)}
     first = first_hit_per_category(seg, d).collect()
     assert [r.first_match for r in first] == ["Learning and Development"]
+
+
+def test_large_dictionary_path_equals_broadcast_path(spark):
+    # Above the broadcast bound the same hits come from shuffled joins.
+    texts = ["the the the", "Learning and Development budget", "C++ and .NET on the LAN", "on  the on the"]
+    kws = ["the the", "Learning and Development", "the", "on the", "C++", ".NET", "LAN", "+"]
+    seg = spark.createDataFrame([(f"/f{i}", 1, t) for i, t in enumerate(texts)], "path string, seg_ord long, text string")
+    d = spark.createDataFrame([("c", k, i + 1) for i, k in enumerate(kws)], "category string, keyword string, row_ord int")
+    small = {(r.path, r.keyword, r.hits) for r in keyword_hits(seg, d).collect()}
+    large = {(r.path, r.keyword, r.hits) for r in keyword_hits(seg, d, broadcast_limit=1).collect()}
+    assert small == large
+    for i, t in enumerate(texts):
+        for k in kws:
+            want = py_count(k, t)
+            assert ((f"/f{i}", k, want) in small) == (want > 0), (t, k)
