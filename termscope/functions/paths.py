@@ -166,6 +166,14 @@ def second_last_component(path: Column | str) -> Column:
     return F.element_at(F.split(F.regexp_replace(_c(path), "/+$", ""), "/"), -2)
 
 
+def path_id_matches(root: str, request_root: str, guid: str) -> Column:
+    """P20: both run roots belong to the user: the component before the last
+    one of each root is the GUID (checked with ``assert_true`` by callers)."""
+    lit = F.lit
+    return ((second_last_component(lit(root)) == lit(guid))
+            & (second_last_component(lit(request_root)) == lit(guid)))
+
+
 def with_path_parts(df, path_col: str = "path", index_variant: str = "latest"):
     """Add ``file_name, folder, file_type, index_number`` next to ``path``."""
     p = F.col(path_col)

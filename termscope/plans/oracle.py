@@ -217,7 +217,9 @@ pairs AS (SELECT path, request_no FROM per_kw JOIN rk USING (keyword)
           GROUP BY ALL HAVING sum(n) >= 5)""")
     q["path_parts"] = f"WITH {ROOM_FILES}\nSELECT path, file_name, folder, file_type, index_number, " \
         "CASE WHEN suffix(path, '.txt') THEN 'txt' WHEN suffix(path, '.csv') THEN 'csv' " \
-        "WHEN suffix(path, '.docx') THEN 'docx' ELSE 'unknown' END AS handler FROM files"
+        "WHEN suffix(path, '.docx') THEN 'docx' ELSE 'unknown' END AS handler, " \
+        "CASE WHEN starts_with(path, '/room') THEN substr(path, 6) ELSE path END AS rel_path, " \
+        "CASE WHEN starts_with(folder, '/room') THEN substr(folder, 6) ELSE folder END AS rel_folder FROM files"
     return q
 
 
@@ -391,7 +393,7 @@ SELECT path, CAST(seg_ord AS BIGINT) AS seg_ord, category, first_match FROM ({_f
     q["first_hit_per_document"] = f"""WITH {ROOM_FILES},{WHOLE}
 SELECT path, category, first_match FROM ({_first_hits('whole', 'path')})"""
     q["scope_index"] = f"""WITH {ROOM_FILES},{T2O},{SCOPE}
-SELECT * FROM scope"""
+SELECT *, row_number() OVER (ORDER BY folder_path) AS row_no FROM scope"""
     parsed = f"""SELECT folder_path AS path, title, trim(unnest(regexp_extract_all(notes, '''([^'']*)''', 1))) AS match
 FROM scope WHERE notes <> ''"""
     q["prior_index_parse"] = f"WITH {ROOM_FILES},{T2O},{SCOPE}\n{parsed}"

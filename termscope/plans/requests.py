@@ -67,7 +67,7 @@ def _sheet_bound(requests: DataFrame, dictionary: DataFrame) -> int:
 
 def request_matches(files: DataFrame, hits: DataFrame, requests: DataFrame,
                     dictionary: DataFrame, min_keywords: int = 5,
-                    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+                    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, by: str = "path") -> DataFrame:
     """Relevant (request, file) pairs with the number of the file's
     distinct keywords found (word-bounded) in the request sentence.
 
@@ -81,6 +81,16 @@ def request_matches(files: DataFrame, hits: DataFrame, requests: DataFrame,
     rk = F.broadcast(req_kw) if _sheet_bound(reqs, dictionary) <= broadcast_limit else req_kw
     # File keywords hash-partitioned by path once; the join to the broadcast
     # request keywords and the per-(file, request) count stay in partition.
+    if by == "name":
+        # A13 parity: the reference collects keywords per file *name*, so
+        # same-named files in different folders pool their keywords; the
+        # name's first path stands for it in the lists.
+        named = hits.select("path", "keyword").distinct().join(files.select("path", "file_name"), "path")
+        first = named.groupBy("file_name").agg(F.min("path").alias("path"))
+        fk = named.select("file_name", "keyword").repartition("file_name").dropDuplicates()
+        pairs = (fk.join(rk, "keyword").groupBy("file_name", "request_no")
+                   .agg(F.count(F.lit(1)).alias("n_keywords")).where(F.col("n_keywords") >= min_keywords))
+        return pairs.join(first, "file_name").select("path", "request_no", "n_keywords")
     fk = hits.select("path", "keyword").repartition("path").dropDuplicates(["path", "keyword"])
     return (fk.join(rk, "keyword")
               .groupBy("path", "request_no").agg(F.count(F.lit(1)).alias("n_keywords"))
@@ -89,11 +99,11 @@ def request_matches(files: DataFrame, hits: DataFrame, requests: DataFrame,
 
 def request_report(files: DataFrame, hits: DataFrame, requests: DataFrame, dictionary: DataFrame,
                    min_keywords: int = 5,
-                   broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+                   broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, by: str = "path") -> DataFrame:
     """Per IT request, the files with at least ``min_keywords`` distinct
     file keywords in the request (by path; the reference merges same-named
     files)."""
-    pairs = request_matches(files, hits, requests, dictionary, min_keywords, broadcast_limit)
+    pairs = request_matches(files, hits, requests, dictionary, min_keywords, broadcast_limit, by)
     return _roll_up(it_requests(requests), pairs, files)
 
 

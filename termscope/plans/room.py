@@ -102,9 +102,12 @@ def q_request_report_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Path parts, index number and route of every file."""
+    """Path parts, index number, route, paths relative to the run root."""
+    from ..functions.paths import strip_root
     return tb.room_files(spark, sf_dir).select("path", "file_name", "folder", "file_type",
-                                               "index_number", "handler")
+                                               "index_number", "handler",
+                                               strip_root("path", "/room").alias("rel_path"),
+                                               strip_root("folder", "/room").alias("rel_folder"))
 
 
 def q_expanded_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,8 +240,9 @@ def _scope_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_scope_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R7 (S2, M4, A15, P14)."""
-    return _scope_index(spark, sf_dir)
+    """R7 (S2, M4, A15, P14, W3): with the running row number over entries."""
+    from ..operators.ordering import sequential_row_number
+    return sequential_row_number(_scope_index(spark, sf_dir), "folder_path", "row_no")
 
 
 def q_prior_index_parse(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,9 +23,12 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     return with_path_parts(df)
 
 
-def with_folders(files: DataFrame, root: str = "") -> DataFrame:
+def with_folders(files: DataFrame, root: str = "", exclude_suffix: str | None = None) -> DataFrame:
     """One row per file and one per directory between ``root`` and the
-    file (``kind`` = ``Folder`` or ``File``), as the scope index lists them."""
+    file (``entry`` = ``Folder`` or ``File``), as the scope index lists them.
+    ``exclude_suffix`` drops a bookkeeping file by name (F10)."""
+    if exclude_suffix:
+        files = files.where(~F.col("path").endswith(exclude_suffix))
     parts = F.split(F.col("path"), "/")
     depth = F.size(parts)
     prefixes = F.transform(F.sequence(F.lit(2), depth - 1),

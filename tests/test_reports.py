@@ -65,3 +65,34 @@ def test_request_report(room, spark):
     assert set(out) == {1, 2}                                 # area gate, bad number quarantined
     assert out[1].n_relevant_files == 1 and out[1].paths == "/room/a/1 x.txt, "
     assert out[2].relevant_files_found == "No" and out[2].file_names == ""
+
+
+def test_request_report_by_name_pools_same_named_files(room, spark):
+    files, hits, d = room
+    from termscope.operators.match import prepare_dictionary
+    reqs = spark.createDataFrame([("1", "IT", "the of")], "request_no string, area string, sentence string")
+    by_path = request_report(files, hits, reqs, prepare_dictionary(d), min_keywords=2).collect()[0]
+    by_name = request_report(files, hits, reqs, prepare_dictionary(d), min_keywords=2, by="name").collect()[0]
+    assert by_path.n_relevant_files == 1
+    # '/room/b/1 x.txt' has only 'the', but shares its name with a/1 x.txt.
+    assert by_name.n_relevant_files == 1 and by_name.paths == "/room/a/1 x.txt, "
+
+
+def test_sequential_row_number(spark):
+    from termscope.operators.ordering import sequential_row_number
+    df = spark.range(0, 1000).selectExpr("cast((id * 7919) % 1000 as string) as k")
+    got = sequential_row_number(df, "k", partitions=7).orderBy("row_no").collect()
+    assert [r.row_no for r in got] == list(range(1, 1001))
+    assert [r.k for r in got] == sorted(r.k for r in got)
+
+
+def test_inventory_lists_files(spark, tmp_path):
+    from termscope.sources.inventory import list_files, with_folders
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "1.2 a.txt").write_text("x")
+    (tmp_path / "b.csv").write_text("y")
+    files = list_files(spark, str(tmp_path))
+    got = {r.file_name: (r.index_number, r.file_type) for r in files.collect()}
+    assert got == {"1.2 a.txt": ("1.2", "txt"), "b.csv": ("", "csv")}
+    entries = with_folders(files, root=str(tmp_path))
+    assert {r.file_name for r in entries.where("entry = 'Folder'").collect()} >= {"d"}
