@@ -60,6 +60,31 @@ def _with_match_columns(d: DataFrame) -> DataFrame:
              .withColumn("pattern", keyword_pattern(F.col("keyword"))))
 
 
+# Matchable dictionaries already prepared in this session, by the identity of
+# the DataFrame they came from (a run matches many inputs against one).
+_MATCHABLE: dict[tuple[int, bool, int], tuple[DataFrame, DataFrame, bool, object]] = {}
+
+
+def _matchable(dictionary: DataFrame, prepared: bool, broadcast_limit: int):
+    """Prepared dictionary with probe/pattern columns, cached, its size checked
+    against the broadcast bound and the counts of each keyword kind."""
+    k = (id(dictionary), prepared, broadcast_limit)
+    hit = _MATCHABLE.get(k)
+    if hit is not None and hit[0] is dictionary:
+        return hit[1], hit[2], hit[3]
+    d = dictionary if prepared else prepare_dictionary(dictionary)
+    d = _with_match_columns(d).select(*DICT_COLS, "probe", "single", "pattern").cache()
+    # One tiny aggregate: the size (broadcast bound) and the keyword kinds.
+    kinds = d.agg(F.count(F.lit(1)).alias("n"),
+                  F.count(F.when(F.col("single"), 1)).alias("single"),
+                  F.count(F.when(~F.col("single") & (F.col("probe") != ""), 1)).alias("multi"),
+                  F.count(F.when(F.col("probe") == "", 1)).alias("symbolic")).first()
+    small = kinds["n"] <= broadcast_limit
+    dj = F.broadcast(d) if small else d
+    _MATCHABLE[k] = (dictionary, dj, small, kinds)
+    return dj, small, kinds
+
+
 def keyword_hits(segments: DataFrame, dictionary: DataFrame,
                  key: Sequence[str] = ("path", "seg_ord"), text: str = "text",
                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
@@ -71,17 +96,7 @@ def keyword_hits(segments: DataFrame, dictionary: DataFrame,
     BIGINT), keyword spelled as in the dictionary.
     """
     key = list(key)
-    d = dictionary if prepared else prepare_dictionary(dictionary)
-    d = _with_match_columns(d).select(*DICT_COLS, "probe", "single", "pattern")
-    # The dictionary is small; cache it and, in one tiny aggregate, check its
-    # size (broadcast bound) and which of the three paths have keywords.
-    d = d.cache()
-    kinds = d.agg(F.count(F.lit(1)).alias("n"),
-                  F.count(F.when(F.col("single"), 1)).alias("single"),
-                  F.count(F.when(~F.col("single") & (F.col("probe") != ""), 1)).alias("multi"),
-                  F.count(F.when(F.col("probe") == "", 1)).alias("symbolic")).first()
-    small = kinds["n"] <= broadcast_limit
-    dj = F.broadcast(d) if small else d
+    dj, small, kinds = _matchable(dictionary, prepared, broadcast_limit)
     seg = segments.select(*key, text)
     if not (kinds["single"] or kinds["multi"] or kinds["symbolic"]):
         return (seg.limit(0).select(

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from ..session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and read it from there.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as a parquet table in the cluster's checkpoint folder and
+    read it back.
 
     Used for the hit table, which every report reads several times: the text
-    scan and the matching run once, and a lost executor costs a re-read of the
-    checkpoint rather than a re-scan of the corpus. The folder is the session's
-    ``spark.checkpoint.dir``; only a bare local session gets a scratch one."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    scan and the matching run once (a reliable ``checkpoint()`` would run the
+    plan a second time to write it), and a lost executor costs a re-read of
+    the table rather than a re-scan of the corpus. The folder is the session's
+    ``spark.checkpoint.dir`` (shared storage on a cluster); only a bare local
+    session gets a scratch one."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

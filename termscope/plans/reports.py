@@ -26,8 +26,12 @@ def raw_details(files: DataFrame, hits: DataFrame, segments: DataFrame,
                 expand: bool = True) -> DataFrame:
     """One row per occurrence (M1b) with file details, pages and location;
     Unknown files appended with blanks (U2)."""
-    seg = segments.select("path", "seg_ord", "location", "page_count")
-    h = hits.join(seg, ["path", "seg_ord"]).join(files.select("path", *FILE_PARTS), "path")
+    if "location" in hits.columns and "page_count" in hits.columns:
+        h = hits  # carried through the matcher, no second pass over the text
+    else:
+        seg = segments.select("path", "seg_ord", "location", "page_count")
+        h = hits.join(seg, ["path", "seg_ord"])
+    h = h.join(files.select("path", *FILE_PARTS), "path")
     if expand:
         h = h.withColumn("occurrence", F.explode(F.sequence(F.lit(1), F.col("hits").cast("int"))))
     found = h.select("file_name", "index_number", "folder", "path", "file_type",
@@ -48,10 +52,13 @@ def file_report(files: DataFrame, hits: DataFrame, threshold: int = 5,
     Relevance (A5, A5b, A5c): ``metric`` ``hits`` (total hits) or ``keywords``
     (distinct keywords), compared with ``threshold`` (``>=`` when
     ``inclusive``, else ``>``)."""
-    # One shuffle by path; every per-file aggregate below reuses it.
-    h = hits.select("path", "category", "cat_ord", "keyword", "seg_ord", "hits").repartition("path")
-    per_kw = h.groupBy("path", "keyword").agg(F.sum("hits").alias("n"))
-    per_cat = h.groupBy("path", "category", "cat_ord").agg(F.min("seg_ord").alias("first_seg"))
+    # Partial aggregation before any shuffle: a file holding a third of all
+    # hits still leaves each task with at most one row per dictionary entry,
+    # and the per-file roll-ups then see at most dictionary-size groups.
+    base = (hits.groupBy("path", "category", "cat_ord", "keyword")
+                .agg(F.sum("hits").alias("n"), F.min("seg_ord").alias("first_seg")))
+    per_kw = base.groupBy("path", "keyword").agg(F.sum("n").alias("n"))
+    per_cat = base.groupBy("path", "category", "cat_ord").agg(F.min("first_seg").alias("first_seg"))
     kw = per_kw.groupBy("path").agg(
         F.sum("n").alias("n_keywords_found"),
         F.count(F.lit(1)).alias("n_distinct_keywords"),

@@ -5,13 +5,13 @@ row_ord``. Only rows whose area is ``it`` (trimmed, any case) are reported; a
 request number that is not an integer is quarantined (the reference aborts
 the whole sheet).
 
-Plan: the file keywords (one row per file and distinct keyword) are
-hash-partitioned by path once. The requests' keywords are found with the same
-matcher as the files (requests are segments) and, being a small sheet matched
-against a dictionary, are broadcast after a size check. The join to file
-keywords, the per-(file, request) count and the threshold then all run inside
-the path partitions; only relevant (request, file) pairs are shuffled, to the
-per-request roll-up.
+Plan: the file keywords (one row per file and distinct keyword, partially
+aggregated before their shuffle). The requests' keywords are found with the
+same matcher as the files (requests are segments) and, being a small sheet
+matched against a dictionary, are broadcast after a size check. The join to
+file keywords and the per-(file, request) count are partially aggregated in
+the same stage; only (file, request) counts are shuffled, and only relevant
+pairs reach the per-request roll-up.
 """
 
 from __future__ import annotations
@@ -87,11 +87,13 @@ def request_matches(files: DataFrame, hits: DataFrame, requests: DataFrame,
         # name's first path stands for it in the lists.
         named = hits.select("path", "keyword").distinct().join(files.select("path", "file_name"), "path")
         first = named.groupBy("file_name").agg(F.min("path").alias("path"))
-        fk = named.select("file_name", "keyword").repartition("file_name").dropDuplicates()
+        fk = named.select("file_name", "keyword").distinct()
         pairs = (fk.join(rk, "keyword").groupBy("file_name", "request_no")
                    .agg(F.count(F.lit(1)).alias("n_keywords")).where(F.col("n_keywords") >= min_keywords))
         return pairs.join(first, "file_name").select("path", "request_no", "n_keywords")
-    fk = hits.select("path", "keyword").repartition("path").dropDuplicates(["path", "keyword"])
+    # Distinct (file, keyword) first: partial aggregation keeps a hot file to
+    # one row per keyword per task before the shuffle.
+    fk = hits.select("path", "keyword").distinct()
     return (fk.join(rk, "keyword")
               .groupBy("path", "request_no").agg(F.count(F.lit(1)).alias("n_keywords"))
               .where(F.col("n_keywords") >= min_keywords))

@@ -27,8 +27,13 @@ def room_dictionary(spark: SparkSession, with_user: bool = True) -> DataFrame:
 def _hits(spark: SparkSession, sf_dir: str, with_user: bool = True, reused: bool = True) -> DataFrame:
     """The hit table of the room. Reports read it several times, so it is
     checkpointed (``reused``); a single consumer reads the plan directly."""
-    h = keyword_hits(tb.room_segments(spark, sf_dir), room_dictionary(spark, with_user), prepared=True)
-    return materialize(h) if reused else h
+    if not reused:
+        return keyword_hits(tb.room_segments(spark, sf_dir), room_dictionary(spark, with_user), prepared=True)
+    # The materialized table carries each segment's location and page count
+    # (short columns, part of the key) so raw details need no second text pass.
+    h = keyword_hits(tb.room_segments(spark, sf_dir), room_dictionary(spark, with_user),
+                     key=("path", "seg_ord", "location", "page_count"), prepared=True)
+    return materialize(h, "hits")
 
 
 def q_keyword_hits(spark: SparkSession, sf_dir: str) -> DataFrame:

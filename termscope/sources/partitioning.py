@@ -14,6 +14,19 @@ def ensure_parallelism(df: DataFrame, *cols: str, min_partitions: int | None = N
     unchanged, so no shuffle is added at scale."""
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    if _scan_partitions(df) >= want:
         return df
     return df.repartition(want, *cols) if cols else df.repartition(want)
+
+
+_SCAN_PARTITIONS: dict[tuple, int] = {}
+
+
+def _scan_partitions(df: DataFrame) -> int:
+    """Partitions of the plan's scan, remembered per set of input files (a
+    run plans the same scan for several reports)."""
+    files = tuple(sorted(df.inputFiles()))
+    k = (id(df.sparkSession), files)
+    if k not in _SCAN_PARTITIONS or not files:
+        _SCAN_PARTITIONS[k] = df.rdd.getNumPartitions()
+    return _SCAN_PARTITIONS[k]
