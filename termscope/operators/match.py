@@ -50,7 +50,7 @@ def prepare_dictionary(dictionary: DataFrame) -> DataFrame:
     cat_ord = first.select(
         "category",
         F.dense_rank().over(Window.orderBy("_first", "category")).cast("int").alias("cat_ord"))
-    return (d.join(F.broadcast(cat_ord), "category")
+    return (d.join(cat_ord, "category")
              .select("category", "cat_ord", "keyword", F.col("row_ord").cast("long").alias("kw_ord")))
 
 

@@ -103,6 +103,8 @@ def keyword_report(files: DataFrame, hits: DataFrame, by: str = "path") -> DataF
     idx = per_file.groupBy("keyword", "index_number").agg(F.min("path").alias("_p"))
     # W1 without a window over a (possibly huge) keyword group: the per-keyword
     # maximum is a partial aggregate, bounded by the dictionary, joined back.
+    # (One row per keyword found: bounded by the dictionary, whose size the
+    # matcher checked against the broadcast limit.)
     mx = per_file.groupBy("keyword").agg(F.max("n").alias("n"))
     tops = per_file.join(F.broadcast(mx), ["keyword", "n"])
     totals = per_file.groupBy("keyword").agg(

@@ -78,7 +78,8 @@ def unpivot_wide(sheet: DataFrame, category_cols: Sequence[str], row_col: str =
 
 
 def team_dictionary(users: DataFrame, dictionary: DataFrame, guid: str) -> DataFrame:
-    """The user's team by GUID, then that team's dictionary (both
-    joins are on tiny, size-bounded tables, so broadcast)."""
+    """The user's team by GUID, then that team's dictionary. The
+    GUID filter is a bound value pushed to the user table's scan; Spark sizes
+    the join itself (the team side is one row per team of that user)."""
     team = users.where(F.col("guid") == F.lit(guid)).select("team").distinct()
-    return dictionary.join(F.broadcast(team), "team").select("team", "category", "keyword", "row_ord")
+    return dictionary.join(team, "team").select("team", "category", "keyword", "row_ord")

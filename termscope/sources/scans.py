@@ -82,7 +82,8 @@ def csv_cells(spark: SparkSession, root: str, max_cols: int = 64) -> DataFrame:
     w = Window.partitionBy("path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("path", "_split", "_first",
                             F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
-    numbered = (raw.join(F.broadcast(offsets), ["path", "_split"])
+    # One row per split: Spark sizes this join (broadcast when small).
+    numbered = (raw.join(offsets, ["path", "_split"])
                    .withColumn("row", (F.col("_offset") + F.col("_id") - F.col("_first") + 1).cast("int")))
     cols = [F.struct(F.lit(i).alias("col"), F.col(f"c{i}").alias("value")) for i in range(1, max_cols + 1)]
     return (numbered.select("path", "row", F.explode(F.array(*cols)).alias("c"))
