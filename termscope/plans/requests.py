@@ -43,21 +43,20 @@ def _roll_up(reqs: DataFrame, pairs: DataFrame, files: DataFrame) -> DataFrame:
     """Per request the flag, the number of relevant files and the three
     lists (trailing ``", "``); requests without a relevant file are kept."""
     rel = pairs.join(files.select("path", "file_name", "index_number"), "path")
+    # One list per request (path order), rendered three ways.
     agg = rel.groupBy("request_no").agg(
         F.count(F.lit(1)).alias("n_relevant_files"),
-        ordered_values(F.col("path"), F.col("file_name")).alias("_names"),
-        ordered_values(F.col("path"), F.col("index_number")).alias("_idx"),
-        ordered_values(F.col("path"), F.col("path")).alias("_paths"))
+        F.array_sort(F.collect_list(F.struct("path", "file_name", "index_number"))).alias("_f"))
+    empty = F.array().cast("array<string>")
+
+    def listed(field):
+        return render(F.coalesce(F.transform("_f", lambda x: x[field]), empty), trailing=True)
     return (reqs.select("request_no", F.col("sentence").alias("request")).join(agg, "request_no", "left")
                 .select(F.col("request_no").cast("long").alias("request_no"), "request",
                         yes_no(F.coalesce(F.col("n_relevant_files"), F.lit(0)) > 0).alias("relevant_files_found"),
                         F.coalesce(F.col("n_relevant_files"), F.lit(0)).cast("long").alias("n_relevant_files"),
-                        render(F.coalesce(F.col("_names"), F.array().cast("array<string>")), trailing=True)
-                        .alias("file_names"),
-                        render(F.coalesce(F.col("_idx"), F.array().cast("array<string>")), trailing=True)
-                        .alias("index_numbers"),
-                        render(F.coalesce(F.col("_paths"), F.array().cast("array<string>")), trailing=True)
-                        .alias("paths")))
+                        listed("file_name").alias("file_names"), listed("index_number").alias("index_numbers"),
+                        listed("path").alias("paths")))
 
 
 def _sheet_bound(requests: DataFrame, dictionary: DataFrame) -> int:
@@ -91,9 +90,13 @@ def request_matches(files: DataFrame, hits: DataFrame, requests: DataFrame,
         pairs = (fk.join(rk, "keyword").groupBy("file_name", "request_no")
                    .agg(F.count(F.lit(1)).alias("n_keywords")).where(F.col("n_keywords") >= min_keywords))
         return pairs.join(first, "file_name").select("path", "request_no", "n_keywords")
-    # Distinct (file, keyword) first: partial aggregation keeps a hot file to
-    # one row per keyword per task before the shuffle.
-    fk = hits.select("path", "keyword").distinct()
+    # One row per file with its distinct keywords (partial collect_set before
+    # the shuffle, so even a file holding a third of all hits ships at most one
+    # dictionary-sized set per task). The table is then clustered by path: the
+    # explode, the broadcast join and the per-(file, request) count need no
+    # further shuffle, and the (file, request) pairs are never shuffled.
+    fk = (hits.groupBy("path").agg(F.collect_set("keyword").alias("_kws"))
+              .select("path", F.explode("_kws").alias("keyword")))
     return (fk.join(rk, "keyword")
               .groupBy("path", "request_no").agg(F.count(F.lit(1)).alias("n_keywords"))
               .where(F.col("n_keywords") >= min_keywords))
@@ -117,7 +120,11 @@ def request_report_weighted(files: DataFrame, hits: DataFrame, requests: DataFra
     ``min_score``. The reference parsed the counts back from the rendered
     keyword-details text; this uses the hits themselves."""
     reqs = it_requests(requests).select("request_no", "sentence")
-    per_kw = hits.groupBy("path", "keyword").agg(F.sum("hits").alias("n"))
+    # Per file, its keyword counts in one row (bounded by the dictionary),
+    # clustered by path so the scoring below runs without another shuffle.
+    per_kw = (hits.groupBy("path", "keyword").agg(F.sum("hits").alias("n"))
+                  .groupBy("path").agg(F.collect_list(F.struct("keyword", "n")).alias("_kn"))
+                  .select("path", F.explode("_kn").alias("_e")).select("path", "_e.keyword", "_e.n"))
     kws = dictionary.select("keyword").distinct()
     bound = _sheet_bound(reqs, dictionary)
     # Requests x dictionary keywords by containment: a sheet against a

@@ -24,9 +24,11 @@ def room_dictionary(spark: SparkSession, with_user: bool = True) -> DataFrame:
     return _DICTS[k]
 
 
-def _hits(spark: SparkSession, sf_dir: str, with_user: bool = True, reused: bool = True) -> DataFrame:
-    """The hit table of the room. Reports read it several times, so it is
-    checkpointed (``reused``); a single consumer reads the plan directly."""
+def _hits(spark: SparkSession, sf_dir: str, with_user: bool = True, reused: bool = False) -> DataFrame:
+    """The hit table of the room. A report that reads the hits in several
+    branches gets it materialized (``reused``: written once to the checkpoint
+    folder, as ``plans.run`` does for a whole run); a report with a single
+    consumer reads the plan directly."""
     if not reused:
         return keyword_hits(tb.room_segments(spark, sf_dir), room_dictionary(spark, with_user), prepared=True)
     # The materialized table carries each segment's location and page count
@@ -38,7 +40,7 @@ def _hits(spark: SparkSession, sf_dir: str, with_user: bool = True, reused: bool
 
 def q_keyword_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits per line and dictionary entry."""
-    return _hits(spark, sf_dir, reused=False).select("path", "seg_ord", "category", "keyword", "hits")
+    return _hits(spark, sf_dir).select("path", "seg_ord", "category", "keyword", "hits")
 
 
 def q_raw_details(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,26 +51,26 @@ def q_raw_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2 (A1-A5, U2, J3, O1)."""
-    return reports.file_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir), sort=True)
+    return reports.file_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir, reused=True), sort=True)
 
 
 def q_relevance_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Relevant when more than 5 distinct keywords."""
-    r = reports.file_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir),
+    r = reports.file_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir, reused=True),
                             threshold=5, metric="keywords", inclusive=False)
     return r.where(F.col("scan_status") == "Successful").select("path", "relevant")
 
 
 def q_relevance_hits_gt5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Relevant when more than 5 hits."""
-    r = reports.file_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir),
+    r = reports.file_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir, reused=True),
                             threshold=5, metric="hits", inclusive=False)
     return r.where(F.col("scan_status") == "Successful").select("path", "relevant")
 
 
 def q_keyword_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R3 (A6-A12, W1)."""
-    return reports.keyword_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir))
+    return reports.keyword_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir, reused=True))
 
 
 def q_unmatched_files(spark: SparkSession, sf_dir: str) -> DataFrame:
