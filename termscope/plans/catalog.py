@@ -41,6 +41,8 @@ QUERIES = {
     "special_char_strip": room.q_special_char_strip,
     "null_tokens": room.q_null_tokens,
     "extract_with_errors": room.q_extract_with_errors,
+    "page_hits": room.q_page_hits,
+    "workbook_document_hits": room.q_workbook_document_hits,
 }
 
 

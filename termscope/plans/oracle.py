@@ -464,4 +464,38 @@ JOIN parts p USING (doc_id)
 UNION ALL
 SELECT p.path, NULL, NULL, NULL, NULL, 'ValueError: file too short to parse'
 FROM documents d JOIN parts p USING (doc_id) WHERE d.n_chars < {MIN_EXTRACTABLE_CHARS}"""
+    q["page_hits"] = f"""WITH {pages},
+pseg AS (SELECT path, CAST(page AS BIGINT) AS seg_ord, CAST(page AS VARCHAR) AS location,
+                CAST(count(*) OVER (PARTITION BY path) AS INTEGER) AS page_count, text FROM pg),{hits_ctes(
+        True, seg="pseg", key="path, seg_ord, location, page_count", prefix="p_")}
+SELECT path, location, page_count, category, keyword, hits FROM p_hits"""
+    cell_first = []
+    for c, pat in _category_patterns(CELL_DICTIONARY):
+        cell_first.append(f"SELECT path, {_q(c)} AS category, {_undouble(f'regexp_extract(t2, {_q(pat)}, 1)')} "
+                          f"AS first_match FROM wdoc")
+    q["workbook_document_hits"] = f"""WITH {CELLS},
+first_sheet AS (SELECT path, min(CAST(split_part(sheet, '#', 2) AS INTEGER)) AS s FROM cells
+                WHERE value IS NOT NULL GROUP BY path),
+wdoc AS (
+  SELECT c.path, ' ' || regexp_replace(string_agg(c.value, ' ' ORDER BY c.col, c.row), '([^{W}])', '\\1\\1', 'g') || ' ' AS t2
+  FROM cells c JOIN first_sheet f ON c.path = f.path AND CAST(split_part(c.sheet, '#', 2) AS INTEGER) = f.s
+  WHERE c.value IS NOT NULL GROUP BY c.path)
+SELECT * FROM ({' UNION ALL '.join(cell_first)}) WHERE first_match <> ''"""
+    q["page_hits"] = f"""WITH {pages},
+pseg AS (SELECT path, CAST(page AS BIGINT) AS seg_ord, CAST(page AS VARCHAR) AS location,
+                CAST(count(*) OVER (PARTITION BY path) AS INTEGER) AS page_count, text FROM pg),{hits_ctes(
+        True, seg="pseg", key="path, seg_ord, location, page_count", prefix="p_")}
+SELECT path, location, page_count, category, keyword, hits FROM p_hits"""
+    cell_first = []
+    for c, pat in _category_patterns(CELL_DICTIONARY):
+        cell_first.append(f"SELECT path, {_q(c)} AS category, {_undouble(f'regexp_extract(t2, {_q(pat)}, 1)')} "
+                          f"AS first_match FROM wdoc")
+    q["workbook_document_hits"] = f"""WITH {CELLS},
+first_sheet AS (SELECT path, min(CAST(split_part(sheet, '#', 2) AS INTEGER)) AS s FROM cells
+                WHERE value IS NOT NULL GROUP BY path),
+wdoc AS (
+  SELECT c.path, ' ' || regexp_replace(string_agg(c.value, ' ' ORDER BY c.col, c.row), '([^{W}])', '\\1\\1', 'g') || ' ' AS t2
+  FROM cells c JOIN first_sheet f ON c.path = f.path AND CAST(split_part(c.sheet, '#', 2) AS INTEGER) = f.s
+  WHERE c.value IS NOT NULL GROUP BY c.path)
+SELECT * FROM ({' UNION ALL '.join(cell_first)}) WHERE first_match <> ''"""
     return q

@@ -360,3 +360,22 @@ def q_extract_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tb.room_path(F.col("doc_id"), F.col("source"), F.col("lang"))
     files = ensure_parallelism(d.select("doc_id", path.alias("path"), F.col("text").alias("content")), "doc_id")
     return extract(files, _line_extractor).select("path", "seg_ord", "location", "page_count", "text", "error")
+
+
+def q_page_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 + M1: keyword hits per page of the paged files."""
+    from ..sources.scans import page_segments
+    seg = page_segments(tb.room_pages(spark, sf_dir))
+    h = keyword_hits(seg, room_dictionary(spark), key=("path", "seg_ord", "location", "page_count"), prepared=True)
+    return h.select("path", "location", "page_count", "category", "keyword", "hits")
+
+
+def q_workbook_document_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5b + M5: the first sheet of each workbook as one column-major text,
+    first match of each category in it."""
+    from ..operators.match import first_hit_per_category
+    from ..sources.scans import workbook_as_document
+    cells = tb.room_cells(spark, sf_dir).where(F.col("value").isNotNull())
+    doc = workbook_as_document(cells)
+    d = tb.dict_from_rows(spark, tb.CELL_DICTIONARY)
+    return first_hit_per_category(doc, d, key=("path",)).select("path", "category", "first_match")
