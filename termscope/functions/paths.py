@@ -163,7 +163,7 @@ def kind(name: Column | str) -> Column:
 
 def second_last_component(path: Column | str) -> Column:
     """P20 helper: the component before the last one."""
-    return F.element_at(F.split(F.regexp_replace(_c(path), "/+$", ""), "/"), -2)
+    return F.try_element_at(F.split(F.regexp_replace(_c(path), "/+$", ""), "/"), F.lit(-2))
 
 
 def path_id_matches(root: str, request_root: str, guid: str) -> Column:

@@ -200,6 +200,21 @@ def category_patterns(dictionary: DataFrame, escape: bool = False) -> DataFrame:
 MAX_INLINE_CATEGORIES = 64
 
 
+_CATEGORY_ROWS: dict[tuple[int, bool], tuple[DataFrame, list]] = {}
+
+
+def _category_rows(dictionary: DataFrame, escape: bool) -> list:
+    """The (at most MAX_INLINE_CATEGORIES + 1) category patterns, read once
+    per dictionary DataFrame."""
+    k = (id(dictionary), escape)
+    hit = _CATEGORY_ROWS.get(k)
+    if hit is None or hit[0] is not dictionary:
+        rows = category_patterns(dictionary, escape).limit(MAX_INLINE_CATEGORIES + 1).collect()
+        _CATEGORY_ROWS[k] = (dictionary, rows)
+        hit = _CATEGORY_ROWS[k]
+    return hit[1]
+
+
 def _per_category(segments: DataFrame, dictionary: DataFrame, key: list[str], text: str,
                   escape: bool, fn, broadcast_limit: int, keep_text: bool = False) -> DataFrame:
     """Evaluate ``fn(text, pattern)`` for every category inside each row.
@@ -208,8 +223,7 @@ def _per_category(segments: DataFrame, dictionary: DataFrame, key: list[str], te
     dictionary; after a size check they are read once and placed in the plan
     as literals, so each pattern is compiled once per task and each row is
     scanned once per category with neither a join nor a copy of the text."""
-    cats = category_patterns(dictionary, escape)
-    rows = cats.limit(MAX_INLINE_CATEGORIES + 1).collect()
+    rows = _category_rows(dictionary, escape)
     if len(rows) > MAX_INLINE_CATEGORIES:
         raise ValueError(f"more than {MAX_INLINE_CATEGORIES} categories for alternation matching")
     extra = [text] if keep_text else []

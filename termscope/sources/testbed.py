@@ -176,7 +176,7 @@ def room_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                     cell(7, F.concat(F.lit("#"), F.col("p_partkey").cast("string")), none_d))
     return (p.select(F.concat(F.lit("/room/sheets/"), F.col("p_type"), F.lit(".xlsx")).alias("path"),
                      F.col("p_brand").alias("sheet"),
-                     F.element_at(F.split("p_brand", "#"), 2).cast("int").alias("sheet_ord"),
+                     F.try_element_at(F.split("p_brand", "#"), F.lit(2)).try_cast("int").alias("sheet_ord"),
                      (F.col("p_partkey") + 1).cast("int").alias("row"), F.explode(cells).alias("c"))
              .select("path", "sheet", "sheet_ord", "row", "c.col", "c.value", "c.number"))
 
@@ -199,9 +199,16 @@ def room_slides(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.length(F.trim("text")) < MIN_SHAPE_CHARS).alias("failed"))
 
 
+_ROW_DICTS: dict[tuple[int, tuple], DataFrame] = {}
+
+
 def dict_from_rows(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
-    return spark.createDataFrame([(c, k, i + 1) for i, (c, k) in enumerate(rows)],
-                                 "category string, keyword string, row_ord int")
+    """A fixed dictionary as a DataFrame (one object per session and list)."""
+    k = (id(spark), tuple(rows))
+    if k not in _ROW_DICTS:
+        _ROW_DICTS[k] = spark.createDataFrame([(c, kw, i + 1) for i, (c, kw) in enumerate(rows)],
+                                              "category string, keyword string, row_ord int")
+    return _ROW_DICTS[k]
 
 
 def room_users(spark: SparkSession, sf_dir: str) -> DataFrame:

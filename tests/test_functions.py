@@ -71,3 +71,11 @@ def test_text_helpers(spark):
     assert not got[6][3]                                # too short
     assert got[7][2]                                    # the sign is stripped first
     assert _one(spark, [(" ab c ",)], "v string", letter_count("v"))[0][0] == 3
+
+
+def test_path_id_check(spark):
+    from termscope.functions.paths import path_id_matches
+    row = spark.range(1).select(path_id_matches("s3://b/u/g1/room", "s3://b/u/g1/req", "g1").alias("a"),
+                                path_id_matches("s3://b/u/g2/room", "s3://b/u/g1/req", "g1").alias("b"),
+                                path_id_matches("room", "req", "g1").alias("c")).collect()[0]
+    assert row.a is True and row.b is False and not row.c
