@@ -224,9 +224,19 @@ def _per_category(segments: DataFrame, dictionary: DataFrame, key: list[str], te
     as literals, so each pattern is compiled once per task and each row is
     scanned once per category with neither a join nor a copy of the text."""
     rows = _category_rows(dictionary, escape)
-    if len(rows) > MAX_INLINE_CATEGORIES:
-        raise ValueError(f"more than {MAX_INLINE_CATEGORIES} categories for alternation matching")
     extra = [text] if keep_text else []
+    if len(rows) > MAX_INLINE_CATEGORIES:
+        # Many categories: the pattern list comes from a scalar subquery (each
+        # row still carries it as one array; patterns are compiled as they
+        # change instead of once per task).
+        cats = category_patterns(dictionary, escape)
+        ranked = cats.select(F.array_sort(F.collect_list(F.struct("first", "category", "pattern"))).alias("a"))
+        arr = ranked.select(F.transform("a", lambda x: F.struct(x["category"].alias("category"),
+                                                                x["pattern"].alias("pattern"))).alias("a")).scalar()
+        return (segments.select(*key, text, F.posexplode(arr).alias("_i", "_c"))
+                        .select(*key, *extra, F.col("_c.category").alias("category"),
+                                (F.col("_i") + 1).cast("int").alias("cat_ord"),
+                                fn(F.col(text), F.col("_c.pattern")).alias("m")))
     ordered = sorted(rows, key=lambda r: (r["first"], r["category"]))
     arr = F.array(*[F.struct(F.lit(r["category"]).alias("category"), F.lit(i + 1).alias("cat_ord"),
                              fn(F.col(text), F.lit(r["pattern"])).alias("m"))

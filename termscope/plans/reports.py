@@ -188,3 +188,17 @@ def scope_index(entries: DataFrame, first_hits: DataFrame) -> DataFrame:
         F.lit("").alias("reviewed"), F.lit("").alias("status"), F.lit("").alias("scope"),
         F.lit("").alias("notes"))
     return file_rows.unionByName(folder_rows)
+
+
+def keyword_files(files: DataFrame, hits: DataFrame) -> DataFrame:
+    """Long form of R3's list columns (A8-A11): one row per keyword and file
+    with the file's hits of the keyword and whether it holds the keyword's
+    maximum. For rooms where a keyword's rendered file list would be too big
+    for one value, this is the table to write; every aggregate in it is
+    partial before its shuffle."""
+    per_file = (hits.groupBy("keyword", "path").agg(F.sum("hits").alias("n"))
+                    .join(files.select("path", "file_name", "index_number"), "path"))
+    mx = per_file.groupBy("keyword").agg(F.max("n").alias("_max"))
+    return (per_file.join(F.broadcast(mx), "keyword")
+                    .select("keyword", "path", "file_name", "index_number", F.col("n").cast("long").alias("hits"),
+                            (F.col("n") == F.col("_max")).alias("is_max")))

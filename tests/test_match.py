@@ -88,3 +88,14 @@ def test_large_dictionary_path_equals_broadcast_path(spark):
         for k in kws:
             want = py_count(k, t)
             assert ((f"/f{i}", k, want) in small) == (want > 0), (t, k)
+
+
+def test_many_categories_fallback(spark, monkeypatch):
+    from termscope.operators import match
+    seg = spark.createDataFrame([("/a", 1, "red hot rod and a blue ring")], "path string, seg_ord long, text string")
+    d = spark.createDataFrame([("c1", "red", 1), ("c2", "hot", 2), ("c3", "blue", 3), ("c3", "ring", 4)],
+                              "category string, keyword string, row_ord int")
+    inline = {(r.category, r.cat_ord, r.keyword, r.hits) for r in category_hits(seg, d).collect()}
+    monkeypatch.setattr(match, "MAX_INLINE_CATEGORIES", 1)
+    fallback = {(r.category, r.cat_ord, r.keyword, r.hits) for r in category_hits(seg, d).collect()}
+    assert inline == fallback == {("c1", 1, "red", 1), ("c2", 2, "hot", 1), ("c3", 3, "blue", 1), ("c3", 3, "ring", 1)}

@@ -96,3 +96,11 @@ def test_inventory_lists_files(spark, tmp_path):
     assert got == {"1.2 a.txt": ("1.2", "txt"), "b.csv": ("", "csv")}
     entries = with_folders(files, root=str(tmp_path))
     assert {r.file_name for r in entries.where("entry = 'Folder'").collect()} >= {"d"}
+
+
+def test_keyword_files_long_form(room):
+    from termscope.plans.reports import keyword_files
+    files, hits, _ = room
+    rows = {(r.keyword, r.path): (r.hits, r.is_max) for r in keyword_files(files, hits).collect()}
+    assert rows[("the", "/room/a/1 x.txt")] == (3, True) and rows[("the", "/room/b/1 x.txt")] == (3, True)
+    assert rows[("of", "/room/a/1 x.txt")] == (2, True)
