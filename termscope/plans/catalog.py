@@ -43,6 +43,9 @@ QUERIES = {
     "extract_with_errors": room.q_extract_with_errors,
     "page_hits": room.q_page_hits,
     "workbook_document_hits": room.q_workbook_document_hits,
+    "slide_hits": room.q_slide_hits,
+    "message_hits": room.q_message_hits,
+    "paragraph_hits": room.q_paragraph_hits,
 }
 
 

@@ -498,4 +498,29 @@ wdoc AS (
   FROM cells c JOIN first_sheet f ON c.path = f.path AND CAST(split_part(c.sheet, '#', 2) AS INTEGER) = f.s
   WHERE c.value IS NOT NULL GROUP BY c.path)
 SELECT * FROM ({' UNION ALL '.join(cell_first)}) WHERE first_match <> ''"""
+    q["slide_hits"] = f"""WITH
+sl AS (SELECT '/room/decks/conv ' || CAST(conv_id AS VARCHAR) || '.pptx' AS path, turn + 1 AS slide, text
+       FROM conversations WHERE length(trim(text)) >= {MIN_SHAPE_CHARS}),
+sseg AS (SELECT path, CAST(slide * 1000000 + 1 AS BIGINT) AS seg_ord, CAST(slide AS VARCHAR) AS location,
+                CAST(max(slide) OVER (PARTITION BY path) AS INTEGER) AS page_count, text FROM sl),{hits_ctes(
+        True, seg="sseg", key="path, seg_ord, location, page_count", prefix="s_")}
+SELECT path, seg_ord, location, page_count, category, keyword, hits FROM s_hits"""
+    q["message_hits"] = f"""WITH
+msg AS (SELECT '/room/mail/conv ' || CAST(conv_id AS VARCHAR) || '.msg' AS path,
+               max(CASE WHEN turn = 0 THEN text END) AS subject, max(CASE WHEN turn = 1 THEN text END) AS body
+        FROM conversations GROUP BY conv_id),
+mseg AS (SELECT path, CAST(1 AS BIGINT) AS seg_ord, '1' AS location, 1 AS page_count, body AS text FROM msg
+         UNION ALL
+         SELECT path, CAST(2 AS BIGINT), '1', 1, subject FROM msg),{hits_ctes(
+        True, seg="mseg", key="path, seg_ord, location, page_count", prefix="m_")}
+SELECT path, seg_ord, location, page_count, category, keyword, hits FROM m_hits"""
+    q["paragraph_hits"] = f"""WITH {ROOM_FILES},
+pseg2 AS (
+  SELECT p.path, CAST(s.seg_ord AS BIGINT) AS seg_ord, '1' AS location, 1 AS page_count, s.text FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS text,
+           generate_subscripts(string_split(text, chr(10)), 1) AS seg_ord FROM documents) s
+  JOIN files f ON f.doc_id = s.doc_id AND f.status = 'scanned' AND suffix(f.path, '.docx')
+  JOIN parts p ON p.doc_id = s.doc_id),{hits_ctes(
+        True, seg="pseg2", key="path, seg_ord, location, page_count", prefix="g_")}
+SELECT path, seg_ord, location, page_count, category, keyword, hits FROM g_hits"""
     return q

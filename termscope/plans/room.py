@@ -24,13 +24,16 @@ def room_dictionary(spark: SparkSession, with_user: bool = True) -> DataFrame:
     return _DICTS[k]
 
 
-def _hits(spark: SparkSession, sf_dir: str, with_user: bool = True, reused: bool = False) -> DataFrame:
+def _hits(spark: SparkSession, sf_dir: str, with_user: bool = True, reused: bool = False,
+          carry: bool = False) -> DataFrame:
     """The hit table of the room. A report that reads the hits in several
     branches gets it materialized (``reused``: written once to the checkpoint
     folder, as ``plans.run`` does for a whole run); a report with a single
     consumer reads the plan directly."""
     if not reused:
-        return keyword_hits(tb.room_segments(spark, sf_dir), room_dictionary(spark, with_user), prepared=True)
+        key = ("path", "seg_ord", "location", "page_count") if carry else ("path", "seg_ord")
+        return keyword_hits(tb.room_segments(spark, sf_dir), room_dictionary(spark, with_user), key=key,
+                            prepared=True)
     # The materialized table carries each segment's location and page count
     # (short columns, part of the key) so raw details need no second text pass.
     h = keyword_hits(tb.room_segments(spark, sf_dir), room_dictionary(spark, with_user),
@@ -46,7 +49,7 @@ def q_keyword_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_raw_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per occurrence, Unknown files appended."""
     files = tb.room_files(spark, sf_dir)
-    return reports.raw_details(files, _hits(spark, sf_dir), tb.room_segments(spark, sf_dir))
+    return reports.raw_details(files, _hits(spark, sf_dir, carry=True), tb.room_segments(spark, sf_dir))
 
 
 def q_file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -379,3 +382,41 @@ def q_workbook_document_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = workbook_as_document(cells)
     d = tb.dict_from_rows(spark, tb.CELL_DICTIONARY)
     return first_hit_per_category(doc, d, key=("path",)).select("path", "category", "first_match")
+
+
+def _segment_hits(spark: SparkSession, seg: DataFrame) -> DataFrame:
+    h = keyword_hits(seg, room_dictionary(spark), key=("path", "seg_ord", "location", "page_count"), prepared=True)
+    return h.select("path", "seg_ord", "location", "page_count", "category", "keyword", "hits")
+
+
+def q_slide_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 + M1: hits per slide text run (failed shapes carry no text)."""
+    from ..sources.scans import slide_segments
+    runs = tb.room_slides(spark, sf_dir).where(~F.col("failed"))
+    return _segment_hits(spark, slide_segments(runs))
+
+
+def q_message_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S12 + M1: one mail per conversation (subject = first turn, body =
+    second), two segments each."""
+    from ..sources.scans import message_segments
+    c = tb.read(spark, sf_dir, "conversations")
+    msgs = (c.groupBy("conv_id")
+             .agg(F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("subject"),
+                  F.max(F.when(F.col("turn") == 1, F.col("text"))).alias("body"))
+             .select(F.concat(F.lit("/room/mail/conv "), F.col("conv_id").cast("string"), F.lit(".msg")).alias("path"),
+                     "body", "subject"))
+    return _segment_hits(spark, message_segments(msgs))
+
+
+def q_paragraph_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S11 + M1: word files (the room's ``.docx``) scanned by paragraph."""
+    from ..functions.paths import handler
+    from ..sources.partitioning import ensure_parallelism
+    from ..sources.scans import paragraph_segments
+    d = tb.read(spark, sf_dir, "documents")
+    path = tb.room_path(F.col("doc_id"), F.col("source"), F.col("lang"))
+    docs = ensure_parallelism(d.where((handler(path) == "docx") & (F.col("n_chars") >= tb.MIN_EXTRACTABLE_CHARS))
+                               .select("doc_id", path.alias("path"), F.split("text", "\n").alias("paragraphs")),
+                              "doc_id")
+    return _segment_hits(spark, paragraph_segments(docs))
