@@ -288,3 +288,13 @@ def first_hit_per_category(segments: DataFrame, dictionary: DataFrame,
 def contains_keyword(sentence: Column, keyword: Column) -> Column:
     """M6: case-insensitive substring containment, no word bounds."""
     return F.contains(F.lower(sentence), F.lower(keyword))
+
+
+def find_hits(segments: DataFrame, dictionary: DataFrame, mode: str = "keyword", **kw) -> DataFrame:
+    """One entry point for the four match modes: ``keyword`` (M1), ``category``
+    (M2), ``cell`` (M3) and ``first`` (M4/M5)."""
+    fns = {"keyword": keyword_hits, "category": category_hits, "cell": cell_hits,
+           "first": first_hit_per_category}
+    if mode not in fns:
+        raise ValueError(f"unknown match mode {mode!r}")
+    return fns[mode](segments, dictionary, **kw)

@@ -99,3 +99,13 @@ def test_many_categories_fallback(spark, monkeypatch):
     monkeypatch.setattr(match, "MAX_INLINE_CATEGORIES", 1)
     fallback = {(r.category, r.cat_ord, r.keyword, r.hits) for r in category_hits(seg, d).collect()}
     assert inline == fallback == {("c1", 1, "red", 1), ("c2", 2, "hot", 1), ("c3", 3, "blue", 1), ("c3", 3, "ring", 1)}
+
+
+def test_find_hits_modes(spark):
+    from termscope import find_hits
+    seg = spark.createDataFrame([("/a", 1, "Red hot rod")], "path string, seg_ord long, text string")
+    d = spark.createDataFrame([("c", "red", 1), ("c", "rod", 2)], "category string, keyword string, row_ord int")
+    assert find_hits(seg, d).count() == 2
+    assert {r.keyword for r in find_hits(seg, d, mode="category").collect()} == {"Red", "rod"}
+    assert find_hits(seg, d, mode="cell").count() == 1
+    assert [r.first_match for r in find_hits(seg, d, mode="first").collect()] == ["Red"]
