@@ -91,39 +91,32 @@ def keyword_report(files: DataFrame, hits: DataFrame, by: str = "path") -> DataF
     keyword's totals over all its categories.
 
     ``by="path"`` counts files by path; ``by="name"`` reproduces the reference,
-    which counts distinct file names (same-named files merge)."""
-    # One aggregate of the hits feeds both the per-file counts and the
-    # (keyword, category) pairs, so the hits are computed once.
+    which counts distinct file names (same-named files merge).
+
+    Plan: one partial aggregate of the hits per (keyword, category, file)
+    feeds both the (keyword, category) pairs and the per-keyword file list; a
+    single aggregate per keyword then yields every column (the list sorted by
+    path gives first appearance, distinct names and index numbers in order,
+    the maximum and its files) without further shuffles or joins."""
     base = hits.groupBy("keyword", "category", "path").agg(F.sum("hits").alias("n"))
     per_file = (base.groupBy("keyword", "path").agg(F.sum("n").alias("n"))
                     .join(files.select("path", "file_name", "index_number"), "path"))
-    n_files = F.count_distinct("path") if by == "path" else F.count_distinct("file_name")
-    # First appearance of a name / index number = its smallest path.
-    names = per_file.groupBy("keyword", "file_name").agg(F.min("path").alias("_p"))
-    idx = per_file.groupBy("keyword", "index_number").agg(F.min("path").alias("_p"))
-    # W1 without a window over a (possibly huge) keyword group: the per-keyword
-    # maximum is a partial aggregate, bounded by the dictionary, joined back.
-    # (One row per keyword found: bounded by the dictionary, whose size the
-    # matcher checked against the broadcast limit.)
-    mx = per_file.groupBy("keyword").agg(F.max("n").alias("n"))
-    tops = per_file.join(F.broadcast(mx), ["keyword", "n"])
-    totals = per_file.groupBy("keyword").agg(
-        n_files.alias("n_files"), F.sum("n").cast("long").alias("total_hits"),
-        ordered_values(F.col("path"), F.col("path")).alias("_paths"))
-    top = tops.groupBy("keyword").agg(
-        F.array_sort(F.collect_list(F.struct("file_name", "path"))).alias("_top"))
-    name_list = names.groupBy("keyword").agg(ordered_values(F.col("_p"), F.col("file_name")).alias("_names"))
-    idx_list = idx.groupBy("keyword").agg(ordered_values(F.col("_p"), F.col("index_number")).alias("_idx"))
+    per_kw = per_file.groupBy("keyword").agg(
+        F.sum("n").cast("long").alias("total_hits"), F.max("n").alias("_max"),
+        F.array_sort(F.collect_list(F.struct("path", "file_name", "index_number", "n"))).alias("_f"))
+    names = F.array_distinct(F.transform("_f", lambda x: x["file_name"]))
+    tops = F.array_sort(F.transform(F.filter("_f", lambda x: x["n"] == F.col("_max")),
+                                    lambda x: F.struct(x["file_name"].alias("file_name"), x["path"].alias("path"))))
+    n_files = F.size("_f") if by == "path" else F.size(names)
     pairs = base.select("keyword", F.col("category").alias("keyword_category")).distinct()
-    return (pairs.join(totals, "keyword").join(top, "keyword").join(name_list, "keyword")
-                 .join(idx_list, "keyword")
-                 .select("keyword", "keyword_category", F.col("n_files").cast("long").alias("n_files"),
-                         "total_hits",
-                         render(F.transform("_top", lambda s: s["file_name"])).alias("max_file_names"),
-                         render(F.transform("_top", lambda s: s["path"])).alias("max_file_paths"),
-                         render(F.col("_names")).alias("all_file_names"),
-                         render(F.col("_idx")).alias("index_numbers"),
-                         render(F.col("_paths")).alias("paths")))
+    return (pairs.join(per_kw, "keyword")
+                 .select("keyword", "keyword_category", n_files.cast("long").alias("n_files"), "total_hits",
+                         render(F.transform(tops, lambda x: x["file_name"])).alias("max_file_names"),
+                         render(F.transform(tops, lambda x: x["path"])).alias("max_file_paths"),
+                         render(names).alias("all_file_names"),
+                         render(F.array_distinct(F.transform("_f", lambda x: x["index_number"])))
+                         .alias("index_numbers"),
+                         render(F.transform("_f", lambda x: x["path"])).alias("paths")))
 
 
 def unmatched_files(files: DataFrame, hits: DataFrame) -> DataFrame:
