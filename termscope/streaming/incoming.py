@@ -4,7 +4,7 @@ Files that arrive in a folder are read whole, matched with the same batch
 operator and their hits appended to a table; the reports then run as batch
 jobs over that table. Matching is per file, so every micro-batch holds whole
 files and no state is kept between batches; the checkpoint location makes the
-stream restart exactly where it stopped.
+stream restart where it stopped; a replayed batch overwrites its own output.
 """
 
 from __future__ import annotations
@@ -25,9 +25,11 @@ def start(spark: SparkSession, incoming: str, dictionary: DataFrame, hits_table:
               .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        # Each micro-batch overwrites its own folder, so a batch replayed after
+        # a failure replaces its earlier output instead of duplicating it.
         segs = whole_text_segments(batch)
-        (keyword_hits(segs, d, prepared=True).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").parquet(hits_table))
+        (keyword_hits(segs, d, prepared=True)
+         .write.mode("overwrite").parquet(f"{hits_table}/batch_id={batch_id}"))
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if trigger_seconds:
