@@ -129,8 +129,8 @@ reqs AS (
          CASE item_id % 3 WHEN 0 THEN 'IT' WHEN 1 THEN ' it ' ELSE 'HR' END AS area,
          text AS sentence FROM benchmark),
 it AS (
-  SELECT TRY_CAST(request_no_s AS INTEGER) AS request_no, sentence FROM reqs
-  WHERE lower(trim(area)) = 'it' AND TRY_CAST(request_no_s AS INTEGER) IS NOT NULL)"""
+  SELECT TRY_CAST(trunc(TRY_CAST(request_no_s AS DOUBLE)) AS INTEGER) AS request_no, sentence FROM reqs
+  WHERE lower(trim(area)) = 'it' AND TRY_CAST(trunc(TRY_CAST(request_no_s AS DOUBLE)) AS INTEGER) IS NOT NULL)"""
 
 ROLL_UP = """
 SELECT CAST(it.request_no AS BIGINT) AS request_no, it.sentence AS request,
@@ -201,7 +201,7 @@ SELECT CAST((SELECT count(*) FROM files) AS BIGINT) AS n_files,
        CAST((SELECT count(*) FROM files WHERE status IN ('unknown', 'failed')) AS BIGINT) AS number_of_file_skipped,
        CAST((SELECT coalesce(sum(hits), 0) FROM hits) AS BIGINT) AS total_hits,
        CASE WHEN (SELECT count(*) FROM reqs WHERE lower(trim(area)) = 'it'
-                  AND TRY_CAST(request_no_s AS INTEGER) IS NULL) > 0
+                  AND TRY_CAST(trunc(TRY_CAST(request_no_s AS DOUBLE)) AS INTEGER) IS NULL) > 0
             THEN '|request list has rows without a valid number' ELSE '' END AS message""", extra=REQUESTS)
     q["request_report"] = room_hits_sql(ROLL_UP, extra=REQUESTS + "," + hits_ctes(
         True, seg="it", key="request_no", text="sentence", prefix="r_") + """,

@@ -26,17 +26,24 @@ from ..operators.match import DEFAULT_BROADCAST_LIMIT, keyword_hits
 IT_AREA = "it"
 
 
+def request_number(value) -> "F.Column":
+    """The sheet's number cell as an integer. Numeric cells arrive as
+    floats (``12.0``) and are truncated as ``int()`` does; text that is not a
+    number gives null (the row is quarantined)."""
+    return value.cast("string").try_cast("double").try_cast("long").try_cast("int")
+
+
 def it_requests(requests: DataFrame) -> DataFrame:
     """Area gate and integer request number (bad numbers dropped
     here, listed by ``quarantined_requests``)."""
     return (requests.where(F.lower(F.trim("area")) == IT_AREA)
-                    .withColumn("request_no", F.col("request_no").cast("string").try_cast("int"))
+                    .withColumn("request_no", request_number(F.col("request_no")))
                     .where(F.col("request_no").isNotNull()))
 
 
 def quarantined_requests(requests: DataFrame) -> DataFrame:
     return (requests.where(F.lower(F.trim("area")) == IT_AREA)
-                    .where(F.col("request_no").cast("string").try_cast("int").isNull()))
+                    .where(request_number(F.col("request_no")).isNull()))
 
 
 def _roll_up(reqs: DataFrame, pairs: DataFrame, files: DataFrame) -> DataFrame:
@@ -144,7 +151,7 @@ def request_report_any(requests: DataFrame, index_matches: DataFrame) -> DataFra
     whose match list holds any term contained in the sentence (substring, any
     case). ``index_matches``: ``path, file_name, match`` (one row per term, as
     S20 parses it back). Files are space-separated in path order."""
-    reqs = requests.withColumn("request_no", F.col("request_no").cast("string").try_cast("int")) \
+    reqs = requests.withColumn("request_no", request_number(F.col("request_no"))) \
                    .where(F.col("request_no").isNotNull()).select("request_no", "sentence")
     terms = index_matches.select("match").distinct()
     n = terms.count()

@@ -104,3 +104,11 @@ def test_keyword_files_long_form(room):
     rows = {(r.keyword, r.path): (r.hits, r.is_max) for r in keyword_files(files, hits).collect()}
     assert rows[("the", "/room/a/1 x.txt")] == (3, True) and rows[("the", "/room/b/1 x.txt")] == (3, True)
     assert rows[("of", "/room/a/1 x.txt")] == (2, True)
+
+
+def test_request_numbers_truncate_like_int(spark):
+    from termscope.plans.requests import it_requests, quarantined_requests
+    reqs = spark.createDataFrame([("12.0", "IT", "a"), ("7.9", "it", "b"), ("x1", "IT", "c"), ("3", "HR", "d")],
+                                 "request_no string, area string, sentence string")
+    assert sorted(r.request_no for r in it_requests(reqs).collect()) == [7, 12]
+    assert [r.sentence for r in quarantined_requests(reqs).collect()] == ["c"]
