@@ -46,6 +46,8 @@ QUERIES = {
     "slide_hits": room.q_slide_hits,
     "message_hits": room.q_message_hits,
     "paragraph_hits": room.q_paragraph_hits,
+    "keyword_files": room.q_keyword_files,
+    "request_files": room.q_request_files,
 }
 
 

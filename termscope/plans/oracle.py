@@ -523,4 +523,16 @@ pseg2 AS (
   JOIN parts p ON p.doc_id = s.doc_id),{hits_ctes(
         True, seg="pseg2", key="path, seg_ord, location, page_count", prefix="g_")}
 SELECT path, seg_ord, location, page_count, category, keyword, hits FROM g_hits"""
+    q["keyword_files"] = room_hits_sql("""
+SELECT p.keyword, p.path, f.file_name, f.index_number, CAST(p.n AS BIGINT) AS hits, p.n = m.mx AS is_max
+FROM (SELECT keyword, path, sum(hits) AS n FROM hits GROUP BY ALL) p
+JOIN (SELECT keyword, max(n) AS mx FROM (SELECT keyword, path, sum(hits) AS n FROM hits GROUP BY ALL) GROUP BY keyword) m
+  USING (keyword)
+JOIN files f USING (path)""")
+    q["request_files"] = room_hits_sql("""
+SELECT CAST(rk.request_no AS BIGINT) AS request_no, fk.path, CAST(count(*) AS BIGINT) AS n_keywords
+FROM (SELECT DISTINCT path, keyword FROM hits) fk
+JOIN (SELECT DISTINCT request_no, keyword FROM r_hits) rk USING (keyword)
+GROUP BY ALL HAVING count(*) >= 5""", extra=REQUESTS + "," + hits_ctes(
+        True, seg="it", key="request_no", text="sentence", prefix="r_"))
     return q

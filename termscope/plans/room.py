@@ -420,3 +420,17 @@ def q_paragraph_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
                                .select("doc_id", path.alias("path"), F.split("text", "\n").alias("paragraphs")),
                               "doc_id")
     return _segment_hits(spark, paragraph_segments(docs))
+
+
+def q_keyword_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8-A11 long form: one row per keyword and file (no per-keyword list)."""
+    return reports.keyword_files(tb.room_files(spark, sf_dir), _hits(spark, sf_dir))
+
+
+def q_request_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4/A13 long form: one row per relevant (request, file) pair."""
+    from .requests import request_matches
+    return (request_matches(tb.room_files(spark, sf_dir), _hits(spark, sf_dir), tb.room_requests(spark, sf_dir),
+                            room_dictionary(spark))
+            .select(F.col("request_no").cast("long").alias("request_no"), "path",
+                    F.col("n_keywords").cast("long").alias("n_keywords")))
