@@ -52,3 +52,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def recommended_conf(input_bytes: int, cores: int, shuffle_ratio: float = 0.05,
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large run, sized from the corpus.
+
+    The matcher's one shuffle carries (segment, keyword) counts, a small
+    fraction (``shuffle_ratio``) of the text read; partitions are sized so each
+    holds about ``target_partition_bytes`` of it (AQE coalesces small ones and
+    splits skewed ones at run time). Scan splits stay at 128 MB so a task's
+    tokens fit in memory; a single text row is never split, so very large
+    files should be segmented by line or page."""
+    shuffle = max(cores * 2, int(input_bytes * shuffle_ratio / target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
