@@ -31,13 +31,30 @@ def keyword_pattern(kw: Column) -> Column:
     return F.concat(F.lit(CASE_FLAGS + LEFT_BOUND), quote_literal(kw), F.lit(RIGHT_BOUND))
 
 
+# Lower-case letters that Python's re.IGNORECASE treats as equal
+# to another letter (CPython's case-equivalence table), each mapped to that
+# letter: dotless i, long s, micro sign, Greek prosgegrammeni, iota and upsilon
+# with dialytika and oxia, and the Greek beta, lunate epsilon, theta, kappa,
+# pi, rho, final sigma and phi symbols, long s with dot above, long s t.
+CASE_EQUIVALENT_FROM = "\u0131\u017f\u00b5\u1fbe\u1fd3\u1fe3\u03d0\u03f5\u03d1\u03f0\u03d6\u03f1\u03c2\u03d5\u1e9b\ufb05"
+CASE_EQUIVALENT_TO = "\u0069\u0073\u03bc\u03b9\u0390\u03b0\u03b2\u03b5\u03b8\u03ba\u03c0\u03c1\u03c3\u03c6\u1e61\ufb06"
+
+
+def fold(text: Column) -> Column:
+    """Case-fold for token comparison: capital I with dot above first becomes
+    ``i`` (its full lower case is two characters), then ``lower`` and the
+    equivalences above, so equal folded tokens are exactly the tokens Python's
+    case-insensitive matching treats as equal."""
+    return F.translate(F.lower(F.translate(text, "\u0130", "i")), CASE_EQUIVALENT_FROM, CASE_EQUIVALENT_TO)
+
+
 def probe_token(kw: Column) -> Column:
-    """Lower-cased first word run of a keyword ('' when it has none).
+    """Folded first word run of a keyword ('' when it has none).
 
     Any match of the keyword contains this run as a whole token of the text, so
     joining text tokens to probes finds every candidate segment.
     """
-    return F.regexp_extract(F.lower(kw), WORD_RUN, 0)
+    return F.regexp_extract(fold(kw), WORD_RUN, 0)
 
 
 def is_single_word(kw: Column) -> Column:
@@ -71,5 +88,5 @@ def category_alternation(keywords: Column, escape: bool = False) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased word runs of a text (split first, lower each token after)."""
-    return F.transform(F.split(text, NON_WORD_RUN), lambda t: F.lower(t))
+    """Folded word runs of a text."""
+    return F.split(fold(text), NON_WORD_RUN)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.patterns import (NON_WORD_RUN, category_alternation, is_single_word,
+from ..functions.patterns import (NON_WORD_RUN, category_alternation, fold, is_single_word,
                                   keyword_pattern, probe_token)
 
 # Largest dictionary (rows) that is broadcast and inlined into the plan.
@@ -121,7 +121,7 @@ def _hits_one_pass(seg: DataFrame, dj: DataFrame, key: list[str], text: str, kin
     phrase counts are exploded together; a left broadcast join gives the
     single-word keyword of each token, and one aggregate (partial in the same
     stage) sums both kinds per (segment, keyword)."""
-    toks = F.split(F.lower(F.col(text)), NON_WORD_RUN)
+    toks = F.split(fold(F.col(text)), NON_WORD_RUN)
     rows = seg.select(*key, text, toks.alias("probe"))
     rows = (rows.withColumn("kw_ord", F.array_repeat(F.lit(None).cast("long"), F.size("probe")))
                 .withColumn("hits", F.array_repeat(F.lit(None).cast("long"), F.size("probe"))))
@@ -139,9 +139,9 @@ def _hits_one_pass(seg: DataFrame, dj: DataFrame, key: list[str], text: str, kin
         parts.append(F.flatten(F.transform(cands, lambda c: F.transform(F.col("_m")[c], counted))))
     if kinds["symbolic"]:
         sym = dj.where(F.col("probe") == "").select(F.collect_list(
-            F.struct("kw_ord", "pattern", F.lower("keyword").alias("needle")))).scalar()
+            F.struct("kw_ord", "pattern", fold(F.col("keyword")).alias("needle")))).scalar()
         rows = rows.withColumn("_s", sym)
-        present = F.filter("_s", lambda k: F.instr(F.lower(F.col(text)), k["needle"]) > 0)
+        present = F.filter("_s", lambda k: F.instr(fold(F.col(text)), k["needle"]) > 0)
         parts.append(F.transform(present, counted))
     items = parts[0] if len(parts) == 1 else F.concat(*parts)
     flat = rows.select(*key, F.explode(items).alias("e")).select(*key, "e.probe", "e.kw_ord", "e.hits")
@@ -155,7 +155,7 @@ def _hits_one_pass(seg: DataFrame, dj: DataFrame, key: list[str], text: str, kin
 def _hits_shuffled(seg: DataFrame, dj: DataFrame, key: list[str], text: str, kinds) -> DataFrame:
     """Dictionary above the broadcast bound: token equi-joins with shuffles;
     phrase candidates are joined back to their segment's text by key."""
-    toks_of = F.split(F.lower(F.col(text)), NON_WORD_RUN)
+    toks_of = F.split(fold(F.col(text)), NON_WORD_RUN)
     toks = seg.select(*key, F.explode(toks_of).alias("probe"))
     parts = []
     if kinds["single"]:
@@ -168,8 +168,8 @@ def _hits_shuffled(seg: DataFrame, dj: DataFrame, key: list[str], text: str, kin
         parts.append(cand.select(*key, "kw_ord", F.regexp_count(F.col(text), F.col("pattern")).alias("hits"))
                          .where("hits > 0"))
     if kinds["symbolic"]:
-        symbolic = dj.where(F.col("probe") == "").select("kw_ord", "pattern", F.lower("keyword").alias("needle"))
-        parts.append(seg.join(symbolic, F.instr(F.lower(F.col(text)), F.col("needle")) > 0)
+        symbolic = dj.where(F.col("probe") == "").select("kw_ord", "pattern", fold(F.col("keyword")).alias("needle"))
+        parts.append(seg.join(symbolic, F.instr(fold(F.col(text)), F.col("needle")) > 0)
                         .select(*key, "kw_ord", F.regexp_count(F.col(text), F.col("pattern")).alias("hits"))
                         .where("hits > 0"))
     hits = parts[0]

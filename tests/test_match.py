@@ -34,7 +34,7 @@ def test_nested_overlap_and_unicode(spark):
             assert got.get((f"/f{i}", k), 0) == py_count(k, t), (t, k)
 
 
-ALPHABET = list("abcdeéßüñ_-+. \n") + ["1", "²", "A", "É"]
+ALPHABET = list("abcdeéßüñ_-+. \n") + ["1", "²", "A", "É", "ſ", "İ", "ı", "ς", "Σ", "σ"]
 
 
 @settings(max_examples=25, deadline=None)
@@ -109,3 +109,12 @@ def test_find_hits_modes(spark):
     assert {r.keyword for r in find_hits(seg, d, mode="category").collect()} == {"Red", "rod"}
     assert find_hits(seg, d, mode="cell").count() == 1
     assert [r.first_match for r in find_hits(seg, d, mode="first").collect()] == ["Red"]
+
+
+def test_case_equivalences_follow_python(spark):
+    texts = ["İstanbul ſun ıs the end", "ΣΟΦΟΣ σοφος σοφοσ", "µm μm KELVIN Kelvin", "STRASSE straße"]
+    kws = ["istanbul", "sun", "is", "σοφοσ", "σοφος", "μm", "kelvin", "straße", "strasse"]
+    got = run_hits(spark, texts, kws)
+    for i, t in enumerate(texts):
+        for k in kws:
+            assert got.get((f"/f{i}", k), 0) == py_count(k, t), (t, k)
