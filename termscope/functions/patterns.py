@@ -40,8 +40,6 @@ CASE_EQUIVALENT_FROM = "\u0131\u017f\u00b5\u1fbe\u1fd3\u1fe3\u03d0\u03f5\u03d1\u
 CASE_EQUIVALENT_TO = "\u0069\u0073\u03bc\u03b9\u0390\u03b0\u03b2\u03b5\u03b8\u03ba\u03c0\u03c1\u03c3\u03c6\u1e61\ufb06"
 
 
-
-
 def fold(text: Column) -> Column:
     """Case-fold for token comparison: capital I with dot above first becomes
     ``i`` (its full lower case is two characters), then ``lower`` and the
