@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -206,9 +207,8 @@ class BytePairCodec:
 _CODECS: dict = {}
 
 
-def _codec(shared, pattern: str) -> BytePairCodec:
+def _codec(key: str, shared, pattern: str) -> BytePairCodec:
     """One codec per worker process, so that tasks share the known pieces."""
-    key = (shared.id, pattern)
     if key not in _CODECS:
         _CODECS.clear()
         _CODECS[key] = BytePairCodec(shared.value, pattern)
@@ -223,13 +223,13 @@ def encode_decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "d
     The rank file is read once on the driver (its size is fixed by the
     vocabulary) and sent to the tasks as a broadcast variable. No shuffle."""
     spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(load_ranks(ranks_path))
+    shared, key = spark.sparkContext.broadcast(load_ranks(ranks_path)), uuid.uuid4().hex
     rows = df.select(F.col(id_col), text_of(text_col).alias("__text"))
     schema = T.StructType([rows.schema[0], T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared, pattern)
+        codec = _codec(key, shared, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, batch_rows):
                 part = batch.slice(at, batch_rows)
