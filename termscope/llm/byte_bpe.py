@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_of
+from .common import ship, text_of
 
 LOOKAHEAD = 3  # characters a match may inspect beyond its start without taking them
 
@@ -223,6 +223,7 @@ def encode_decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "d
     The rank file is read once on the driver (its size is fixed by the
     vocabulary) and sent to the tasks as a broadcast variable. No shuffle."""
     spark = df.sparkSession
+    ship(spark)
     shared, key = spark.sparkContext.broadcast(load_ranks(ranks_path)), uuid.uuid4().hex
     rows = df.select(F.col(id_col), text_of(text_col).alias("__text"))
     schema = T.StructType([rows.schema[0], T.StructField("n_tokens", T.LongType()),

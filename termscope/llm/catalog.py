@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe
+from . import byte_bpe, quality
 from .common import table
 
 
@@ -15,8 +15,13 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op4_quality_rules": op4_quality_rules,
 }
 
 ORACLE: dict[str, str] = {}

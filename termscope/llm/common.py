@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +17,31 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables, by the path Spark reads it at."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's sources to the executors (once per application), so
+    that tasks can import it where it is not installed."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="termscope-"), "termscope_package.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(package):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the session's checkpoint folder and read it back: what
     several jobs read is computed once, and a lost executor costs a re-read.
