@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, quality
+from . import byte_bpe, mixing, quality
 from .common import table
 
 
@@ -19,9 +19,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
+    "op8_mixing": op8_mixing,
 }
 
 ORACLE: dict[str, str] = {}

@@ -64,7 +64,7 @@ def packed(df: DataFrame, name: str = "row") -> DataFrame:
 
 
 def ranked(df: DataFrame, group: list[str], coarse: str, order: list[str], name: str,
-           rows_per_bucket: int = 100_000) -> DataFrame:
+           rows_per_bucket: int = 100_000, counted: DataFrame | None = None) -> DataFrame:
     """Number the rows of each group 0, 1, 2, ... without a window over a group.
 
     Rows are numbered by ``coarse`` first (an integer column of few values,
@@ -72,18 +72,21 @@ def ranked(df: DataFrame, group: list[str], coarse: str, order: list[str], name:
     coarse) cell is cut into ceil(rows / rows_per_bucket) sub-buckets by the
     hash of ``order``, so a group or a cell may hold any share of all rows: the
     windows run over sub-buckets, and only the sub-bucket counts are summed up
-    per group. ``order`` should identify a row; equal rows are interchangeable."""
+    per group. ``order`` should identify a row; equal rows are interchangeable.
+    ``counted``: the same rows in slim form, to count without reading wide ones."""
     keys = [*group, coarse]
-    cell = df.groupBy(*keys).agg(
+    counted = df if counted is None else counted
+    cell = counted.groupBy(*keys).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(float(rows_per_bucket))).cast("long").alias("__subs"))
     cell = cell.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__subs")
     same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
     on = same[0]
     for c in same[1:]:
         on = on & c
-    cut = (df.join(cell, on).drop(*[f"__k{i}" for i in range(len(keys))])
-             .withColumn("__sub", F.pmod(F.xxhash64(*order), F.col("__subs"))).drop("__subs"))
-    per = cut.groupBy(*keys, "__sub").agg(F.count(F.lit(1)).alias("__n"))
+    cut, slim = (d.join(cell, on).drop(*[f"__k{i}" for i in range(len(keys))])
+                  .withColumn("__sub", F.pmod(F.xxhash64(*order), F.col("__subs"))).drop("__subs")
+                 for d in (df, counted))
+    per = slim.groupBy(*keys, "__sub").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*group).orderBy(coarse, "__sub").rowsBetween(Window.unboundedPreceding, -1)
     per = per.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
                      F.col("__sub").alias("__s"),
