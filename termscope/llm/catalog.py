@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, mixing, quality
+from . import byte_bpe, mixing, quality, sharding
 from .common import table
 
 
@@ -23,9 +23,14 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
+    "op6_sharding": op6_sharding,
     "op8_mixing": op8_mixing,
 }
 
