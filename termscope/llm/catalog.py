@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, mixing, quality, sharding
+from . import byte_bpe, mixing, quality, sharding, simhash
 from .common import table
 
 
@@ -27,11 +27,16 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op6_sharding": op6_sharding,
     "op8_mixing": op8_mixing,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLE: dict[str, str] = {}
