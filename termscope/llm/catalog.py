@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, mixing, quality, sharding, simhash
+from . import byte_bpe, line_dedup, mixing, quality, sharding, simhash
 from .common import table
 
 
@@ -31,12 +31,33 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
+    "op5_line_dedup": op5_line_dedup,
     "op6_sharding": op6_sharding,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    # Lines of every document; a window is its three lines as text; later windows cover their lines.
+    "op5_line_dedup": r"""
+WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+wins AS (SELECT doc_id, unnest(range(0, len(lines) - 2)) AS pos, lines FROM docs WHERE len(lines) >= 3),
+keyed AS (SELECT doc_id, pos, lines[pos + 1] || chr(10) || lines[pos + 2] || chr(10) || lines[pos + 3] AS win FROM wins),
+numbered AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS rn FROM keyed),
+gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM numbered, (SELECT unnest(range(0, 3)) AS k) WHERE rn > 1),
+kept AS (SELECT d.doc_id, l.pos, d.lines[l.pos + 1] AS line
+         FROM docs d, LATERAL (SELECT unnest(range(0, len(d.lines))) AS pos) l
+         ANTI JOIN gone g ON g.doc_id = d.doc_id AND g.pos = l.pos),
+texts AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n FROM kept GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(d.lines), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(len(d.lines), 0) - coalesce(t.n, 0) AS BIGINT) AS n_removed,
+       CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t.text, '') END AS text
+FROM docs d LEFT JOIN texts t ON t.doc_id = d.doc_id""",
+}
