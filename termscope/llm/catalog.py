@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, line_dedup, mixing, quality, sharding, simhash
+from . import byte_bpe, licenses, line_dedup, mixing, quality, sharding, simhash
 from .common import table
 
 
@@ -35,6 +35,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"), licenses.room_path())
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
@@ -42,6 +46,7 @@ QUERIES = {
     "op6_sharding": op6_sharding,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE: dict[str, str] = {
