@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, licenses, line_dedup, mixing, quality, sharding, simhash
+from . import byte_bpe, licenses, line_dedup, mixing, quality, sharding, simhash, topk
 from .common import table
 
 
@@ -39,8 +39,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(table(spark, sf_dir, "documents"), licenses.room_path())
 
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_topk_search": op3_topk_search,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_sharding": op6_sharding,
@@ -50,6 +55,14 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_topk_search": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10""",
     # Lines of every document; a window is its three lines as text; later windows cover their lines.
     "op5_line_dedup": r"""
 WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),

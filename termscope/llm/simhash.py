@@ -141,12 +141,16 @@ def links(classes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Dat
         paths = [""] if level == 0 else [r.path for r in todo.select("path").distinct().collect()]
         if not paths:
             break
-        # Masks by path: only those of buckets that were too large, one path at first.
-        masks = classes.sparkSession.createDataFrame(
-            [(p, [(f"{p}.{k}" if p else str(k), signed(m)) for k, m in enumerate(level_masks(p, level))]) for p in paths],
-            "path string, masks array<struct<path: string, mask: long>>")
-        keyed = todo.join(masks, "path").select("node", "fp", F.explode("masks").alias("t")).select(
-            "node", "fp", "t.path", F.col("fp").bitwiseAND(F.col("t.mask")).alias("key"))
+        if level == 0:
+            first = F.array(*[F.struct(F.lit(str(k)).alias("path"), F.lit(signed(m)).alias("mask"))
+                              for k, m in enumerate(level_masks("", 0))])
+            masked = todo.select("node", "fp", F.explode(first).alias("t"))
+        else:  # masks by path, only of buckets that were too large
+            masks = classes.sparkSession.createDataFrame(
+                [(p, [(f"{p}.{k}", signed(m)) for k, m in enumerate(level_masks(p, level))]) for p in paths],
+                "path string, masks array<struct<path: string, mask: long>>")
+            masked = todo.join(masks, "path").select("node", "fp", F.explode("masks").alias("t"))
+        keyed = masked.select("node", "fp", "t.path", F.col("fp").bitwiseAND(F.col("t.mask")).alias("key"))
         sizes = keyed.groupBy("path", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
         keyed = keyed.join(sizes, ["path", "key"])
         if level < LEVELS - 1:
