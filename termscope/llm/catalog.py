@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, licenses, line_dedup, mixing, quality, sharding, simhash, topk
+from . import byte_bpe, licenses, line_dedup, mixing, quality, sharding, simhash, suffix_dedup, topk
 from .common import table
 
 
@@ -43,12 +43,17 @@ def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_topk_search": op3_topk_search,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_sharding": op6_sharding,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_license_scan": op10_license_scan,
