@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, licenses, line_dedup, mixing, quality, sharding, simhash, suffix_dedup, topk
+from . import byte_bpe, licenses, line_dedup, mixing, pii, quality, sharding, simhash, suffix_dedup, topk
 from .common import table
 
 
@@ -47,8 +47,13 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_pii": op2_pii,
     "op3_topk_search": op3_topk_search,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
