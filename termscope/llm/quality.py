@@ -221,10 +221,15 @@ def judged(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               strata: tuple[str, str] = ("lang", "source")) -> DataFrame:
-    """The rows of ``df`` that the rules keep, with all their columns. Rows that
-    share an id stay or go together: they go if one of them is rejected. Rows
-    without an id are dropped, as no verdict can be told apart for them."""
-    rejected = judged(df, id_col, text_col, strata).filter(~F.col("kept")).select(F.col(id_col).alias("__id")).distinct()
+    """The rows of ``df`` that the rules keep, with all their columns. Rows are
+    told apart by id, text (its MD5) and strata; equal ones have equal verdicts."""
     rows = packed(df)
-    return (rows.filter(F.col(f"row.{id_col}").isNotNull())
-                .join(rejected, F.col(f"row.{id_col}") == F.col("__id"), "left_anti").select("row.*"))
+    marked = df.select(F.struct(F.col(id_col).alias("i"), F.md5(text_of(text_col).cast("binary")).alias("digest"),
+                                *[F.col(c).cast("string").alias(f"k{n}") for n, c in enumerate(strata)]).alias("mark"),
+                       text_of(text_col).alias("text"), *[F.col(c).alias(f"s{n}") for n, c in enumerate(strata)])
+    rejected = judged(marked, "mark", "text", ("s0", "s1")).filter(~F.col("kept")).select("mark.*").distinct()
+    same = (F.col(f"row.{id_col}").eqNullSafe(F.col("i"))
+            & (F.md5(text_of(f"row.{text_col}").cast("binary")) == F.col("digest")))
+    for n, c in enumerate(strata):
+        same = same & F.col(f"row.{c}").cast("string").eqNullSafe(F.col(f"k{n}"))
+    return rows.join(rejected, same, "left_anti").select("row.*")

@@ -57,7 +57,7 @@ def test_base_spans(spark):
             "+12 34", "-", " ", "(", ").", "é", "😀", "\n", "word", "12", "7", "4111 1111 1111 1111", "4111-1111-1111-1112", ",", "00000000000000000001.1.1.1"]
     texts = ["".join(rng.choices(bits, k=rng.choice([1, 3, 8, 20]))) for _ in range(1500)]
     texts += [" ".join([f"u{i}@h{i}.org", with_check_digit(rng, 13 + i % 7), f"+{10 ** (8 + i % 8)}", f"{i}.{i}.{i}.{i}"]) for i in range(300)]
-    texts += ["a" * 200_000, "1" * 100_000, "1 " * 60_000, "a@b" + ".c" * 50_000, "+1" + "(" * 100_000, None, "", "x@y.z " * 2000, "é1" * 30_000 + " 1.2.3.4"]
+    texts += ["a" * 20_000, "1" * 20_000, "1 " * 60_000, "a@b" + ".c" * 50_000, "+1" + "(" * 100_000, None, "", "x@y.z " * 2000, "é1" * 30_000 + " 1.2.3.4"]
     got = pii.report(spark.createDataFrame([(i, t, "clash", 1, 2) for i, t in enumerate(texts)], SCHEMA)).collect()
     assert len(got) == len(texts)
     check_base(got, texts)
