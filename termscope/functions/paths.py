@@ -14,6 +14,14 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def plain_path(metadata_path: Column | str) -> Column:
+    """The one form in which every reader gives a path: the (URL-encoded)
+    ``_metadata.file_path`` decoded, local paths without their scheme, so that
+    inventory, segments and reports join."""
+    decoded = F.url_decode(F.replace(_c(metadata_path), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "/")
+
+
 def file_name(path: Column | str) -> Column:
     """Last path component."""
     return F.element_at(F.split(_c(path), "/"), -1)
@@ -151,14 +159,9 @@ KIND_SUFFIXES: list[tuple[str, tuple[str, ...]]] = [
 def kind(name: Column | str) -> Column:
     """Scope-index kind of a file name (folders are labelled by the caller)."""
     n = _c(name)
-    out = None
-    for label, suffixes in KIND_SUFFIXES:
-        cond = None
-        for s in suffixes:
-            c = n.endswith(s)
-            cond = c if cond is None else (cond | c)
-        out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
-    return out.otherwise(F.lit(UNKNOWN))
+    ext = F.substring_index(n, ".", -1)
+    lookup = F.create_map(*[x for label, suffixes in KIND_SUFFIXES for sfx in suffixes for x in (F.lit(sfx[1:]), F.lit(label))])
+    return F.coalesce(F.when(F.contains(n, F.lit(".")), lookup[ext]), F.lit(UNKNOWN))
 
 
 def second_last_component(path: Column | str) -> Column:

@@ -92,8 +92,3 @@ def category_alternation(keywords: Column, escape: bool = False) -> Column:
     factored = F.concat(F.lit(CASE_FLAGS + LEFT_BOUND + "(?:"), F.array_join(items, "|"),
                         F.lit(")" + RIGHT_BOUND))
     return F.when(word_edges, factored).otherwise(general)
-
-
-def tokens(text: Column) -> Column:
-    """Folded word runs of a text."""
-    return F.split(fold(text), NON_WORD_RUN)

@@ -74,6 +74,16 @@ def yes_no(cond: Column) -> Column:
     return F.when(cond, F.lit("Yes")).otherwise(F.lit("No"))
 
 
+# Fixed value: the characters Python's ``str.strip`` takes off.
+PYTHON_SPACE = r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
+def python_strip(text: Column | str) -> Column:
+    """``str.strip()``: all white space off both ends, not only blanks."""
+    return F.regexp_replace(_c(text), f"^{PYTHON_SPACE}+|{PYTHON_SPACE}+$", "")
+
+
 def letter_count(text: Column | str) -> Column:
-    """Characters left after cleanup, trimming and removing spaces."""
-    return F.length(F.replace(F.trim(cleanup_extraction(text)), F.lit(" "), F.lit("")))
+    """Strip white space, remove blanks, then clean up; the blanks that the
+    cleanup puts in count."""
+    return F.length(cleanup_extraction(F.replace(python_strip(text), F.lit(" "), F.lit(""))))

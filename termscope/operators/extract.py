@@ -1,48 +1,86 @@
 """The extractor hook.
 
 Formats that need a parser library are turned into segments by a user
-function run per file inside Spark tasks (``mapInPandas``): Spark spreads the
+function run per file inside Spark tasks (``mapInArrow``): Spark spreads the
 files over the cluster (U7) and a file whose parser raises becomes an error
 row instead of failing the job (U6), as the reference skips such files.
 """
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 OUT_SCHEMA = ("path string, seg_ord long, location string, page_count int, text string, "
               "error string")
+_OUT = pa.schema([("path", pa.string()), ("seg_ord", pa.int64()), ("location", pa.string()), ("page_count", pa.int32()),
+                  ("text", pa.string()), ("error", pa.string())])
 
 Extractor = Callable[[str, object], Iterable[tuple[int, str, int, str]]]
 
+# Bits of a cell's segment number left for its column.
+COLUMN_BITS = 24
+
+
+def cell_letters(col: int) -> str:
+    """P6 in Python, for extractors: A, Z, AA, ..."""
+    out = ""
+    while col:
+        col, rest = divmod(col - 1, 26)
+        out = chr(65 + rest) + out
+    return out
+
+
+def csv_extractor(path: str, body: object) -> Iterator[tuple[int, str, int, str]]:
+    """Every cell of a CSV file as ``A1``-located segments, parsed as the
+    csv library does (doubled quotes, line feeds in quotes, any number of
+    columns; a blank line counts as a row without cells)."""
+    data = body.encode("utf-8") if isinstance(body, str) else bytes(body)
+    with io.TextIOWrapper(io.BytesIO(data), encoding="utf-8", newline=None) as lines:
+        for row, cells in enumerate(csv.reader(lines), 1):
+            for col, value in enumerate(cells, 1):
+                yield (row << COLUMN_BITS) + col, f"{cell_letters(col)}{row}", 1, value
+
+
+def text_extractor(path: str, body: object) -> Iterator[tuple[int, str, int, str]]:
+    """The whole text as one segment (UTF-8, line ends as ``open()`` reads them)."""
+    text = body if isinstance(body, str) else bytes(body).decode("utf-8")
+    yield 1, "1", 1, text.replace("\r\n", "\n").replace("\r", "\n")
+
 
 def extract(files: DataFrame, fn: Extractor, content: str = "content",
-            partitions: int | None = None) -> DataFrame:
+            partitions: int | None = None, key: str = "path") -> DataFrame:
     """Apply ``fn(path, content) -> [(seg_ord, location, page_count, text)]``
     to every file. Returns segments plus an ``error`` column (``Type:
-    message`` for a failed file, which then has one row and no segments).
+    message`` for a failed file, which then has that one row and no segments,
+    also when the parser fails late).
 
-    ``partitions`` spreads the files first (by path hash) when the listing
-    arrives in too few partitions."""
-    src = files.select("path", content)
+    One file is parsed and sent on at a time; Spark cuts the input into batches
+    by ``spark.sql.execution.arrow.maxBytesPerBatch``. ``partitions`` spreads
+    the files first (by path hash) when the listing arrives in too few
+    partitions. ``key`` may name another column handed to ``fn`` and returned as
+    ``path``."""
+    src = files.select(key, content)
     if partitions:
-        src = src.repartition(partitions, "path")
+        src = src.repartition(partitions, key)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for path, body in zip(pdf["path"], pdf[content]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, body in zip(batch.column(0), batch.column(1)):
+                path = path.as_py()
                 try:
-                    for seg_ord, location, page_count, text in fn(path, body):
-                        rows.append((path, int(seg_ord), str(location), int(page_count), text, None))
+                    rows = [(path, int(o), str(loc), int(n), text, None) for o, loc, n, text in fn(path, body.as_py())]
                 except Exception as exc:  # one bad file must not stop the run
-                    rows.append((path, None, None, None, None, f"{type(exc).__name__}: {exc}"))
-            yield pd.DataFrame(rows, columns=["path", "seg_ord", "location", "page_count", "text", "error"])
+                    rows = [(path, None, None, None, None, f"{type(exc).__name__}: {exc}")]
+                for at in range(0, len(rows), 50_000):
+                    part = list(zip(*rows[at:at + 50_000]))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(part, _OUT)], schema=_OUT)
 
-    return src.mapInPandas(run, OUT_SCHEMA)
+    return src.mapInArrow(run, OUT_SCHEMA)
 
 
 def segments_of(extracted: DataFrame) -> DataFrame:

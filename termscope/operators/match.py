@@ -1,23 +1,23 @@
 """Matching segments against a keyword dictionary.
 
 The reference loops over every text and every keyword pattern. Here the regex
-theta-join becomes an equi-join on tokens:
-
-* single-word keywords (most of a dictionary): their hits are the number of
-  equal lower-cased tokens, so text tokens are exploded (without the text) and
-  joined to the dictionary on the token; a partial aggregate in the same stage
-  leaves one row per (segment, keyword) for the shuffle;
-* phrases and keywords with symbols: a segment is a candidate only when it
-  holds the keyword's first word run as a token; candidates are found inside
-  the row (``array_intersect`` with the probe set) and verified with the exact
-  pattern by ``regexp_count``;
-* keywords without any word character: a case-insensitive ``instr`` pre-check
-  inside the row, then the exact pattern.
-
-The dictionary is small by nature; it is broadcast (and inlined as a probe set)
-only after its row count is checked against ``broadcast_limit``. Beyond that the
-same plan runs with shuffled joins and the texts of candidate segments are
-joined back by key.
+theta-join becomes one equi-join on tokens:
+
+* a segment is split into folded tokens once, and its distinct tokens are
+  counted inside the row (sorted, then cut into runs), so nothing is shuffled to
+  count them;
+* the distinct tokens are exploded and joined to the dictionary on the keyword's
+  probe (its first word run). A single-word keyword's hits are the token's
+  count; for a phrase or a keyword with symbols the exact pattern counts, on the
+  segment's text, only where the probe occurs;
+* a keyword without any word character is probed by its first character, and
+  segments then offer their distinct non-word characters as tokens too.
+
+Each segment row gives one row per keyword found in it; segments that share a
+key stay rows of their own. A dictionary within ``broadcast_limit`` rows is
+broadcast: one scan, one generator, one hash join, no shuffle. Beyond it the
+same join is shuffled without the text, and only segments with a candidate
+phrase meet their text again; the result is the same.
 """
 
 from __future__ import annotations
@@ -34,6 +34,9 @@ from ..functions.patterns import (NON_WORD_RUN, category_alternation, fold, is_s
 # Largest dictionary (rows) that is broadcast and inlined into the plan.
 DEFAULT_BROADCAST_LIMIT = 200_000
 
+# A character that is neither part of a word nor blank.
+MARK = r"[^\p{L}\p{N}_\s]"
+
 DICT_COLS = ["category", "cat_ord", "keyword", "kw_ord"]
 
 
@@ -42,47 +45,54 @@ def prepare_dictionary(dictionary: DataFrame) -> DataFrame:
 
     ``dictionary`` has ``category, keyword`` and a ``row_ord`` giving its order
     (category order = order of first appearance, as the reference iterates a
-    dict built in row order). ``kw_ord`` is ``row_ord`` and identifies an entry.
-    Blank keywords are dropped (F8): an empty pattern matches zero-width.
+    dict built in row order). Entries are numbered anew by (``row_ord``,
+    category, keyword), so ``kw_ord`` identifies an entry whatever numbers the
+    sources carried; an entry repeated with all three equal counts once. Blank
+    keywords are dropped (F8): an empty pattern matches zero-width.
     """
-    d = dictionary.where(F.col("keyword").isNotNull() & (F.trim("keyword") != ""))
+    d = (dictionary.where(F.col("keyword").isNotNull() & (F.trim("keyword") != ""))
+         .select("category", "keyword", F.col("row_ord").cast("long").alias("row_ord")).distinct())
     first = d.groupBy("category").agg(F.min("row_ord").alias("_first"))
     cat_ord = first.select(
-        "category",
+        F.col("category").alias("_category"),
         F.dense_rank().over(Window.orderBy("_first", "category")).cast("int").alias("cat_ord"))
-    return (d.join(cat_ord, "category")
-             .select("category", "cat_ord", "keyword", F.col("row_ord").cast("long").alias("kw_ord")))
+    # A dictionary's numbers come from one ordered pass over it (its rows, not the corpus's).
+    number = F.row_number().over(Window.orderBy("row_ord", "category", "keyword")).cast("long")
+    return (d.withColumn("kw_ord", number).join(cat_ord, F.col("category").eqNullSafe(F.col("_category")))
+             .select("category", "cat_ord", "keyword", "kw_ord"))
 
 
 def _with_match_columns(d: DataFrame) -> DataFrame:
-    return (d.withColumn("probe", probe_token(F.col("keyword")))
+    word = probe_token(F.col("keyword"))
+    mark = F.regexp_extract(fold(F.col("keyword")), MARK, 0)
+    return (d.withColumn("probe", F.when(word != "", word).otherwise(mark))
              .withColumn("single", is_single_word(F.col("keyword")))
+             .withColumn("symbolic", word == "")
              .withColumn("pattern", keyword_pattern(F.col("keyword"))))
 
 
-# Matchable dictionaries already prepared in this session, by the identity of
-# the DataFrame they came from (a run matches many inputs against one).
-_MATCHABLE: dict[tuple[int, bool, int], tuple[DataFrame, DataFrame, bool, object]] = {}
+def matchable(dictionary: DataFrame, prepared: bool = False) -> DataFrame:
+    """The dictionary with its probe and pattern columns. A run prepares it
+    once and passes it to every match with ``prepared=True``."""
+    if "pattern" in dictionary.columns:
+        return dictionary
+    d = dictionary if prepared else prepare_dictionary(dictionary)
+    return _with_match_columns(d).select(*DICT_COLS, "probe", "single", "symbolic", "pattern")
 
 
-def _matchable(dictionary: DataFrame, prepared: bool, broadcast_limit: int):
-    """Prepared dictionary with probe/pattern columns, cached, its size checked
-    against the broadcast bound and the counts of each keyword kind."""
-    k = (id(dictionary), prepared, broadcast_limit)
-    hit = _MATCHABLE.get(k)
-    if hit is not None and hit[0] is dictionary:
-        return hit[1], hit[2], hit[3]
-    d = dictionary if prepared else prepare_dictionary(dictionary)
-    d = _with_match_columns(d).select(*DICT_COLS, "probe", "single", "pattern").cache()
-    # One tiny aggregate: the size (broadcast bound) and the keyword kinds.
-    kinds = d.agg(F.count(F.lit(1)).alias("n"),
-                  F.count(F.when(F.col("single"), 1)).alias("single"),
-                  F.count(F.when(~F.col("single") & (F.col("probe") != ""), 1)).alias("multi"),
-                  F.count(F.when(F.col("probe") == "", 1)).alias("symbolic")).first()
-    small = kinds["n"] <= broadcast_limit
-    dj = F.broadcast(d) if small else d
-    _MATCHABLE[k] = (dictionary, dj, small, kinds)
-    return dj, small, kinds
+def _token_counts(text: Column, symbols: bool) -> tuple[Column, Column, Column]:
+    """Expressions for a three-step projection: sorted tokens, run starts, (token, n) structs."""
+    words = F.split(fold(text), NON_WORD_RUN)
+    if symbols:
+        # Non-word characters, one token each; blanks separate and are never probes.
+        words = F.concat(words, F.array_distinct(F.regexp_extract_all(fold(text), F.lit(MARK), F.lit(0))))
+    toks = F.sort_array(F.filter(words, lambda t: t != ""))
+    starts = F.filter(F.sequence(F.lit(0), F.size("_toks") - 1),
+                      lambda i: (i == 0) | (F.get("_toks", i) != F.get("_toks", i - 1)))
+    runs = F.transform("_starts", lambda i, j: F.struct(
+        F.get("_toks", i).alias("probe"),
+        (F.coalesce(F.get("_starts", j + 1), F.size("_toks")) - i).cast("long").alias("n")))
+    return toks, F.when(F.size("_toks") > 0, starts).otherwise(F.array().cast("array<int>")), runs
 
 
 def keyword_hits(segments: DataFrame, dictionary: DataFrame,
@@ -96,86 +106,33 @@ def keyword_hits(segments: DataFrame, dictionary: DataFrame,
     BIGINT), keyword spelled as in the dictionary.
     """
     key = list(key)
-    dj, small, kinds = _matchable(dictionary, prepared, broadcast_limit)
-    seg = segments.select(*key, text)
-    if not (kinds["single"] or kinds["multi"] or kinds["symbolic"]):
-        return (seg.limit(0).select(
-            *key, F.lit(None).cast("string").alias("category"), F.lit(None).cast("int").alias("cat_ord"),
-            F.lit(None).cast("string").alias("keyword"), F.lit(None).cast("long").alias("kw_ord"),
-            F.lit(None).cast("long").alias("hits")))
-    if small:
-        hits = _hits_one_pass(seg, dj, key, text, kinds)
-    else:
-        hits = _hits_shuffled(seg, dj, key, text, kinds)
-    attrs = dj.select(*DICT_COLS)
-    return hits.join(attrs, "kw_ord").select(*key, "category", "cat_ord", "keyword", "kw_ord",
-                                             F.col("hits").cast("long").alias("hits"))
-
-
-def _hits_one_pass(seg: DataFrame, dj: DataFrame, key: list[str], text: str, kinds) -> DataFrame:
-    """Small (broadcast) dictionary: one scan, one generator, one aggregate.
-
-    Each row carries its tokens and, computed inside the row, the verified
-    counts of the phrase / symbol keywords whose probe it holds (the probe ->
-    patterns map is a scalar subquery over the small dictionary). Tokens and
-    phrase counts are exploded together; a left broadcast join gives the
-    single-word keyword of each token, and one aggregate (partial in the same
-    stage) sums both kinds per (segment, keyword)."""
-    toks = F.split(fold(F.col(text)), NON_WORD_RUN)
-    rows = seg.select(*key, text, toks.alias("probe"))
-    rows = (rows.withColumn("kw_ord", F.array_repeat(F.lit(None).cast("long"), F.size("probe")))
-                .withColumn("hits", F.array_repeat(F.lit(None).cast("long"), F.size("probe"))))
-    parts = [F.arrays_zip("probe", "kw_ord", "hits")]
-
-    def counted(k):
-        return F.struct(F.lit(None).cast("string").alias("probe"), k["kw_ord"].alias("kw_ord"),
-                        F.regexp_count(F.col(text), k["pattern"]).cast("long").alias("hits"))
-
-    if kinds["multi"]:
-        multi = (dj.where(~F.col("single") & (F.col("probe") != ""))
-                   .groupBy("probe").agg(F.collect_list(F.struct("kw_ord", "pattern")).alias("ks")))
-        rows = rows.withColumn("_m", multi.select(F.map_from_entries(F.collect_list(F.struct("probe", "ks")))).scalar())
-        cands = F.array_intersect("probe", F.map_keys("_m"))
-        parts.append(F.flatten(F.transform(cands, lambda c: F.transform(F.col("_m")[c], counted))))
-    if kinds["symbolic"]:
-        sym = dj.where(F.col("probe") == "").select(F.collect_list(
-            F.struct("kw_ord", "pattern", fold(F.col("keyword")).alias("needle")))).scalar()
-        rows = rows.withColumn("_s", sym)
-        present = F.filter("_s", lambda k: F.instr(fold(F.col(text)), k["needle"]) > 0)
-        parts.append(F.transform(present, counted))
-    items = parts[0] if len(parts) == 1 else F.concat(*parts)
-    flat = rows.select(*key, F.explode(items).alias("e")).select(*key, "e.probe", "e.kw_ord", "e.hits")
-    single = dj.where("single").select("probe", F.col("kw_ord").alias("_kw"))
-    joined = flat.join(single, "probe", "left") if kinds["single"] else flat.withColumn("_kw", F.lit(None).cast("long"))
-    return (joined.select(*key, F.coalesce("kw_ord", "_kw").alias("kw_ord"), F.coalesce("hits", F.lit(1)).alias("n"))
-                  .where(F.col("kw_ord").isNotNull() & (F.col("n") > 0))
-                  .groupBy(*key, "kw_ord").agg(F.sum("n").alias("hits")))
-
-
-def _hits_shuffled(seg: DataFrame, dj: DataFrame, key: list[str], text: str, kinds) -> DataFrame:
-    """Dictionary above the broadcast bound: token equi-joins with shuffles;
-    phrase candidates are joined back to their segment's text by key."""
-    toks_of = F.split(fold(F.col(text)), NON_WORD_RUN)
-    toks = seg.select(*key, F.explode(toks_of).alias("probe"))
-    parts = []
-    if kinds["single"]:
-        single = dj.where("single").select("probe", "kw_ord")
-        parts.append(toks.join(single, "probe").groupBy(*key, "kw_ord").agg(F.count(F.lit(1)).alias("hits")))
-    if kinds["multi"]:
-        multi = dj.where(~F.col("single") & (F.col("probe") != "")).select("probe", "kw_ord", "pattern")
-        pairs = toks.join(multi.select("probe", "kw_ord"), "probe").select(*key, "kw_ord").distinct()
-        cand = pairs.join(seg, key).join(multi.select("kw_ord", "pattern"), "kw_ord")
-        parts.append(cand.select(*key, "kw_ord", F.regexp_count(F.col(text), F.col("pattern")).alias("hits"))
-                         .where("hits > 0"))
-    if kinds["symbolic"]:
-        symbolic = dj.where(F.col("probe") == "").select("kw_ord", "pattern", fold(F.col("keyword")).alias("needle"))
-        parts.append(seg.join(symbolic, F.instr(fold(F.col(text)), F.col("needle")) > 0)
-                        .select(*key, "kw_ord", F.regexp_count(F.col(text), F.col("pattern")).alias("hits"))
-                        .where("hits > 0"))
-    hits = parts[0]
-    for p in parts[1:]:
-        hits = hits.unionByName(p)
-    return hits
+    d = matchable(dictionary, prepared)
+    # One tiny aggregate: the size (broadcast bound) and whether symbols are asked for.
+    kinds = d.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("symbolic"), 1)).alias("symbolic")).first()
+    toks, starts, runs = _token_counts(F.col(text), kinds["symbolic"] > 0)
+    if kinds["n"] <= broadcast_limit:
+        rows = (segments.select(*key, text).withColumn("_toks", toks).withColumn("_starts", starts)
+                .select(*key, text, F.explode(runs).alias("_t")).select(*key, text, "_t.probe", "_t.n"))
+        hits = F.when(F.col("single"), F.col("n")).otherwise(F.regexp_count(F.col(text), F.col("pattern")).cast("long"))
+        return (rows.join(F.broadcast(d), "probe").withColumn("hits", hits).where("hits > 0")
+                    .select(*key, "category", "cat_ord", "keyword", "kw_ord", "hits"))
+    # Shuffled by token, without the text; a segment is known by its key and digest.
+    seg = segments.select(*key, text).withColumn("_digest", F.xxhash64(text, F.length(text)))
+    ids = [*key, "_digest"]
+    rows = (seg.withColumn("_toks", toks).withColumn("_starts", starts)
+            .select(*ids, F.explode(runs).alias("_t")).select(*ids, "_t.probe", "_t.n"))
+    found = rows.join(d, "probe")
+    out = [*DICT_COLS, "hits"]
+    single = found.where("single").withColumn("hits", F.col("n")).select(*key, *out)
+    cand = found.where("not single").select(*ids, *DICT_COLS, "pattern").distinct()
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) for k in ids]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    phrases = (seg.alias("s").join(cand.alias("c"), on)
+               .withColumn("hits", F.regexp_count(F.col(f"s.{text}"), F.col("c.pattern")).cast("long")).where("hits > 0")
+               .select(*[F.col(f"s.{k}").alias(k) for k in key], *[F.col(f"c.{k}").alias(k) for k in DICT_COLS], "hits"))
+    return single.unionByName(phrases)
 
 
 def expand_occurrences(hits: DataFrame) -> DataFrame:
@@ -195,54 +152,48 @@ def category_patterns(dictionary: DataFrame, escape: bool = False) -> DataFrame:
     return grouped.select("category", "first", category_alternation(kws, escape=escape).alias("pattern"))
 
 
-# Most categories inlined as literal patterns (a category dictionary has about
-# ten; every pattern is compiled once per task).
-MAX_INLINE_CATEGORIES = 64
+# Pattern characters evaluated in one pass over the text; more categories take further passes.
+PASS_CHARS = 200_000
 
 
-_CATEGORY_ROWS: dict[tuple[int, bool], tuple[DataFrame, list]] = {}
-
-
-def _category_rows(dictionary: DataFrame, escape: bool) -> list:
-    """The (at most MAX_INLINE_CATEGORIES + 1) category patterns, read once
-    per dictionary DataFrame."""
-    k = (id(dictionary), escape)
-    hit = _CATEGORY_ROWS.get(k)
-    if hit is None or hit[0] is not dictionary:
-        rows = category_patterns(dictionary, escape).limit(MAX_INLINE_CATEGORIES + 1).collect()
-        _CATEGORY_ROWS[k] = (dictionary, rows)
-        hit = _CATEGORY_ROWS[k]
-    return hit[1]
+def _passes(dictionary: DataFrame, escape: bool, broadcast_limit: int) -> list[list]:
+    """The category patterns, in order, cut into passes. The dictionary's size
+    is checked first: its patterns become literals of the plan."""
+    n = dictionary.count()
+    if n > broadcast_limit:
+        raise ValueError(f"category patterns are literals of the plan: {n} keywords exceed broadcast_limit={broadcast_limit}; "
+                         "raise the limit, or use keyword_hits, which takes dictionaries of any size")
+    rows = sorted(category_patterns(dictionary, escape).collect(), key=lambda r: (r["first"], r["category"] or ""))
+    passes: list[list] = []
+    room = 0
+    for i, r in enumerate(rows):
+        if not passes or room < len(r["pattern"]):
+            passes.append([])
+            room = PASS_CHARS
+        passes[-1].append((i + 1, r["category"], r["pattern"]))
+        room -= len(r["pattern"])
+    return passes
 
 
 def _per_category(segments: DataFrame, dictionary: DataFrame, key: list[str], text: str,
                   escape: bool, fn, broadcast_limit: int, keep_text: bool = False) -> DataFrame:
     """Evaluate ``fn(text, pattern)`` for every category inside each row.
 
-    The category patterns are a handful of strings derived from the
-    dictionary; after a size check they are read once and placed in the plan
-    as literals, so each pattern is compiled once per task and each row is
-    scanned once per category with neither a join nor a copy of the text."""
-    rows = _category_rows(dictionary, escape)
+    The category patterns are strings derived from the dictionary; after a size
+    check they are placed in the plan as literals, so each pattern is compiled
+    once per task and each row is scanned once per category with neither a join
+    nor a copy of the text. Few or many categories take the same plan, once per
+    ``PASS_CHARS`` of patterns."""
     extra = [text] if keep_text else []
-    if len(rows) > MAX_INLINE_CATEGORIES:
-        # Many categories: the pattern list comes from a scalar subquery (each
-        # row still carries it as one array; patterns are compiled as they
-        # change instead of once per task).
-        cats = category_patterns(dictionary, escape)
-        ranked = cats.select(F.array_sort(F.collect_list(F.struct("first", "category", "pattern"))).alias("a"))
-        arr = ranked.select(F.transform("a", lambda x: F.struct(x["category"].alias("category"),
-                                                                x["pattern"].alias("pattern"))).alias("a")).scalar()
-        return (segments.select(*key, text, F.posexplode(arr).alias("_i", "_c"))
-                        .select(*key, *extra, F.col("_c.category").alias("category"),
-                                (F.col("_i") + 1).cast("int").alias("cat_ord"),
-                                fn(F.col(text), F.col("_c.pattern")).alias("m")))
-    ordered = sorted(rows, key=lambda r: (r["first"], r["category"]))
-    arr = F.array(*[F.struct(F.lit(r["category"]).alias("category"), F.lit(i + 1).alias("cat_ord"),
-                             fn(F.col(text), F.lit(r["pattern"])).alias("m"))
-                    for i, r in enumerate(ordered)])
-    return (segments.select(*key, *extra, F.explode(arr).alias("c"))
-                    .select(*key, *extra, "c.category", "c.cat_ord", "c.m"))
+    out = None
+    for rows in _passes(dictionary, escape, broadcast_limit) or [[]]:
+        arr = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(i).alias("cat_ord"), fn(F.col(text), F.lit(p)).alias("m"))
+                        for i, c, p in rows or [(0, "", "(?!)")]])
+        part = (segments.select(*key, *extra, F.explode(arr).alias("c"))
+                .select(*key, *extra, "c.category", "c.cat_ord", "c.m"))
+        part = part if rows else part.limit(0)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def category_hits(segments: DataFrame, dictionary: DataFrame,
@@ -285,11 +236,6 @@ def first_hit_per_category(segments: DataFrame, dictionary: DataFrame,
     return per.where(F.col("m").isNotNull() & (F.col("m") != "")).withColumnRenamed("m", "first_match")
 
 
-def contains_keyword(sentence: Column, keyword: Column) -> Column:
-    """M6: case-insensitive substring containment, no word bounds."""
-    return F.contains(F.lower(sentence), F.lower(keyword))
-
-
 def find_hits(segments: DataFrame, dictionary: DataFrame, mode: str = "keyword", **kw) -> DataFrame:
     """One entry point for the four match modes: ``keyword`` (M1), ``category``
     (M2), ``cell`` (M3) and ``first`` (M4/M5)."""

@@ -1,10 +1,11 @@
 """Running row numbers over a total order (W2, W3) without a global window.
 
 ``row_number() OVER (ORDER BY x)`` moves every row into one task. Here the
-rows are range-partitioned on the order column and sorted inside each
-partition; a row's number is its position inside its partition plus the
-number of rows in all earlier partitions (a table with one row per
-partition)."""
+rows are range-partitioned on the order column, sorted inside each partition
+and written once with their partition and place; a row's number is its place
+plus the number of rows in all earlier partitions (a table with one row per
+partition). Both sides read the one written table: a second range exchange
+would sample other bounds."""
 
 from __future__ import annotations
 
@@ -12,15 +13,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..plans.materialize import materialize
+
 
 def sequential_row_number(df: DataFrame, order_col: str, name: str = "row_no",
                           partitions: int | None = None) -> DataFrame:
     """Number the rows 1..n by ``order_col`` (which should be unique, so the
     numbering is deterministic when a task is re-run)."""
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = (df.repartitionByRange(n, order_col).sortWithinPartitions(order_col)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_id", F.monotonically_increasing_id()))
+    ranged = materialize(df.repartitionByRange(n, order_col).sortWithinPartitions(order_col)
+                           .withColumn("_pid", F.spark_partition_id())
+                           .withColumn("_id", F.monotonically_increasing_id()), "ranges")
     per = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per.select("_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -11,6 +11,9 @@ QUERIES = {
     "relevance_distinct": room.q_relevance_distinct,
     "relevance_hits_gt5": room.q_relevance_hits_gt5,
     "keyword_report": room.q_keyword_report,
+    "keyword_totals": room.q_keyword_totals,
+    "keyword_report_by_name": room.q_keyword_report_by_name,
+    "request_files_by_name": room.q_request_files_by_name,
     "unmatched_files": room.q_unmatched_files,
     "skipped_files": room.q_skipped_files,
     "run_summary": room.q_run_summary,

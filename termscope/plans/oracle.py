@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import re
 
-from ..sources.testbed import (MIN_EXTRACTABLE_CHARS, TEST_DICTIONARY, TEST_USER_KEYWORDS,
-                               USER_CATEGORY)
+from ..sources.testbed import (CELL_DICTIONARY, MIN_EXTRACTABLE_CHARS, MIN_SHAPE_CHARS, TEAMS, TEST_DICTIONARY,
+                               TEST_EXTENSIONS, TEST_GUID, TEST_USER_KEYWORDS)
+
+USER_CATEGORY = "User Input"
 
 W = r"\p{L}\p{N}_"
 
@@ -26,7 +28,7 @@ def final_dictionary(with_user: bool = True) -> list[tuple[str, str, int, int]]:
             seen.add(k)
             rows.append((c, k, i + 1))
     if with_user:
-        first = len(TEST_DICTIONARY) + 1
+        first = 1 << 60
         terms = [t.strip() for t in TEST_USER_KEYWORDS.split(",")]
         for j, t in enumerate([t for t in terms if t]):
             rows.append((USER_CATEGORY, t, first + j))
@@ -75,13 +77,13 @@ files AS (
     CASE WHEN suffix(path, '.md') THEN 'unknown'
          WHEN n_chars < {MIN_EXTRACTABLE_CHARS} THEN 'failed' ELSE 'scanned' END AS status
   FROM parts),
-seg AS (
-  SELECT p.path, s.seg_ord, s.text FROM (
+all_seg AS (
+  SELECT p.path, s.seg_ord, s.text, p.doc_id FROM (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS text,
            generate_subscripts(string_split(text, chr(10)), 1) AS seg_ord
     FROM documents) s
-  JOIN files f ON f.doc_id = s.doc_id AND f.status = 'scanned'
-  JOIN parts p ON p.doc_id = s.doc_id)"""
+  JOIN parts p ON p.doc_id = s.doc_id),
+seg AS (SELECT s.path, s.seg_ord, s.text FROM all_seg s JOIN files f ON f.doc_id = s.doc_id AND f.status = 'scanned')"""
 
 
 def hits_ctes(with_user: bool = True, seg: str = "seg", key: str = "path, seg_ord",
@@ -118,38 +120,38 @@ def hits_ctes(with_user: bool = True, seg: str = "seg", key: str = "path, seg_or
   SELECT * FROM {p}single_hits UNION ALL SELECT * FROM {p}phrase_hits WHERE hits > 0)"""
 
 
-def room_hits_sql(select: str, with_user: bool = True, extra: str = "") -> str:
+def room_hits_sql(select: str, with_user: bool = True, extra: str = "", seg: str = "seg") -> str:
     ext = f",\n{extra}" if extra else ""
-    return f"WITH {ROOM_FILES},{hits_ctes(with_user)}{ext}\n{select}"
+    return f"WITH {ROOM_FILES},{hits_ctes(with_user, seg=seg)}{ext}\n{select}"
 
 
 REQUESTS = """
 reqs AS (
-  SELECT CAST(item_id AS VARCHAR) AS request_no_s,
-         CASE item_id % 3 WHEN 0 THEN 'IT' WHEN 1 THEN ' it ' ELSE 'HR' END AS area,
+  SELECT CAST(item_id // 2 AS VARCHAR) AS request_no_s, CAST(item_id AS BIGINT) AS row_ord,
+         CASE item_id % 3 WHEN 0 THEN 'IT' WHEN 1 THEN ' it' || chr(9) ELSE 'HR' END AS area,
          text AS sentence FROM benchmark),
 it AS (
-  SELECT TRY_CAST(trunc(TRY_CAST(request_no_s AS DOUBLE)) AS INTEGER) AS request_no, sentence FROM reqs
-  WHERE lower(trim(area)) = 'it' AND TRY_CAST(trunc(TRY_CAST(request_no_s AS DOUBLE)) AS INTEGER) IS NOT NULL)"""
+  SELECT TRY_CAST(trunc(TRY_CAST(request_no_s AS DOUBLE)) AS INTEGER) AS request_no, row_ord, sentence FROM reqs
+  WHERE lower(trim(area, ' ' || chr(9))) = 'it' AND TRY_CAST(trunc(TRY_CAST(request_no_s AS DOUBLE)) AS INTEGER) IS NOT NULL)"""
 
 ROLL_UP = """
-SELECT CAST(it.request_no AS BIGINT) AS request_no, it.sentence AS request,
+SELECT CAST(it.request_no AS BIGINT) AS request_no, it.row_ord, it.sentence AS request,
        CASE WHEN coalesce(agg.n_rel, 0) > 0 THEN 'Yes' ELSE 'No' END AS relevant_files_found,
        CAST(coalesce(agg.n_rel, 0) AS BIGINT) AS n_relevant_files,
        coalesce(agg.file_names, '') AS file_names, coalesce(agg.index_numbers, '') AS index_numbers,
        coalesce(agg.paths, '') AS paths
 FROM it LEFT JOIN (
-  SELECT p.request_no, count(*) AS n_rel,
+  SELECT p.row_ord, count(*) AS n_rel,
          string_agg(f.file_name, ', ' ORDER BY f.path) || ', ' AS file_names,
          string_agg(f.index_number, ', ' ORDER BY f.path) || ', ' AS index_numbers,
          string_agg(f.path, ', ' ORDER BY f.path) || ', ' AS paths
-  FROM pairs p JOIN files f USING (path) GROUP BY p.request_no) agg USING (request_no)"""
+  FROM pairs p JOIN files f USING (path) GROUP BY p.row_ord) agg USING (row_ord)"""
 
 
 def sql_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["keyword_hits"] = room_hits_sql(
-        "SELECT path, CAST(seg_ord AS BIGINT) AS seg_ord, category, keyword, hits FROM hits")
+        "SELECT path, CAST(seg_ord AS BIGINT) AS seg_ord, category, keyword, hits FROM hits", seg="all_seg")
     q["file_report"] = room_hits_sql("""
 SELECT f.file_name, f.index_number, f.folder, f.file_type, 'Successful' AS scan_status,
        kw.n_keywords_found, cat.n_keyword_categories, kw.keyword_details, cat.category_details,
@@ -174,10 +176,10 @@ kw AS (SELECT path, sum(n) AS total, count(*) AS n_distinct FROM per_kw GROUP BY
     q["relevance_hits_gt5"] = room_hits_sql(
         "SELECT path, CASE WHEN total > 5 THEN 'Yes' ELSE 'No' END AS relevant FROM kw", extra=rel)
     q["keyword_report"] = room_hits_sql("""
-SELECT keyword, keyword_category, n_files, total_hits, max_file_names, max_file_paths,
+SELECT keyword, keyword_category, n_files, total_hits, CAST(mx.n AS BIGINT) AS max_hits, max_file_names, max_file_paths,
        all_file_names, index_numbers, paths
 FROM pairs JOIN totals USING (keyword) JOIN top USING (keyword) JOIN names USING (keyword)
-     JOIN idx USING (keyword)""", extra="""
+     JOIN idx USING (keyword) JOIN mx USING (keyword)""", extra="""
 per_file AS (SELECT h.keyword, h.path, sum(h.hits) AS n, f.file_name, f.index_number
              FROM hits h JOIN files f USING (path) GROUP BY h.keyword, h.path, f.file_name, f.index_number),
 totals AS (SELECT keyword, CAST(count(DISTINCT path) AS BIGINT) AS n_files, CAST(sum(n) AS BIGINT) AS total_hits,
@@ -191,6 +193,14 @@ names AS (SELECT keyword, string_agg(file_name, ', ' ORDER BY p) AS all_file_nam
 idx AS (SELECT keyword, string_agg(index_number, ', ' ORDER BY p) AS index_numbers FROM (
             SELECT keyword, index_number, min(path) AS p FROM per_file GROUP BY ALL) GROUP BY keyword),
 pairs AS (SELECT DISTINCT keyword, category AS keyword_category FROM hits)""")
+    for name, counted in (("keyword_totals", "path"), ("keyword_report_by_name", "file_name")):
+        q[name] = room_hits_sql(f"""
+SELECT p.keyword, p.keyword_category, t.n_files, t.total_hits, t.max_hits
+FROM (SELECT DISTINCT keyword, category AS keyword_category FROM hits) p JOIN (
+  SELECT keyword, CAST(count(DISTINCT {counted}) AS BIGINT) AS n_files, CAST(sum(n) AS BIGINT) AS total_hits,
+         CAST(max(n) AS BIGINT) AS max_hits
+  FROM (SELECT h.keyword, h.path, f.file_name, sum(h.hits) AS n FROM hits h JOIN files f USING (path) GROUP BY ALL)
+  GROUP BY keyword) t USING (keyword)""")
     q["unmatched_files"] = room_hits_sql(
         "SELECT file_name, path FROM files WHERE status = 'scanned' "
         "AND path NOT IN (SELECT DISTINCT path FROM hits)")
@@ -200,20 +210,27 @@ pairs AS (SELECT DISTINCT keyword, category AS keyword_category FROM hits)""")
 SELECT CAST((SELECT count(*) FROM files) AS BIGINT) AS n_files,
        CAST((SELECT count(*) FROM files WHERE status IN ('unknown', 'failed')) AS BIGINT) AS number_of_file_skipped,
        CAST((SELECT coalesce(sum(hits), 0) FROM hits) AS BIGINT) AS total_hits,
-       CASE WHEN (SELECT count(*) FROM reqs WHERE lower(trim(area)) = 'it'
+       CASE WHEN (SELECT count(*) FROM reqs WHERE lower(trim(area, ' ' || chr(9))) = 'it'
                   AND TRY_CAST(trunc(TRY_CAST(request_no_s AS DOUBLE)) AS INTEGER) IS NULL) > 0
             THEN '|request list has rows without a valid number' ELSE '' END AS message""", extra=REQUESTS)
     q["request_report"] = room_hits_sql(ROLL_UP, extra=REQUESTS + "," + hits_ctes(
-        True, seg="it", key="request_no", text="sentence", prefix="r_") + """,
-req_kw AS (SELECT DISTINCT request_no, keyword FROM r_hits WHERE keyword IN (SELECT keyword FROM hits)),
+        True, seg="it", key="row_ord", text="sentence", prefix="r_") + """,
+req_kw AS (SELECT DISTINCT row_ord, keyword FROM r_hits WHERE keyword IN (SELECT keyword FROM hits)),
 file_kw AS (SELECT DISTINCT path, keyword FROM hits),
-pairs AS (SELECT fk.path, rk.request_no FROM file_kw fk JOIN req_kw rk USING (keyword)
+pairs AS (SELECT fk.path, rk.row_ord FROM file_kw fk JOIN req_kw rk USING (keyword)
           GROUP BY ALL HAVING count(*) >= 5)""")
+    q["request_files_by_name"] = room_hits_sql("""
+SELECT rk.row_ord, f.path, count(*) AS n_keywords
+FROM (SELECT DISTINCT f.file_name, h.keyword FROM hits h JOIN files f USING (path)) fk
+JOIN (SELECT DISTINCT row_ord, keyword FROM r_hits) rk USING (keyword)
+JOIN (SELECT f.file_name, min(h.path) AS path FROM hits h JOIN files f USING (path) GROUP BY 1) f USING (file_name)
+GROUP BY ALL HAVING count(*) >= 5""", extra=REQUESTS + "," + hits_ctes(
+        True, seg="it", key="row_ord", text="sentence", prefix="r_"))
     q["request_report_weighted"] = room_hits_sql(ROLL_UP, extra=REQUESTS + """,
 per_kw AS (SELECT path, keyword, sum(hits) AS n FROM hits GROUP BY ALL),
-rk AS (SELECT DISTINCT it.request_no, k.keyword FROM it
+rk AS (SELECT DISTINCT it.row_ord, k.keyword FROM it
        JOIN (SELECT DISTINCT keyword FROM per_kw) k ON contains(lower(it.sentence), lower(k.keyword))),
-pairs AS (SELECT path, request_no FROM per_kw JOIN rk USING (keyword)
+pairs AS (SELECT path, row_ord FROM per_kw JOIN rk USING (keyword)
           GROUP BY ALL HAVING sum(n) >= 5)""")
     q["path_parts"] = f"WITH {ROOM_FILES}\nSELECT path, file_name, folder, file_type, index_number, " \
         "CASE WHEN suffix(path, '.txt') THEN 'txt' WHEN suffix(path, '.csv') THEN 'csv' " \
@@ -225,10 +242,16 @@ pairs AS (SELECT path, request_no FROM per_kw JOIN rk USING (keyword)
 
 # ---- second batch -----------------------------------------------------------
 
-from ..functions.paths import HANDLER_SUFFIXES, KIND_SUFFIXES  # noqa: E402
-from ..functions.text import FLOAT_TEXT  # noqa: E402
-from ..sources.testbed import (CELL_DICTIONARY, MIN_SHAPE_CHARS, TEAMS, TEST_EXTENSIONS,  # noqa: E402
-                               TEST_GUID)
+# The oracle's own statement of routing, kinds and numeric text (not the code's).
+HANDLERS = [
+    ("csv", ".csv"), ("xlsb", ".xlsb"), ("msg", ".msg"), ("txt", ".txt"), ("rtf", ".rtf"), ("docx", ".docx .DOCX"),
+    ("doc", ".doc .DOC"), ("odt", ".odt"), ("ppt", ".pptx ppt .PPTX .PPT"),
+    ("image", ".PNG .png .JPEG .jpeg .JPG .jpg .gif .pnm .PNM"), ("xlsx", ".xlsx .xlsm .xls .XLS XLSX"),
+    ("pdf", ".pdf .PDF"), ("tiff", ".tiff .tif .jfif .bmp")]
+KINDS = [
+    ("Microsoft Excel", ".xlsx"), ("Microsoft Word", ".doc .docx .DOCX"), ("Text File", ".txt"),
+    ("Image", ".jpg .png .bmp .pnm .jfif .jpeg .tiff"), ("Microsoft Powerpoint", ".pptx .ppt"), ("Adobe PDF", ".pdf")]
+FLOAT = r"^\s*([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][0-9]+)?\s*$|^\s*([iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*$"
 
 
 def _addr(c: str, r: str) -> str:
@@ -242,7 +265,7 @@ def _addr(c: str, r: str) -> str:
 def _suffix_case(expr: str, groups, lower: bool = False, default: str = "'unknown'") -> str:
     parts = []
     for name, suffixes in groups:
-        conds = " OR ".join(f"suffix({expr}, {_q(s.lower() if lower else s)})" for s in suffixes)
+        conds = " OR ".join(f"suffix({expr}, {_q(s.lower() if lower else s)})" for s in suffixes.split())
         parts.append(f"WHEN {conds} THEN {_q(name)}")
     return "CASE " + " ".join(parts) + f" ELSE {default} END"
 
@@ -256,7 +279,7 @@ rp AS (
 CELLS = """
 cells AS (
   SELECT '/room/sheets/' || p_type || '.xlsx' AS path, p_brand AS sheet,
-         CAST(p_partkey + 1 AS INTEGER) AS row, c.col, c.value, c.number
+         CAST(p_partkey + CASE WHEN p_partkey % 7 = 0 THEN 100000 ELSE 0 END + 1 AS INTEGER) AS row, c.col, c.value, c.number
   FROM part, unnest([
     {'col': 1, 'value': p_name, 'number': NULL::DOUBLE},
     {'col': 2, 'value': p_brand, 'number': NULL::DOUBLE},
@@ -264,7 +287,8 @@ cells AS (
     {'col': 4, 'value': NULL::VARCHAR, 'number': CAST(p_size AS DOUBLE)},
     {'col': 5, 'value': NULL::VARCHAR, 'number': p_retailprice},
     {'col': 6, 'value': CAST(p_size AS VARCHAR), 'number': NULL::DOUBLE},
-    {'col': 7, 'value': '#' || CAST(p_partkey AS VARCHAR), 'number': NULL::DOUBLE}]) AS t(c))"""
+    {'col': 7, 'value': '#' || CAST(p_partkey AS VARCHAR), 'number': NULL::DOUBLE},
+    {'col': 8, 'value': CASE WHEN p_partkey % 3 = 0 THEN '0' END, 'number': NULL::DOUBLE}]) AS t(c))"""
 
 
 def _category_patterns(rows) -> list[tuple[str, str]]:
@@ -283,10 +307,12 @@ T2O = f"""
 t2o AS (
   SELECT path, seg_ord, ' ' || regexp_replace(text, '([^{W}])', '\\1\\1', 'g') || ' ' AS t2 FROM seg)"""
 
+T2ALL = T2O.replace("FROM seg)", "FROM all_seg)")
+
 WHOLE = f"""
 whole AS (
   SELECT p.path, ' ' || regexp_replace(d.text, '([^{W}])', '\\1\\1', 'g') || ' ' AS t2
-  FROM documents d JOIN parts p USING (doc_id) WHERE d.n_chars >= {MIN_EXTRACTABLE_CHARS})"""
+  FROM documents d JOIN parts p USING (doc_id))"""
 
 
 def _undouble(x: str) -> str:
@@ -308,7 +334,7 @@ scope AS (
          CASE WHEN k.kind <> 'Unknown' AND m.lst IS NOT NULL THEN 'In Scope' ELSE 'Out of Scope' END AS scope,
          CASE WHEN k.kind <> 'Unknown' AND m.lst IS NOT NULL THEN 'Matches: ' || m.lst ELSE '' END AS notes
   FROM files f LEFT JOIN m USING (path)
-  CROSS JOIN LATERAL (SELECT {_suffix_case('f.file_name', KIND_SUFFIXES, default="'Unknown'")} AS kind) k
+  CROSS JOIN LATERAL (SELECT {_suffix_case('f.file_name', KINDS, default="'Unknown'")} AS kind) k
   UNION ALL
   SELECT 'Folder', 'room', '/room', '', '', '', ''
   UNION ALL
@@ -349,9 +375,9 @@ SELECT path, file_name,
 FROM files"""
     q["extension_routing"] = f"""WITH {ROUTING}
 SELECT path, string_split(path, '.')[-1] AS file_type,
-  {_suffix_case('path', HANDLER_SUFFIXES)} AS handler,
-  {_suffix_case('lower(path)', HANDLER_SUFFIXES, lower=True)} AS handler_any_case,
-  {_suffix_case("string_split(path, '/')[-1]", KIND_SUFFIXES, default="'Unknown'")} AS kind
+  {_suffix_case('path', HANDLERS)} AS handler,
+  {_suffix_case('lower(path)', HANDLERS, lower=True)} AS handler_any_case,
+  {_suffix_case("string_split(path, '/')[-1]", KINDS, default="'Unknown'")} AS kind
 FROM rp"""
     q["extension_census"] = f"""WITH {ROUTING}
 SELECT string_split(path, '.')[-1] AS file_type, CAST(count(*) AS BIGINT) AS n_files FROM rp GROUP BY 1"""
@@ -359,7 +385,7 @@ SELECT string_split(path, '.')[-1] AS file_type, CAST(count(*) AS BIGINT) AS n_f
     q["cell_addresses"] = f"""
 SELECT p_partkey, CAST({col} AS INTEGER) AS col, CAST({row} AS INTEGER) AS row,
        {_addr(col, row)} AS address, p_brand || ': ' || {_addr(col, row)} AS location FROM part"""
-    numeric = f"regexp_matches(regexp_replace(value, '[^A-Za-z0-9\\s.]+', '', 'g'), {_q(FLOAT_TEXT)})"
+    numeric = f"regexp_matches(regexp_replace(value, '[^A-Za-z0-9\\s.]+', '', 'g'), {_q(FLOAT)})"
     q["numeric_cell_filter"] = f"""WITH {CELLS}
 SELECT path, sheet, row, col, value, {numeric} AS numeric_looking,
        (length(value) >= 2 AND NOT {numeric}) AS keep
@@ -381,14 +407,14 @@ WHERE NOT EXISTS (SELECT 1 FROM numcols n WHERE n.path = c.path AND n.sheet = c.
 sheets AS (SELECT path, CAST(count(DISTINCT sheet) AS INTEGER) AS page_count FROM cells GROUP BY path)
 SELECT c.path, c.sheet || ': ' || {_addr('c.col', 'c.row')} AS location, s.page_count, c.value AS text
 FROM cells c JOIN sheets s USING (path)
-WHERE c.value IS NOT NULL AND c.value <> '' AND c.value <> '0'"""
+WHERE c.value IS NOT NULL AND c.value <> ''"""
     branches = [f"SELECT path, seg_ord, {_q(c)} AS category, "
                 f"{_undouble(f'unnest(regexp_extract_all(t2, {_q(p)}, 1))')} AS keyword FROM t2o"
                 for c, p in _category_patterns(TEST_DICTIONARY)]
-    q["category_hits"] = f"""WITH {ROOM_FILES},{T2O}
+    q["category_hits"] = f"""WITH {ROOM_FILES},{T2ALL}
 SELECT path, CAST(seg_ord AS BIGINT) AS seg_ord, category, keyword, CAST(count(*) AS BIGINT) AS hits
 FROM ({' UNION ALL '.join(branches)}) WHERE keyword <> '' GROUP BY ALL"""
-    q["first_hit_per_category"] = f"""WITH {ROOM_FILES},{T2O}
+    q["first_hit_per_category"] = f"""WITH {ROOM_FILES},{T2ALL}
 SELECT path, CAST(seg_ord AS BIGINT) AS seg_ord, category, first_match FROM ({_first_hits('t2o', 'path, seg_ord')})"""
     q["first_hit_per_document"] = f"""WITH {ROOM_FILES},{WHOLE}
 SELECT path, category, first_match FROM ({_first_hits('whole', 'path')})"""
@@ -399,11 +425,11 @@ FROM scope WHERE notes <> ''"""
     q["prior_index_parse"] = f"WITH {ROOM_FILES},{T2O},{SCOPE}\n{parsed}"
     q["request_report_any"] = f"""WITH {ROOM_FILES},{T2O},{SCOPE},
 im AS ({parsed}),
-rq AS (SELECT item_id AS request_no, text AS sentence FROM benchmark),
-pairs AS (SELECT DISTINCT rq.request_no, im.path, im.title AS file_name FROM rq JOIN im
+rq AS (SELECT item_id // 2 AS request_no, item_id AS row_ord, text AS sentence FROM benchmark),
+pairs AS (SELECT DISTINCT rq.request_no, rq.row_ord, im.path, im.title AS file_name FROM rq JOIN im
           ON contains(lower(rq.sentence), lower(im.match)))
-SELECT CAST(request_no AS BIGINT) AS request_no, CAST(count(*) AS BIGINT) AS n_files,
-       string_agg(file_name, ' ' ORDER BY path) AS file_names FROM pairs GROUP BY request_no"""
+SELECT CAST(request_no AS BIGINT) AS request_no, CAST(row_ord AS BIGINT) AS row_ord, CAST(count(*) AS BIGINT) AS n_files,
+       string_agg(file_name, ' ' ORDER BY path) AS file_names FROM pairs GROUP BY request_no, row_ord"""
     uni = " UNION ALL ".join(
         f"SELECT {_q(c)} AS category, CAST({c} AS VARCHAR) AS keyword, "
         f"CAST({i} * 1000000000 + p_partkey + 1 AS BIGINT) AS row_ord FROM part"
@@ -429,21 +455,25 @@ SELECT item_id, CAST(generate_subscripts(terms, 1) - 1 AS BIGINT) AS pos, unnest
 pg AS (
   SELECT '/room/chats/conv ' || CAST(conv_id AS VARCHAR) ||
          CASE WHEN conv_id % 4 = 0 THEN '.doc' ELSE '.pdf' END AS path,
-         CAST(turn + 1 AS INTEGER) AS page, text FROM conversations)"""
+         CAST(turn + 1 AS INTEGER) AS page,
+         CASE WHEN turn % 2 = 1 THEN chr(10) || chr(9) || ' \\n' || text || ' ' || chr(10) || chr(10) ELSE text END AS text
+  FROM conversations)"""
     q["pages_per_file"] = f"""WITH {pages}
 SELECT path, CAST(max(page) AS BIGINT) AS pages, CAST(count(*) AS BIGINT) AS page_rows FROM pg GROUP BY path"""
-    clean = "replace(replace(replace(replace(text, '\\r', ' '), '\\n', ' '), '\\x', ' '), '0c', ' ')"
+    ends = "regexp_replace(text, '^[\\s\\x0B\\x1C-\\x1F\\x85\\p{Z}]+|[\\s\\x0B\\x1C-\\x1F\\x85\\p{Z}]+$', '', 'g')"
+    clean = f"replace(replace(replace(replace(replace({ends}, ' ', ''), '\\r', ' '), '\\n', ' '), '\\x', ' '), '0c', ' ')"
     q["density_route"] = f"""WITH {pages},
-per AS (SELECT path, CAST(sum(length(replace(trim({clean}), ' ', ''))) AS BIGINT) AS letters,
+per AS (SELECT path, CAST(sum(length({clean})) AS BIGINT) AS letters,
                CAST(count(*) AS BIGINT) AS pages FROM pg GROUP BY path)
 SELECT path, letters, pages,
        CASE WHEN suffix(path, '.doc') OR suffix(path, '.DOC') OR letters >= pages * 150 THEN 'text' ELSE 'ocr' END AS route
 FROM per"""
     q["slide_skip_rule"] = f"""
 WITH per AS (
-  SELECT '/room/decks/conv ' || CAST(conv_id AS VARCHAR) || '.pptx' AS path, CAST(count(*) AS BIGINT) AS shapes,
+  SELECT '/room/decks/conv ' || CAST(conv_id AS VARCHAR) || '.pptx' AS path,
+         CAST(count(*) * CASE WHEN conv_id % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS shapes,
          CAST(count(*) FILTER (WHERE length(trim(text)) < {MIN_SHAPE_CHARS}) AS BIGINT) AS failed_shapes,
-         CAST(max(turn + 1) AS BIGINT) AS slides
+         CAST(max(turn + 1) + CASE WHEN conv_id % 3 = 0 THEN 100 ELSE 0 END AS BIGINT) AS slides
   FROM conversations GROUP BY conv_id)
 SELECT path, shapes, failed_shapes, slides, (failed_shapes > 0 AND failed_shapes = shapes) AS skipped,
        (failed_shapes = slides) AS skipped_by_slide_count FROM per"""
@@ -474,53 +504,30 @@ SELECT path, location, page_count, category, keyword, hits FROM p_hits"""
         cell_first.append(f"SELECT path, {_q(c)} AS category, {_undouble(f'regexp_extract(t2, {_q(pat)}, 1)')} "
                           f"AS first_match FROM wdoc")
     q["workbook_document_hits"] = f"""WITH {CELLS},
-first_sheet AS (SELECT path, min(CAST(split_part(sheet, '#', 2) AS INTEGER)) AS s FROM cells
-                WHERE value IS NOT NULL GROUP BY path),
+first_sheet AS (SELECT path, min(CAST(split_part(sheet, '#', 2) AS INTEGER)) AS s FROM cells GROUP BY path),
 wdoc AS (
-  SELECT c.path, ' ' || regexp_replace(string_agg(c.value, ' ' ORDER BY c.col, c.row), '([^{W}])', '\\1\\1', 'g') || ' ' AS t2
+  SELECT c.path, ' ' || regexp_replace(string_agg(coalesce(c.value, CAST(c.number AS VARCHAR)), ' ' ORDER BY c.col, c.row), '([^{W}])', '\\1\\1', 'g') || ' ' AS t2
   FROM cells c JOIN first_sheet f ON c.path = f.path AND CAST(split_part(c.sheet, '#', 2) AS INTEGER) = f.s
-  WHERE c.value IS NOT NULL GROUP BY c.path)
-SELECT * FROM ({' UNION ALL '.join(cell_first)}) WHERE first_match <> ''"""
-    q["page_hits"] = f"""WITH {pages},
-pseg AS (SELECT path, CAST(page AS BIGINT) AS seg_ord, CAST(page AS VARCHAR) AS location,
-                CAST(count(*) OVER (PARTITION BY path) AS INTEGER) AS page_count, text FROM pg),{hits_ctes(
-        True, seg="pseg", key="path, seg_ord, location, page_count", prefix="p_")}
-SELECT path, location, page_count, category, keyword, hits FROM p_hits"""
-    cell_first = []
-    for c, pat in _category_patterns(CELL_DICTIONARY):
-        cell_first.append(f"SELECT path, {_q(c)} AS category, {_undouble(f'regexp_extract(t2, {_q(pat)}, 1)')} "
-                          f"AS first_match FROM wdoc")
-    q["workbook_document_hits"] = f"""WITH {CELLS},
-first_sheet AS (SELECT path, min(CAST(split_part(sheet, '#', 2) AS INTEGER)) AS s FROM cells
-                WHERE value IS NOT NULL GROUP BY path),
-wdoc AS (
-  SELECT c.path, ' ' || regexp_replace(string_agg(c.value, ' ' ORDER BY c.col, c.row), '([^{W}])', '\\1\\1', 'g') || ' ' AS t2
-  FROM cells c JOIN first_sheet f ON c.path = f.path AND CAST(split_part(c.sheet, '#', 2) AS INTEGER) = f.s
-  WHERE c.value IS NOT NULL GROUP BY c.path)
+  GROUP BY c.path)
 SELECT * FROM ({' UNION ALL '.join(cell_first)}) WHERE first_match <> ''"""
     q["slide_hits"] = f"""WITH
-sl AS (SELECT '/room/decks/conv ' || CAST(conv_id AS VARCHAR) || '.pptx' AS path, turn + 1 AS slide, text
-       FROM conversations WHERE length(trim(text)) >= {MIN_SHAPE_CHARS}),
-sseg AS (SELECT path, CAST(slide * 1000000 + 1 AS BIGINT) AS seg_ord, CAST(slide AS VARCHAR) AS location,
-                CAST(max(slide) OVER (PARTITION BY path) AS INTEGER) AS page_count, text FROM sl),{hits_ctes(
+sl AS (SELECT '/room/decks/conv ' || CAST(conv_id AS VARCHAR) || '.pptx' AS path, turn + 1 AS slide, text,
+              max(turn + 1 + CASE WHEN conv_id % 3 = 0 THEN 100 ELSE 0 END) OVER (PARTITION BY conv_id) AS slides
+       FROM conversations),
+sseg AS (SELECT path, CAST(slide * 4294967296 + 1 AS BIGINT) AS seg_ord, CAST(slide AS VARCHAR) AS location,
+                CAST(slides AS INTEGER) AS page_count, text FROM sl),{hits_ctes(
         True, seg="sseg", key="path, seg_ord, location, page_count", prefix="s_")}
 SELECT path, seg_ord, location, page_count, category, keyword, hits FROM s_hits"""
     q["message_hits"] = f"""WITH
-msg AS (SELECT '/room/mail/conv ' || CAST(conv_id AS VARCHAR) || '.msg' AS path,
-               max(CASE WHEN turn = 0 THEN text END) AS subject, max(CASE WHEN turn = 1 THEN text END) AS body
-        FROM conversations GROUP BY conv_id),
+msg AS (SELECT '/room/mail/conv ' || CAST(conv_id AS VARCHAR) || ' turn ' || CAST(turn AS VARCHAR) || '.msg' AS path,
+               role AS subject, text AS body FROM conversations),
 mseg AS (SELECT path, CAST(1 AS BIGINT) AS seg_ord, '1' AS location, 1 AS page_count, body AS text FROM msg
          UNION ALL
          SELECT path, CAST(2 AS BIGINT), '1', 1, subject FROM msg),{hits_ctes(
         True, seg="mseg", key="path, seg_ord, location, page_count", prefix="m_")}
 SELECT path, seg_ord, location, page_count, category, keyword, hits FROM m_hits"""
     q["paragraph_hits"] = f"""WITH {ROOM_FILES},
-pseg2 AS (
-  SELECT p.path, CAST(s.seg_ord AS BIGINT) AS seg_ord, '1' AS location, 1 AS page_count, s.text FROM (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS text,
-           generate_subscripts(string_split(text, chr(10)), 1) AS seg_ord FROM documents) s
-  JOIN files f ON f.doc_id = s.doc_id AND f.status = 'scanned' AND suffix(f.path, '.docx')
-  JOIN parts p ON p.doc_id = s.doc_id),{hits_ctes(
+pseg2 AS (SELECT path, CAST(seg_ord AS BIGINT) AS seg_ord, '1' AS location, 1 AS page_count, text FROM all_seg),{hits_ctes(
         True, seg="pseg2", key="path, seg_ord, location, page_count", prefix="g_")}
 SELECT path, seg_ord, location, page_count, category, keyword, hits FROM g_hits"""
     q["keyword_files"] = room_hits_sql("""
@@ -530,9 +537,9 @@ JOIN (SELECT keyword, max(n) AS mx FROM (SELECT keyword, path, sum(hits) AS n FR
   USING (keyword)
 JOIN files f USING (path)""")
     q["request_files"] = room_hits_sql("""
-SELECT CAST(rk.request_no AS BIGINT) AS request_no, fk.path, CAST(count(*) AS BIGINT) AS n_keywords
+SELECT rk.row_ord, fk.path, CAST(count(*) AS BIGINT) AS n_keywords
 FROM (SELECT DISTINCT path, keyword FROM hits) fk
-JOIN (SELECT DISTINCT request_no, keyword FROM r_hits) rk USING (keyword)
+JOIN (SELECT DISTINCT row_ord, keyword FROM r_hits) rk USING (keyword)
 GROUP BY ALL HAVING count(*) >= 5""", extra=REQUESTS + "," + hits_ctes(
-        True, seg="it", key="request_no", text="sentence", prefix="r_"))
+        True, seg="it", key="row_ord", text="sentence", prefix="r_"))
     return q

@@ -18,20 +18,16 @@ from pyspark.sql import functions as F
 from ..functions.paths import UNKNOWN, kind
 from ..functions.text import keyword_count_label, yes_no
 from ..operators.lists import ordered_values, render
+from ..operators.match import first_hit_per_category
 
 FILE_PARTS = ["file_name", "index_number", "folder", "file_type"]
 
 
-def raw_details(files: DataFrame, hits: DataFrame, segments: DataFrame,
-                expand: bool = True) -> DataFrame:
+def raw_details(files: DataFrame, hits: DataFrame, expand: bool = True) -> DataFrame:
     """One row per occurrence (M1b) with file details, pages and location;
-    Unknown files appended with blanks (U2)."""
-    if "location" in hits.columns and "page_count" in hits.columns:
-        h = hits  # carried through the matcher, no second pass over the text
-    else:
-        seg = segments.select("path", "seg_ord", "location", "page_count")
-        h = hits.join(seg, ["path", "seg_ord"])
-    h = h.join(files.select("path", *FILE_PARTS), "path")
+    Unknown files appended with blanks (U2). ``hits`` carry ``location`` and
+    ``page_count`` from the matcher, so the text is not read again."""
+    h = hits.join(files.select("path", *FILE_PARTS), "path")
     if expand:
         h = h.withColumn("occurrence", F.explode(F.sequence(F.lit(1), F.col("hits").cast("int"))))
     found = h.select("file_name", "index_number", "folder", "path", "file_type",
@@ -44,6 +40,13 @@ def raw_details(files: DataFrame, hits: DataFrame, segments: DataFrame,
     return found.unionByName(unknown)
 
 
+def file_keywords(hits: DataFrame) -> DataFrame:
+    """One row per file and dictionary entry: hits and first segment. The
+    matcher's rows aggregate straight to this, partially before the shuffle."""
+    return (hits.groupBy("path", "category", "cat_ord", "keyword")
+                .agg(F.sum("hits").alias("n"), F.min("seg_ord").alias("first_seg")))
+
+
 def file_report(files: DataFrame, hits: DataFrame, threshold: int = 5,
                 metric: str = "hits", inclusive: bool = True, sort: bool = False) -> DataFrame:
     """R2 (A1-A5, J3, U2, O1): one row per file with hits, Unknown files
@@ -51,30 +54,27 @@ def file_report(files: DataFrame, hits: DataFrame, threshold: int = 5,
 
     Relevance (A5, A5b, A5c): ``metric`` ``hits`` (total hits) or ``keywords``
     (distinct keywords), compared with ``threshold`` (``>=`` when
-    ``inclusive``, else ``>``)."""
-    # Partial aggregation before any shuffle: a file holding a third of all
-    # hits still leaves each task with at most one row per dictionary entry,
-    # and the per-file roll-ups then see at most dictionary-size groups.
-    base = (hits.groupBy("path", "category", "cat_ord", "keyword")
-                .agg(F.sum("hits").alias("n"), F.min("seg_ord").alias("first_seg")))
-    per_kw = base.groupBy("path", "keyword").agg(F.sum("n").alias("n"))
-    per_cat = base.groupBy("path", "category", "cat_ord").agg(F.min("first_seg").alias("first_seg"))
-    kw = per_kw.groupBy("path").agg(
-        F.sum("n").alias("n_keywords_found"),
-        F.count(F.lit(1)).alias("n_distinct_keywords"),
-        ordered_values(F.col("keyword"), keyword_count_label(F.col("keyword"), F.col("n")))
-        .alias("_kw_labels"))
-    cat = per_cat.groupBy("path").agg(
-        F.count(F.lit(1)).alias("n_keyword_categories"),
-        ordered_values(F.struct("first_seg", "cat_ord"), F.col("category")).alias("_cats"))
-    per_file = kw.join(cat, "path")
-    value = F.col("n_keywords_found") if metric == "hits" else F.col("n_distinct_keywords")
+    ``inclusive``, else ``>``).
+
+    One aggregate to (file, entry), then one per file that collects its entries
+    (no more than the dictionary has); both lists are derived in the row."""
+    per = file_keywords(hits).groupBy("path").agg(
+        F.collect_list(F.struct("keyword", "category", "cat_ord", "n", "first_seg")).alias("_e"))
+    keywords = F.array_sort(F.array_distinct(F.transform("_e", lambda e: e["keyword"])))
+    counts = F.transform("_kws", lambda k: F.aggregate(
+        F.filter("_e", lambda e: e["keyword"] == k), F.lit(0).cast("long"), lambda acc, e: acc + e["n"]))
+    categories = F.array_distinct(F.transform(
+        F.array_sort(F.transform("_e", lambda e: F.struct(e["first_seg"].alias("s"), e["cat_ord"].alias("o"), e["category"].alias("c")))),
+        lambda x: x["c"]))
+    total = F.aggregate("_e", F.lit(0).cast("long"), lambda acc, e: acc + e["n"])
+    per = per.select("path", "_e", keywords.alias("_kws"), categories.alias("_cats"), total.alias("n_keywords_found"))
+    labels = F.transform(F.arrays_zip(F.col("_kws").alias("k"), counts.alias("n")), lambda x: keyword_count_label(x["k"], x["n"]))
+    value = F.col("n_keywords_found") if metric == "hits" else F.size("_kws")
     relevant = value >= threshold if inclusive else value > threshold
-    found = (per_file.join(files.select("path", *FILE_PARTS), "path")
-             .select(*FILE_PARTS, F.lit("Successful").alias("scan_status"),
-                     F.col("n_keywords_found").cast("long").alias("n_keywords_found"),
-                     F.col("n_keyword_categories").cast("long").alias("n_keyword_categories"),
-                     F.array_join("_kw_labels", "").alias("keyword_details"),
+    found = (per.join(files.select("path", *FILE_PARTS), "path")
+             .select(*FILE_PARTS, F.lit("Successful").alias("scan_status"), "n_keywords_found",
+                     F.size("_cats").cast("long").alias("n_keyword_categories"),
+                     F.array_join(labels, "").alias("keyword_details"),
                      render(F.col("_cats")).alias("category_details"),
                      "path", yes_no(relevant).alias("relevant")))
     unknown = files.where(F.col("status") == "unknown").select(
@@ -86,21 +86,28 @@ def file_report(files: DataFrame, hits: DataFrame, threshold: int = 5,
     return out.orderBy("file_name", "folder") if sort else out
 
 
-def keyword_report(files: DataFrame, hits: DataFrame, by: str = "path") -> DataFrame:
+def keyword_report(files: DataFrame, hits: DataFrame, by: str = "path", lists: bool = False) -> DataFrame:
     """R3 (A6-A12, W1): one row per distinct (keyword, category) with the
     keyword's totals over all its categories.
 
     ``by="path"`` counts files by path; ``by="name"`` reproduces the reference,
     which counts distinct file names (same-named files merge).
 
-    Plan: one partial aggregate of the hits per (keyword, category, file)
-    feeds both the (keyword, category) pairs and the per-keyword file list; a
-    single aggregate per keyword then yields every column (the list sorted by
-    path gives first appearance, distinct names and index numbers in order,
-    the maximum and its files) without further shuffles or joins."""
+    By default the columns are numbers only (``n_files, total_hits, max_hits``),
+    all from partial aggregates; which files those are is
+    :func:`keyword_files`, one row per keyword and file. ``lists=True`` adds the
+    spreadsheet's list columns: one value per keyword that names every file, for
+    rooms whose lists fit in a cell."""
     base = hits.groupBy("keyword", "category", "path").agg(F.sum("hits").alias("n"))
-    per_file = (base.groupBy("keyword", "path").agg(F.sum("n").alias("n"))
-                    .join(files.select("path", "file_name", "index_number"), "path"))
+    pairs = base.select("keyword", F.col("category").alias("keyword_category")).distinct()
+    per_file = base.groupBy("keyword", "path").agg(F.sum("n").alias("n"))
+    if by == "name" or lists:
+        per_file = per_file.join(files.select("path", "file_name", "index_number"), "path")
+    if not lists:
+        n_files = F.count(F.lit(1)) if by == "path" else F.countDistinct("file_name")
+        per_kw = per_file.groupBy("keyword").agg(n_files.cast("long").alias("n_files"), F.sum("n").cast("long").alias("total_hits"),
+                                                 F.max("n").cast("long").alias("max_hits"))
+        return pairs.join(per_kw, "keyword").select("keyword", "keyword_category", "n_files", "total_hits", "max_hits")
     per_kw = per_file.groupBy("keyword").agg(
         F.sum("n").cast("long").alias("total_hits"), F.max("n").alias("_max"),
         F.array_sort(F.collect_list(F.struct("path", "file_name", "index_number", "n"))).alias("_f"))
@@ -108,9 +115,9 @@ def keyword_report(files: DataFrame, hits: DataFrame, by: str = "path") -> DataF
     tops = F.array_sort(F.transform(F.filter("_f", lambda x: x["n"] == F.col("_max")),
                                     lambda x: F.struct(x["file_name"].alias("file_name"), x["path"].alias("path"))))
     n_files = F.size("_f") if by == "path" else F.size(names)
-    pairs = base.select("keyword", F.col("category").alias("keyword_category")).distinct()
     return (pairs.join(per_kw, "keyword")
                  .select("keyword", "keyword_category", n_files.cast("long").alias("n_files"), "total_hits",
+                         F.col("_max").cast("long").alias("max_hits"),
                          render(F.transform(tops, lambda x: x["file_name"])).alias("max_file_names"),
                          render(F.transform(tops, lambda x: x["path"])).alias("max_file_paths"),
                          render(names).alias("all_file_names"),
@@ -151,9 +158,21 @@ def run_summary(files: DataFrame, hits: DataFrame, warnings: DataFrame | None =
                       "total_hits", "message")
 
 
-def summary_json(summary: DataFrame) -> DataFrame:
-    """K9: the summary row as one JSON string."""
-    return summary.select(F.to_json(F.struct(*summary.columns)).alias("json"))
+# Kinds whose text is searched line by line; other files are searched as one text.
+LINE_KINDS = ("Microsoft Word", "Text File")
+
+
+def scope_first_hits(files: DataFrame, segments: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """R7's matches (M4/M5): the first match of each category in every line of a
+    text or word file, and in the whole document of any other; files of no known
+    kind are not searched. Returns ``path, first_match``."""
+    seg = segments.join(files.select("path", kind(F.col("file_name")).alias("_kind")).where(F.col("_kind") != UNKNOWN), "path")
+    lined = F.col("_kind").isin(*LINE_KINDS)
+    lines = seg.where(lined).select("path", F.explode(F.split("text", "\n")).alias("text"))
+    # One file's segments, bounded by the file.
+    whole = (seg.where(~lined).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("seg_ord", "text"))).alias("_s"))
+                .select("path", F.array_join(F.transform("_s", lambda x: x["text"]), " ").alias("text")))
+    return first_hit_per_category(lines.unionByName(whole), dictionary, key=("path",)).select("path", "first_match")
 
 
 def scope_index(entries: DataFrame, first_hits: DataFrame) -> DataFrame:
@@ -163,13 +182,13 @@ def scope_index(entries: DataFrame, first_hits: DataFrame) -> DataFrame:
     ``sources.inventory.with_folders``; ``first_hits``: ``path, first_match``
     (first match of each category per segment). Files of a known kind are In
     Scope when any match was found, with the unique matches (sorted; the
-    reference prints a set in arbitrary order)."""
+    reference prints a set in arbitrary order), an apostrophe in a match escaped."""
     matches = first_hits.groupBy("path").agg(F.array_sort(F.collect_set("first_match")).alias("_m"))
     files = entries.where(F.col("entry") == "File").join(matches, "path", "left")
     k = kind(F.col("file_name"))
     in_scope = (k != UNKNOWN) & F.col("_m").isNotNull() & (F.size("_m") > 0)
     notes = F.concat(F.lit("Matches: ["),
-                     F.array_join(F.transform("_m", lambda s: F.concat(F.lit("'"), s, F.lit("'"))), ", "),
+                     F.array_join(F.transform("_m", lambda s: F.concat(F.lit("'"), F.regexp_replace(s, r"(['\\])", r"\\$1"), F.lit("'"))), ", "),
                      F.lit("]"))
     file_rows = files.select(
         k.alias("kind"), F.col("file_name").alias("title"), F.col("path").alias("folder_path"),
@@ -192,6 +211,6 @@ def keyword_files(files: DataFrame, hits: DataFrame) -> DataFrame:
     per_file = (hits.groupBy("keyword", "path").agg(F.sum("hits").alias("n"))
                     .join(files.select("path", "file_name", "index_number"), "path"))
     mx = per_file.groupBy("keyword").agg(F.max("n").alias("_max"))
-    return (per_file.join(F.broadcast(mx), "keyword")
+    return (per_file.join(mx, "keyword")
                     .select("keyword", "path", "file_name", "index_number", F.col("n").cast("long").alias("hits"),
                             (F.col("n") == F.col("_max")).alias("is_max")))

@@ -1,25 +1,25 @@
 """Request reports (R4, R4b, R4c; J4, J5, A13, A14, A22, A23, P15, S19, S20).
 
 A request is a row of the request sheet: ``request_no, area, sentence,
-row_ord``. Only rows whose area is ``it`` (trimmed, any case) are reported; a
-request number that is not an integer is quarantined (the reference aborts
-the whole sheet).
-
-Plan: the file keywords (one row per file and distinct keyword, partially
-aggregated before their shuffle). The requests' keywords are found with the
-same matcher as the files (requests are segments) and, being a small sheet
-matched against a dictionary, are broadcast after a size check. The join to
-file keywords and the per-(file, request) count are partially aggregated in
-the same stage; only (file, request) counts are shuffled, and only relevant
-pairs reach the per-request roll-up.
+row_ord``. Only rows whose area is ``it`` (trimmed, any case) are reported, and
+each row is judged by itself, also when two carry one number; a request number
+that is not an integer is quarantined (the reference aborts the whole sheet).
+
+Plan: requests with the same keywords are one set, and each file has its
+keywords in one row (bounded by the dictionary). A file meets a set through a
+keyword the two share, and only once: through the first such keyword in a fixed
+order. Whether the pair is relevant is decided in that row, so no row of a pair
+below the threshold is ever formed or shuffled. For the count report the sets
+are indexed by all but their ``min_keywords - 1`` last keywords (a set that
+shares ``min_keywords`` shares one of those).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import yes_no
+from ..functions.text import python_strip, yes_no
 from ..operators.lists import ordered_values, render
 from ..operators.match import DEFAULT_BROADCAST_LIMIT, keyword_hits
 
@@ -30,143 +30,169 @@ def request_number(value) -> "F.Column":
     """The sheet's number cell as an integer. Numeric cells arrive as
     floats (``12.0``) and are truncated as ``int()`` does; text that is not a
     number gives null (the row is quarantined)."""
-    return value.cast("string").try_cast("double").try_cast("long").try_cast("int")
+    return python_strip(value.cast("string")).try_cast("double").try_cast("long").try_cast("int")
+
+
+def _in_area(requests: DataFrame) -> DataFrame:
+    return requests.where(F.lower(python_strip("area")) == IT_AREA)
 
 
 def it_requests(requests: DataFrame) -> DataFrame:
     """Area gate and integer request number (bad numbers dropped
-    here, listed by ``quarantined_requests``)."""
-    return (requests.where(F.lower(F.trim("area")) == IT_AREA)
-                    .withColumn("request_no", request_number(F.col("request_no")))
-                    .where(F.col("request_no").isNotNull()))
+    here, listed by ``quarantined_requests``). ``row_ord`` tells rows apart."""
+    if "row_ord" not in requests.columns:
+        raise ValueError("requests need row_ord, the row's place in the sheet")
+    return (_in_area(requests).withColumn("request_no", request_number(F.col("request_no")))
+                              .where(F.col("request_no").isNotNull()))
 
 
 def quarantined_requests(requests: DataFrame) -> DataFrame:
-    return (requests.where(F.lower(F.trim("area")) == IT_AREA)
-                    .where(request_number(F.col("request_no")).isNull()))
-
-
-def _roll_up(reqs: DataFrame, pairs: DataFrame, files: DataFrame) -> DataFrame:
-    """Per request the flag, the number of relevant files and the three
-    lists (trailing ``", "``); requests without a relevant file are kept."""
+    return _in_area(requests).where(request_number(F.col("request_no")).isNull())
+
+
+def contained(sentences: DataFrame, key: list[str], sentence: str, terms: DataFrame, term: str) -> DataFrame:
+    """M6: (key, term) for every term contained in a sentence (substring, any
+    case, no word bounds). An equi-join on the term's first three characters
+    finds the candidates; ``contains`` decides."""
+    s = sentences.select(*key, F.lower(sentence).alias("_s"))
+    t = terms.select(F.col(term).alias("_term"), F.lower(term).alias("_t")).distinct()
+    t = t.withColumn("_g", F.substring("_t", 1, 3))
+    at = F.sequence(F.lit(1), F.greatest(F.length("_s"), F.lit(1)))
+    grams = F.array_distinct(F.concat(*[_grams(at, n) for n in (1, 2, 3)], F.array(F.lit(""))))
+    return (s.withColumn("_g", F.explode(grams)).join(t, "_g").where(F.contains("_s", "_t"))
+             .select(*key, F.col("_term").alias(term)).distinct())
+
+
+def _grams(at: Column, n: int) -> Column:
+    return F.transform(at, lambda i: F.substring(F.col("_s"), i, F.lit(n)))
+
+
+def _sets(request_keywords: DataFrame) -> DataFrame:
+    """(row_ord, keyword) -> one row per distinct keyword set: ``kws`` (sorted), ``rows`` (its requests)."""
+    per = request_keywords.groupBy("row_ord").agg(F.array_sort(F.collect_set("keyword")).alias("kws"))
+    return per.groupBy("kws").agg(F.sort_array(F.collect_list("row_ord")).alias("rows"))
+
+
+def _pairs(per_file: DataFrame, sets: DataFrame, needed: int, value: Column, least: int, name: str,
+           broadcast_limit: int) -> DataFrame:
+    """Relevant pairs (path, row_ord, value). ``per_file``: ``path, fkws`` and
+    what ``value`` reads; a set is met through one of its first
+    ``size - needed + 1`` keywords, the first that the file has."""
+    index = (sets.where(F.size("kws") >= needed)
+             .select("kws", "rows", F.posexplode(F.slice("kws", 1, F.size("kws") - (needed - 1))).alias("_i", "keyword")))
+    small = index.count() <= broadcast_limit
+    met = (per_file.withColumn("keyword", F.explode("fkws")).join(F.broadcast(index) if small else index, "keyword")
+           .where(F.size(F.array_intersect(F.slice("kws", 1, F.col("_i")), "fkws")) == 0)
+           .withColumn(name, value).where(F.col(name) >= least))
+    return met.select("path", F.explode("rows").alias("row_ord"), name)
+
+
+def _roll_up(reqs: DataFrame, pairs: DataFrame, files: DataFrame, lists: bool) -> DataFrame:
+    """Per request the flag, the number of relevant files and (with
+    ``lists``) the three lists (trailing ``", "``); requests without a relevant
+    file are kept."""
+    n = F.coalesce(F.col("n_relevant_files"), F.lit(0)).cast("long")
+    head = [F.col("request_no").cast("long").alias("request_no"), F.col("row_ord").cast("long").alias("row_ord"), "request",
+            yes_no(n > 0).alias("relevant_files_found"), n.alias("n_relevant_files")]
+    sheet = reqs.select("request_no", "row_ord", F.col("sentence").alias("request"))
+    if not lists:
+        return sheet.join(pairs.groupBy("row_ord").agg(F.count(F.lit(1)).alias("n_relevant_files")), "row_ord", "left").select(*head)
     rel = pairs.join(files.select("path", "file_name", "index_number"), "path")
     # One list per request (path order), rendered three ways.
-    agg = rel.groupBy("request_no").agg(
+    agg = rel.groupBy("row_ord").agg(
         F.count(F.lit(1)).alias("n_relevant_files"),
         F.array_sort(F.collect_list(F.struct("path", "file_name", "index_number"))).alias("_f"))
     empty = F.array().cast("array<string>")
 
     def listed(field):
         return render(F.coalesce(F.transform("_f", lambda x: x[field]), empty), trailing=True)
-    return (reqs.select("request_no", F.col("sentence").alias("request")).join(agg, "request_no", "left")
-                .select(F.col("request_no").cast("long").alias("request_no"), "request",
-                        yes_no(F.coalesce(F.col("n_relevant_files"), F.lit(0)) > 0).alias("relevant_files_found"),
-                        F.coalesce(F.col("n_relevant_files"), F.lit(0)).cast("long").alias("n_relevant_files"),
-                        listed("file_name").alias("file_names"), listed("index_number").alias("index_numbers"),
-                        listed("path").alias("paths")))
-
-
-def _sheet_bound(requests: DataFrame, dictionary: DataFrame) -> int:
-    """Upper bound of (request, keyword) rows: sheet rows x dictionary rows."""
-    return requests.count() * dictionary.count()
+    return sheet.join(agg, "row_ord", "left").select(
+        *head, listed("file_name").alias("file_names"), listed("index_number").alias("index_numbers"), listed("path").alias("paths"))
 
 
 def request_matches(files: DataFrame, hits: DataFrame, requests: DataFrame,
                     dictionary: DataFrame, min_keywords: int = 5,
                     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, by: str = "path") -> DataFrame:
-    """Relevant (request, file) pairs with the number of the file's
+    """Relevant (request row, file) pairs with the number of the file's
     distinct keywords found (word-bounded) in the request sentence.
 
     ``dictionary`` is the run's (prepared) dictionary: a keyword absent from
     every file pairs with no file, so matching requests against the whole
     dictionary gives the same pairs without a pass over the hits."""
-    reqs = it_requests(requests).select("request_no", "sentence")
-    req_kw = (keyword_hits(reqs, dictionary, key=("request_no",), text="sentence",
-                           broadcast_limit=broadcast_limit, prepared=True)
-              .select("request_no", "keyword").distinct())
-    rk = F.broadcast(req_kw) if _sheet_bound(reqs, dictionary) <= broadcast_limit else req_kw
-    # File keywords hash-partitioned by path once; the join to the broadcast
-    # request keywords and the per-(file, request) count stay in partition.
+    reqs = it_requests(requests).select("row_ord", "sentence")
+    req_kw = keyword_hits(reqs, dictionary, key=("row_ord",), text="sentence",
+                          broadcast_limit=broadcast_limit, prepared=True).select("row_ord", "keyword").distinct()
     if by == "name":
         # A13 parity: the reference collects keywords per file *name*, so
         # same-named files in different folders pool their keywords; the
         # name's first path stands for it in the lists.
         named = hits.select("path", "keyword").distinct().join(files.select("path", "file_name"), "path")
-        first = named.groupBy("file_name").agg(F.min("path").alias("path"))
-        fk = named.select("file_name", "keyword").distinct()
-        pairs = (fk.join(rk, "keyword").groupBy("file_name", "request_no")
-                   .agg(F.count(F.lit(1)).alias("n_keywords")).where(F.col("n_keywords") >= min_keywords))
-        return pairs.join(first, "file_name").select("path", "request_no", "n_keywords")
-    # One row per file with its distinct keywords (partial collect_set before
-    # the shuffle, so even a file holding a third of all hits ships at most one
-    # dictionary-sized set per task). The table is then clustered by path: the
-    # explode, the broadcast join and the per-(file, request) count need no
-    # further shuffle, and the (file, request) pairs are never shuffled.
-    fk = (hits.groupBy("path").agg(F.collect_set("keyword").alias("_kws"))
-              .select("path", F.explode("_kws").alias("keyword")))
-    return (fk.join(rk, "keyword")
-              .groupBy("path", "request_no").agg(F.count(F.lit(1)).alias("n_keywords"))
-              .where(F.col("n_keywords") >= min_keywords))
+        per_file = named.groupBy("file_name").agg(F.min("path").alias("path"), F.collect_set("keyword").alias("fkws"))
+    else:
+        # Partial collect_set before the shuffle: even a file holding a third of
+        # all hits ships at most one dictionary-sized set per task.
+        per_file = hits.groupBy("path").agg(F.collect_set("keyword").alias("fkws"))
+    per_file = per_file.where(F.size("fkws") >= min_keywords).select("path", "fkws")
+    return _pairs(per_file, _sets(req_kw), min_keywords, F.size(F.array_intersect("kws", "fkws")).cast("long"), min_keywords,
+                  "n_keywords", broadcast_limit)
 
 
 def request_report(files: DataFrame, hits: DataFrame, requests: DataFrame, dictionary: DataFrame,
-                   min_keywords: int = 5,
-                   broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, by: str = "path") -> DataFrame:
-    """Per IT request, the files with at least ``min_keywords`` distinct
+                   min_keywords: int = 5, broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, by: str = "path",
+                   lists: bool = False) -> DataFrame:
+    """Per IT request row, the files with at least ``min_keywords`` distinct
     file keywords in the request (by path; the reference merges same-named
-    files)."""
+    files). The pairs themselves are :func:`request_matches`; ``lists=True``
+    renders them as the spreadsheet's list columns."""
     pairs = request_matches(files, hits, requests, dictionary, min_keywords, broadcast_limit, by)
-    return _roll_up(it_requests(requests), pairs, files)
+    return _roll_up(it_requests(requests), pairs, files, lists)
+
+
+def weighted_matches(hits: DataFrame, requests: DataFrame, dictionary: DataFrame, min_score: int = 5,
+                     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    """(path, row_ord, score) pairs at ``min_score``: the sum of the file's
+    hits of every keyword contained (as a substring, any case) in the request."""
+    reqs = it_requests(requests).select("row_ord", "sentence")
+    rk = contained(reqs, ["row_ord"], "sentence", dictionary.select("keyword"), "keyword")
+    per_file = (hits.groupBy("path", "keyword").agg(F.sum("hits").alias("n"))
+                    .groupBy("path").agg(F.collect_list(F.struct("keyword", "n")).alias("_kn")))
+    per_file = per_file.withColumn("fkws", F.transform("_kn", lambda x: x["keyword"]))
+    score = F.aggregate(F.filter("_kn", lambda x: F.array_contains("kws", x["keyword"])), F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+    return _pairs(per_file, _sets(rk), 1, score, min_score, "score", broadcast_limit)
 
 
 def request_report_weighted(files: DataFrame, hits: DataFrame, requests: DataFrame,
                             dictionary: DataFrame, min_score: int = 5,
-                            broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """R4b (A22): score of a (request, file) = sum of the file's hits of every
-    keyword contained (as a substring, any case) in the request; relevant at
-    ``min_score``. The reference parsed the counts back from the rendered
+                            broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, lists: bool = False) -> DataFrame:
+    """R4b (A22). The reference parsed the counts back from the rendered
     keyword-details text; this uses the hits themselves."""
-    reqs = it_requests(requests).select("request_no", "sentence")
-    # Per file, its keyword counts in one row (bounded by the dictionary),
-    # clustered by path so the scoring below runs without another shuffle.
-    per_kw = (hits.groupBy("path", "keyword").agg(F.sum("hits").alias("n"))
-                  .groupBy("path").agg(F.collect_list(F.struct("keyword", "n")).alias("_kn"))
-                  .select("path", F.explode("_kn").alias("_e")).select("path", "_e.keyword", "_e.n"))
-    kws = dictionary.select("keyword").distinct()
-    bound = _sheet_bound(reqs, dictionary)
-    # Requests x dictionary keywords by containment: a sheet against a
-    # dictionary, both bounded (checked), nothing from the corpus.
-    rk = (reqs.join(F.broadcast(kws) if bound <= broadcast_limit else kws,
-                    F.contains(F.lower("sentence"), F.lower("keyword")))
-              .select("request_no", "keyword"))
-    rk = F.broadcast(rk) if bound <= broadcast_limit else rk
-    pairs = (per_kw.join(rk, "keyword")
-                   .groupBy("path", "request_no").agg(F.sum("n").alias("score"))
-                   .where(F.col("score") >= min_score))
-    return _roll_up(it_requests(requests), pairs, files)
+    pairs = weighted_matches(hits, requests, dictionary, min_score, broadcast_limit)
+    return _roll_up(it_requests(requests), pairs, files, lists)
+
+
+def any_matches(requests: DataFrame, index_matches: DataFrame) -> DataFrame:
+    """(row_ord, path, file_name) of the scope index's files whose match
+    list holds any term contained in the sentence (no area gate)."""
+    reqs = requests.where(request_number(F.col("request_no")).isNotNull()).select("row_ord", "sentence")
+    rt = contained(reqs, ["row_ord"], "sentence", index_matches.select("match").distinct(), "match")
+    return index_matches.join(rt, "match").select("row_ord", "path", "file_name").distinct()
 
 
 def request_report_any(requests: DataFrame, index_matches: DataFrame) -> DataFrame:
-    """R4c (A23, M6): per request (no area gate), the files of a scope index
-    whose match list holds any term contained in the sentence (substring, any
-    case). ``index_matches``: ``path, file_name, match`` (one row per term, as
-    S20 parses it back). Files are space-separated in path order."""
-    reqs = requests.withColumn("request_no", request_number(F.col("request_no"))) \
-                   .where(F.col("request_no").isNotNull()).select("request_no", "sentence")
-    terms = index_matches.select("match").distinct()
-    n = terms.count()
-    tb = F.broadcast(terms) if n <= DEFAULT_BROADCAST_LIMIT else terms
-    rt = reqs.join(tb, F.contains(F.lower("sentence"), F.lower("match"))).select("request_no", "match")
-    rt = F.broadcast(rt) if rt.count() <= DEFAULT_BROADCAST_LIMIT else rt
-    pairs = index_matches.join(rt, "match").select("request_no", "path", "file_name").distinct()
-    return (pairs.groupBy("request_no").agg(
-                F.count(F.lit(1)).cast("long").alias("n_files"),
-                F.array_join(ordered_values(F.col("path"), F.col("file_name")), " ").alias("file_names"))
-            .select(F.col("request_no").cast("long").alias("request_no"), "n_files", "file_names"))
+    """R4c (A23, M6): per request row with a match, the number of files and
+    their names, space-separated in path order (the reference's one cell; the
+    pairs themselves are :func:`any_matches`). ``index_matches``: ``path,
+    file_name, match`` (one row per term, as S20 parses it back)."""
+    per = any_matches(requests, index_matches).groupBy("row_ord").agg(
+        F.count(F.lit(1)).cast("long").alias("n_files"),
+        F.array_join(ordered_values(F.col("path"), F.col("file_name")), " ").alias("file_names"))
+    sheet = requests.select("row_ord", request_number(F.col("request_no")).cast("long").alias("request_no"))
+    return sheet.join(per, "row_ord").select("request_no", F.col("row_ord").cast("long").alias("row_ord"), "n_files", "file_names")
 
 
 def parse_prior_index(index: DataFrame, notes: str = "notes") -> DataFrame:
-    """``Matches: ['a', 'b']`` back into one row per term."""
-    return (index.select("*", F.explode(F.regexp_extract_all(F.col(notes), F.lit(r"'([^']*)'"), F.lit(1)))
-                         .alias("match"))
-                 .withColumn("match", F.trim("match")))
+    """``Matches: ['a', 'b']`` back into one row per term (an apostrophe or
+    backslash of a term comes escaped)."""
+    found = F.regexp_extract_all(F.col(notes), F.lit(r"'((?:[^'\\]|\\.)*)'"), F.lit(1))
+    return (index.select("*", F.explode(found).alias("match"))
+                 .withColumn("match", F.trim(F.regexp_replace("match", r"\\(.)", "$1"))))

@@ -6,74 +6,68 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.match import expand_occurrences, keyword_hits, prepare_dictionary
+from ..operators.match import keyword_hits, matchable
 from ..sources import testbed as tb
 from . import reports
 from .materialize import materialize
 
-
-_DICTS: dict[tuple[int, bool], DataFrame] = {}
+HIT_KEY = ("path", "seg_ord", "location", "page_count")
 
 
 def room_dictionary(spark: SparkSession, with_user: bool = True) -> DataFrame:
-    """The run's dictionary, prepared (category order, keyword ids) and cached
-    once per session: every report of a run matches against the same one."""
-    k = (id(spark), with_user)
-    if k not in _DICTS:
-        _DICTS[k] = prepare_dictionary(tb.room_dictionary(spark, with_user)).cache()
-    return _DICTS[k]
-
-
-def _hits(spark: SparkSession, sf_dir: str, with_user: bool = True, reused: bool = False,
-          carry: bool = False) -> DataFrame:
-    """The hit table of the room. A report that reads the hits in several
-    branches gets it materialized (``reused``: written once to the checkpoint
-    folder, as ``plans.run`` does for a whole run); a report with a single
-    consumer reads the plan directly."""
-    if not reused:
-        key = ("path", "seg_ord", "location", "page_count") if carry else ("path", "seg_ord")
-        return keyword_hits(tb.room_segments(spark, sf_dir), room_dictionary(spark, with_user), key=key,
-                            prepared=True)
-    # The materialized table carries each segment's location and page count
-    # (short columns, part of the key) so raw details need no second text pass.
-    h = keyword_hits(tb.room_segments(spark, sf_dir), room_dictionary(spark, with_user),
-                     key=("path", "seg_ord", "location", "page_count"), prepared=True)
-    return materialize(h, "hits")
+    """The run's dictionary, prepared (category order, keyword ids, patterns)."""
+    return matchable(tb.room_dictionary(spark, with_user))
+
+
+def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The room's hits with each segment's location and page count; matching
+    shuffles nothing, so each report aggregates straight from the scan."""
+    return keyword_hits(tb.room_segments(spark, sf_dir), room_dictionary(spark), key=HIT_KEY, prepared=True)
 
 
 def q_keyword_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hits per line and dictionary entry."""
-    return _hits(spark, sf_dir).select("path", "seg_ord", "category", "keyword", "hits")
+    """Hits per line and dictionary entry, over every document."""
+    return (keyword_hits(tb.all_segments(spark, sf_dir), room_dictionary(spark), prepared=True)
+            .select("path", "seg_ord", "category", "keyword", "hits"))
 
 
 def q_raw_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per occurrence, Unknown files appended."""
-    files = tb.room_files(spark, sf_dir)
-    return reports.raw_details(files, _hits(spark, sf_dir, carry=True), tb.room_segments(spark, sf_dir))
+    return reports.raw_details(tb.room_files(spark, sf_dir), _hits(spark, sf_dir))
 
 
 def q_file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2 (A1-A5, U2, J3, O1)."""
-    return reports.file_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir, reused=True), sort=True)
+    return reports.file_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir), sort=True)
 
 
 def q_relevance_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Relevant when more than 5 distinct keywords."""
-    r = reports.file_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir, reused=True),
+    r = reports.file_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir),
                             threshold=5, metric="keywords", inclusive=False)
     return r.where(F.col("scan_status") == "Successful").select("path", "relevant")
 
 
 def q_relevance_hits_gt5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Relevant when more than 5 hits."""
-    r = reports.file_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir, reused=True),
+    r = reports.file_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir),
                             threshold=5, metric="hits", inclusive=False)
     return r.where(F.col("scan_status") == "Successful").select("path", "relevant")
 
 
 def q_keyword_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R3 (A6-A12, W1)."""
-    return reports.keyword_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir, reused=True))
+    """R3 (A6-A12, W1) with its list columns."""
+    return reports.keyword_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir), lists=True)
+
+
+def q_keyword_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 as a run writes it by default: numbers, no lists."""
+    return reports.keyword_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir))
+
+
+def q_keyword_report_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files counted by name, as the reference does."""
+    return reports.keyword_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir), by="name")
 
 
 def q_unmatched_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,14 +95,22 @@ def q_request_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R4 (J4, J5, A13, A14, P15)."""
     from .requests import request_report
     return request_report(tb.room_files(spark, sf_dir), _hits(spark, sf_dir), tb.room_requests(spark, sf_dir),
-                          room_dictionary(spark))
+                          room_dictionary(spark), lists=True)
+
+
+def q_request_files_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keywords pooled per file name, the name's first path in the pair."""
+    from .requests import request_matches
+    return request_matches(tb.room_files(spark, sf_dir), _hits(spark, sf_dir), tb.room_requests(spark, sf_dir),
+                           room_dictionary(spark), by="name").select(
+        F.col("row_ord").cast("long").alias("row_ord"), "path", "n_keywords")
 
 
 def q_request_report_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R4b (A22)."""
     from .requests import request_report_weighted
     return request_report_weighted(tb.room_files(spark, sf_dir), _hits(spark, sf_dir),
-                                   tb.room_requests(spark, sf_dir), room_dictionary(spark))
+                                   tb.room_requests(spark, sf_dir), room_dictionary(spark), lists=True)
 
 
 def q_path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,10 +122,6 @@ def q_path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                strip_root("folder", "/room").alias("rel_folder"))
 
 
-def q_expanded_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expand_occurrences(_hits(spark, sf_dir))
-
-
 # ---- paths, routing, census -------------------------------------------------
 
 def q_index_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,8 +188,8 @@ def q_float_column_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_cell_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3 (S5, P7): string cells holding a term of a category."""
     from ..operators.match import cell_hits
-    from ..sources.scans import workbook_segments
-    seg = workbook_segments(tb.room_cells(spark, sf_dir))
+    from ..sources.scans import cell_segments
+    seg = cell_segments(tb.room_cells(spark, sf_dir))
     d = tb.dict_from_rows(spark, tb.CELL_DICTIONARY)
     return (cell_hits(seg, d, key=("path", "seg_ord", "location"))
             .select("path", "location", "category", "text"))
@@ -210,7 +208,7 @@ def q_category_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-category alternation, matches as written."""
     from ..operators.match import category_hits
     d = tb.dict_from_rows(spark, tb.TEST_DICTIONARY)
-    return (category_hits(tb.room_segments(spark, sf_dir), d)
+    return (category_hits(tb.all_segments(spark, sf_dir), d)
             .select("path", "seg_ord", "category", "keyword", F.col("hits").cast("long").alias("hits")))
 
 
@@ -218,35 +216,23 @@ def q_first_hit_per_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4: first match of each category per line."""
     from ..operators.match import first_hit_per_category
     d = tb.dict_from_rows(spark, tb.TEST_DICTIONARY)
-    return first_hit_per_category(tb.room_segments(spark, sf_dir), d).select(
+    return first_hit_per_category(tb.all_segments(spark, sf_dir), d).select(
         "path", "seg_ord", "category", "first_match")
 
 
-def _room_whole_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..sources.scans import whole_text_segments
-    from ..sources.partitioning import ensure_parallelism
-    d = tb.read(spark, sf_dir, "documents")
-    path = tb.room_path(F.col("doc_id"), F.col("source"), F.col("lang"))
-    docs = ensure_parallelism(d.where(F.col("n_chars") >= tb.MIN_EXTRACTABLE_CHARS)
-                               .select(path.alias("path"), "text", "doc_id"), "doc_id")
-    return whole_text_segments(docs)
-
-
 def q_first_hit_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M5: first match of each category per document (whole text)."""
     from ..operators.match import first_hit_per_category
     d = tb.dict_from_rows(spark, tb.TEST_DICTIONARY)
-    return first_hit_per_category(_room_whole_text(spark, sf_dir), d, key=("path",)).select(
+    return first_hit_per_category(tb.all_texts(spark, sf_dir), d, key=("path",)).select(
         "path", "category", "first_match")
 
 
 def _scope_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.match import first_hit_per_category
     from ..sources.inventory import with_folders
-    d = tb.dict_from_rows(spark, tb.TEST_DICTIONARY)
-    first = first_hit_per_category(tb.room_segments(spark, sf_dir), d).select("path", "first_match")
-    entries = with_folders(tb.room_files(spark, sf_dir).select("path", "file_name"))
-    return reports.scope_index(entries, first)
+    files = tb.room_files(spark, sf_dir).select("path", "file_name")
+    first = reports.scope_first_hits(files, tb.room_segments(spark, sf_dir), tb.dict_from_rows(spark, tb.TEST_DICTIONARY))
+    return reports.scope_index(with_folders(files), first)
 
 
 def q_scope_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,67 +344,55 @@ def _line_extractor(path, body):
 def q_extract_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-file Python extraction; failures become error rows."""
     from ..operators.extract import extract
-    from ..sources.partitioning import ensure_parallelism
-    d = tb.read(spark, sf_dir, "documents")
-    path = tb.room_path(F.col("doc_id"), F.col("source"), F.col("lang"))
-    files = ensure_parallelism(d.select("doc_id", path.alias("path"), F.col("text").alias("content")), "doc_id")
+    files = tb.all_texts(spark, sf_dir).select("path", F.col("text").alias("content"))
     return extract(files, _line_extractor).select("path", "seg_ord", "location", "page_count", "text", "error")
 
 
+def _segment_hits(spark: SparkSession, seg: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    from ..sources.scans import with_page_count
+    key = ("path", "seg_ord", "location") if counts is not None else HIT_KEY
+    h = keyword_hits(seg, room_dictionary(spark), key=key, prepared=True)
+    h = h if counts is None else with_page_count(h, counts)
+    return h.select("path", "seg_ord", "location", "page_count", "category", "keyword", "hits")
+
+
 def q_page_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S9 + M1: keyword hits per page of the paged files."""
-    from ..sources.scans import page_segments
-    seg = page_segments(tb.room_pages(spark, sf_dir))
-    h = keyword_hits(seg, room_dictionary(spark), key=("path", "seg_ord", "location", "page_count"), prepared=True)
-    return h.select("path", "location", "page_count", "category", "keyword", "hits")
+    """S9 + M1: keyword hits per page; the page count joins the hits."""
+    from ..sources.scans import page_counts, page_texts
+    pages = tb.room_pages(spark, sf_dir)
+    return _segment_hits(spark, page_texts(pages), page_counts(pages)).drop("seg_ord")
 
 
 def q_workbook_document_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S5b + M5: the first sheet of each workbook as one column-major text,
-    first match of each category in it."""
+    """S5b + M5: the first sheet of each workbook, numbers too, as one
+    column-major text, first match of each category in it."""
     from ..operators.match import first_hit_per_category
     from ..sources.scans import workbook_as_document
-    cells = tb.room_cells(spark, sf_dir).where(F.col("value").isNotNull())
-    doc = workbook_as_document(cells)
+    doc = workbook_as_document(tb.room_cells(spark, sf_dir))
     d = tb.dict_from_rows(spark, tb.CELL_DICTIONARY)
     return first_hit_per_category(doc, d, key=("path",)).select("path", "category", "first_match")
 
 
-def _segment_hits(spark: SparkSession, seg: DataFrame) -> DataFrame:
-    h = keyword_hits(seg, room_dictionary(spark), key=("path", "seg_ord", "location", "page_count"), prepared=True)
-    return h.select("path", "seg_ord", "location", "page_count", "category", "keyword", "hits")
-
-
 def q_slide_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S10 + M1: hits per slide text run (failed shapes carry no text)."""
-    from ..sources.scans import slide_segments
-    runs = tb.room_slides(spark, sf_dir).where(~F.col("failed"))
-    return _segment_hits(spark, slide_segments(runs))
+    """S10 + M1: hits per slide text run; slides without text count as slides."""
+    from ..sources.scans import slide_counts, slide_texts
+    runs = tb.room_slides(spark, sf_dir)
+    return _segment_hits(spark, slide_texts(runs), slide_counts(runs))
 
 
 def q_message_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S12 + M1: one mail per conversation (subject = first turn, body =
-    second), two segments each."""
+    """S12 + M1: every turn is a mail (subject = role, body = text), two segments each."""
     from ..sources.scans import message_segments
     c = tb.read(spark, sf_dir, "conversations")
-    msgs = (c.groupBy("conv_id")
-             .agg(F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("subject"),
-                  F.max(F.when(F.col("turn") == 1, F.col("text"))).alias("body"))
-             .select(F.concat(F.lit("/room/mail/conv "), F.col("conv_id").cast("string"), F.lit(".msg")).alias("path"),
-                     "body", "subject"))
+    msgs = c.select(F.format_string("/room/mail/conv %d turn %d.msg", F.col("conv_id"), F.col("turn")).alias("path"),
+                    F.col("text").alias("body"), F.col("role").alias("subject"))
     return _segment_hits(spark, message_segments(msgs))
 
 
 def q_paragraph_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S11 + M1: word files (the room's ``.docx``) scanned by paragraph."""
-    from ..functions.paths import handler
-    from ..sources.partitioning import ensure_parallelism
+    """S11 + M1: every document as a word file, scanned by paragraph."""
     from ..sources.scans import paragraph_segments
-    d = tb.read(spark, sf_dir, "documents")
-    path = tb.room_path(F.col("doc_id"), F.col("source"), F.col("lang"))
-    docs = ensure_parallelism(d.where((handler(path) == "docx") & (F.col("n_chars") >= tb.MIN_EXTRACTABLE_CHARS))
-                               .select("doc_id", path.alias("path"), F.split("text", "\n").alias("paragraphs")),
-                              "doc_id")
+    docs = tb.all_texts(spark, sf_dir).select("path", F.split("text", "\n").alias("paragraphs"))
     return _segment_hits(spark, paragraph_segments(docs))
 
 
@@ -432,5 +406,4 @@ def q_request_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .requests import request_matches
     return (request_matches(tb.room_files(spark, sf_dir), _hits(spark, sf_dir), tb.room_requests(spark, sf_dir),
                             room_dictionary(spark))
-            .select(F.col("request_no").cast("long").alias("request_no"), "path",
-                    F.col("n_keywords").cast("long").alias("n_keywords")))
+            .select(F.col("row_ord").cast("long").alias("row_ord"), "path", "n_keywords"))

@@ -1,40 +1,73 @@
 """One run: inventory + segments + dictionary -> hit table -> every report.
 
-The hit table is computed once and checkpointed (the reference writes its raw
-sheet and re-reads it for every report); the reports are independent
-aggregations over it and can be written in any order.
+The hit table is computed once and written to the checkpoint folder (the
+reference writes its raw sheet and re-reads it for every report); the reports
+are independent aggregations over it and can be written in any order. Hits
+carry location and page count, so no report reads the text again. Closing the
+results deletes the tables.
 """
 
 from __future__ import annotations
 
 import argparse
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.match import keyword_hits, prepare_dictionary
+from ..operators.match import keyword_hits, matchable
+from ..operators.ordering import sequential_row_number
 from ..sinks.writers import write_hits, write_report, write_summary_json
+from ..sources.inventory import with_folders
 from . import reports
-from .materialize import materialize
-from .requests import request_report
+from .materialize import materialize, release
+from .requests import request_matches, request_report, request_report_weighted
+
+HIT_KEY = ("path", "seg_ord", "location", "page_count")
+
+
+class Results(dict):
+    """Reports by name; ``owned`` are the tables they read."""
+
+    def __init__(self, *args, **kw):
+        super().__init__(*args, **kw)
+        self.owned: list[DataFrame] = []
+
+    def close(self) -> None:
+        for df in self.owned:
+            release(df)
+        self.owned.clear()
 
 
 def run(files: DataFrame, segments: DataFrame, dictionary: DataFrame,
         requests: DataFrame | None = None, relevance_threshold: int = 5,
-        request_min_keywords: int = 5) -> dict[str, DataFrame]:
-    """All reports of a run as DataFrames (nothing is written)."""
-    d = prepare_dictionary(dictionary).cache()
-    hits = materialize(keyword_hits(segments, d, prepared=True))
-    out = {
-        "raw_details": reports.raw_details(files, hits, segments),
+        request_min_keywords: int = 5, root: str = "", warnings: Sequence[str] = (),
+        lists: bool = False) -> Results:
+    """All reports of a run as DataFrames (nothing but the hit table is
+    written). ``lists`` renders the spreadsheet's list columns; without it the
+    long forms (``keyword_files``, ``request_files``) say which files."""
+    spark = segments.sparkSession
+    d = materialize(matchable(dictionary), "dictionary")
+    hits = materialize(keyword_hits(segments, d, key=HIT_KEY, prepared=True), "hits")
+    scope = reports.scope_index(with_folders(files.select("path", "file_name"), root),
+                                reports.scope_first_hits(files, segments, d.withColumnRenamed("kw_ord", "row_ord")))
+    told = spark.createDataFrame(list(enumerate(warnings, 1)), "ord int, warning string") if warnings else None
+    numbered = sequential_row_number(scope, "folder_path")
+    out = Results({
+        "raw_details": reports.raw_details(files, hits),
         "file_report": reports.file_report(files, hits, threshold=relevance_threshold, sort=True),
-        "keyword_report": reports.keyword_report(files, hits),
+        "keyword_report": reports.keyword_report(files, hits, lists=lists),
+        "keyword_files": reports.keyword_files(files, hits),
         "unmatched_files": reports.unmatched_files(files, hits),
         "skipped_files": reports.skipped_files(files),
-        "run_summary": reports.run_summary(files, hits),
-    }
+        "scope_index": numbered,
+        "run_summary": reports.run_summary(files, hits, told),
+    })
     if requests is not None:
-        out["request_report"] = request_report(files, hits, requests, d, request_min_keywords)
+        out["request_report"] = request_report(files, hits, requests, d, request_min_keywords, lists=lists)
+        out["request_files"] = request_matches(files, hits, requests, d, request_min_keywords)
+        out["request_report_weighted"] = request_report_weighted(files, hits, requests, d, lists=lists)
+    out.owned += [d, hits]
     return out
 
 
@@ -49,18 +82,22 @@ def write_run(results: dict[str, DataFrame], out_dir: str, fmt: str = "parquet")
 
 
 def main(argv: list[str] | None = None) -> None:
-    """Run the test room built from the driver tables and write the reports."""
+    """Scan a folder against a dictionary table and write the reports."""
     from ..session import local_session
-    from ..sources import testbed as tb
-    ap = argparse.ArgumentParser(description="keyword reports over the test room")
-    ap.add_argument("--sf-dir", default="/root/testdata/sf0.01")
+    from .folder import run_folder
+    ap = argparse.ArgumentParser(description="keyword reports over a folder")
+    ap.add_argument("--root", required=True, help="folder to scan")
+    ap.add_argument("--dictionary", required=True, help="parquet table: category, keyword, row_ord")
+    ap.add_argument("--requests", help="folder with the request sheet (CSV)")
+    ap.add_argument("--keywords", help="the user's terms, comma-separated")
+    ap.add_argument("--lists", action="store_true", help="render list columns")
     ap.add_argument("--out", required=True)
     ap.add_argument("--format", default="parquet")
     a = ap.parse_args(argv)
     spark: SparkSession = local_session()
-    res = run(tb.room_files(spark, a.sf_dir), tb.room_segments(spark, a.sf_dir), tb.room_dictionary(spark),
-              tb.room_requests(spark, a.sf_dir))
+    res = run_folder(spark, a.root, spark.read.parquet(a.dictionary), a.requests, a.keywords, lists=a.lists)
     write_run(res, a.out, a.format)
+    res.close()
     print(json.dumps({"out": a.out, "reports": sorted(res)}))
 
 

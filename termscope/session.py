@@ -7,6 +7,7 @@ build one for tests and the bench and make sure a shared checkpoint folder is se
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,7 +38,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; set a scratch one only when unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is left alone.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is left alone;
+    without it nothing is written, as each executor would write to its own disk.
     Only a bare local session (tests, bench) gets a fresh scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
@@ -48,29 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder all executors share (master is {master})")
     folder = tempfile.mkdtemp(prefix="termscope-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
-
-
-def recommended_conf(input_bytes: int, cores: int, shuffle_ratio: float = 0.05,
-                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Settings for a large run, sized from the corpus.
-
-    The matcher's one shuffle carries (segment, keyword) counts, a small
-    fraction (``shuffle_ratio``) of the text read; partitions are sized so each
-    holds about ``target_partition_bytes`` of it (AQE coalesces small ones and
-    splits skewed ones at run time). Scan splits stay at 128 MB so a task's
-    tokens fit in memory; a single text row is never split, so very large
-    files should be segmented by line or page."""
-    shuffle = max(cores * 2, int(input_bytes * shuffle_ratio / target_partition_bytes))
-    return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(shuffle),
-        "spark.sql.files.maxPartitionBytes": str(128 << 20),
-        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
-    }

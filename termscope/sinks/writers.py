@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 def write_hits(raw: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K1: raw hits, partitioned by category (a category's files are then
-    read without scanning the others)."""
-    raw.write.mode(mode).partitionBy("category").parquet(path)
+    read without scanning the others). The partition column is a copy,
+    ``category_part``, with a label for rows without a category (Unknown files):
+    a partition value of '' would read back as null."""
+    part = F.when(F.coalesce(F.col("category"), F.lit("")) == "", F.lit("(none)")).otherwise(F.col("category"))
+    raw.withColumn("category_part", part).write.mode(mode).partitionBy("category_part").parquet(path)
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:

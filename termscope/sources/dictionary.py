@@ -10,9 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .testbed import USER_CATEGORY
+# The category of the user's own terms.
+USER_CATEGORY = "User Input"
 
 
 def from_table(table: DataFrame, team: str | None = None) -> DataFrame:
@@ -22,16 +22,17 @@ def from_table(table: DataFrame, team: str | None = None) -> DataFrame:
     return t.select("category", "keyword", "row_ord")
 
 
-def dedup_keywords(d: DataFrame) -> DataFrame:
-    """One row per keyword (case-sensitive), the first by ``row_ord`` wins."""
-    w = Window.partitionBy("keyword").orderBy("row_ord")
-    return (d.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-             .select("category", "keyword", "row_ord"))
+def from_jdbc(spark: SparkSession, url: str, table: str, properties: dict, team: str | None = None) -> DataFrame:
+    """S13 from a database: the dictionary table, the team filter pushed to the
+    server. Credentials come from ``properties``. (Needs a database to run.)"""
+    return from_table(spark.read.jdbc(url=url, table=table, properties=properties), team)
 
 
-def dedup_pairs(d: DataFrame) -> DataFrame:
-    """Older generations drop only repeated (keyword, category) pairs."""
-    return (d.groupBy("category", "keyword").agg(F.min("row_ord").alias("row_ord")))
+def dedup_keywords(d: DataFrame) -> DataFrame:
+    """One row per keyword (case-sensitive), the first by ``row_ord`` wins.
+    A partial aggregate, so a much repeated keyword is one row per task."""
+    return (d.groupBy("keyword").agg(F.min_by(F.struct("category", "row_ord"), F.struct("row_ord", "category")).alias("first"))
+             .select("first.category", "keyword", "first.row_ord"))
 
 
 # Whole-argument spellings that mean "no user keywords".
@@ -48,17 +49,26 @@ def user_keywords_column(arg) -> "F.Column":
             .otherwise(cleaned)
 
 
-def user_keywords(spark: SparkSession, arg: str | None, first_ord: int = 1_000_000) -> DataFrame:
-    """The run argument as dictionary rows in category ``User Input``."""
+def user_keywords(spark: SparkSession, arg: str | None, first_ord: int = 1 << 60) -> DataFrame:
+    """The run argument as dictionary rows in category ``User Input``,
+    numbered after any stored dictionary."""
     df = spark.createDataFrame([(arg,)], "arg string")
     return (df.select(F.posexplode(user_keywords_column(F.col("arg"))).alias("_pos", "keyword"))
               .select(F.lit(USER_CATEGORY).alias("category"), "keyword",
-                      (F.col("_pos") + first_ord).cast("int").alias("row_ord")))
+                      (F.col("_pos") + F.lit(first_ord)).cast("long").alias("row_ord")))
 
 
 def extra_dictionary(d: DataFrame, extra: DataFrame, label: str = "User_Input") -> DataFrame:
-    """Terms of a second table under one category label, appended."""
-    return d.unionByName(extra.where(F.col("category") == label).select("category", "keyword", "row_ord"))
+    """Terms of a second table (``keyword, category``, with or without
+    ``row_ord``) under one category label, appended after all of ``d``."""
+    last = d.agg(F.coalesce(F.max("row_ord"), F.lit(0)).cast("long").alias("_last"))
+    e = extra.where(F.col("category") == label)
+    order = F.col("row_ord") if "row_ord" in extra.columns else F.lit(0)
+    e = e.select("category", "keyword", order.cast("long").alias("_ord"))
+    low = e.agg(F.coalesce(F.min("_ord"), F.lit(0)).alias("_low"))
+    shift = last.select(F.col("_last")).scalar() - low.select(F.col("_low")).scalar() + 1
+    return (d.select("category", "keyword", F.col("row_ord").cast("long").alias("row_ord"))
+             .unionByName(e.select("category", "keyword", (F.col("_ord") + shift).alias("row_ord"))))
 
 
 def unpivot_wide(sheet: DataFrame, category_cols: Sequence[str], row_col: str = "row",

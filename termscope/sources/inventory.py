@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.paths import with_path_parts
+from ..functions.paths import plain_path, with_path_parts
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
@@ -16,7 +16,7 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.load(root).select(
-        F.regexp_replace("path", "^file:", "").alias("path"), "length",
+        plain_path(F.col("_metadata.file_path")).alias("path"), "length",
         F.col("modificationTime").alias("modification_time"))
     if df.isEmpty():
         raise FileNotFoundError(f"no files under {root}")
@@ -26,15 +26,19 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
 def with_folders(files: DataFrame, root: str = "", exclude_suffix: str | None = None) -> DataFrame:
     """One row per file and one per directory between ``root`` and the
     file (``entry`` = ``Folder`` or ``File``), as the scope index lists them.
+    Without a root, every directory below ``/`` (or below an object store's
+    ``scheme://bucket``) is listed; files outside ``root`` have none.
     ``exclude_suffix`` drops a bookkeeping file by name (F10)."""
     if exclude_suffix:
         files = files.where(~F.col("path").endswith(exclude_suffix))
-    parts = F.split(F.col("path"), "/")
-    depth = F.size(parts)
-    prefixes = F.transform(F.sequence(F.lit(2), depth - 1),
-                           lambda i: F.array_join(F.slice(parts, 1, i), "/"))
-    dirs = (files.select(F.explode(prefixes).alias("path")).distinct()
-                 .where(F.length("path") > F.lit(len(root.rstrip("/")))))
+    base = root.rstrip("/")
+    top = F.lit(base) if base else F.regexp_extract("path", r"^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)?", 0)
+    below = F.substring(F.col("path"), F.length(top) + 1, F.length("path"))
+    parts = F.split(below, "/")  # "", dir, ..., file
+    inside = below.startswith("/") & (F.col("path").startswith(top)) & (F.size(parts) > 2)
+    prefixes = F.when(inside, F.transform(F.sequence(F.lit(2), F.greatest(F.size(parts) - 1, F.lit(2))),
+                                          lambda i: F.concat(top, F.array_join(F.slice(parts, 1, i), "/"))))
+    dirs = files.select(F.explode(prefixes).alias("path")).distinct()
     dirs = dirs.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"),
                        F.lit("Folder").alias("entry"))
     return files.select("path", "file_name", F.lit("File").alias("entry")).unionByName(dirs)

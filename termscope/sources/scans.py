@@ -18,9 +18,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.cells import cell_address, qualified_location
+from ..functions.paths import plain_path
+from ..operators.extract import COLUMN_BITS, csv_extractor, extract, segments_of
 
 SEGMENT_COLS = ["path", "seg_ord", "location", "page_count", "text"]
 
@@ -42,13 +43,10 @@ def whole_text_segments(df: DataFrame, path: str = "path", text: str = "text") -
                      F.col(text).alias("text"))
 
 
-def read_whole_text(spark: SparkSession, root: str) -> DataFrame:
-    """S7 from storage: ``text`` files read whole, path from file metadata.
-
-    ``_metadata.file_path`` is URL-encoded, so it is decoded before use."""
-    df = (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(root)
-          .select(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-                  .alias("path"), F.col("value").alias("text")))
+def read_whole_text(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
+    """S7 from storage: ``text`` files read whole, path from file metadata."""
+    df = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
+          .select(plain_path(F.col("_metadata.file_path")).alias("path"), F.regexp_replace("value", "\r\n?", "\n").alias("text")))
     return whole_text_segments(df)
 
 
@@ -58,65 +56,74 @@ def read_lines_latin1(spark: SparkSession, root: str, glob: str = "*.txt") -> Da
     The reference deletes its input afterwards; this does not."""
     raw = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
            .option("pathGlobFilter", glob).load(root))
-    return line_segments(raw.select(F.regexp_replace("path", "^file:", "").alias("path"),
+    return line_segments(raw.select(plain_path(F.col("_metadata.file_path")).alias("path"),
                                     F.decode("content", "ISO-8859-1").alias("text")))
 
 
-def csv_cells(spark: SparkSession, root: str, max_cols: int = 64) -> DataFrame:
-    """Every CSV cell with its 1-based row and column.
-
-    Row numbers must follow file order although a large file is split across
-    tasks: each task numbers its rows locally (``monotonically_increasing_id``
-    is contiguous inside a split), per-split row counts give running offsets
-    per file (a table with one row per split), and the offsets are added back.
-    No window runs over a whole file, so a huge file is not pulled into one
-    task."""
-    schema = ", ".join(f"c{i} string" for i in range(1, max_cols + 1))
-    raw = (spark.read.schema(schema).option("header", False).option("recursiveFileLookup", True)
-           .option("pathGlobFilter", "*.csv").option("mode", "PERMISSIVE").csv(root)
-           .withColumn("path", F.url_decode(F.replace(F.col("_metadata.file_path"),
-                                                      F.lit("+"), F.lit("%2B"))))
-           .withColumn("_split", F.col("_metadata.file_block_start"))
-           .withColumn("_id", F.monotonically_increasing_id()))
-    splits = raw.groupBy("path", "_split").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
-    w = Window.partitionBy("path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select("path", "_split", "_first",
-                            F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
-    # One row per split: Spark sizes this join (broadcast when small).
-    numbered = (raw.join(offsets, ["path", "_split"])
-                   .withColumn("row", (F.col("_offset") + F.col("_id") - F.col("_first") + 1).cast("int")))
-    cols = [F.struct(F.lit(i).alias("col"), F.col(f"c{i}").alias("value")) for i in range(1, max_cols + 1)]
-    return (numbered.select("path", "row", F.explode(F.array(*cols)).alias("c"))
-                    .where(F.col("c.value").isNotNull())
-                    .select("path", "row", "c.col", "c.value"))
+def read_binary(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+    """Files with their bytes, for the extractor hook: ``path, content``."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(root).select(plain_path(F.col("_metadata.file_path")).alias("path"), "content")
+
+
+def csv_cells(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
+    """Every CSV cell, ``path, row, col, value`` (1-based).
+
+    A line feed inside quotes makes it unknowable where a row starts without
+    reading the file from its beginning, so a file is parsed by one task (files
+    spread over the cluster); files that cannot be parsed are left out here and
+    listed by ``scan_folder``."""
+    found = segments_of(extract(read_binary(spark, root, glob), csv_extractor))
+    return found.select("path", F.shiftright("seg_ord", COLUMN_BITS).cast("int").alias("row"),
+                        F.col("seg_ord").bitwiseAND(F.lit((1 << COLUMN_BITS) - 1)).cast("int").alias("col"),
+                        F.col("text").alias("value"))
 
 
 def csv_cell_segments(cells: DataFrame) -> DataFrame:
     """S4 -> segments: location ``A1``, one page."""
     return cells.select(
         "path",
-        (F.col("row").cast("long") * 100_000 + F.col("col")).alias("seg_ord"),
+        (F.shiftleft(F.col("row").cast("long"), COLUMN_BITS) + F.col("col")).alias("seg_ord"),
         cell_address(F.col("col"), F.col("row")).alias("location"),
         F.lit(1).alias("page_count"),
         F.col("value").alias("text"))
 
 
-def workbook_segments(cells: DataFrame, skip_falsy: bool = False) -> DataFrame:
-    """``cells(path, sheet, sheet_ord, row, col, value, number)`` ->
-    segments with location ``Sheet: A1`` and page_count = sheets in the file.
+# Bits of a workbook cell's segment number: rows reach 2**20, columns 2**14.
+ROW_BITS, COL_BITS = 24, 16
 
-    Only string cells are matched (F1); numeric cells carry a null ``value``.
-    ``skip_falsy`` (S6, binary workbooks) also drops '' and 0 cells (F2)."""
+
+def cell_segments(cells: DataFrame, skip_falsy: bool = False) -> DataFrame:
+    """S5/S6 without the sheet count: one segment per string cell (F1; numeric
+    cells carry a null ``value``). ``skip_falsy`` (S6, binary workbooks) also
+    drops '' cells; a text "0" is true in Python and stays (F2)."""
     c = cells.where(F.col("value").isNotNull())
     if skip_falsy:
-        c = c.where((F.col("value") != "") & (F.col("value") != "0"))
-    sheets = cells.groupBy("path").agg(F.countDistinct("sheet").cast("int").alias("page_count"))
-    return (c.join(sheets, "path")
-             .select("path",
-                     (F.col("sheet_ord").cast("long") * 10_000_000_000 + F.col("row").cast("long") * 100_000
-                      + F.col("col")).alias("seg_ord"),
-                     qualified_location(F.col("sheet"), F.col("col"), F.col("row")).alias("location"),
-                     "page_count", F.col("value").alias("text")))
+        c = c.where(F.col("value") != "")
+    return c.select(
+        "path",
+        (F.shiftleft(F.col("sheet_ord").cast("long"), ROW_BITS + COL_BITS)
+         + F.shiftleft(F.col("row").cast("long"), COL_BITS) + F.col("col")).alias("seg_ord"),
+        qualified_location(F.col("sheet"), F.col("col"), F.col("row")).alias("location"),
+        F.col("value").alias("text"))
+
+
+def sheet_counts(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("path").agg(F.countDistinct("sheet").cast("int").alias("page_count"))
+
+
+def with_page_count(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Add a file's ``page_count`` to rows of its hits (join it to hits, which
+    are few, rather than to the text)."""
+    return rows.join(counts.select("path", "page_count"), "path")
+
+
+def workbook_segments(cells: DataFrame, skip_falsy: bool = False) -> DataFrame:
+    """``cells(path, sheet, sheet_ord, row, col, value, number)`` ->
+    segments with location ``Sheet: A1`` and page_count = sheets in the file."""
+    return with_page_count(cell_segments(cells, skip_falsy), sheet_counts(cells)).select(*SEGMENT_COLS)
 
 
 def workbook_as_document(cells: DataFrame, first_sheet_only: bool = True) -> DataFrame:
@@ -131,22 +138,29 @@ def workbook_as_document(cells: DataFrame, first_sheet_only: bool = True) -> Dat
                                           .alias("text")))
 
 
-def page_segments(pages: DataFrame) -> DataFrame:
-    """``pages(path, page, text)`` -> one segment per page, page_count =
-    pages of the file."""
-    counts = pages.groupBy("path").agg(F.count(F.lit(1)).cast("int").alias("page_count"))
-    return (pages.join(counts, "path")
-                 .select("path", F.col("page").cast("long").alias("seg_ord"),
-                         F.col("page").cast("string").alias("location"), "page_count", "text"))
+def page_counts(pages: DataFrame) -> DataFrame:
+    return pages.groupBy("path").agg(F.count(F.lit(1)).cast("int").alias("page_count"))
+
+
+def page_texts(pages: DataFrame) -> DataFrame:
+    """``pages(path, page, text)`` -> one segment per page; the page count
+    joins the hits (``with_page_count(hits, page_counts(pages))``)."""
+    return pages.select("path", F.col("page").cast("long").alias("seg_ord"),
+                        F.col("page").cast("string").alias("location"), "text")
+
+
+def slide_counts(runs: DataFrame) -> DataFrame:
+    """Slides of a deck, those without readable text included."""
+    return runs.groupBy("path").agg(F.max("slide").cast("int").alias("page_count"))
 
 
-def slide_segments(runs: DataFrame) -> DataFrame:
+def slide_texts(runs: DataFrame) -> DataFrame:
     """``runs(path, slide, run_ord, text)`` -> one segment per text run,
-    location = slide number, page_count = slides of the file."""
-    slides = runs.groupBy("path").agg(F.max("slide").cast("int").alias("page_count"))
-    return (runs.join(slides, "path")
-                .select("path", (F.col("slide").cast("long") * 1_000_000 + F.col("run_ord")).alias("seg_ord"),
-                        F.col("slide").cast("string").alias("location"), "page_count", "text"))
+    location = slide number; a run without text (a failed or empty shape) has
+    none. ``slide_counts`` of all runs joins the hits."""
+    return (runs.where(F.col("text").isNotNull())
+                .select("path", (F.shiftleft(F.col("slide").cast("long"), 32) + F.col("run_ord")).alias("seg_ord"),
+                        F.col("slide").cast("string").alias("location"), "text"))
 
 
 def paragraph_segments(docs: DataFrame, path: str = "path", paragraphs: str = "paragraphs") -> DataFrame:

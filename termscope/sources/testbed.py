@@ -37,9 +37,8 @@ TEST_DICTIONARY: list[tuple[str, str]] = [
 # The user's extra terms for a run (comma list, category "User Input").
 TEST_USER_KEYWORDS = "the, Apache, , On the"
 
-USER_CATEGORY = "User Input"
-
-# A file whose text is shorter than this fails extraction in the test room.
+# For the reports, a file whose text is shorter than this counts as failed; the
+# match-mode queries read every document.
 MIN_EXTRACTABLE_CHARS = 40
 
 
@@ -87,18 +86,39 @@ def room_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_path_parts(docs).withColumn("status", status).drop("n_chars")
 
 
+def _documents(spark: SparkSession, sf_dir: str, keep=None) -> DataFrame:
+    """``path, text`` of the documents, spread over the cores: the driver's small
+    tables are single files with one row group, which one task would read."""
+    d = read(spark, sf_dir, "documents")
+    if keep is not None:
+        d = d.where(keep)
+    d = d.select("doc_id", room_path(F.col("doc_id"), F.col("source"), F.col("lang")).alias("path"), "text")
+    want = spark.sparkContext.defaultParallelism
+    if d.rdd.getNumPartitions() < want:
+        d = d.repartition(want, "doc_id")
+    return d.select("path", "text")
+
+
 def room_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line segments of the scanned files (S8): ``path, seg_ord, location,
-    page_count, text``. Unknown and failed files have none; the filter is on
-    metadata and runs before the text is spread over the cores."""
+    page_count, text``. Unknown and failed files have none (the reports' rule);
+    the filter is on metadata and runs before the text is spread."""
     from ..functions.paths import handler
-    from .partitioning import ensure_parallelism
     from .scans import line_segments
-    d = read(spark, sf_dir, "documents")
     path = room_path(F.col("doc_id"), F.col("source"), F.col("lang"))
-    ok = (handler(path) != "unknown") & (F.col("n_chars") >= MIN_EXTRACTABLE_CHARS)
-    docs = ensure_parallelism(d.where(ok).select("doc_id", path.alias("path"), "text"), "doc_id")
-    return line_segments(docs, "path", "text")
+    return line_segments(_documents(spark, sf_dir, (handler(path) != "unknown") & (F.col("n_chars") >= MIN_EXTRACTABLE_CHARS)))
+
+
+def all_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line segments of every document."""
+    from .scans import line_segments
+    return line_segments(_documents(spark, sf_dir))
+
+
+def all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as one segment."""
+    from .scans import whole_text_segments
+    return whole_text_segments(_documents(spark, sf_dir))
 
 
 def room_dictionary(spark: SparkSession, with_user: bool = True) -> DataFrame:
@@ -106,19 +126,17 @@ def room_dictionary(spark: SparkSession, with_user: bool = True) -> DataFrame:
     terms, as ``category, keyword, row_ord``."""
     from .dictionary import dedup_keywords, user_keywords
     rows = [(c, k, i + 1) for i, (c, k) in enumerate(TEST_DICTIONARY)]
-    d = spark.createDataFrame(rows, "category string, keyword string, row_ord int")
-    d = dedup_keywords(d)
-    if not with_user:
-        return d
-    return d.unionByName(user_keywords(spark, TEST_USER_KEYWORDS, first_ord=len(rows) + 1))
+    d = dedup_keywords(spark.createDataFrame(rows, "category string, keyword string, row_ord long"))
+    return d.unionByName(user_keywords(spark, TEST_USER_KEYWORDS)) if with_user else d
 
 
 def room_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Request sheet rows (S19): ``request_no, area, sentence, row_ord``."""
+    """Request sheet rows (S19): ``request_no, area, sentence, row_ord``; two
+    rows share each number."""
     b = read(spark, sf_dir, "benchmark")
-    area = (F.when(b.item_id % 3 == 0, F.lit("IT")).when(b.item_id % 3 == 1, F.lit(" it "))
+    area = (F.when(b.item_id % 3 == 0, F.lit("IT")).when(b.item_id % 3 == 1, F.lit(" it\t"))
              .otherwise(F.lit("HR")))
-    return b.select(F.col("item_id").cast("string").alias("request_no"), area.alias("area"),
+    return b.select(F.floor(F.col("item_id") / 2).cast("string").alias("request_no"), area.alias("area"),
                     F.col("text").alias("sentence"), F.col("item_id").cast("int").alias("row_ord"))
 
 
@@ -143,7 +161,7 @@ TEAMS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 # The run's user in the team-dictionary query.
 TEST_GUID = "Customer#000000007"
 
-# Slide text runs shorter than this count as failed shapes.
+# For the skip rule, slide text runs shorter than this count as failed shapes.
 MIN_SHAPE_CHARS = 25
 
 
@@ -160,7 +178,8 @@ def routing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def room_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Workbook cells from ``part``: one workbook per part type, one sheet per
     brand, one row per part. Columns: name, brand, type (text), size and price
-    (numbers), size as text, ``#`` + key (text that looks numeric).
+    (numbers), size as text, ``#`` + key (text that looks numeric), a text "0"
+    in every third row; every seventh row lies beyond row 100,000.
 
     ``path, sheet, sheet_ord, row, col, value, number``: ``value`` is the text
     of a string cell (null for numbers), ``number`` the numeric value."""
@@ -173,42 +192,46 @@ def room_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = F.array(cell(1, F.col("p_name"), none_d), cell(2, F.col("p_brand"), none_d),
                     cell(3, F.col("p_type"), none_d), cell(4, none_s, F.col("p_size")),
                     cell(5, none_s, F.col("p_retailprice")), cell(6, F.col("p_size").cast("string"), none_d),
-                    cell(7, F.concat(F.lit("#"), F.col("p_partkey").cast("string")), none_d))
+                    cell(7, F.concat(F.lit("#"), F.col("p_partkey").cast("string")), none_d),
+                    cell(8, F.when(F.col("p_partkey") % 3 == 0, "0"), none_d))
     return (p.select(F.concat(F.lit("/room/sheets/"), F.col("p_type"), F.lit(".xlsx")).alias("path"),
                      F.col("p_brand").alias("sheet"),
                      F.try_element_at(F.split("p_brand", "#"), F.lit(2)).try_cast("int").alias("sheet_ord"),
-                     (F.col("p_partkey") + 1).cast("int").alias("row"), F.explode(cells).alias("c"))
+                     (F.col("p_partkey") + F.when(F.col("p_partkey") % 7 == 0, 100_000).otherwise(0) + 1).cast("int").alias("row"), F.explode(cells).alias("c"))
              .select("path", "sheet", "sheet_ord", "row", "c.col", "c.value", "c.number"))
 
 
 def room_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paged files from ``conversations``: one file per conversation (``.doc``
-    for every fourth, else ``.pdf``), page = turn + 1."""
+    for every fourth, else ``.pdf``), page = turn + 1; odd turns have white
+    space around their text and a literal debris sequence before it."""
     c = read(spark, sf_dir, "conversations")
     ext = F.when(F.col("conv_id") % 4 == 0, F.lit(".doc")).otherwise(F.lit(".pdf"))
     return c.select(F.concat(F.lit("/room/chats/conv "), F.col("conv_id").cast("string"), ext).alias("path"),
-                    (F.col("turn") + 1).cast("int").alias("page"), "text")
+                    (F.col("turn") + 1).cast("int").alias("page"),
+                    F.when(F.col("turn") % 2 == 1, F.concat(F.lit("\n\t "), F.lit("\\n"), F.col("text"), F.lit(" \n\n")))
+                     .otherwise(F.col("text")).alias("text"))
 
 
 def room_slides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slide decks from ``conversations``: slide = turn + 1, one text run per
-    slide; a run shorter than ``MIN_SHAPE_CHARS`` is a failed shape."""
+    slide; every third deck has a hundred slides more, without text. ``failed``
+    (a run shorter than ``MIN_SHAPE_CHARS``) serves the skip rule only."""
     c = read(spark, sf_dir, "conversations")
-    return c.select(F.concat(F.lit("/room/decks/conv "), F.col("conv_id").cast("string"), F.lit(".pptx")).alias("path"),
-                    (F.col("turn") + 1).cast("int").alias("slide"), F.lit(1).alias("run_ord"), "text",
-                    (F.length(F.trim("text")) < MIN_SHAPE_CHARS).alias("failed"))
-
-
-_ROW_DICTS: dict[tuple[int, tuple], DataFrame] = {}
+    slide = (F.col("turn") + 1).cast("int")
+    blank = F.struct((slide + 100).alias("slide"), F.lit(None).cast("string").alias("text"))
+    one = F.struct(slide.alias("slide"), F.col("text").alias("text"))
+    runs = F.when(F.col("conv_id") % 3 == 0, F.array(one, blank)).otherwise(F.array(one))
+    return (c.select(F.concat(F.lit("/room/decks/conv "), F.col("conv_id").cast("string"), F.lit(".pptx")).alias("path"),
+                     F.explode(runs).alias("r"))
+             .select("path", "r.slide", F.lit(1).alias("run_ord"), "r.text",
+                     (F.length(F.trim("r.text")) < MIN_SHAPE_CHARS).alias("failed")))
 
 
 def dict_from_rows(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
-    """A fixed dictionary as a DataFrame (one object per session and list)."""
-    k = (id(spark), tuple(rows))
-    if k not in _ROW_DICTS:
-        _ROW_DICTS[k] = spark.createDataFrame([(c, kw, i + 1) for i, (c, kw) in enumerate(rows)],
-                                              "category string, keyword string, row_ord int")
-    return _ROW_DICTS[k]
+    """A fixed dictionary as a DataFrame."""
+    return spark.createDataFrame([(c, kw, i + 1) for i, (c, kw) in enumerate(rows)],
+                                 "category string, keyword string, row_ord long")
 
 
 def room_users(spark: SparkSession, sf_dir: str) -> DataFrame:

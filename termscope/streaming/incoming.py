@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.paths import plain_path
 from ..operators.match import keyword_hits, prepare_dictionary
 from ..sources.scans import whole_text_segments
 
@@ -22,7 +23,7 @@ def start(spark: SparkSession, incoming: str, dictionary: DataFrame, hits_table:
     d = prepare_dictionary(dictionary).cache()
     stream = (spark.readStream.format("text").option("wholetext", True)
               .option("maxFilesPerTrigger", max_files_per_trigger).load(incoming)
-              .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
+              .select(plain_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("text")))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         # Each micro-batch overwrites its own folder, so a batch replayed after

@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -90,15 +92,43 @@ def test_large_dictionary_path_equals_broadcast_path(spark):
             assert ((f"/f{i}", k, want) in small) == (want > 0), (t, k)
 
 
-def test_many_categories_fallback(spark, monkeypatch):
+def test_category_passes_give_one_result(spark, monkeypatch):
     from termscope.operators import match
     seg = spark.createDataFrame([("/a", 1, "red hot rod and a blue ring")], "path string, seg_ord long, text string")
     d = spark.createDataFrame([("c1", "red", 1), ("c2", "hot", 2), ("c3", "blue", 3), ("c3", "ring", 4)],
                               "category string, keyword string, row_ord int")
-    inline = {(r.category, r.cat_ord, r.keyword, r.hits) for r in category_hits(seg, d).collect()}
-    monkeypatch.setattr(match, "MAX_INLINE_CATEGORIES", 1)
-    fallback = {(r.category, r.cat_ord, r.keyword, r.hits) for r in category_hits(seg, d).collect()}
-    assert inline == fallback == {("c1", 1, "red", 1), ("c2", 2, "hot", 1), ("c3", 3, "blue", 1), ("c3", 3, "ring", 1)}
+    one = {(r.category, r.cat_ord, r.keyword, r.hits) for r in category_hits(seg, d).collect()}
+    monkeypatch.setattr(match, "PASS_CHARS", 1)
+    many = {(r.category, r.cat_ord, r.keyword, r.hits) for r in category_hits(seg, d).collect()}
+    assert one == many == {("c1", 1, "red", 1), ("c2", 2, "hot", 1), ("c3", 3, "blue", 1), ("c3", 3, "ring", 1)}
+    with pytest.raises(ValueError):
+        category_hits(seg, d, broadcast_limit=3)
+
+
+def test_repeated_keys_and_rows_are_rows_of_their_own(spark):
+    seg = spark.createDataFrame([("/a", 1, "the the"), ("/a", 1, "the + on the"), ("/a", 1, "the + on the"), ("/a", 1, None), (None, 1, "on the")],
+                                "path string, seg_ord long, text string")
+    d = spark.createDataFrame([("c", "the", 1), ("c", "on the", 2), ("c", "+", 3), ("c", "\U0001f600", 4)], "category string, keyword string, row_ord int")
+    small = sorted(map(str, keyword_hits(seg, d).collect()))
+    large = sorted(map(str, keyword_hits(seg, d, broadcast_limit=0).collect()))
+    assert small == large and len(small) == 1 + 3 + 3 + 2
+
+
+def test_entries_with_one_number_stay_apart(spark):
+    seg = spark.createDataFrame([("/a", 1, "alpha alpha gamma")], "path string, seg_ord long, text string")
+    d = spark.createDataFrame([("c", "alpha", 1), ("x", "gamma", 1), ("x", "gamma", 1), (None, "beta", 1)], "category string, keyword string, row_ord int")
+    for limit in (0, 100):
+        assert {(r.keyword, r.hits) for r in keyword_hits(seg, d, broadcast_limit=limit).collect()} == {("alpha", 2), ("gamma", 1)}
+
+
+def test_plans_have_no_shuffle_of_segments_and_no_nested_loop(spark):
+    seg = spark.createDataFrame([("/a", 1, "on the + table")] * 3, "path string, seg_ord long, text string")
+    d = spark.createDataFrame([("c", "on the", 1), ("c", "table", 2), ("c", "+", 3)], "category string, keyword string, row_ord int")
+    small = keyword_hits(seg, d)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(path" not in small and "seg_ord#" not in "".join(x for x in small.split("\n") if "Exchange hash" in x)
+    large = keyword_hits(seg, d, broadcast_limit=0)._jdf.queryExecution().executedPlan().toString()
+    for plan in (small, large):
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_find_hits_modes(spark):

@@ -26,6 +26,9 @@ def test_extra_dictionary(spark):
     extra = spark.createDataFrame([("User_Input", "LAN", 10), ("Other", "x", 11)], "category string, keyword string, row_ord int")
     got = sorted((r.category, r.keyword) for r in extra_dictionary(d, extra).collect())
     assert got == [("IT Spend", "budget"), ("User_Input", "LAN")]
+    # Terms without numbers, or with clashing ones, come after the dictionary.
+    bare = extra_dictionary(d, extra.drop("row_ord")).orderBy("row_ord").collect()
+    assert [r.keyword for r in bare] == ["budget", "LAN"] and bare[1].row_ord > bare[0].row_ord
 
 
 def test_is_nan(spark):

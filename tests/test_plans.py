@@ -5,10 +5,12 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry_mod
+from termscope.plans import catalog
 
 SF = "/root/testdata/sf0.001"
-PY_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
+# The extractor hook parses files in Python.
+PYTHON_QUERIES = {"extract_with_errors", "csv_cells", "folder_scan"}
+PY_NODES = ("MapInArrow", "PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
 
 
 def _plan(df):
@@ -16,11 +18,11 @@ def _plan(df):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
-@pytest.mark.parametrize("name", sorted(n for n in entry_mod.queries() if n != "extract_with_errors"))
+@pytest.mark.parametrize("name", sorted(n for n in catalog.QUERIES if n not in PYTHON_QUERIES))
 def test_no_python_in_query_plans(spark, name):
-    plan = _plan(entry_mod.queries()[name](spark, SF))
+    plan = _plan(catalog.QUERIES[name](spark, SF))
     assert not any(p in plan for p in PY_NODES), name
-    assert "CartesianProduct" not in plan, name
+    assert "CartesianProduct" not in plan and "NestedLoopJoin Inner" not in plan.replace("BroadcastNestedLoopJoin BuildRight, Cross", ""), name
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")

@@ -38,9 +38,11 @@ def test_file_report(room):
 
 def test_keyword_report(room):
     files, hits, _ = room
-    rows = {r.keyword: r for r in reports.keyword_report(files, hits).collect()}
+    rows = {r.keyword: r for r in reports.keyword_report(files, hits, lists=True).collect()}
     the = rows["the"]
-    assert the.total_hits == 6 and the.n_files == 2
+    assert the.total_hits == 6 and the.n_files == 2 and the.max_hits == 3
+    plain = {r.keyword: (r.n_files, r.total_hits, r.max_hits) for r in reports.keyword_report(files, hits).collect()}
+    assert plain["the"] == (2, 6, 3)
     assert the.max_file_paths == "/room/a/1 x.txt, /room/b/1 x.txt"   # tie kept
     assert the.all_file_names == "1 x.txt"
     by_name = {r.keyword: r.n_files for r in reports.keyword_report(files, hits, by="name").collect()}
@@ -59,9 +61,9 @@ def test_request_report(room, spark):
     files, hits, d = room
     from termscope.operators.match import prepare_dictionary
     reqs = spark.createDataFrame(
-        [("1", "IT", "the of"), ("2", " it ", "nothing"), ("3", "HR", "the of"), ("x", "IT", "the"), ("4", None, "the")],
-        "request_no string, area string, sentence string")
-    out = {r.request_no: r for r in request_report(files, hits, reqs, prepare_dictionary(d), min_keywords=2).collect()}
+        [("1", "IT", "the of", 1), ("2", " it ", "nothing", 2), ("3", "HR", "the of", 3), ("x", "IT", "the", 4), ("4", None, "the", 5)],
+        "request_no string, area string, sentence string, row_ord int")
+    out = {r.request_no: r for r in request_report(files, hits, reqs, prepare_dictionary(d), min_keywords=2, lists=True).collect()}
     assert set(out) == {1, 2}                                 # area gate, bad number quarantined
     assert out[1].n_relevant_files == 1 and out[1].paths == "/room/a/1 x.txt, "
     assert out[2].relevant_files_found == "No" and out[2].file_names == ""
@@ -70,20 +72,84 @@ def test_request_report(room, spark):
 def test_request_report_by_name_pools_same_named_files(room, spark):
     files, hits, d = room
     from termscope.operators.match import prepare_dictionary
-    reqs = spark.createDataFrame([("1", "IT", "the of")], "request_no string, area string, sentence string")
+    reqs = spark.createDataFrame([("1", "IT", "the of", 1)], "request_no string, area string, sentence string, row_ord int")
     by_path = request_report(files, hits, reqs, prepare_dictionary(d), min_keywords=2).collect()[0]
-    by_name = request_report(files, hits, reqs, prepare_dictionary(d), min_keywords=2, by="name").collect()[0]
+    by_name = request_report(files, hits, reqs, prepare_dictionary(d), min_keywords=2, by="name", lists=True).collect()[0]
     assert by_path.n_relevant_files == 1
     # '/room/b/1 x.txt' has only 'the', but shares its name with a/1 x.txt.
     assert by_name.n_relevant_files == 1 and by_name.paths == "/room/a/1 x.txt, "
 
 
-def test_sequential_row_number(spark):
+@pytest.mark.parametrize("partitions", [7, 3])
+def test_sequential_row_number(spark, partitions):
+    # All columns, many rows: offsets and rows must come from one partitioning.
     from termscope.operators.ordering import sequential_row_number
-    df = spark.range(0, 1000).selectExpr("cast((id * 7919) % 1000 as string) as k")
-    got = sequential_row_number(df, "k", partitions=7).orderBy("row_no").collect()
-    assert [r.row_no for r in got] == list(range(1, 1001))
-    assert [r.k for r in got] == sorted(r.k for r in got)
+    df = spark.range(0, 200_000).selectExpr("lpad(cast((id * 7919) % 200000 as string), 6, '0') as k", "id", "id % 7 as other")
+    got = sequential_row_number(df, "k", partitions=partitions)
+    wrong = got.where("row_no <> cast(k as long) + 1")
+    assert got.count() == 200_000 and wrong.count() == 0 and got.select("row_no").distinct().count() == 200_000
+
+
+def test_folder_rows_at_the_root_and_in_an_object_store(spark):
+    from termscope.sources.inventory import with_folders
+    files = with_path_parts(spark.createDataFrame([("/top.txt",), ("/a/b/x.txt",), ("s3://bkt/k/y.txt",), ("s3://bkt/z.txt",)], "path string"))
+    dirs = lambda **kw: sorted(r.path for r in with_folders(files, **kw).where("entry = 'Folder'").collect())
+    assert dirs() == ["/a", "/a/b", "s3://bkt/k"]
+    assert dirs(root="/a") == ["/a/b"] and dirs(root="/a/") == ["/a/b"] and dirs(root="s3://bkt") == ["s3://bkt/k"]
+    assert with_folders(files, exclude_suffix="top.txt").where("entry = 'File'").count() == 3
+
+
+def test_requests_with_one_number_are_judged_apart(room, spark):
+    files, hits, d = room
+    from termscope.operators.match import prepare_dictionary
+    from termscope.plans.requests import request_report_weighted
+    reqs = spark.createDataFrame([("7", "IT", "the", 1), ("7", "IT", "of", 2), ("7", "IT", "of the", 3)],
+                                 "request_no string, area string, sentence string, row_ord int")
+    out = {r.row_ord: r.relevant_files_found for r in request_report(files, hits, reqs, prepare_dictionary(d), min_keywords=2).collect()}
+    assert out == {1: "No", 2: "No", 3: "Yes"}
+    out = {r.row_ord: r.paths for r in request_report_weighted(files, hits, reqs, prepare_dictionary(d), min_score=3, lists=True).collect()}
+    assert out == {1: "/room/a/1 x.txt, /room/b/1 x.txt, ", 2: "", 3: "/room/a/1 x.txt, /room/b/1 x.txt, "}
+
+
+def test_request_pairs_equal_brute_force(spark):
+    import random
+    from termscope.operators.match import prepare_dictionary
+    from termscope.plans.requests import request_matches, request_report_any, weighted_matches
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(14)]
+    d = prepare_dictionary(spark.createDataFrame([("c", w, i) for i, w in enumerate(words)], "category string, keyword string, row_ord int"))
+    reqs = [(str(i), "IT", " ".join(rng.sample(words, rng.randint(0, 8))), i) for i in range(40)]
+    held = {f"/f{i}": rng.sample(words, rng.randint(1, 9)) for i in range(60)}
+    rows = [(p, 1, "c", 1, w, i, rng.randint(1, 4)) for p, ws in held.items() for i, w in enumerate(ws)]
+    hits = spark.createDataFrame(rows, "path string, seg_ord long, category string, cat_ord int, keyword string, kw_ord long, hits long")
+    sheet = spark.createDataFrame(reqs, "request_no string, area string, sentence string, row_ord int")
+    for limit in (0, 1000):
+        got = {(r.path, r.row_ord): r.n_keywords for r in request_matches(None, hits, sheet, d, 3, broadcast_limit=limit).collect()}
+        assert got == {(p, i): n for p, ws in held.items() for _, _, s, i in reqs if (n := len(set(ws) & set(s.split()))) >= 3}
+        got = {(r.path, r.row_ord): r.score for r in weighted_matches(hits, sheet, d, 6, broadcast_limit=limit).collect()}
+        want = {}
+        for p, *_, w, _, n in rows:
+            for _, _, s, i in reqs:
+                if w in s:
+                    want[p, i] = want.get((p, i), 0) + n
+        assert got == {k: v for k, v in want.items() if v >= 6}
+    index = spark.createDataFrame([("/a", "a", "W1"), ("/a", "a", "w9"), ("/b", "b", ""), ("/c", "c", "it's")], "path string, file_name string, match string")
+    got = {r.row_ord: r.file_names for r in request_report_any(sheet, index).collect()}
+    assert got == {i: "a b" if "w1" in s or "w9" in s else "b" for _, _, s, i in reqs}
+
+
+def test_scope_index_searches_by_kind_and_parses_back(spark):
+    from termscope.plans.requests import parse_prior_index
+    from termscope.sources.inventory import with_folders
+    files = with_path_parts(spark.createDataFrame([("/r/a.txt",), ("/r/b.xlsx",), ("/r/c.zzz",)], "path string"))
+    seg = spark.createDataFrame([("/r/a.txt", 1, "red\nblue and red"), ("/r/b.xlsx", 1, "blue"), ("/r/b.xlsx", 2, "l'or red"), ("/r/c.zzz", 1, "red")],
+                                "path string, seg_ord long, text string")
+    d = spark.createDataFrame([("c", "red", 1), ("c", "blue", 2), ("q", "l'or", 3)], "category string, keyword string, row_ord int")
+    idx = reports.scope_index(with_folders(files), reports.scope_first_hits(files, seg, d))
+    notes = {r.folder_path: r.notes for r in idx.collect()}
+    assert notes["/r/a.txt"] == "Matches: ['blue', 'red']"                 # line by line
+    assert notes["/r/b.xlsx"] == "Matches: ['blue', 'l\\'or']" and notes["/r/c.zzz"] == ""   # the whole workbook once
+    assert sorted(r.match for r in parse_prior_index(idx.where("title = 'b.xlsx'")).collect()) == ["blue", "l'or"]
 
 
 def test_inventory_lists_files(spark, tmp_path):
@@ -108,7 +174,7 @@ def test_keyword_files_long_form(room):
 
 def test_request_numbers_truncate_like_int(spark):
     from termscope.plans.requests import it_requests, quarantined_requests
-    reqs = spark.createDataFrame([("12.0", "IT", "a"), ("7.9", "it", "b"), ("x1", "IT", "c"), ("3", "HR", "d")],
-                                 "request_no string, area string, sentence string")
+    reqs = spark.createDataFrame([("12.0", "IT", "a", 1), ("7.9", "it\t", "b", 2), ("x1", "IT", "c", 3), ("3", "HR", "d", 4)],
+                                 "request_no string, area string, sentence string, row_ord int")
     assert sorted(r.request_no for r in it_requests(reqs).collect()) == [7, 12]
     assert [r.sentence for r in quarantined_requests(reqs).collect()] == ["c"]

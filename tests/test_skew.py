@@ -30,6 +30,6 @@ def test_hot_file_and_keyword(spark):
     assert hot.keyword_details == f"of({evens}), the({evens * 2 + odds}), "
     plan = _plan(fr)
     assert "partial_sum" in plan               # pre-aggregated before the shuffle
-    kr = {r.keyword: r for r in reports.keyword_report(files, hits).collect()}
+    kr = {r.keyword: r for r in reports.keyword_report(files, hits, lists=True).collect()}
     assert kr["the"].total_hits == (n // 2) * 2 + (n // 2)
     assert kr["the"].n_files == 98

@@ -55,13 +55,74 @@ def test_extractor_errors_do_not_fail_the_job(spark):
     assert [tuple(r) for r in errors_of(out).collect()] == [("/bad.bin", "ValueError: binary")]
 
 
-def test_csv_cells_row_numbers(spark, tmp_path):
-    p = tmp_path / "a b.csv"
-    p.write_text("x,y\n" + "\n".join(f"r{i},v{i}" for i in range(1, 500)) + "\n")
-    cells = csv_cells(spark, str(tmp_path), max_cols=3)
-    rows = {(r.row, r.col): r.value for r in cells.collect()}
-    assert rows[(1, 1)] == "x" and rows[(500, 2)] == "v499"
-    assert cells.select("path").distinct().collect()[0][0].endswith("/a b.csv")
+def test_csv_cells_equal_the_csv_library(spark, tmp_path):
+    import csv
+    bodies = {
+        "a b.csv": "x,y\n" + "\n".join(f"r{i},v{i}" for i in range(1, 500)) + "\n",
+        "wide+1.csv": ",".join(f"c{i}" for i in range(300)) + "\n\n" + ",".join("z" * 80) + "\n",
+        "quoted.csv": 'a,"say ""the"" word","two\nlines"\n\n"",b\n"x\ny","z"\r\nlast,"",\n',
+        "empty.csv": "",
+    }
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body.encode())
+    got = {}
+    for r in csv_cells(spark, str(tmp_path)).collect():
+        got.setdefault(r.path, []).append((r.row, r.col, r.value))
+    want = {}
+    for name in bodies:
+        with open(tmp_path / name) as f:
+            cells = [(i, j, v) for i, row in enumerate(csv.reader(f), 1) for j, v in enumerate(row, 1)]
+        if cells:
+            want[str(tmp_path / name)] = cells
+    assert {k: sorted(v) for k, v in got.items()} == want
+
+
+def test_whole_texts_and_inventory_join(spark, tmp_path):
+    from termscope.sources.inventory import list_files
+    from termscope.sources.scans import read_lines_latin1, read_whole_text
+    (tmp_path / "d e").mkdir()
+    (tmp_path / "d e" / "ü+1%.txt").write_bytes("one\r\ntwo\nthree".encode())
+    (tmp_path / "b.txt").write_bytes(b"caf\xe9\nx")
+    (tmp_path / "c.bin").write_bytes(b"x")
+    texts = {r.path: (r.seg_ord, r.text) for r in read_whole_text(spark, str(tmp_path), glob="*1%.txt").collect()}
+    assert texts == {str(tmp_path / "d e" / "ü+1%.txt"): (1, "one\ntwo\nthree")}
+    assert {r.path for r in list_files(spark, str(tmp_path)).collect()} == {str(p) for p in tmp_path.rglob("*") if p.is_file()}
+    lines = [(r.path, r.text) for r in read_lines_latin1(spark, str(tmp_path), "b.txt").orderBy("seg_ord").collect()]
+    assert lines == [(str(tmp_path / "b.txt"), "café"), (str(tmp_path / "b.txt"), "x")]
+
+
+def test_cells_of_two_sheets_stay_apart(spark):
+    from termscope.sources.scans import cell_segments, workbook_segments
+    cells = spark.createDataFrame([("/w", "S1", 1, 100001, 1, "the", None), ("/w", "S2", 2, 1, 1, "the", None), ("/w", "S2", 2, 1_048_576, 16_384, "0", None),
+                                   ("/w", "S3", 3, 1, 1, "", None), ("/w", "S3", 3, 2, 1, None, 0.0)],
+                                  "path string, sheet string, sheet_ord int, row int, col int, value string, number double")
+    seg = workbook_segments(cells, skip_falsy=True).orderBy("seg_ord").collect()
+    assert [(r.location, r.text, r.page_count) for r in seg] == [("S1: A100001", "the", 3), ("S2: A1", "the", 3), ("S2: XFD1048576", "0", 3)]
+    assert cell_segments(cells).select("seg_ord").distinct().count() == 4
+
+
+def test_slides_without_text_count(spark):
+    from termscope.sources.scans import slide_counts, slide_texts
+    runs = spark.createDataFrame([("/d", 1, 1, "x"), ("/d", 2, 1, None), ("/d", 3, 1, None)], "path string, slide int, run_ord int, text string")
+    assert slide_counts(runs).collect()[0].page_count == 3 and slide_texts(runs).count() == 1
+
+
+def test_letters_of_a_page(spark):
+    from termscope.functions.text import letter_count
+    for text, n in [("\n\nabc\n", 3), ("a\\nb", 3), ("\t a b \u00a0", 2), ("x0cy", 3), ("", 0)]:
+        want = len(text.strip().replace(" ", "").replace("\\r", " ").replace("\\n", " ").replace("\\x", " ").replace("0c", " "))
+        assert want == n and spark.range(1).select(letter_count(F.lit(text)).alias("n")).collect()[0].n == n
+
+
+def test_late_parser_failure_leaves_one_error_row(spark):
+    files = spark.createDataFrame([("/late", "x"), ("/ok", "y")], "path string, content string")
+
+    def fn(path, body):
+        yield 1, "1", 1, body
+        if path == "/late":
+            raise OSError("cut off")
+    rows = sorted((r.path, r.text, r.error) for r in extract(files, fn).collect())
+    assert rows == [("/late", None, "OSError: cut off"), ("/ok", "y", None)]
 
 
 def test_line_segments(spark):
