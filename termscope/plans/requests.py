@@ -6,12 +6,9 @@ each row is judged by itself, also when two carry one number; a request number
 that is not an integer is quarantined (the reference aborts the whole sheet).
 
 Plan: requests with the same keywords are one set, and each file has its
-keywords in one row (bounded by the dictionary). A file meets a set through a
-keyword the two share, and only once: through the first such keyword in a fixed
-order. Whether the pair is relevant is decided in that row, so no row of a pair
-below the threshold is ever formed or shuffled. For the count report the sets
-are indexed by all but their ``min_keywords - 1`` last keywords (a set that
-shares ``min_keywords`` shares one of those).
+keywords in one row (bounded by the dictionary). Whether a file is relevant to a
+set is decided in the file's row, so a pair below the threshold never becomes a
+row, and no pair is shuffled before it is known to be relevant.
 """
 
 from __future__ import annotations
@@ -68,60 +65,67 @@ def _grams(at: Column, n: int) -> Column:
 
 
 def _sets(request_keywords: DataFrame) -> DataFrame:
-    """(row_ord, keyword) -> one row per distinct keyword set: ``kws`` (sorted), ``rows`` (its requests)."""
+    """(row_ord, keyword) -> one row per distinct keyword set: ``set_id``, ``kws`` (sorted), ``rows`` (its requests)."""
     per = request_keywords.groupBy("row_ord").agg(F.array_sort(F.collect_set("keyword")).alias("kws"))
-    return per.groupBy("kws").agg(F.sort_array(F.collect_list("row_ord")).alias("rows"))
+    return (per.groupBy("kws").agg(F.sort_array(F.collect_list("row_ord")).alias("rows"))
+               .select(F.element_at("rows", 1).alias("set_id"), "kws", "rows"))
 
 
-def _pairs(per_file: DataFrame, sets: DataFrame, needed: int, value: Column, least: int, name: str,
-           broadcast_limit: int) -> DataFrame:
-    """Relevant pairs (path, row_ord, value). ``per_file``: ``path, fkws`` and
-    what ``value`` reads; a set is met through one of its first
-    ``size - needed + 1`` keywords, the first that the file has."""
-    index = (sets.where(F.size("kws") >= needed)
-             .select("kws", "rows", F.posexplode(F.slice("kws", 1, F.size("kws") - (needed - 1))).alias("_i", "keyword")))
-    small = index.count() <= broadcast_limit
-    met = (per_file.withColumn("keyword", F.explode("fkws")).join(F.broadcast(index) if small else index, "keyword")
-           .where(F.size(F.array_intersect(F.slice("kws", 1, F.col("_i")), "fkws")) == 0)
-           .withColumn(name, value).where(F.col(name) >= least))
-    return met.select("path", F.explode("rows").alias("row_ord"), name)
+def _set_pairs(per_file: DataFrame, sets: DataFrame, needed: int, value, least: int, name: str,
+               broadcast_limit: int) -> DataFrame:
+    """Relevant pairs (path, set_id, value); ``value(kws)`` reads the file's row.
 
+    A sheet's sets within ``broadcast_limit`` keywords come as one array, and
+    each file picks its relevant sets in its row. A larger sheet is met through
+    an index: a set's first ``size - needed + 1`` keywords, of which the first
+    that the file has counts. Either way only relevant pairs become rows."""
+    sets = sets.where(F.size("kws") >= needed)
+    if (sets.agg(F.sum(F.size("kws"))).first()[0] or 0) <= broadcast_limit:
+        every = sets.agg(F.sort_array(F.collect_list(F.struct("set_id", "kws"))).alias("a")).scalar()
+        rated = F.transform("_sets", lambda x: F.struct(x["set_id"].alias("set_id"), value(x["kws"]).alias(name)))
+        return (per_file.withColumn("_sets", every)
+                .select("path", F.explode(F.filter(rated, lambda x: x[name] >= least)).alias("_p")).select("path", "_p.*"))
+    index = sets.select("set_id", "kws", F.posexplode(F.slice("kws", 1, F.size("kws") - (needed - 1))).alias("_i", "keyword"))
+    return (per_file.withColumn("keyword", F.explode("fkws")).join(index, "keyword")
+            .where(F.size(F.array_intersect(F.slice("kws", 1, F.col("_i")), "fkws")) == 0)
+            .withColumn(name, value(F.col("kws"))).where(F.col(name) >= least).select("path", "set_id", name))
 
-def _roll_up(reqs: DataFrame, pairs: DataFrame, files: DataFrame, lists: bool) -> DataFrame:
+
+def _request_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of sets as pairs of the sets' requests."""
+    return (pairs.join(sets.select("set_id", F.explode("rows").alias("row_ord")), "set_id").drop("set_id"))
+
+
+def _roll_up(reqs: DataFrame, pairs: DataFrame, sets: DataFrame, files: DataFrame, lists: bool) -> DataFrame:
     """Per request the flag, the number of relevant files and (with
     ``lists``) the three lists (trailing ``", "``); requests without a relevant
-    file are kept."""
+    file are kept. Requests with one keyword set share one aggregate."""
     n = F.coalesce(F.col("n_relevant_files"), F.lit(0)).cast("long")
     head = [F.col("request_no").cast("long").alias("request_no"), F.col("row_ord").cast("long").alias("row_ord"), "request",
             yes_no(n > 0).alias("relevant_files_found"), n.alias("n_relevant_files")]
-    sheet = reqs.select("request_no", "row_ord", F.col("sentence").alias("request"))
+    sheet = reqs.select("request_no", "row_ord", F.col("sentence").alias("request")).join(
+        sets.select("set_id", F.explode("rows").alias("row_ord")), "row_ord", "left")
     if not lists:
-        return sheet.join(pairs.groupBy("row_ord").agg(F.count(F.lit(1)).alias("n_relevant_files")), "row_ord", "left").select(*head)
+        return sheet.join(pairs.groupBy("set_id").agg(F.count(F.lit(1)).alias("n_relevant_files")), "set_id", "left").select(*head)
     rel = pairs.join(files.select("path", "file_name", "index_number"), "path")
-    # One list per request (path order), rendered three ways.
-    agg = rel.groupBy("row_ord").agg(
-        F.count(F.lit(1)).alias("n_relevant_files"),
-        F.array_sort(F.collect_list(F.struct("path", "file_name", "index_number"))).alias("_f"))
-    empty = F.array().cast("array<string>")
+    # One list per set (path order), rendered three ways.
+    agg = rel.groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("path", "file_name", "index_number"))).alias("_f"))
 
     def listed(field):
-        return render(F.coalesce(F.transform("_f", lambda x: x[field]), empty), trailing=True)
-    return sheet.join(agg, "row_ord", "left").select(
-        *head, listed("file_name").alias("file_names"), listed("index_number").alias("index_numbers"), listed("path").alias("paths"))
-
+        return render(F.transform("_f", lambda x: x[field]), trailing=True).alias(f"_{field}")
+    agg = agg.select("set_id", F.size("_f").alias("n_relevant_files"), listed("file_name"), listed("index_number"), listed("path"))
+    return sheet.join(agg, "set_id", "left").select(
+        *head, *[F.coalesce(f"_{c}", F.lit("")).alias(name) for c, name in
+                 (("file_name", "file_names"), ("index_number", "index_numbers"), ("path", "paths"))])
 
-def request_matches(files: DataFrame, hits: DataFrame, requests: DataFrame,
-                    dictionary: DataFrame, min_keywords: int = 5,
-                    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, by: str = "path") -> DataFrame:
-    """Relevant (request row, file) pairs with the number of the file's
-    distinct keywords found (word-bounded) in the request sentence.
 
-    ``dictionary`` is the run's (prepared) dictionary: a keyword absent from
-    every file pairs with no file, so matching requests against the whole
-    dictionary gives the same pairs without a pass over the hits."""
+def _keyword_pairs(files: DataFrame, hits: DataFrame, requests: DataFrame, dictionary: DataFrame, min_keywords: int,
+                   broadcast_limit: int, by: str) -> tuple[DataFrame, DataFrame]:
+    """(relevant pairs of file and keyword set, the sets)."""
     reqs = it_requests(requests).select("row_ord", "sentence")
     req_kw = keyword_hits(reqs, dictionary, key=("row_ord",), text="sentence",
                           broadcast_limit=broadcast_limit, prepared=True).select("row_ord", "keyword").distinct()
+    sets = _sets(req_kw)
     if by == "name":
         # A13 parity: the reference collects keywords per file *name*, so
         # same-named files in different folders pool their keywords; the
@@ -133,8 +137,20 @@ def request_matches(files: DataFrame, hits: DataFrame, requests: DataFrame,
         # all hits ships at most one dictionary-sized set per task.
         per_file = hits.groupBy("path").agg(F.collect_set("keyword").alias("fkws"))
     per_file = per_file.where(F.size("fkws") >= min_keywords).select("path", "fkws")
-    return _pairs(per_file, _sets(req_kw), min_keywords, F.size(F.array_intersect("kws", "fkws")).cast("long"), min_keywords,
-                  "n_keywords", broadcast_limit)
+    return _set_pairs(per_file, sets, min_keywords, lambda kws: F.size(F.array_intersect(kws, F.col("fkws"))).cast("long"), min_keywords,
+                      "n_keywords", broadcast_limit), sets
+
+
+def request_matches(files: DataFrame, hits: DataFrame, requests: DataFrame,
+                    dictionary: DataFrame, min_keywords: int = 5,
+                    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, by: str = "path") -> DataFrame:
+    """Relevant (request row, file) pairs with the number of the file's
+    distinct keywords found (word-bounded) in the request sentence.
+
+    ``dictionary`` is the run's (prepared) dictionary: a keyword absent from
+    every file pairs with no file, so matching requests against the whole
+    dictionary gives the same pairs without a pass over the hits."""
+    return _request_pairs(*_keyword_pairs(files, hits, requests, dictionary, min_keywords, broadcast_limit, by))
 
 
 def request_report(files: DataFrame, hits: DataFrame, requests: DataFrame, dictionary: DataFrame,
@@ -144,21 +160,28 @@ def request_report(files: DataFrame, hits: DataFrame, requests: DataFrame, dicti
     file keywords in the request (by path; the reference merges same-named
     files). The pairs themselves are :func:`request_matches`; ``lists=True``
     renders them as the spreadsheet's list columns."""
-    pairs = request_matches(files, hits, requests, dictionary, min_keywords, broadcast_limit, by)
-    return _roll_up(it_requests(requests), pairs, files, lists)
+    pairs, sets = _keyword_pairs(files, hits, requests, dictionary, min_keywords, broadcast_limit, by)
+    return _roll_up(it_requests(requests), pairs, sets, files, lists)
+
+
+def _weighted_pairs(hits: DataFrame, requests: DataFrame, dictionary: DataFrame, min_score: int,
+                    broadcast_limit: int) -> tuple[DataFrame, DataFrame]:
+    reqs = it_requests(requests).select("row_ord", "sentence")
+    sets = _sets(contained(reqs, ["row_ord"], "sentence", dictionary.select("keyword"), "keyword"))
+    per_file = (hits.groupBy("path", "keyword").agg(F.sum("hits").alias("n"))
+                    .groupBy("path").agg(F.collect_list(F.struct("keyword", "n")).alias("_kn")))
+    per_file = per_file.select("path", F.transform("_kn", lambda x: x["keyword"]).alias("fkws"), F.map_from_entries("_kn").alias("_n"))
+
+    def score(kws: Column) -> Column:
+        return F.aggregate(kws, F.lit(0).cast("long"), lambda acc, k: acc + F.coalesce(F.try_element_at("_n", k), F.lit(0)))
+    return _set_pairs(per_file, sets, 1, score, min_score, "score", broadcast_limit), sets
 
 
 def weighted_matches(hits: DataFrame, requests: DataFrame, dictionary: DataFrame, min_score: int = 5,
                      broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """(path, row_ord, score) pairs at ``min_score``: the sum of the file's
     hits of every keyword contained (as a substring, any case) in the request."""
-    reqs = it_requests(requests).select("row_ord", "sentence")
-    rk = contained(reqs, ["row_ord"], "sentence", dictionary.select("keyword"), "keyword")
-    per_file = (hits.groupBy("path", "keyword").agg(F.sum("hits").alias("n"))
-                    .groupBy("path").agg(F.collect_list(F.struct("keyword", "n")).alias("_kn")))
-    per_file = per_file.withColumn("fkws", F.transform("_kn", lambda x: x["keyword"]))
-    score = F.aggregate(F.filter("_kn", lambda x: F.array_contains("kws", x["keyword"])), F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
-    return _pairs(per_file, _sets(rk), 1, score, min_score, "score", broadcast_limit)
+    return _request_pairs(*_weighted_pairs(hits, requests, dictionary, min_score, broadcast_limit))
 
 
 def request_report_weighted(files: DataFrame, hits: DataFrame, requests: DataFrame,
@@ -166,8 +189,8 @@ def request_report_weighted(files: DataFrame, hits: DataFrame, requests: DataFra
                             broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, lists: bool = False) -> DataFrame:
     """R4b (A22). The reference parsed the counts back from the rendered
     keyword-details text; this uses the hits themselves."""
-    pairs = weighted_matches(hits, requests, dictionary, min_score, broadcast_limit)
-    return _roll_up(it_requests(requests), pairs, files, lists)
+    pairs, sets = _weighted_pairs(hits, requests, dictionary, min_score, broadcast_limit)
+    return _roll_up(it_requests(requests), pairs, sets, files, lists)
 
 
 def any_matches(requests: DataFrame, index_matches: DataFrame) -> DataFrame:
