@@ -169,12 +169,12 @@ def second_last_component(path: Column | str) -> Column:
     return F.try_element_at(F.split(F.regexp_replace(_c(path), "/+$", ""), "/"), F.lit(-2))
 
 
-def path_id_matches(root: str, request_root: str, guid: str) -> Column:
+def path_id_matches(root: Column | str, request_root: Column | str, guid: Column | str) -> Column:
     """P20: both run roots belong to the user: the component before the last
-    one of each root is the GUID (checked with ``assert_true`` by callers)."""
-    lit = F.lit
-    return ((second_last_component(lit(root)) == lit(guid))
-            & (second_last_component(lit(request_root)) == lit(guid)))
+    one of each root is the GUID (strings are literal values; callers check it
+    with ``assert_true``)."""
+    root, request_root, guid = (F.lit(x) if isinstance(x, str) else x for x in (root, request_root, guid))
+    return (second_last_component(root) == guid) & (second_last_component(request_root) == guid)
 
 
 def with_path_parts(df, path_col: str = "path", index_variant: str = "latest"):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import room
+from . import room, room_files
 
 QUERIES = {
     "keyword_hits": room.q_keyword_hits,
@@ -51,10 +51,12 @@ QUERIES = {
     "paragraph_hits": room.q_paragraph_hits,
     "keyword_files": room.q_keyword_files,
     "request_files": room.q_request_files,
+    **room_files.QUERIES,
 }
 
 
 def oracle() -> dict[str, str]:
     from .oracle import sql_queries, sql_queries_2
-    q = {**sql_queries(), **sql_queries_2()}
+    from .oracle_files import files_sql
+    q = {**sql_queries(), **sql_queries_2(), **files_sql()}
     return {k: v for k, v in q.items() if k in QUERIES}

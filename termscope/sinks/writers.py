@@ -19,19 +19,23 @@ def write_hits(raw: DataFrame, path: str, mode: str = "overwrite") -> None:
     raw.withColumn("category_part", part).write.mode(mode).partitionBy("category_part").parquet(path)
 
 
+# Values are written as they are: blanks at their ends kept, quotes doubled.
+CSV_OPTIONS = {"quoteAll": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """One report. ``fmt`` ``parquet`` (default) or ``csv``
     (header row, every value quoted as the spreadsheet export does)."""
     w = df.write.mode(mode)
     if fmt == "csv":
-        w.option("header", True).option("quoteAll", True).csv(path)
+        w.options(header=True, **CSV_OPTIONS).csv(path)
     else:
         w.format(fmt).save(path)
 
 
 def export_quoted_csv(df: DataFrame, path: str) -> None:
     """K8: a sheet exported as fully quoted CSV."""
-    df.write.mode("overwrite").option("quoteAll", True).option("header", False).csv(path)
+    df.write.mode("overwrite").options(header=False, **CSV_OPTIONS).csv(path)
 
 
 def write_summary_json(summary: DataFrame, path: str) -> None:

@@ -45,3 +45,25 @@ def test_csv_sinks(spark, tmp_path):
     rows = [r for f in sorted(glob.glob(str(tmp_path / "r" / "*.csv"))) for r in csv.reader(open(f)) if r]
     assert ["name", "n"] in rows                        # every part file starts with the header
     assert [r for r in rows if r != ["name", "n"]] == [["a, b", "1"]]
+
+
+def test_live_patterns_against_python(spark):
+    """P10b unescaped and escaped, against Python's re on random lines."""
+    import random
+    import re
+    from termscope.operators.match import category_hits
+    from termscope.plans.room_files import LIVE_TERMS
+    rng = random.Random(2)
+    lines = [" ".join(rng.choices(["this", "thus", "ths", "and", "an", "or", "of", "to", "é", "ee", "e.", "et", "e", "th s"], k=8)) for _ in range(200)]
+    seg = spark.createDataFrame([(str(i), 1, t) for i, t in enumerate(lines)], "path string, seg_ord long, text string")
+    for escape in (False, True):
+        d = spark.createDataFrame([(c, k, i) for i, (c, k) in enumerate(LIVE_TERMS)], "category string, keyword string, row_ord int")
+        got = {(int(r.path), r.category, r.keyword): r.hits for r in category_hits(seg, d, escape=escape).collect()}
+        want = {}
+        for c in ("Live", "Other"):
+            terms = [re.escape(k) if escape else k for cat, k in LIVE_TERMS if cat == c]
+            pattern = re.compile("|".join(rf"\b{k}\b" for k in terms), re.I)
+            for i, t in enumerate(lines):
+                for m in pattern.finditer(t):
+                    want[i, c, m.group()] = want.get((i, c, m.group()), 0) + 1
+        assert got == want, escape

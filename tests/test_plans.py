@@ -9,7 +9,7 @@ from termscope.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 # The extractor hook parses files in Python.
-PYTHON_QUERIES = {"extract_with_errors", "csv_cells", "folder_scan"}
+PYTHON_QUERIES = {"extract_with_errors", "csv_cells", "folder_scan", "request_sheet"}
 PY_NODES = ("MapInArrow", "PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
 
 
