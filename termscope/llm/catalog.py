@@ -65,6 +65,22 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    # Bytes as hex digits; every 50-byte string with the smallest id it starts in, covered stretches merged, gaps joined.
+    "op7_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+s AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS p FROM d)),
+c AS (SELECT s.doc_id, s.p FROM s JOIN (SELECT s, min(doc_id) AS least FROM s GROUP BY s HAVING count(DISTINCT doc_id) > 1) m
+      ON s.s = m.s AND m.least < s.doc_id),
+i AS (SELECT doc_id, p, sum(CASE WHEN p > prev + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS g
+      FROM (SELECT doc_id, p, lag(p, 1, p) OVER (PARTITION BY doc_id ORDER BY p) AS prev FROM c)),
+spans AS (SELECT doc_id, g, min(p) AS a, max(p) + 50 AS b FROM i GROUP BY ALL),
+gaps AS (SELECT doc_id, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS x, a AS y FROM spans
+         UNION ALL SELECT d.doc_id, coalesce(max(b), 0), any_value(n) FROM d LEFT JOIN spans ON spans.doc_id = d.doc_id GROUP BY d.doc_id),
+kept AS (SELECT g.doc_id, string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' ORDER BY x) AS k FROM gaps g JOIN d ON d.doc_id = g.doc_id GROUP BY 1),
+sums AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM spans GROUP BY 1)
+SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept ON kept.doc_id = d.doc_id LEFT JOIN sums ON sums.doc_id = d.doc_id""",
     "op3_topk_search": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
            FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),

@@ -31,8 +31,11 @@ its 50-byte strings are sorted one by one instead, dealt by their own hash, and
 each run keeps one per string, so a group holds no more than one entry per run
 (and place in the document of smallest id). Both ways are exact.
 
-Numbers of ranges and buckets follow the corpus (``BYTES_PER_TASK`` of text
-each), so what a task holds is bounded; one document is the smallest unit.
+Numbers of ranges and buckets follow the corpus: ``task_bytes`` of text each,
+16 MiB or, beyond 100 GB, 50 times the square root of the corpus (500 MB at
+100 TB), as every bucket sends to every range and the packed rows between them
+should not shrink to single entries. So what a task holds is bounded; one
+document is the smallest unit.
 
 Cases: a null text is the empty text; texts of under 50 bytes lose nothing; rows
 that share an id do not cover each other, and are told apart by their text; a
@@ -56,11 +59,17 @@ from .common import ship, text_of
 LENGTH = 50
 ANCHOR = 24
 HOT = 10_000
-BYTES_PER_TASK = 16 << 20
+BYTES_PER_TASK = 16 << 20        # at least
+ROOTS_PER_TASK = 50              # times the square root of the corpus
 LOW = 40                         # bits of a hash sent with its range
 HOT_BIT = np.uint64(1 << 63)
 
 
+def task_bytes(total: int, least: int = BYTES_PER_TASK) -> int:
+    """Bytes of text per range and bucket for a corpus of ``total`` bytes."""
+    return max(least, ROOTS_PER_TASK * math.isqrt(total))
+
+
 # -- anchors ----------------------------------------------------------------
 def _slide(a: np.ndarray, width: int, op) -> np.ndarray:
     """op over every window of ``width`` elements, by doubling."""
@@ -503,7 +512,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ship(df.sparkSession)
     docs = df.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).cast("binary").alias("data"))
     total = docs.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    n = max(1, math.ceil(total / bytes_per_task))  # ranges and buckets
+    n = max(1, math.ceil(total / task_bytes(total, bytes_per_task)))  # ranges and buckets
     texts = docs.select(bucket_column(F.col("id"), n).alias("b"), "id", "data")
     hashes = docs.filter(F.col("id").isNotNull()).mapInArrow(_hash_task(n), "r int, docs binary, low binary")
     asked = hashes.groupBy("r").applyInArrow(_repeated_task(n, hot), "b int, blob binary")
