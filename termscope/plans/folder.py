@@ -18,7 +18,7 @@ from ..functions.paths import handler
 from ..operators.extract import Extractor, csv_extractor, errors_of, extract, segments_of, text_extractor
 from ..sources.dictionary import user_keywords
 from ..sources.inventory import last_file, list_files
-from ..sources.scans import csv_cells, read_binary
+from ..sources.scans import MAX_FILE_BYTES, csv_cells, read_binary
 from .materialize import materialize, release
 from .requests import quarantined_requests
 from .run import Results, run
@@ -38,9 +38,10 @@ class Scan:
 
 
 def scan_folder(spark: SparkSession, root: str, extractors: dict[str, Extractor] | None = None,
-                glob: str | None = None) -> Scan:
-    """S1 + P13 + S4/S7/U1 + U6. A file whose handler has no extractor is
-    ``failed`` with that reason; a file without a handler is ``unknown``."""
+                glob: str | None = None, max_bytes: int = MAX_FILE_BYTES) -> Scan:
+    """S1 + P13 + S4/S7/U1 + U6. A file whose handler has no extractor, or that
+    is larger than ``max_bytes``, is ``failed`` with that reason; a file without
+    a handler is ``unknown``."""
     known = {**BUILT_IN, **(extractors or {})}
 
     def routed(key: str, body: object):
@@ -48,16 +49,18 @@ def scan_folder(spark: SparkSession, root: str, extractors: dict[str, Extractor]
         return known[name](path, body)
 
     listing = list_files(spark, root, glob).withColumn("handler", handler(F.col("path")))
-    bodies = read_binary(spark, root, glob).withColumn("_handler", handler(F.col("path")))
+    bodies = read_binary(spark, root, glob, max_bytes).withColumn("_handler", handler(F.col("path")))
     bodies = bodies.where(F.col("_handler").isin(*known)).select(F.concat_ws(":", "_handler", "path").alias("_route"), "content")
     extracted = extract(bodies, routed, key="_route").withColumn("path", F.regexp_replace("path", "^[^:]*:", ""))
     extracted = materialize(extracted, "segments")
     files = listing.join(errors_of(extracted), "path", "left")
     ready = F.col("handler").isin(*known)
-    status = (F.when(F.col("handler") == "unknown", "unknown").when(~ready | F.col("error").isNotNull(), "failed").otherwise("scanned"))
     reason = F.when(F.col("handler") == "unknown", F.lit("unknown")).when(
-        ~ready, F.concat(F.lit("no extractor for "), F.col("handler"))).otherwise(F.col("error"))
-    return Scan(files.withColumn("status", status).withColumn("reason", reason).drop("error"), segments_of(extracted), extracted)
+        ~ready, F.concat(F.lit("no extractor for "), F.col("handler"))).when(
+        F.col("length") > max_bytes, F.lit(f"larger than {max_bytes} bytes")).otherwise(F.col("error"))
+    status = F.when(F.col("handler") == "unknown", "unknown").when(F.col("reason").isNotNull(), "failed").otherwise("scanned")
+    files = files.withColumn("reason", reason).withColumn("status", status).drop("error")
+    return Scan(files, segments_of(extracted), extracted)
 
 
 def read_request_sheet(spark: SparkSession, path: str) -> DataFrame:

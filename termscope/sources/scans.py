@@ -60,12 +60,19 @@ def read_lines_latin1(spark: SparkSession, root: str, glob: str = "*.txt") -> Da
                                     F.decode("content", "ISO-8859-1").alias("text")))
 
 
-def read_binary(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """Files with their bytes, for the extractor hook: ``path, content``."""
+# A file's bytes are one value of a row; larger files are not read this way.
+MAX_FILE_BYTES = 1 << 30
+
+
+def read_binary(spark: SparkSession, root: str, glob: str | None = None, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """Files with their bytes, for the extractor hook: ``path, content``. The
+    length filter is pushed to the listing, so a larger file is not opened
+    (``scan_folder`` reports it as failed)."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select(plain_path(F.col("_metadata.file_path")).alias("path"), "content")
+    return reader.load(root).where(F.col("length") <= max_bytes).select(
+        plain_path(F.col("_metadata.file_path")).alias("path"), "content")
 
 
 def csv_cells(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
