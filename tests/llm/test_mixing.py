@@ -77,5 +77,7 @@ def test_empty_and_repeated_rows(spark):
     assert mixing.mix_report(empty).count() == 0 and mixing.mix(empty).count() == 0
     same = spark.createDataFrame([(1, "a b", "s", "x", 1)] * 4, SCHEMA)
     assert sum(r.taken for r in mixing.mix_report(same).collect()) in (10, 12, 14)
+    long = spark.createDataFrame([(1, "w " * 500_000, "s", "x", 1)] + [(i, "a b", "t", "x", 1) for i in range(2, 50)], SCHEMA)
+    assert all(r.taken in (0, r["size"], 2 * r["size"]) for r in mixing.mix_report(long).collect())
     blank = spark.createDataFrame([(1, None, "s", "x", 1), (None, "", None, None, None)], SCHEMA)
     assert [r.taken for r in mixing.mix_report(blank).collect()] == [0, 0]

@@ -57,6 +57,8 @@ def test_bulk_dealing_equals_the_heap():
 
 def test_empty_and_repeated_rows(spark):
     assert sharding.shard_report(spark.createDataFrame([], SCHEMA)).count() == 0
+    long = sharding.shard_report(spark.createDataFrame([(1, "é" * 3_000_000, "s", 1), (2, "x", "s", 1)], SCHEMA)).collect()
+    assert sorted(r["size"] for r in long) == [17, 6_000_016] and len({r.shard for r in long}) == 2
     same = sharding.shard_report(spark.createDataFrame([(7, "x", "s", 1)] * 5 + [(None, None, None, None)], SCHEMA)).collect()
     assert len(same) == 6 and len({r.shard for r in same if r.doc_id == 7}) == 1
     assert sorted(r.slot for r in same if r.doc_id == 7) in ([0, 1, 2, 3, 4], [1, 2, 3, 4, 5])

@@ -94,6 +94,12 @@ def test_whole_query(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([*set(want.values()), None], key=str)
 
 
+def test_rows_without_an_id(spark):
+    rows = [(None, "a b c d", "x", 1), (5, "a b c d", "x", 1), (None, "quite another text here", "x", 1), (9, "A B C D", None, None)]
+    got = sorted((str(r.doc_id), r.component_id) for r in simhash.report(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == [("5", 5), ("9", 5), ("None", 5), ("None", None)]
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.report(empty).count() == 0 and simhash.keep_one(empty).count() == 0
