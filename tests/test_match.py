@@ -5,7 +5,6 @@ import re
 import pytest
 
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from termscope.operators.match import category_hits, expand_occurrences, first_hit_per_category, keyword_hits
 

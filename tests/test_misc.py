@@ -3,7 +3,6 @@
 import csv
 import glob
 
-from pyspark.sql import functions as F
 
 from termscope.functions.text import is_nan
 from termscope.sinks.writers import export_quoted_csv, write_report

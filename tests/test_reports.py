@@ -1,7 +1,6 @@
 """Reports on the tiny room of FIXTURES.md section 4."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from termscope.functions.paths import with_path_parts
 from termscope.operators.match import keyword_hits

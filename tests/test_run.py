@@ -36,18 +36,18 @@ def test_folder_to_reports(spark, tmp_path):
     from termscope.plans.folder import run_folder
     from termscope.plans.run import run
     from termscope.functions.paths import with_path_parts
-    room, drl = tmp_path / "room", tmp_path / "requests"
+    room, sheet_dir = tmp_path / "room", tmp_path / "requests"
     (room / "1 sub").mkdir(parents=True)
-    drl.mkdir()
+    sheet_dir.mkdir()
     (room / "1.2 a.txt").write_text("the cat of the house\nof it")
     (room / "1 sub" / "b c.csv").write_text('the,"of ""the""\nrow"\n\nx,the')
     (room / "none.txt").write_text("nothing")
     (room / "bad.csv").write_bytes(b"\xff\xfe\xff")
     (room / "d.pdf").write_bytes(b"%PDF")
     (room / "e.zzz").write_bytes(b"?")
-    (drl / "list.csv").write_text("a,no,c,d,e,area,sentence\nx,12.0,,,,IT,the and of\nx,12,,,,it ,nothing\nx,bad,,,,IT,the\n")
+    (sheet_dir / "list.csv").write_text("a,no,c,d,e,area,sentence\nx,12.0,,,,IT,the and of\nx,12,,,,it ,nothing\nx,bad,,,,IT,the\n")
     d = spark.createDataFrame([("c1", "the", 1), ("c2", "of", 2)], "category string, keyword string, row_ord int")
-    res = run_folder(spark, str(room), d, str(drl), "cat, the", lists=True, request_min_keywords=2)
+    res = run_folder(spark, str(room), d, str(sheet_dir), "cat, the", lists=True, request_min_keywords=2)
     rows = {r.file_name: r for r in res["file_report"].collect()}
     assert (rows["1.2 a.txt"].n_keywords_found, rows["b c.csv"].n_keywords_found) == (2 + 2 + 1 + 2, 3 + 1 + 3)
     assert rows["e.zzz"].scan_status == "Unsuccessful" and len(rows) == 3
