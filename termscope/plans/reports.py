@@ -59,16 +59,20 @@ def file_report(files: DataFrame, hits: DataFrame, threshold: int = 5,
     One aggregate to (file, entry), then one per file that collects its entries
     (no more than the dictionary has); both lists are derived in the row."""
     per = file_keywords(hits).groupBy("path").agg(
-        F.collect_list(F.struct("keyword", "category", "cat_ord", "n", "first_seg")).alias("_e"))
-    keywords = F.array_sort(F.array_distinct(F.transform("_e", lambda e: e["keyword"])))
-    counts = F.transform("_kws", lambda k: F.aggregate(
-        F.filter("_e", lambda e: e["keyword"] == k), F.lit(0).cast("long"), lambda acc, e: acc + e["n"]))
+        F.sort_array(F.collect_list(F.struct("keyword", "category", "cat_ord", "n", "first_seg"))).alias("_e"))
+    # Sorted by keyword, an entry list is cut into runs of one keyword each.
+    starts = F.filter(F.sequence(F.lit(0), F.size("_e") - 1),
+                      lambda i: (i == 0) | (F.get("_e", i)["keyword"] != F.get("_e", i - 1)["keyword"]))
+    counts = F.transform("_starts", lambda i, j: F.struct(
+        F.get("_e", i)["keyword"].alias("k"),
+        F.aggregate(F.slice("_e", i + 1, F.coalesce(F.get("_starts", j + 1), F.size("_e")) - i),
+                    F.lit(0).cast("long"), lambda acc, e: acc + e["n"]).alias("n")))
     categories = F.array_distinct(F.transform(
-        F.array_sort(F.transform("_e", lambda e: F.struct(e["first_seg"].alias("s"), e["cat_ord"].alias("o"), e["category"].alias("c")))),
+        F.sort_array(F.transform("_e", lambda e: F.struct(e["first_seg"].alias("s"), e["cat_ord"].alias("o"), e["category"].alias("c")))),
         lambda x: x["c"]))
     total = F.aggregate("_e", F.lit(0).cast("long"), lambda acc, e: acc + e["n"])
-    per = per.select("path", "_e", keywords.alias("_kws"), categories.alias("_cats"), total.alias("n_keywords_found"))
-    labels = F.transform(F.arrays_zip(F.col("_kws").alias("k"), counts.alias("n")), lambda x: keyword_count_label(x["k"], x["n"]))
+    per = per.withColumn("_starts", starts).select("path", counts.alias("_kws"), categories.alias("_cats"), total.alias("n_keywords_found"))
+    labels = F.transform("_kws", lambda x: keyword_count_label(x["k"], x["n"]))
     value = F.col("n_keywords_found") if metric == "hits" else F.size("_kws")
     relevant = value >= threshold if inclusive else value > threshold
     found = (per.join(files.select("path", *FILE_PARTS), "path")
