@@ -102,24 +102,27 @@ def keyword_report(files: DataFrame, hits: DataFrame, by: str = "path", lists: b
     :func:`keyword_files`, one row per keyword and file. ``lists=True`` adds the
     spreadsheet's list columns: one value per keyword that names every file, for
     rooms whose lists fit in a cell."""
-    base = hits.groupBy("keyword", "category", "path").agg(F.sum("hits").alias("n"))
-    pairs = base.select("keyword", F.col("category").alias("keyword_category")).distinct()
-    per_file = base.groupBy("keyword", "path").agg(F.sum("n").alias("n"))
+    # One chain of aggregates, so the hits are matched once: a keyword's categories
+    # (no more than the dictionary has) travel with its files' sums.
+    per_file = (hits.groupBy("keyword", "category", "path").agg(F.sum("hits").alias("n"))
+                    .groupBy("keyword", "path").agg(F.sum("n").alias("n"), F.sort_array(F.collect_set(F.struct("category"))).alias("_c")))
     if by == "name" or lists:
         per_file = per_file.join(files.select("path", "file_name", "index_number"), "path")
     if not lists:
         n_files = F.count(F.lit(1)) if by == "path" else F.countDistinct("file_name")
-        per_kw = per_file.groupBy("keyword").agg(n_files.cast("long").alias("n_files"), F.sum("n").cast("long").alias("total_hits"),
-                                                 F.max("n").cast("long").alias("max_hits"))
-        return pairs.join(per_kw, "keyword").select("keyword", "keyword_category", "n_files", "total_hits", "max_hits")
+        return per_file.groupBy("keyword").agg(
+            n_files.cast("long").alias("n_files"), F.sum("n").cast("long").alias("total_hits"), F.max("n").cast("long").alias("max_hits"),
+            F.array_distinct(F.flatten(F.collect_set("_c"))).alias("_c")).select(
+            "keyword", F.explode("_c.category").alias("keyword_category"), "n_files", "total_hits", "max_hits")
     per_kw = per_file.groupBy("keyword").agg(
         F.sum("n").cast("long").alias("total_hits"), F.max("n").alias("_max"),
+        F.array_distinct(F.flatten(F.collect_set("_c"))).alias("_c"),
         F.array_sort(F.collect_list(F.struct("path", "file_name", "index_number", "n"))).alias("_f"))
     names = F.array_distinct(F.transform("_f", lambda x: x["file_name"]))
     tops = F.array_sort(F.transform(F.filter("_f", lambda x: x["n"] == F.col("_max")),
                                     lambda x: F.struct(x["file_name"].alias("file_name"), x["path"].alias("path"))))
     n_files = F.size("_f") if by == "path" else F.size(names)
-    return (pairs.join(per_kw, "keyword")
+    return (per_kw.select("*", F.explode("_c.category").alias("keyword_category"))
                  .select("keyword", "keyword_category", n_files.cast("long").alias("n_files"), "total_hits",
                          F.col("_max").cast("long").alias("max_hits"),
                          render(F.transform(tops, lambda x: x["file_name"])).alias("max_file_names"),
