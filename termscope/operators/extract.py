@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -38,7 +39,8 @@ def cell_letters(col: int) -> str:
 def csv_extractor(path: str, body: object) -> Iterator[tuple[int, str, int, str]]:
     """Every cell of a CSV file as ``A1``-located segments, parsed as the
     csv library does (doubled quotes, line feeds in quotes, any number of
-    columns; a blank line counts as a row without cells)."""
+    columns; a blank line counts as a row without cells), cells of any length."""
+    csv.field_size_limit(sys.maxsize)  # the library's own limit is 131,072 characters
     data = body.encode("utf-8") if isinstance(body, str) else bytes(body)
     with io.TextIOWrapper(io.BytesIO(data), encoding="utf-8", newline=None) as lines:
         for row, cells in enumerate(csv.reader(lines), 1):

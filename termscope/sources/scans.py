@@ -80,9 +80,11 @@ def csv_cells(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
 
     A line feed inside quotes makes it unknowable where a row starts without
     reading the file from its beginning, so a file is parsed by one task (files
-    spread over the cluster); files that cannot be parsed are left out here and
-    listed by ``scan_folder``."""
-    found = segments_of(extract(read_binary(spark, root, glob), csv_extractor))
+    spread over the cluster). A file that cannot be parsed fails the query;
+    ``scan_folder`` lists such files instead."""
+    extracted = extract(read_binary(spark, root, glob), csv_extractor)
+    failed = F.raise_error(F.concat_ws(": ", "path", "error")).cast("boolean")
+    found = segments_of(extracted.where(F.when(F.col("error").isNotNull(), failed).otherwise(F.lit(True))))
     return found.select("path", F.shiftright("seg_ord", COLUMN_BITS).cast("int").alias("row"),
                         F.col("seg_ord").bitwiseAND(F.lit((1 << COLUMN_BITS) - 1)).cast("int").alias("col"),
                         F.col("text").alias("value"))

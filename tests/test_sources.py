@@ -1,5 +1,6 @@
 """Sources, dictionaries, density routing and the extractor hook."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from termscope.operators.density import density_route, slide_skip
@@ -77,6 +78,19 @@ def test_csv_cells_equal_the_csv_library(spark, tmp_path):
     assert {k: sorted(v) for k, v in got.items()} == want
 
 
+def test_csv_cells_of_any_length_and_bad_files(spark, tmp_path):
+    from termscope.plans.folder import scan_folder
+    (tmp_path / "a.csv").write_text('1,"' + "long " * 40_000 + '"\n2,short\n')
+    got = {(r.row, r.col): r.value for r in csv_cells(spark, str(tmp_path)).collect()}
+    assert got == {(1, 1): "1", (1, 2): "long " * 40_000, (2, 1): "2", (2, 2): "short"}
+    scan = scan_folder(spark, str(tmp_path))
+    assert [r.status for r in scan.files.collect()] == ["scanned"] and scan.segments.count() == 4
+    scan.close()
+    (tmp_path / "b.csv").write_bytes(b"1,\xff\xfe\n")
+    with pytest.raises(Exception, match="b.csv"):
+        csv_cells(spark, str(tmp_path)).groupBy("row").count().collect()
+
+
 def test_whole_texts_and_inventory_join(spark, tmp_path):
     from termscope.sources.inventory import list_files
     from termscope.sources.scans import read_lines_latin1, read_whole_text
