@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.paths import path_id_matches
 from ..functions.text import is_nan
@@ -60,16 +61,24 @@ def q_latin1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seg.select(_doc_id().alias("doc_id"), "seg_ord", F.length("text").cast("long").alias("n_bytes"))
 
 
-def q_csv_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each source's documents as one CSV file (quotes and line feeds in cells), scanned by cell."""
+# Rows of a CSV file of the room: a source's rows lie in as many files as they need.
+CSV_ROWS = 100_000
+
+
+def q_csv_cells(spark: SparkSession, sf_dir: str, file_rows: int = CSV_ROWS) -> DataFrame:
+    """Each source's documents as CSV files in order (quotes and line feeds in
+    cells), scanned by cell; rows are numbered on from file to file."""
     folder = _folder(spark, "csv")
     quoted = F.concat(F.lit('say "'), F.col("lang"), F.lit('", then'))
     docs = tb.read(spark, sf_dir, "documents").select("source", F.col("doc_id").cast("string").alias("id"), quoted.alias("q"), "text", "doc_id")
-    (docs.repartition(8, "source").sortWithinPartitions("source", "doc_id").drop("doc_id").write.partitionBy("source")
-         .options(**writers.CSV_OPTIONS).csv(folder))
-    cells = csv_cells(spark, folder)
-    return cells.select(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"), F.col("row").cast("long").alias("row"),
-                        "col", "value")
+    (docs.repartitionByRange("source", "doc_id").sortWithinPartitions("source", "doc_id").drop("doc_id").write.partitionBy("source")
+         .option("maxRecordsPerFile", file_rows).options(**writers.CSV_OPTIONS).csv(folder))
+    cells = csv_cells(spark, folder).withColumn("source", F.regexp_extract("path", "source=([^/]+)/", 1))
+    place = [F.regexp_extract("path", r"/part-([0-9]+)-[^/]*$", 1).cast("int"), F.regexp_extract("path", r"\.c([0-9]+)\.csv$", 1).cast("int")]
+    before = Window.partitionBy("source").orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    files = cells.groupBy("source", "path").agg(F.max("row").alias("n"))  # one row per file; the ordered lines are shuffled once for both
+    files = files.select("path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return cells.join(F.broadcast(files), "path").select("source", (F.col("row") + F.col("before")).alias("row"), "col", "value")
 
 
 def q_folder_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

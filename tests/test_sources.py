@@ -91,6 +91,23 @@ def test_csv_cells_of_any_length_and_bad_files(spark, tmp_path):
         csv_cells(spark, str(tmp_path)).groupBy("row").count().collect()
 
 
+def test_csv_cells_of_files_in_splits(spark, tmp_path, monkeypatch):
+    """Files read in many splits and beyond the whole-file bound; row numbers of a source run on over its files."""
+    from termscope.plans import room_files
+    from termscope.sources import scans
+    monkeypatch.setattr(scans.read_binary, "__defaults__", (None, 1000))
+    (tmp_path / "a.csv").write_text("".join(f'{i},"x{i}\n""y"""\n' for i in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = sorted((r.row, r.col, r.value) for r in csv_cells(spark, str(tmp_path)).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == sorted(c for i in range(3000) for c in [(i + 1, 1, str(i)), (i + 1, 2, f'x{i}\n"y"')])
+    sf_dir = "/root/testdata/sf0.001"
+    one = [sorted(map(str, room_files.q_csv_cells(spark, sf_dir, n).collect())) for n in (3, 100_000)]
+    assert one[0] == one[1]
+
+
 def test_whole_texts_and_inventory_join(spark, tmp_path):
     from termscope.sources.inventory import list_files
     from termscope.sources.scans import read_lines_latin1, read_whole_text
