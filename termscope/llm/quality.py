@@ -13,8 +13,11 @@ binned on a logarithmic scale, and one aggregate per step keeps counts, sums and
 products per (stratum, bin), so that estimates do not depend on the order of
 rows and a stratum may hold any share of the rows: each task leaves at most
 one row per stratum and bin. Small strata are drawn towards the estimate of
-their language (``PRIOR_ROWS`` rows' worth), and scatter has a floor, so that a
-statistic that is constant in a stratum rejects nobody for a trifle.
+their language (``PRIOR_ROWS`` rows' worth), those of under ``LEAST_ROWS`` take
+it whole, and scatter has a small ridge, because some statistics are zero in
+most documents. Real distances have a longer tail than chi-square, so the cut
+is a stratum's own: the 0.999 quantile of a log-normal law through the median
+and the upper quartile of its distances, and no less than that of chi-square.
 
 Cases: a null text has no words, its vector takes part, and the base rules
 reject it; null language or source form strata of their own; texts of any
@@ -51,9 +54,12 @@ STEPS = 5               # concentration steps
 PRIOR_ROWS = 30         # weight of the language's estimate in a stratum's
 UNIT = 1024             # vectors are whole multiples of 1 / UNIT
 BINS = 64               # distance bins per doubling of 1 + distance squared
-MAX_DISTANCE_SQ = 22.46  # the 0.999 quantile of chi-square with 6 degrees of freedom
-#: Least standard deviation of: symbols, capitals and stuttered words per word, repeated lines, repeated words, word length.
-FLOOR = (0.06, 0.06, 0.03, 0.10, 0.06, 0.08)
+LEAST_ROWS = 30         # five per dimension; fewer give no scatter of their own
+MAX_DISTANCE_SQ = 22.46  # the 0.999 quantile of chi-square with 6 degrees of freedom: the least cut
+NORMAL_999, NORMAL_75 = 3.0902, 0.6745  # quantiles of the normal law
+CUT_PRIOR_ROWS = 300    # weight of the language's distances in a stratum's cut
+#: Ridge of the scatter, as a standard deviation of: symbols, capitals and stuttered words per word, repeated lines, repeated words, word length.
+FLOOR = (0.02, 0.008, 0.008, 0.04, 0.02, 0.015)
 DIMS = len(FLOOR)
 
 
@@ -143,7 +149,7 @@ def _estimates(pdf_iter: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 scatter[i, j] = scatter[j, i] = getattr(r, f"p{i}_{j}") / n - centre[i] * centre[j]
             scatter *= factor
             if r.prior_centre is not None:
-                w = n / (n + PRIOR_ROWS)
+                w = n / (n + PRIOR_ROWS) if n >= LEAST_ROWS else 0.0
                 centre = w * centre + (1 - w) * np.array(r.prior_centre)
                 scatter = w * scatter + (1 - w) * np.array(r.prior_scatter).reshape(DIMS, DIMS)
             floored = scatter + np.diag((np.array(FLOOR) * UNIT) ** 2)
@@ -204,6 +210,22 @@ def robust_estimates(stats: DataFrame, level_keys: dict[str, list[str]]) -> Data
     return now.filter(F.col("level") == "stratum").drop("level")
 
 
+def cuts(distances: DataFrame) -> DataFrame:
+    """The largest distance a stratum (``k0``, ``key``) keeps, from the rows that
+    the base rules keep. Distances are binned, so that a quantile is found among
+    few values whatever the stratum's rows."""
+    bins = (distances.filter(~F.col("base_failed"))
+            .groupBy("k0", "key", F.floor(F.log2(F.greatest("distance_sq", F.lit(1 / UNIT))) * BINS).alias("bin")).agg(F.count(F.lit(1)).alias("n")))
+    quartiles = F.expr("percentile(bin, array(0.5D, 0.75D), n)").alias("at")
+    of = lambda d, *cols: d.groupBy(*cols).agg(F.sum("n").alias("rows"), quartiles)
+    outer = of(bins, "k0").select(F.col("k0").alias("outer_k0"), F.col("at").alias("outer_at"))
+    w = F.col("rows") / (F.col("rows") + CUT_PRIOR_ROWS)
+    half, upper = (w * F.col("at")[i] + (1 - w) * F.col("outer_at")[i] for i in (0, 1))
+    at = half + (upper - half) * (NORMAL_999 / NORMAL_75)
+    return of(bins, "k0", "key").join(outer, F.col("k0").eqNullSafe(F.col("outer_k0"))).select(
+        "key", F.greatest(F.pow(F.lit(2.0), at / BINS), F.lit(MAX_DISTANCE_SQ)).alias("cut"))
+
+
 def judged(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            strata: tuple[str, str] = ("lang", "source")) -> DataFrame:
     """``id_col``, the counts, ``base_failed``, ``distance_sq`` and ``kept`` of every row."""
@@ -212,11 +234,11 @@ def judged(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     key = F.to_json(F.struct("k0", "k1"), {"ignoreNullFields": "false"})
     joined = stats.withColumn("key", key).join(estimates.drop("n"), "key")
-    distance = _distance_sq()
-    return joined.select(
-        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base.alias("base_failed"), (~base & (distance <= MAX_DISTANCE_SQ)).alias("kept"),
-        distance.alias("distance_sq"))
+    columns = ["id", "k0", "key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    distances = written(joined.select(*columns, base.alias("base_failed"), _distance_sq().alias("distance_sq")), "distances")
+    return distances.join(cuts(distances), "key", "left").select(
+        F.col("id").alias(id_col), *columns[3:], "base_failed",
+        (~F.col("base_failed") & (F.col("distance_sq") <= F.col("cut"))).alias("kept"), "distance_sq")
 
 
 def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -91,6 +91,20 @@ def test_estimates_equal_numpy(spark):
     assert np.allclose(np.array(got[0].inverse).reshape(6, 6), inverse, rtol=1e-4, atol=1e-9)
 
 
+def test_scatter_decides(spark):
+    """The same deviation in capitals is usual in a stratum that varies and junk in one that does not."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefg", k=rng.randint(3, 8))) for _ in range(400)]
+
+    def text(share):
+        return " ".join(w.capitalize() if rng.random() < share else w for w in rng.choices(words, k=150))
+    data = [(i, text(.1), "en", "even", 1, "", 2) for i in range(300)] + [(1000 + i, text(rng.uniform(.0, .4)), "en", "varied", 1, "", 2) for i in range(300)]
+    data += [(9000, text(.45), "en", "even", 1, "", 2), (9001, text(.45), "en", "varied", 1, "", 2)]
+    got = {r.doc_id: r.kept for r in quality.judged(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert (got.pop(9000), got.pop(9001)) == (False, True)
+    assert sum(got.values()) >= 0.98 * len(got)
+
+
 def test_chi_square():
     assert quality.chi_square(22.458, 6) == pytest.approx(.999, abs=1e-5)
     assert quality.consistency(1 - 1e-12, 6) == pytest.approx(1, abs=1e-6)
