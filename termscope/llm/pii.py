@@ -2,7 +2,8 @@
 
 Base patterns find emails, IP addresses, card numbers and phone numbers,
 leftmost and without overlap per kind. They are the seeds: every mention of
-something identifier-like (a token with a digit or an at sign) is taken with
+something identifier-like (a token with a digit or an at sign, groups of digits
+joined by blanks or the like, an email out of a longer token) is taken with
 its lexical patterns, the two words before it and the words around it. On the
 graph of patterns and mentioned strings, a pattern's confidence in a kind is
 the mean score of its strings, and a string's score is the chance that not all
@@ -43,8 +44,13 @@ PATTERNS = {
 TELLING = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9][\\x20-]?[0-9]", "phone": "\\+[0-9]"}
 
 SPACE, SOLID = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
-MENTION = (PATTERNS["phone"] + r"|(?<![0-9])[0-9](?:[\x20-]?[0-9]){12,18}+(?![0-9])"
-           + rf"|(?<!{SOLID})(?={SOLID}*?[0-9@]){SOLID}++")
+#: Groups of digits, 7 to 15 in all, joined by blanks, dots, hyphens or parentheses: one mention.
+GROUPS = (rf"(?<!{SOLID})(?=\(?[0-9](?:[\x20().-]{{0,3}}+[0-9]){{6,14}}+(?![0-9]))\(?[0-9]{{2,8}}+\)?"
+          r"(?:[\x20.-]{0,2}+\(?[0-9]{2,8}+\)?){1,5}+(?![\x20.-]?[0-9A-Za-z@]*[0-9@])")
+#: An email within a token that has more characters.
+EMAIL = rf"(?<!{LOCAL}){LOCAL}++@{HOST}++(?:\.{HOST}++)++"
+MENTION = (PATTERNS["phone"] + r"|(?<![0-9])[0-9](?:[\x20-]?[0-9]){12,18}+(?![0-9])|" + GROUPS + "|" + EMAIL
+           + rf"|(?<!{SOLID})(?={SOLID}*?[0-9@])(?!{SOLID}*?{EMAIL}){SOLID}++")
 NEAR = 80            # characters on either side that a context may lie in
 LENGTHS = (5, 200)   # of an identifier
 ROUNDS = 3
@@ -118,8 +124,10 @@ def mentions(rows: DataFrame) -> DataFrame:
         F.substring(F.coalesce(F.get("pre", i + 1), F.lit("")), 1, NEAR).alias("after"),
         (F.get("ends", i) + F.length(F.get("pre", i))).alias("start")))
     one = found.select("id", "digest", F.explode(F.filter(each, lambda x: x["m"] != "")).alias("x")).select("id", "digest", "x.*")
-    front = F.regexp_extract("m", r"""^["'(<\[]*""", 0)
-    core = F.regexp_replace(F.regexp_replace("m", r"""^["'(<\[]+""", ""), r"""["').,;:!?>\]]+$""", "")
+    grouped = F.col("m").rlike(f"^(?:{GROUPS})$")  # its parentheses are its own
+    front = F.when(grouped, "").otherwise(F.regexp_extract("m", r"""^["'(<\[]*""", 0))
+    core = F.when(grouped, F.col("m")).otherwise(
+        F.regexp_replace(F.regexp_replace("m", r"""^["'(<\[]+""", ""), r"""["').,;:!?>\]]+$""", ""))
     one = one.withColumns({"string": core, "start": F.col("start") + F.length(front)}).filter(
         F.length("string").between(*LENGTHS) & F.col("string").rlike("[0-9@]"))
     kind = F.lit(None).cast("int")

@@ -77,6 +77,20 @@ def test_trusted_patterns_find_unseen_identifiers(spark):
     assert added == want and sum(r.n_added for r in got) == len(want)
 
 
+def test_unseen_identifiers_with_blanks_and_glued_seeds(spark):
+    texts = [f"Hello there. my phone is +1 (5{i:02d}) 555-20{i:02d} thanks" for i in range(40)]
+    unseen = ["555 123 4567", "0171 555 0199", "(555) 123-4568", "0171-5550199"]
+    texts += [f"well my phone is {u} thanks" for u in unseen]
+    texts += [f"reach us at E-mail: <bob{i}@x.org>### today" for i in range(8)]
+    got = pii.report(spark.createDataFrame([(i, t, "x", 1, 2) for i, t in enumerate(texts)], SCHEMA)).collect()
+    check_base(got, texts)
+    spans = {r.doc_id: r.spans for r in got}
+    for i, u in enumerate(unseen, 40):
+        assert spans[i] == f"phone:17:{17 + len(u)}", (u, spans[i])
+    found = pii.mentions(spark.createDataFrame([(1, "x", "Email:bob@x.org a@b.org### c@d.org")], "id long, digest string, text string"))
+    assert sorted((r.string, r.kind) for r in found.collect()) == [("a@b.org", 0), ("bob@x.org", 0), ("c@d.org", 0)]
+
+
 def test_repeated_rows_and_empty_table(spark):
     assert pii.report(spark.createDataFrame([], SCHEMA)).count() == 0
     rows = [(1, "a@b.c", "x", 1, 2), (1, "a@b.c", "x", 1, 2), (1, "nothing", "x", 1, 2), (None, "1.1.1.1", None, None, None)]
