@@ -3,21 +3,21 @@
 Plain rules come first (too few words, too many words in repeated five-word
 windows). Then every document's statistics become a transformed vector, and per
 language and source the minimum covariance determinant (MCD) estimate of centre
-and scatter is found by concentration steps: distances under the present
-estimate, the half (here: 75 %) of the documents with the smallest distances,
-mean and covariance of those, and again. A document whose Mahalanobis distance
-exceeds the cut is rejected.
+and scatter is found: from three starts concentration steps are taken
+(distances under the present estimate, the half of the documents with the
+smallest distances, mean and covariance of those), the start whose scatter has
+the smallest determinant goes on. A document whose Mahalanobis distance exceeds
+the cut is rejected.
 
 All of it covers all documents. Vectors are integers (1/1024), distances are
 binned on a logarithmic scale, and one aggregate per step keeps counts, sums and
-products per (stratum, bin), so that estimates do not depend on the order of
-rows and a stratum may hold any share of the rows: each task leaves at most
-one row per stratum and bin. Small strata are drawn towards the estimate of
-their language (``PRIOR_ROWS`` rows' worth), those of under ``LEAST_ROWS`` take
-it whole, and scatter has a small ridge, because some statistics are zero in
-most documents. Real distances have a longer tail than chi-square, so the cut
-is a stratum's own: the 0.999 quantile of a log-normal law through the median
-and the upper quartile of its distances, and no less than that of chi-square.
+products per (stratum, start, bin), so that estimates do not depend on the order
+of rows and a stratum may hold any share of the rows: each task leaves at most
+one row per stratum, start and bin. Every stratum is drawn towards the estimate
+of its language with the weight of ``PRIOR_ROWS`` rows, whatever its size, and
+scatter has a small ridge, because some statistics are zero in most documents.
+Real distances have a longer tail than chi-square, so the cut is a stratum's
+own (``cuts``), between the 0.999 quantile of chi-square and four times it.
 
 Cases: a null text has no words, its vector takes part, and the base rules
 reject it; null language or source form strata of their own; texts of any
@@ -33,7 +33,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,13 +48,15 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
-SHARE = 0.75            # of a stratum's documents that an estimate rests on
-STEPS = 5               # concentration steps
+SHARE = 0.5             # of a stratum's documents that an estimate rests on
+FIRST_STEPS = 2         # concentration steps of every start
+STEPS = 6               # concentration steps of the best one, the first ones included
 PRIOR_ROWS = 30         # weight of the language's estimate in a stratum's
 UNIT = 1024             # vectors are whole multiples of 1 / UNIT
 BINS = 64               # distance bins per doubling of 1 + distance squared
-LEAST_ROWS = 30         # five per dimension; fewer give no scatter of their own
-MAX_DISTANCE_SQ = 22.46  # the 0.999 quantile of chi-square with 6 degrees of freedom: the least cut
+LEAST_CUT_SQ = 22.46    # the 0.999 quantile of chi-square with 6 degrees of freedom
+MOST_CUT_SQ = 4 * LEAST_CUT_SQ  # twice that distance: the ceiling of a cut
+SLICE = 64              # texts that a task holds as Python strings at a time
 NORMAL_999, NORMAL_75 = 3.0902, 0.6745  # quantiles of the normal law
 CUT_PRIOR_ROWS = 300    # weight of the language's distances in a stratum's cut
 #: Ridge of the scatter, as a standard deviation of: symbols, capitals and stuttered words per word, repeated lines, repeated words, word length.
@@ -94,7 +95,7 @@ def vector(s: tuple[int, ...]) -> list[int]:
     n, chars, symbols, dup, repeat, lines, upper, stutter = s
     values = (math.log1p(symbols / (n + 30)), math.log1p(upper / (n + 30)), math.log1p(stutter / (n + 30)),
               dup / (lines + 5), repeat / (n + 30), math.log((chars + 180) / (n + 30)))
-    return [round(min(8.0, v) * UNIT) for v in values]
+    return [round(v * UNIT) for v in values]
 
 
 def document_stats(df: DataFrame, id_col: str, text_col: str, strata: list[str]) -> DataFrame:
@@ -107,13 +108,15 @@ def document_stats(df: DataFrame, id_col: str, text_col: str, strata: list[str])
                            *[T.StructField(f"x{i}", T.LongType()) for i in range(DIMS)]])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            stats = [text_stats(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            vectors = [vector(s) for s in stats]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *[pa.array([s[i] for s in stats], pa.int64()) for i in range(len(names))],
-                 *[pa.array([v[i] for v in vectors], pa.int64()) for i in range(DIMS)]],
-                names=schema.names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                stats = [text_stats(t.as_py()) for t in batch.column(batch.num_columns - 1)]
+                vectors = [vector(s) for s in stats]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:-1], *[pa.array([s[i] for s in stats], pa.int64()) for i in range(len(names))],
+                     *[pa.array([v[i] for v in vectors], pa.int64()) for i in range(DIMS)]],
+                    names=schema.names)
 
     return rows.mapInArrow(task, schema)
 
@@ -133,28 +136,53 @@ def consistency(share: float, dof: int) -> float:
 
 
 PAIRS = [(i, j) for i in range(DIMS) for j in range(i, DIMS)]
-ESTIMATE = "level string, key string, n long, centre array<double>, scatter array<double>, inverse array<double>"
-
-
-def _estimates(pdf_iter: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Moments (one row per stratum) to centre, scatter and inverse."""
-    factor = consistency(SHARE, DIMS)
-    for pdf in pdf_iter:
-        out = []
-        for r in pdf.itertuples(index=False):
-            n = int(r.n)
-            centre = np.array([getattr(r, f"s{i}") for i in range(DIMS)], float) / n
-            scatter = np.zeros((DIMS, DIMS))
-            for i, j in PAIRS:
-                scatter[i, j] = scatter[j, i] = getattr(r, f"p{i}_{j}") / n - centre[i] * centre[j]
-            scatter *= factor
-            if r.prior_centre is not None:
-                w = n / (n + PRIOR_ROWS) if n >= LEAST_ROWS else 0.0
-                centre = w * centre + (1 - w) * np.array(r.prior_centre)
-                scatter = w * scatter + (1 - w) * np.array(r.prior_scatter).reshape(DIMS, DIMS)
-            floored = scatter + np.diag((np.array(FLOOR) * UNIT) ** 2)
-            out.append((r.level, r.key, n, centre.tolist(), scatter.ravel().tolist(), np.linalg.inv(floored).ravel().tolist()))
-        yield pd.DataFrame(out, columns=["level", "key", "n", "centre", "scatter", "inverse"])
+ESTIMATE = ("level string, key string, outer_key string, start string, n long, "
+            "centre array<double>, scatter array<double>, inverse array<double>, log_det double")
+MOMENTS = [*[f"s{i}" for i in range(DIMS)], *[f"p{i}_{j}" for i, j in PAIRS]]
+
+
+def _estimate_task(factor: float, prior_rows: float):
+    """Moments (one row per stratum and start) to centre, scatter, inverse and log-determinant."""
+    floor = np.diag((np.array(FLOOR) * UNIT) ** 2)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = None
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                n = r["n"]
+                centre = np.array([r[f"s{i}"] for i in range(DIMS)], float) / n
+                scatter = np.zeros((DIMS, DIMS))
+                for i, j in PAIRS:
+                    scatter[i, j] = scatter[j, i] = r[f"p{i}_{j}"] / n - centre[i] * centre[j]
+                scatter *= factor
+                if r["prior_centre"] is not None:
+                    w = n / (n + prior_rows)
+                    centre = w * centre + (1 - w) * np.array(r["prior_centre"])
+                    scatter = w * scatter + (1 - w) * np.array(r["prior_scatter"]).reshape(DIMS, DIMS)
+                out.append(dict(level=r["level"], key=r["key"], outer_key=r["outer_key"], start=r["start"], n=n,
+                                centre=centre.tolist(), scatter=scatter.ravel().tolist(),
+                                inverse=np.linalg.inv(scatter + floor).ravel().tolist(),
+                                log_det=float(np.linalg.slogdet(scatter + floor)[1])))
+            doubles = pa.list_(pa.float64())
+            schema = schema or pa.schema([("level", pa.string()), ("key", pa.string()), ("outer_key", pa.string()),
+                                          ("start", pa.string()), ("n", pa.int64()), ("centre", doubles),
+                                          ("scatter", doubles), ("inverse", doubles), ("log_det", pa.float64())])
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return task
+
+
+def _estimates(moments: DataFrame, factor: float, prior: DataFrame | None = None, name: str = "estimates") -> DataFrame:
+    """One estimate per row of ``moments``; with ``prior`` drawn towards the outer level's."""
+    none = F.lit(None).cast("array<double>")
+    if prior is None:
+        moments = moments.withColumns({"prior_centre": none, "prior_scatter": none})
+    else:
+        moments = moments.join(prior.select(F.col("key").alias("outer_key"), F.col("centre").alias("prior_centre"),
+                                            F.col("scatter").alias("prior_scatter")), "outer_key", "left")
+    columns = ["level", "key", "outer_key", "start", "n", *MOMENTS, "prior_centre", "prior_scatter"]
+    return written(moments.select(*columns).mapInArrow(_estimate_task(factor, PRIOR_ROWS), ESTIMATE), name)
 
 
 def _distance_sq(centre: str = "centre", inverse: str = "inverse"):
@@ -165,9 +193,67 @@ def _distance_sq(centre: str = "centre", inverse: str = "inverse"):
     return F.greatest(total, F.lit(0.0))
 
 
+def _sums(weight, values: list) -> list:
+    """Sums and sums of products of ``values``, the columns that ``MOMENTS`` names."""
+    return [F.sum("weight").alias("n"), *[F.sum(v * weight).alias(f"s{i}") for i, v in enumerate(values)],
+            *[F.sum(values[i] * values[j] * weight).alias(f"p{i}_{j}") for i, j in PAIRS]]
+
+
+def first_estimates(rows: DataFrame) -> DataFrame:
+    """Three starts per stratum: ``ridge`` (medians, the ridge alone), ``signs``
+    (medians, the covariance of the directions from them: a row weighs the same
+    however far it lies) and ``all`` (mean and covariance of every row)."""
+    by = ["level", "key", "outer_key"]
+    xs = [F.col(f"x{i}") for i in range(DIMS)]
+    weight = F.col("weight")
+    plain = rows.groupBy(*by).agg(*_sums(weight, xs)).withColumn("start", F.lit("all"))
+    medians = written(rows.groupBy("level", "key").agg(
+        *[F.expr(f"percentile(x{i}, 0.5D, weight)").alias(f"m{i}") for i in range(DIMS)]), "medians")
+    off = rows.join(medians, ["level", "key"])
+    z = [(F.col(f"x{i}") - F.col(f"m{i}")) / (FLOOR[i] * UNIT) for i in range(DIMS)]
+    off = off.withColumn("norm_sq", sum((v * v for v in z), F.lit(0.0)))
+    # Products of directions are at most one: rounded to whole multiples of 2^-30 their sums do not depend on order.
+    signs = [F.when(F.col("norm_sq") > 0, F.round(z[i] * z[j] / F.col("norm_sq") * (1 << 30))).otherwise(0).cast("long") * weight
+             for i, j in PAIRS]
+    near = off.groupBy(*by, *[f"m{i}" for i in range(DIMS)]).agg(
+        F.sum("weight").alias("n"), F.expr("percentile(floor(log2(1 + norm_sq) * 64), 0.5D, weight)").alias("mid"),
+        *[F.sum(s).alias(f"g{i}_{j}") for s, (i, j) in zip(signs, PAIRS)])
+    # As moments with that centre and scatter, so that one task makes all estimates.
+    scale = F.pow(F.lit(2.0), F.col("mid") / BINS) - 1
+    near = near.withColumn("start", F.explode(F.array(F.lit("ridge"), F.lit("signs"))))
+    as_moments = [*[(F.col(f"m{i}") * F.col("n")).alias(f"s{i}") for i in range(DIMS)],
+                  *[(F.col(f"m{i}") * F.col(f"m{j}") * F.col("n") + F.when(F.col("start") == "signs", F.lit(
+                      FLOOR[i] * FLOOR[j] * UNIT * UNIT) * scale * F.col(f"g{i}_{j}") / F.lit(float(1 << 30))).otherwise(0.0)
+                     ).alias(f"p{i}_{j}") for i, j in PAIRS]]
+    near = near.select(*by, "start", F.col("n"), *as_moments)
+    plain = plain.select(*by, "start", "n", *[F.col(m).cast("double").alias(m) for m in MOMENTS])
+    return _estimates(plain.unionByName(near), 1.0, name="starts")
+
+
+def concentrated(rows: DataFrame, now: DataFrame, prior: DataFrame | None = None, level: str | None = None) -> DataFrame:
+    """One concentration step for every stratum and start of ``now``: moments of
+    the ``SHARE`` of the rows nearest under the present estimate. Distances are
+    compared by bins, whose moments are summed; equal bins go in together."""
+    by = ["level", "key", "outer_key", "start"]
+    met = rows.drop("outer_key").join(now.select(*by, "centre", "inverse"), ["level", "key"])
+    if level:
+        met = met.filter(F.col("level") == level)
+    binned = met.withColumn("bin", F.floor(F.log2(1 + _distance_sq()) * BINS))
+    moments = binned.groupBy(*by, "bin").agg(*_sums(F.col("weight"), [F.col(f"x{i}") for i in range(DIMS)]))
+    stratum = Window.partitionBy(*by)
+    before = stratum.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    moments = (moments.withColumn("all_n", F.sum("n").over(stratum))
+                      .withColumn("seen", F.coalesce(F.sum("n").over(before), F.lit(0)))
+                      .filter(F.col("seen") < F.ceil(F.col("all_n") * SHARE)))
+    moments = moments.groupBy(*by).agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in MOMENTS])
+    return _estimates(moments, consistency(SHARE, DIMS), prior)
+
+
 def robust_estimates(stats: DataFrame, level_keys: dict[str, list[str]]) -> DataFrame:
     """MCD estimates per stratum. ``level_keys``: the columns of the outer
-    ("lang") and the inner level ("stratum"); the outer draws small inner ones."""
+    ("lang") and the inner level ("stratum"); the outer draws the inner ones.
+    Every start takes ``FIRST_STEPS`` steps, the one of smallest determinant
+    (ties: by name) goes on to ``STEPS`` in all."""
     key = lambda cols: F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
     levels = F.explode(F.array(*[F.struct(F.lit(name).alias("level"), key(cols).alias("key"))
                                  for name, cols in level_keys.items()])).alias("at")
@@ -175,55 +261,34 @@ def robust_estimates(stats: DataFrame, level_keys: dict[str, list[str]]) -> Data
     rows = stats.select(levels, key(level_keys["lang"]).alias("outer_key"), *xs).select("at.*", "outer_key", *xs)
     # Equal vectors of a stratum weigh as one row with a count: less to scan in every step.
     rows = written(rows.groupBy("level", "key", "outer_key", *xs).agg(F.count(F.lit(1)).alias("weight")), "vectors")
-    identity = np.diag(1 / (np.array(FLOOR) * UNIT) ** 2).ravel().tolist()
-    start = rows.groupBy("level", "key").agg(
-        *[F.expr(f"percentile({x}, 0.5D, weight)").alias(f"m{i}") for i, x in enumerate(xs)])
-    now = written(start.select("level", "key", F.array(*[f"m{i}" for i in range(DIMS)]).alias("centre"),
-                               F.array(*[F.lit(v) for v in identity]).alias("inverse")), "estimates")
-    for step in range(STEPS):
-        binned = rows.join(now.select("level", "key", "centre", "inverse"), ["level", "key"]).select(
-            "level", "key", "outer_key", "weight", *xs,
-            F.floor(F.log2(1 + _distance_sq()) * BINS).alias("bin"))
-        moments = binned.groupBy("level", "key", "outer_key", "bin").agg(
-            F.sum("weight").alias("n"),
-            *[F.sum(F.col(x) * F.col("weight")).alias(f"s{i}") for i, x in enumerate(xs)],
-            *[F.sum(F.col(xs[i]) * F.col(xs[j]) * F.col("weight")).alias(f"p{i}_{j}") for i, j in PAIRS])
-        stratum = Window.partitionBy("level", "key")
-        before = stratum.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-        moments = (moments.withColumn("all_n", F.sum("n").over(stratum))
-                          .withColumn("seen", F.coalesce(F.sum("n").over(before), F.lit(0)))
-                          .filter(F.col("seen") < F.ceil(F.col("all_n") * SHARE)))
-        sums = [c for c in moments.columns if c[0] in "sp" and c != "seen"]
-        moments = moments.groupBy("level", "key", "outer_key").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in sums])
-        none = F.lit(None).cast("array<double>")
-        last = step == STEPS - 1
-        outer = written(moments.filter(F.col("level") == "lang")
-                        .withColumns({"prior_centre": none, "prior_scatter": none})
-                        .drop("outer_key").mapInPandas(_estimates, ESTIMATE), "outer") if last else None
-        if last:
-            prior = outer.select(F.col("key").alias("outer_key"), F.col("centre").alias("prior_centre"),
-                                 F.col("scatter").alias("prior_scatter"))
-            inner = moments.filter(F.col("level") == "stratum").join(prior, "outer_key", "left")
-        else:
-            inner = moments.withColumns({"prior_centre": none, "prior_scatter": none})
-        now = written(inner.drop("outer_key").mapInPandas(_estimates, ESTIMATE), "estimates")
-    return now.filter(F.col("level") == "stratum").drop("level")
+    now = first_estimates(rows)
+    for _ in range(FIRST_STEPS):
+        now = concentrated(rows, now)
+    best = now.groupBy("level", "key").agg(F.min(F.struct("log_det", "start", *[c for c in now.columns if c not in ("level", "key", "log_det", "start")])).alias("best"))
+    now = best.select("level", "key", "best.*")
+    for _ in range(STEPS - FIRST_STEPS - 1):
+        now = concentrated(rows, now)
+    outer = concentrated(rows, now, level="lang")
+    return concentrated(rows, now, prior=outer, level="stratum").drop("level", "outer_key")
 
 
 def cuts(distances: DataFrame) -> DataFrame:
     """The largest distance a stratum (``k0``, ``key``) keeps, from the rows that
-    the base rules keep. Distances are binned, so that a quantile is found among
-    few values whatever the stratum's rows."""
+    the base rules keep: the 0.999 quantile of a log-normal law through the lower
+    quartile and the median of its distances, within ``LEAST_CUT_SQ`` and
+    ``MOST_CUT_SQ``. Only the nearer half decides, so outliers cannot raise it but
+    by shifting ranks, and never beyond the ceiling. Distances are binned, so
+    that a quantile is found among few values whatever the stratum's rows."""
     bins = (distances.filter(~F.col("base_failed"))
             .groupBy("k0", "key", F.floor(F.log2(F.greatest("distance_sq", F.lit(1 / UNIT))) * BINS).alias("bin")).agg(F.count(F.lit(1)).alias("n")))
-    quartiles = F.expr("percentile(bin, array(0.5D, 0.75D), n)").alias("at")
+    quartiles = F.expr("percentile(bin, array(0.25D, 0.5D), n)").alias("at")
     of = lambda d, *cols: d.groupBy(*cols).agg(F.sum("n").alias("rows"), quartiles)
     outer = of(bins, "k0").select(F.col("k0").alias("outer_k0"), F.col("at").alias("outer_at"))
     w = F.col("rows") / (F.col("rows") + CUT_PRIOR_ROWS)
-    half, upper = (w * F.col("at")[i] + (1 - w) * F.col("outer_at")[i] for i in (0, 1))
-    at = half + (upper - half) * (NORMAL_999 / NORMAL_75)
+    lower, half = (w * F.col("at")[i] + (1 - w) * F.col("outer_at")[i] for i in (0, 1))
+    at = half + (half - lower) * (NORMAL_999 / NORMAL_75)
     return of(bins, "k0", "key").join(outer, F.col("k0").eqNullSafe(F.col("outer_k0"))).select(
-        "key", F.greatest(F.pow(F.lit(2.0), at / BINS), F.lit(MAX_DISTANCE_SQ)).alias("cut"))
+        "key", F.least(F.greatest(F.pow(F.lit(2.0), at / BINS), F.lit(LEAST_CUT_SQ)), F.lit(MOST_CUT_SQ)).alias("cut"))
 
 
 def judged(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",

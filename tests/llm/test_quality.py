@@ -68,27 +68,82 @@ def test_verdicts_and_whole_rows(spark):
     assert sorted(map(str, kept.collect())) == sorted(str(r) for r in df.collect() if (r.doc_id, True) in verdict)
 
 
-def test_estimates_equal_numpy(spark):
-    """The concentration steps reckoned anew per stratum with numpy."""
-    rng = np.random.default_rng(0)
+def numpy_mcd(x, floor, share=quality.SHARE):
+    """Three starts, concentration steps and the smallest determinant, reckoned anew; equal bins go in together."""
+    factor = quality.consistency(share, quality.DIMS)
+
+    def step(centre, inverse):
+        d = np.einsum("ni,ij,nj->n", x - centre, inverse, x - centre)
+        bins = np.floor(np.log2(1 + d) * quality.BINS)
+        near = x[bins <= np.sort(bins)[int(np.ceil(len(x) * share)) - 1]]
+        scatter = np.cov(near.T, bias=True) * factor + floor
+        return near.mean(axis=0), np.linalg.inv(scatter), np.linalg.slogdet(scatter)[1], len(near)
+
+    middle, ridge = np.median(x, axis=0), np.sqrt(np.diag(floor))
+    z = (x - middle) / ridge
+    size = (z ** 2).sum(axis=1)
+    u = z[size > 0] / np.sqrt(size[size > 0])[:, None]
+    mid = 2 ** (np.median(np.floor(np.log2(1 + size) * 64)) / quality.BINS) - 1
+    signs = u.T @ u / len(x) * mid * np.outer(ridge, ridge)
+    starts = {"ridge": (middle, np.linalg.inv(floor)), "signs": (middle, np.linalg.inv(signs + floor)),
+              "all": (x.mean(axis=0), np.linalg.inv(np.cov(x.T, bias=True) + floor))}
+    done = {}
+    for name, at in starts.items():
+        for _ in range(quality.FIRST_STEPS):
+            at = step(*at[:2])
+        done[name] = at
+    name = min(done, key=lambda k: (done[k][2], k))
+    at = done[name]
+    for _ in range(quality.STEPS - quality.FIRST_STEPS):
+        at = step(*at[:2])
+    return name, at, {k: v[2] for k, v in done.items()}
+
+
+@pytest.mark.parametrize("shift", [3000, 400, 0])
+def test_estimates_equal_numpy(spark, shift):
+    """The starts, the steps and the choice by determinant, with numpy; a fifth of the rows may lie apart."""
+    rng = np.random.default_rng(shift)
     x = rng.normal([100, 200, 20, 0, 30, 1700], [60, 50, 30, 0, 20, 90], (500, 6)).round().astype(int)
-    x[:60] += 3000
+    x[:100] += shift
     df = spark.createDataFrame([("en", "s", *map(int, v)) for v in x], "k0 string, k1 string, " + ", ".join(f"x{i} long" for i in range(6)))
     got = quality.robust_estimates(df, {"lang": ["k0"], "stratum": ["k0", "k1"]}).collect()
     assert len(got) == 1 and got[0].key == '{"k0":"en","k1":"s"}'
-    floor = np.diag((np.array(quality.FLOOR) * quality.UNIT) ** 2)
-    centre, inverse = np.median(x, axis=0), np.linalg.inv(floor)
-    factor = quality.consistency(quality.SHARE, quality.DIMS)
-    for _ in range(quality.STEPS):
-        d = np.einsum("ni,ij,nj->n", x - centre, inverse, x - centre)
-        bins = np.floor(np.log2(1 + d) * quality.BINS)
-        cut = np.sort(bins)[int(np.ceil(len(x) * quality.SHARE)) - 1]
-        near = x[bins <= cut]
-        centre, scatter = near.mean(axis=0), np.cov(near.T, bias=True) * factor
-        inverse = np.linalg.inv(scatter + floor)
-    assert got[0].n == len(near)
+    name, (centre, inverse, log_det, n), dets = numpy_mcd(x, np.diag((np.array(quality.FLOOR) * quality.UNIT) ** 2))
+    assert got[0].n == n and got[0].start == name
     assert np.allclose(got[0].centre, centre, rtol=1e-6)
     assert np.allclose(np.array(got[0].inverse).reshape(6, 6), inverse, rtol=1e-4, atol=1e-9)
+    assert got[0].log_det == pytest.approx(log_det, rel=1e-6)
+    if shift:  # the outliers take no part
+        assert np.abs(np.array(got[0].centre) - x[100:].mean(axis=0)).max() < 30
+
+
+@pytest.mark.parametrize("share", [.05, .15, .24])
+def test_contaminated_stratum(spark, share):
+    """Junk of one kind in one small stratum cannot raise that stratum's cut: it all goes, the good rows stay."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefgéü", k=rng.randint(2, 9))) for _ in range(400)]
+    data = []
+    for i in range(400):
+        source = "small" if i < 140 else "large"
+        junk = source == "small" and i < 140 * share
+        ws = rng.choices(words, k=rng.randint(40, 200))
+        data.append((i, " ".join(w.upper() + "!!" if junk else w for w in ws), "fr", source, 1, "junk" if junk else "good", 2))
+    got = {r.doc_id: r for r in quality.judged(spark.createDataFrame(data, SCHEMA)).collect()}
+    kinds = {r[0]: r[5] for r in data}
+    assert not [i for i, r in got.items() if kinds[i] == "junk" and r.kept]
+    assert sum(r.kept for i, r in got.items() if kinds[i] == "good") >= .99 * sum(k == "good" for k in kinds.values())
+
+
+def test_any_size_of_stratum(spark):
+    """Strata of 1, 2, 29 and 31 rows are judged by one rule, the language's estimate weighing by ``PRIOR_ROWS``."""
+    data = rows(400, 4)
+    clean = [r[1] for r in data if r[5] == "good"]
+    data += [(5000 + 100 * k + i, clean[i], "en", f"tiny{k}", 1, "good", 2) for k in (1, 2, 29, 31) for i in range(k)]
+    data += [(9000 + k, clean[0].upper() + " ***" * 30, "en", f"tiny{k}", 1, "junk", 2) for k in (1, 2, 29, 31)]
+    got = {r.doc_id: r.kept for r in quality.judged(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert not any(got[9000 + k] for k in (1, 2, 29, 31))
+    tiny = [got[5000 + 100 * k + i] for k in (1, 2, 29, 31) for i in range(k)]
+    assert sum(tiny) >= len(tiny) - 1
 
 
 def test_scatter_decides(spark):
