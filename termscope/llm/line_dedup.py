@@ -9,25 +9,27 @@ Windows are judged on the input, not on what is left.
 Windows leave the texts as (hash, document, position) rows. A window's first
 place and number are a partial aggregate, so a window that a third of all
 documents hold leaves each task as one row; only repeated windows meet the rows
-again, in a join salted by ``SALTS``, and the text is shuffled once, to meet the
-positions to remove.
+again, in a join over as many salts as the window has rows per ``SALT_ROWS``,
+and the text is shuffled once, to meet the positions to remove.
 
 Cases: a null text stays null; texts of fewer than three lines have no window
 and stay; empty lines are lines; a null id sorts before all others; rows that
-share an id are told apart by the MD5 of their text, and of rows equal in id and
-text each is cut alike (as one document); an empty table gives an empty result;
-other columns are kept, whatever their names.
+share an id are told apart by the MD5 of their text (and take that order); of
+rows equal in id and text one counts as the first, and in the others every
+window is a later one; an empty table gives an empty result; other columns are
+kept, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import packed, written
 
 WINDOW = 3
-SALTS = 8  # tasks that the rows of one window may be spread over
+SALT_ROWS = 20_000  # rows of one window that a task joins, on average
 
 
 def split_lines(text: Column) -> Column:
@@ -49,9 +51,13 @@ def later_windows(df: DataFrame, id_col: str, text_col: str, size: int = WINDOW)
     wins = written(lined.select("id", "digest", F.explode(window_hashes(F.col("lines"), size)).alias("w"))
                         .select("id", "digest", "w.hash", "w.pos").distinct(), "windows")
     place = F.struct("id", "digest", "pos")
-    first = (wins.groupBy("hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-                 .select("hash", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
-    salted = wins.withColumn("salt", F.pmod(F.xxhash64("id", "digest", "pos"), F.lit(SALTS)).cast("int"))
+    first = wins.groupBy("hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    salts = F.ceil(F.col("n") / F.lit(float(SALT_ROWS))).cast("int")
+    # Windows of few rows have the salt 0 alone; the others are few, by their number, and known to every task.
+    hot = first.filter(salts > 1).select("hash", salts.alias("salts"))
+    first = first.select("hash", "first", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    salted = wins.join(hot, "hash", "left").withColumn(
+        "salt", F.coalesce(F.pmod(F.xxhash64("id", "digest", "pos"), F.col("salts")).cast("int"), F.lit(0))).drop("salts")
     later = salted.join(first, ["hash", "salt"]).filter(~place.eqNullSafe(F.col("first")))
     # Bounded by the lines of one document.
     return later.groupBy("id", "digest").agg(F.sort_array(F.collect_list("pos")).alias("starts"))
@@ -60,11 +66,15 @@ def later_windows(df: DataFrame, id_col: str, text_col: str, size: int = WINDOW)
 def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
     """Every row of ``df`` as ``row``, with the new ``text``, ``n_lines`` and ``n_removed``."""
     later = later_windows(df, id_col, text_col, size)
-    rows = packed(df).select("row", F.col(f"row.{id_col}").alias("id"), F.col(f"row.{text_col}").alias("old"))
-    rows = rows.withColumn("digest", F.unhex(F.md5(F.col("old").cast("binary"))))
+    text = F.col(f"row.{text_col}")
+    rows = packed(df).select("row", F.col(f"row.{id_col}").alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("digest"))
     later = later.select(F.col("id").alias("__id"), F.col("digest").alias("__digest"), "starts")
     met = rows.join(later, F.col("id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest")), "left")
-    met = met.withColumn("lines", split_lines(F.col("old"))).withColumn("n_lines", F.coalesce(F.size("lines"), F.lit(0)))
+    # Rows equal in id and text: the join has brought and sorted them together; all but one are later occurrences.
+    met = met.withColumn("copy", F.row_number().over(Window.partitionBy("id", "digest").orderBy(F.lit(0))))
+    met = met.withColumn("old", text).withColumn("lines", split_lines(text)).withColumn("n_lines", F.coalesce(F.size("lines"), F.lit(0)))
+    met = met.withColumn("starts", F.when((F.col("copy") > 1) & (F.col("n_lines") >= size),
+                                          F.sequence(F.lit(0), F.col("n_lines") - size)).otherwise(F.col("starts")))
     gone = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (size - 1)))))
     met = met.withColumn("gone", F.when(F.col("starts").isNotNull(), gone))
     left = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), F.col("gone"))
