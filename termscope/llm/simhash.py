@@ -21,8 +21,9 @@ from star contractions over tables in the checkpoint folder.
 
 Cases: a null or wordless text has fingerprint zero and is linked like any
 other; one or two words form one shingle; texts are read whole; repeated rows
-share a component; a null id is kept and takes no part in the smallest id; an
-empty table gives an empty result; other columns are ignored.
+share a component; rows that share an id are judged each by its own text; a null
+id is kept and takes no part in the smallest id; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -202,10 +203,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if radius != RADIUS:
         raise ValueError("the covering masks are laid out for a radius of 3 bits")
     rows = written(fingerprints(df, id_col, text_col, shingle), "fingerprints")
-    classes = written(rows.groupBy("fp").agg(F.min("id").alias("node")), "classes")
-    roots = components(links(classes.filter(F.col("node").isNotNull()), radius, bucket))
-    final = classes.join(roots, "node", "left").select(
-        F.col("fp"), F.coalesce(F.col("root"), F.col("node")).alias("component_id"))
+    # The fingerprint names its class: ids may be null or shared by unrelated texts.
+    classes = written(rows.groupBy("fp").agg(F.min("id").alias("least")), "classes")
+    roots = components(links(classes.select(F.col("fp").alias("node"), "fp"), radius, bucket))
+    rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", F.coalesce(F.col("root"), F.col("fp")).alias("root"), "least")
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    final = rooted.drop("least").join(named, "root").drop("root")
     return rows.join(final, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
@@ -216,11 +220,14 @@ def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of ``df`` of each component, that of its smallest id, with all
-    columns. Rows without an id belong to no component and are kept; of rows
-    that share the smallest id one is kept."""
-    found = near_duplicates(df.filter(F.col(id_col).isNotNull()), id_col, text_col, **options)
-    kept = found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__id")).distinct()
-    rows = packed(df).withColumn("id", F.col(f"row.{id_col}"))
-    one = rows.filter("id is not null").join(kept, F.col("id") == F.col("__id"), "left_semi").dropDuplicates(["id"])
+    """One row of ``df`` of each component, that of its smallest id (where texts
+    share it: of the smallest MD5 of the text), with all columns. Rows without an
+    id belong to no component and are kept; of equal rows one is kept."""
+    digest = lambda text: F.md5(text_of(text).cast("binary"))
+    keyed = df.filter(F.col(id_col).isNotNull()).select(
+        F.struct(F.col(id_col).alias("id"), digest(text_col).alias("digest")).alias("place"), F.col(text_col).alias("text"))
+    found = near_duplicates(keyed, "place", "text", **options)
+    kept = found.filter(F.col("place") == F.col("component_id")).select("place.*").distinct()
+    rows = packed(df).withColumn("id", F.col(f"row.{id_col}")).withColumn("digest", digest(F.col(f"row.{text_col}")))
+    one = rows.filter("id is not null").join(kept, ["id", "digest"], "left_semi").dropDuplicates(["id", "digest"])
     return one.unionByName(rows.filter("id is null")).select("row.*")

@@ -100,6 +100,17 @@ def test_rows_without_an_id(spark):
     assert got == [("5", 5), ("9", 5), ("None", 5), ("None", None)]
 
 
+def test_ids_shared_by_unrelated_texts(spark):
+    rows = [(1, "a b c d", "x", 1), (1, "quite another text here", "x", 2), (1, "quite another text here", "x", 2),
+            (2, "a b c d", "x", 3), (3, "QUITE another text here", "x", 4), (4, "none of the former at all", "x", 5), (4, None, "x", 6)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {(r.doc_id, r.fingerprint, r.component_id) for r in simhash.report(df).collect()}
+    assert got == {(i, f"{brute_fingerprint(t):016x}", {1: 1, 2: 1, 3: 1, 4: 4}[i]) for i, t, *_ in rows}
+    assert len({f for _, f, _ in got}) == 4
+    kept = sorted((r.doc_id, r.text or "") for r in simhash.keep_one(df).collect())
+    assert kept == [(1, "a b c d"), (1, "quite another text here"), (4, ""), (4, "none of the former at all")]
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.report(empty).count() == 0 and simhash.keep_one(empty).count() == 0
