@@ -6,11 +6,15 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..plans.materialize import delete_table
 from ..session import ensure_checkpoint_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,14 +46,44 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_TABLES: ContextVar[list[str] | None] = ContextVar("tables", default=None)
+
+
+def written(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     """Write ``df`` under the session's checkpoint folder and read it back: what
     several jobs read is computed once, and a lost executor costs a re-read.
-    The folder is shared storage on a cluster (``spark.checkpoint.dir``)."""
+    The folder is shared storage on a cluster (``spark.checkpoint.dir``).
+    ``kept``: the table outlives a ``scratch`` block it is written in."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    tables = _TABLES.get()
+    if tables is not None and not kept:
+        tables.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._table_path = path
+    return out
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``written`` makes within this block are deleted at its end, for
+    a caller who has written the block's result elsewhere by then."""
+    token = _TABLES.set([])
+    try:
+        yield
+    finally:
+        tables = _TABLES.get()
+        _TABLES.reset(token)
+        for path in tables:
+            delete_table(spark, path)
+
+
+def release(df: DataFrame) -> None:
+    """Delete the table behind a frame from ``written`` (nothing else)."""
+    path = getattr(df, "_table_path", None)
+    if path:
+        delete_table(df.sparkSession, path)
 
 
 def text_of(col: str | Column) -> Column:
