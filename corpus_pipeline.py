@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from termscope.llm import byte_bpe, line_dedup, mixing, quality, simhash
-from termscope.llm.common import table, written
+from termscope.llm.common import release, scratch, table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,12 @@ ORACLE_SQL = None  # MCD, SimHash and BPE are beyond SQL; tests/llm/test_pipelin
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in sequence. A stage's own tables, and the output of the stage
+    before it, go as soon as its output is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), "stage")
+        with scratch(spark):
+            done = written(stage(spark, docs, sf_dir), "stage", kept=True)
+        release(docs)
+        docs = done
     return STAGES[-1][1](spark, docs, sf_dir)
