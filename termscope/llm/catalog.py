@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, licenses, line_dedup, mixing, pii, quality, sharding, simhash, suffix_dedup, topk
+from . import byte_bpe, licenses, line_dedup, mixing, periodic, pii, quality, sharding, simhash, suffix_dedup, topk
 from .common import table
 
 
@@ -51,6 +51,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(periodic.with_repeats(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_pii": op2_pii,
@@ -62,6 +66,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_license_scan": op10_license_scan,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
