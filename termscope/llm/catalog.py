@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, licenses, line_dedup, mixing, periodic, pii, quality, sharding, simhash, suffix_dedup, topk
+from . import byte_bpe, divergence, language, licenses, line_dedup, mixing, periodic, pii, quality, sharding, simhash, suffix_dedup, topk
 from .common import table
 
 
@@ -55,6 +55,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.report(periodic.with_repeats(table(spark, sf_dir, "documents")))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_pii": op2_pii,
@@ -67,6 +75,8 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_license_scan": op10_license_scan,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_language_id": op12_language_id,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE: dict[str, str] = {
@@ -109,4 +119,26 @@ SELECT d.doc_id, CAST(coalesce(len(d.lines), 0) AS BIGINT) AS n_lines,
        CAST(coalesce(len(d.lines), 0) - coalesce(t.n, 0) AS BIGINT) AS n_removed,
        CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t.text, '') END AS text
 FROM docs d LEFT JOIN texts t ON t.doc_id = d.doc_id""",
+    # Every term of every group, absent ones included; shares as whole numbers.
+    "op13_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT k, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT k) >= 30),
+q AS (SELECT lang, term, CAST(1 + (1000000000 * CAST(n + 5 AS HUGEINT)) // (sum(n) OVER l + 5 * count(*) OVER l) AS BIGINT) AS q
+      FROM kept WINDOW l AS (PARTITION BY lang)),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+f AS (SELECT g.lang, g.source, q.term, q.q, coalesce(c.n, 0) AS n
+      FROM g JOIN q ON q.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = q.term),
+p AS (SELECT *, CAST(1 + (1000000000 * CAST(n + 5 AS HUGEINT)) // (sum(n) OVER s + 5 * count(*) OVER s) AS BIGINT) AS p
+      FROM f WINDOW s AS (PARTITION BY lang, source)),
+v AS (SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(v.value, 0) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source
+          UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 50""",
 }
