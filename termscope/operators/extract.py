@@ -2,15 +2,22 @@
 
 Formats that need a parser library are turned into segments by a user
 function run per file inside Spark tasks (``mapInArrow``): Spark spreads the
-files over the cluster (U7) and a file whose parser raises becomes an error
-row instead of failing the job (U6), as the reference skips such files.
+files over the cluster (U7) and a file whose parser raises, dies or takes longer
+than its time limit becomes an error row instead of failing the job (U6), as the
+reference skips such files.
+
+A task's parser runs in a child process, so that one which hangs (in native
+code, too) can be ended; the next file gets a new child. Segments come in parts
+while the parser runs, so no file's segments are held as one list.
 """
 
 from __future__ import annotations
 
-import csv
-import io
-import sys
+import itertools
+import multiprocessing
+import os
+import signal
+import time
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -27,66 +34,107 @@ Extractor = Callable[[str, object], Iterable[tuple[int, str, int, str]]]
 COLUMN_BITS = 24
 
 
-def cell_letters(col: int) -> str:
-    """P6 in Python, for extractors: A, Z, AA, ..."""
-    out = ""
-    while col:
-        col, rest = divmod(col - 1, 26)
-        out = chr(65 + rest) + out
-    return out
-
-
-def csv_extractor(path: str, body: object) -> Iterator[tuple[int, str, int, str]]:
-    """Every cell of a CSV file as ``A1``-located segments, parsed as the
-    csv library does (doubled quotes, line feeds in quotes, any number of
-    columns; a blank line counts as a row without cells), cells of any length."""
-    csv.field_size_limit(sys.maxsize)  # the library's own limit is 131,072 characters
-    data = body.encode("utf-8") if isinstance(body, str) else bytes(body)
-    with io.TextIOWrapper(io.BytesIO(data), encoding="utf-8", newline=None) as lines:
-        for row, cells in enumerate(csv.reader(lines), 1):
-            for col, value in enumerate(cells, 1):
-                yield (row << COLUMN_BITS) + col, f"{cell_letters(col)}{row}", 1, value
-
-
-def text_extractor(path: str, body: object) -> Iterator[tuple[int, str, int, str]]:
-    """The whole text as one segment (UTF-8, line ends as ``open()`` reads them)."""
-    text = body if isinstance(body, str) else bytes(body).decode("utf-8")
-    yield 1, "1", 1, text.replace("\r\n", "\n").replace("\r", "\n")
+PART_ROWS = 5_000      # segments that a child hands over at a time
+TIME_LIMIT = 300.0     # seconds for a file, as the reference gives its parsers
+
+
+def _serve(fn: Extractor, pipe) -> None:
+    """The child: parse each (path, body) that arrives, hand its segments over in parts, then ("end", error)."""
+    signal.signal(signal.SIGINT, signal.SIG_IGN)
+    while True:
+        try:
+            path, body = pipe.recv()
+        except EOFError:
+            os._exit(0)
+        error = None
+        try:
+            rows = ((int(o), str(loc), int(n), text) for o, loc, n, text in fn(path, body))
+            while part := list(itertools.islice(rows, PART_ROWS)):
+                pipe.send(("rows", part))
+        except Exception as exc:  # one bad file must not stop the run
+            error = f"{type(exc).__name__}: {exc}"
+        pipe.send(("end", error))
+
+
+class _Parser:
+    """A child process that runs ``fn`` on one file after the other."""
+
+    def __init__(self, fn: Extractor, seconds: float):
+        self.fn, self.seconds, self.child, self.pipe = fn, seconds, None, None
+
+    def _start(self) -> None:
+        context = multiprocessing.get_context("fork")
+        self.pipe, theirs = context.Pipe()
+        self.child = context.Process(target=_serve, args=(self.fn, theirs), daemon=True)
+        self.child.start()
+        theirs.close()
+
+    def stop(self) -> None:
+        if self.child is not None:
+            self.child.kill()
+            self.child.join()
+            self.pipe.close()
+            self.child = None
+
+    def parse(self, path: str, body: object) -> Iterator[tuple[list, str | None]]:
+        """(segments, None) parts, then ([], error) if the file failed."""
+        if self.child is None:
+            self._start()
+        until = time.monotonic() + self.seconds
+        try:
+            self.pipe.send((path, body))
+            while True:
+                if not self.pipe.poll(max(0.0, until - time.monotonic())):
+                    self.stop()
+                    yield [], f"TimeoutError: more than {self.seconds:g} s"
+                    return
+                kind, what = self.pipe.recv()
+                if kind == "end":
+                    if what:
+                        yield [], what
+                    return
+                yield what, None
+        except (EOFError, OSError):
+            self.stop()
+            yield [], "RuntimeError: the parser ended its process"
 
 
 def extract(files: DataFrame, fn: Extractor, content: str = "content",
-            partitions: int | None = None, key: str = "path") -> DataFrame:
+            partitions: int | None = None, key: str = "path", seconds: float = TIME_LIMIT) -> DataFrame:
     """Apply ``fn(path, content) -> [(seg_ord, location, page_count, text)]``
-    to every file. Returns segments plus an ``error`` column (``Type:
-    message`` for a failed file, which then has that one row and no segments,
-    also when the parser fails late).
-
-    One file is parsed and sent on at a time; Spark cuts the input into batches
-    by ``spark.sql.execution.arrow.maxBytesPerBatch``. ``partitions`` spreads
-    the files first (by path hash) when the listing arrives in too few
-    partitions. ``key`` may name another column handed to ``fn`` and returned as
-    ``path``."""
+    to every file. Returns segments plus an ``error`` column: a file that fails
+    (``Type: message``), ends its process or takes more than ``seconds`` has an
+    error row, after the segments it had given by then; ``segments_of`` leaves
+    those out.
+
+    Spark cuts the input into batches by ``spark.sql.execution.arrow.maxBytesPerBatch``.
+    ``partitions`` spreads the files first (by path hash) when the listing
+    arrives in too few partitions. ``key`` may name another column handed to
+    ``fn`` and returned as ``path``."""
     src = files.select(key, content)
     if partitions:
         src = src.repartition(partitions, key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, body in zip(batch.column(0), batch.column(1)):
-                path = path.as_py()
-                try:
-                    rows = [(path, int(o), str(loc), int(n), text, None) for o, loc, n, text in fn(path, body.as_py())]
-                except Exception as exc:  # one bad file must not stop the run
-                    rows = [(path, None, None, None, None, f"{type(exc).__name__}: {exc}")]
-                for at in range(0, len(rows), 50_000):
-                    part = list(zip(*rows[at:at + 50_000]))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(part, _OUT)], schema=_OUT)
+        parser = _Parser(fn, seconds)
+        try:
+            for batch in batches:
+                for path, body in zip(batch.column(0), batch.column(1)):
+                    path = path.as_py()
+                    for rows, error in parser.parse(path, body.as_py()):
+                        rows = [(path, *r, None) for r in rows] or [(path, None, None, None, None, error)]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _OUT)], schema=_OUT)
+        finally:
+            parser.stop()
 
     return src.mapInArrow(run, OUT_SCHEMA)
 
 
 def segments_of(extracted: DataFrame) -> DataFrame:
-    return extracted.where("error IS NULL").drop("error")
+    """The segments of files without an error. Write ``extracted`` first where
+    parsing is costly: it is read twice."""
+    bad = errors_of(extracted).select("path").distinct()
+    return extracted.where("error IS NULL").drop("error").join(bad, "path", "left_anti")
 
 
 def errors_of(extracted: DataFrame) -> DataFrame:

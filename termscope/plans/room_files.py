@@ -18,7 +18,8 @@ from ..sinks import writers
 from ..sources import testbed as tb
 from ..sources.dictionary import extra_dictionary, from_table, unpivot_wide
 from ..sources.inventory import last_file, list_files, select_prefix, with_folders
-from ..sources.scans import csv_cells, line_segments, read_lines_latin1, read_whole_text
+from ..sources.csv_files import CsvFiles
+from ..sources.scans import line_segments, read_lines_latin1, read_whole_text
 from . import room
 from .folder import read_request_sheet, scan_folder
 
@@ -73,12 +74,12 @@ def q_csv_cells(spark: SparkSession, sf_dir: str, file_rows: int = CSV_ROWS) ->
     docs = tb.read(spark, sf_dir, "documents").select("source", F.col("doc_id").cast("string").alias("id"), quoted.alias("q"), "text", "doc_id")
     (docs.repartitionByRange("source", "doc_id").sortWithinPartitions("source", "doc_id").drop("doc_id").write.partitionBy("source")
          .option("maxRecordsPerFile", file_rows).options(**writers.CSV_OPTIONS).csv(folder))
-    cells = csv_cells(spark, folder).withColumn("source", F.regexp_extract("path", "source=([^/]+)/", 1))
+    files = CsvFiles(spark, folder)
     place = [F.regexp_extract("path", r"/part-([0-9]+)-[^/]*$", 1).cast("int"), F.regexp_extract("path", r"\.c([0-9]+)\.csv$", 1).cast("int")]
+    source = F.regexp_extract("path", "source=([^/]+)/", 1)
     before = Window.partitionBy("source").orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
-    files = cells.groupBy("source", "path").agg(F.max("row").alias("n"))  # one row per file; the ordered lines are shuffled once for both
-    files = files.select("path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    return cells.join(F.broadcast(files), "path").select("source", (F.col("row") + F.col("before")).alias("row"), "col", "value")
+    counts = files.row_counts().withColumn("source", source).select("path", "source", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("before"))
+    return files.cells().join(counts, "path").select("source", (F.col("row") + F.col("before")).alias("row"), "col", "value")
 
 
 def q_folder_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +101,7 @@ def q_prefix_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: object keys under a prefix, folder markers dropped."""
     docs = tb.room_documents(spark, sf_dir)
     marks = tb.read(spark, sf_dir, "documents").select(F.concat(F.lit("room/"), F.col("source"), F.lit("/")).alias("key")).distinct()
-    keys = docs.select(F.substring("path", 2, 10_000).alias("key")).unionByName(marks)
+    keys = docs.select(F.expr("substring(path, 2, length(path))").alias("key")).unionByName(marks)
     return select_prefix(keys, "room/src1")
 
 

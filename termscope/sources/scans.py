@@ -16,19 +16,13 @@ here shape those tables into segments.
 
 from __future__ import annotations
 
-import csv
-import itertools
-import operator
-import sys
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cells import cell_address, qualified_location
 from ..functions.paths import plain_path
 from ..operators.extract import COLUMN_BITS
+from .csv_files import csv_cells  # noqa: F401
 
 SEGMENT_COLS = ["path", "seg_ord", "location", "page_count", "text"]
 
@@ -67,14 +61,15 @@ def read_lines_latin1(spark: SparkSession, root: str, glob: str = "*.txt") -> Da
                                     F.decode("content", "ISO-8859-1").alias("text")))
 
 
-# A file's bytes are one value of a row; larger files are not read this way.
-MAX_FILE_BYTES = 1 << 30
+# A file's bytes are one value of a row: Spark's own bound for such a value.
+MAX_FILE_BYTES = (1 << 31) - 16
 
 
 def read_binary(spark: SparkSession, root: str, glob: str | None = None, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """Files with their bytes, for the extractor hook: ``path, content``. The
-    length filter is pushed to the listing, so a larger file is not opened
-    (``scan_folder`` reports it as failed)."""
+    """Files with their bytes, for parsers that need a whole file (the extractor
+    hook): ``path, content``. The length filter is pushed to the listing, so a
+    larger file is not opened (``scan_folder`` reports it as failed). Text and
+    CSV files are read in chunks instead and may have any size."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -82,72 +77,6 @@ def read_binary(spark: SparkSession, root: str, glob: str | None = None, max_byt
         plain_path(F.col("_metadata.file_path")).alias("path"), "content")
 
 
-_CELLS = pa.schema([("path", pa.string()), ("row", pa.int64()), ("col", pa.int32()), ("value", pa.string())])
-CELLS_SCHEMA = "path string, row long, col int, value string"
-# A batch of cells is sent on at so many cells or characters.
-BATCH_CELLS, BATCH_CHARS = 50_000, 4 << 20
-
-
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of lines (path, bytes, block, id) of one split as one row each: fewer rows to shuffle and sort."""
-    for batch in batches:
-        out = []
-        rows = zip(*[c.to_pylist() for c in batch.columns])
-        for (path, block), run in itertools.groupby(rows, operator.itemgetter(0, 2)):
-            run = list(run)
-            out.append((path, b"".join(line + b"\n" for _, line, _, _ in run), block, run[0][3]))
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), batch.schema.types)] if out else batch.columns,
-                                         names=batch.schema.names)
-
-
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The cells of files whose lines (path, bytes) arrive one after the other."""
-    csv.field_size_limit(sys.maxsize)
-
-    def chunks() -> Iterator[tuple[str, bytes]]:
-        for batch in batches:
-            for path, chunk in zip(batch.column(0), batch.column(1)):
-                yield path.as_py(), chunk.as_py()
-
-    def sent(cells: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*cells), _CELLS)], schema=_CELLS)
-
-    out, chars = [], 0
-    for path, group in itertools.groupby(chunks(), operator.itemgetter(0)):
-        lines = (line + "\n" for _, chunk in group for line in chunk.decode("utf-8").split("\n")[:-1])
-        try:
-            for row, cells in enumerate(csv.reader(lines), 1):
-                for col, value in enumerate(cells, 1):
-                    out.append((path, row, col, value))
-                    chars += len(value)
-                if len(out) >= BATCH_CELLS or chars >= BATCH_CHARS:
-                    if out:
-                        yield sent(out)
-                    out, chars = [], 0
-        except (UnicodeDecodeError, csv.Error) as exc:
-            raise ValueError(f"{path}: {type(exc).__name__}: {exc}") from exc
-    if out:
-        yield sent(out)
-
-
-def csv_cells(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """Every CSV cell, ``path, row, col, value`` (1-based).
-
-    A line feed inside quotes makes it unknowable where a row starts without
-    reading the file from its beginning, so a file is parsed by one task (files
-    spread over the cluster). Its lines reach the parser one after the other:
-    Spark reads a large file in splits, and a sort by place puts them in order,
-    so a file may be of any size and no task holds more than a batch. A byte
-    order mark is dropped. A file that cannot be parsed fails the query;
-    ``scan_folder`` lists such files instead."""
-    raw = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root)
-           .select(plain_path(F.col("_metadata.file_path")).alias("path"), F.col("value").cast("binary").alias("line"),
-                   F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id")))
-    raw = raw.mapInArrow(_chunks, raw.schema)
-    lines = raw.repartition("path").sortWithinPartitions("path", "_block", "_id").select("path", "line")
-    return lines.mapInArrow(_parsed, CELLS_SCHEMA)
-
-
 def csv_cell_segments(cells: DataFrame) -> DataFrame:
     """S4 -> segments: location ``A1``, one page."""
     return cells.select(

@@ -74,17 +74,6 @@ def test_folder_to_reports(spark, tmp_path):
     res.close(), mem.close()
 
 
-def test_large_files_are_reported_not_read(spark, tmp_path):
-    from termscope.plans.folder import scan_folder
-    (tmp_path / "a.txt").write_text("the " * 100)
-    (tmp_path / "b.txt").write_text("the")
-    scan = scan_folder(spark, str(tmp_path), max_bytes=50)
-    assert {(r.file_name, r.status, r.reason) for r in scan.files.collect()} == {
-        ("a.txt", "failed", "larger than 50 bytes"), ("b.txt", "scanned", None)}
-    assert [r.text for r in scan.segments.collect()] == ["the"]
-    scan.close()
-
-
 def test_no_table_is_written_to_a_local_folder_on_a_cluster():
     import pytest
     from unittest import mock
