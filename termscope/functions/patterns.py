@@ -45,28 +45,17 @@ def fold(text: Column) -> Column:
     ``i`` (its full lower case is two characters), then ``lower`` and the
     equivalences above, so equal folded tokens are exactly the tokens Python's
     case-insensitive matching treats as equal. The character mapping runs
-    only on texts that hold one of the rare characters (byte searches; capital
-    sigma is included because lower-casing can turn it into a final sigma)."""
+    only on texts that hold one of the rare characters (capital sigma is
+    included because lower-casing can turn it into a final sigma), which are
+    looked for in texts that are not plain ASCII."""
     full = F.translate(F.lower(F.translate(text, "\u0130", "i")), CASE_EQUIVALENT_FROM, CASE_EQUIVALENT_TO)
-    rare = None
-    for ch in CASE_EQUIVALENT_FROM + "\u0130\u03a3":
-        c = F.contains(text, F.lit(ch))
-        rare = c if rare is None else (rare | c)
+    rare = (F.octet_length(text) > F.char_length(text)) & text.rlike("[" + CASE_EQUIVALENT_FROM + "\u0130\u03a3]")
     return F.when(rare, full).otherwise(F.lower(text))
 
 
-def probe_token(kw: Column) -> Column:
-    """Folded first word run of a keyword ('' when it has none).
-
-    Any match of the keyword contains this run as a whole token of the text, so
-    joining text tokens to probes finds every candidate segment.
-    """
-    return F.regexp_extract(fold(kw), WORD_RUN, 0)
-
-
 def is_single_word(kw: Column) -> Column:
     """True when the keyword is exactly one word run: its hits are token counts."""
-    return kw.rlike("^" + WORD_RUN + "$")
+    return kw.rlike("^" + WORD_RUN + r"\z")
 
 
 # Fixed value: Python's Unicode ``\b`` (a word/non-word transition).
@@ -87,7 +76,7 @@ def category_alternation(keywords: Column, escape: bool = False) -> Column:
     bounded = F.transform(items, lambda k: F.concat(F.lit(WORD_BOUNDARY), k, F.lit(WORD_BOUNDARY)))
     general = F.concat(F.lit(CASE_FLAGS), F.array_join(bounded, "|"))
     # Word characters at both ends and no regex syntax in between.
-    plain = "^" + WORD_CLASS + r"(?:[\p{L}\p{N}_ &',/-]*" + WORD_CLASS + ")?$"
+    plain = "^" + WORD_CLASS + r"(?:[\p{L}\p{N}_ &',/-]*" + WORD_CLASS + r")?\z"
     word_edges = F.forall(keywords, lambda k: k.rlike(plain))
     factored = F.concat(F.lit(CASE_FLAGS + LEFT_BOUND + "(?:"), F.array_join(items, "|"),
                         F.lit(")" + RIGHT_BOUND))

@@ -3,21 +3,22 @@
 The reference loops over every text and every keyword pattern. Here the regex
 theta-join becomes one equi-join on tokens:
 
-* a segment is split into folded tokens once, and its distinct tokens are
-  counted inside the row (sorted, then cut into runs), so nothing is shuffled to
-  count them;
-* the distinct tokens are exploded and joined to the dictionary on the keyword's
-  probe (its first word run). A single-word keyword's hits are the token's
-  count; for a phrase or a keyword with symbols the exact pattern counts, on the
-  segment's text, only where the probe occurs;
+* a segment is split into folded tokens once; its distinct tokens are exploded
+  and joined to the dictionary on the keyword's probe, one of its words;
+* only a token that the dictionary has is counted, inside the row. A single-word
+  keyword's hits are the token's count; for a phrase or a keyword with symbols
+  the exact pattern counts, on the segment's text, only where the probe occurs;
+* a phrase's probe is its rarest word: by the documents that hold it where
+  ``word_counts`` are given, else by the dictionary's phrases that hold it;
 * a keyword without any word character is probed by its first character, and
   segments then offer their distinct non-word characters as tokens too.
 
 Each segment row gives one row per keyword found in it; segments that share a
 key stay rows of their own. A dictionary within ``broadcast_limit`` rows is
 broadcast: one scan, one generator, one hash join, no shuffle. Beyond it the
-same join is shuffled without the text, and only segments with a candidate
-phrase meet their text again; the result is the same.
+same join is shuffled without the text, only the tokens that pass a Bloom filter
+of the probes, and only segments with a candidate phrase meet their text again;
+the result is the same.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.patterns import (NON_WORD_RUN, category_alternation, fold, is_single_word,
-                                  keyword_pattern, probe_token)
+from ..functions.patterns import (NON_WORD_RUN, WORD_RUN, category_alternation, fold, is_single_word,
+                                  keyword_pattern)
 
 # Largest dictionary (rows) that is broadcast and inlined into the plan.
 DEFAULT_BROADCAST_LIMIT = 200_000
@@ -52,47 +53,76 @@ def prepare_dictionary(dictionary: DataFrame) -> DataFrame:
     """
     d = (dictionary.where(F.col("keyword").isNotNull() & (F.trim("keyword") != ""))
          .select("category", "keyword", F.col("row_ord").cast("long").alias("row_ord")).distinct())
-    first = d.groupBy("category").agg(F.min("row_ord").alias("_first"))
-    cat_ord = first.select(
-        F.col("category").alias("_category"),
-        F.dense_rank().over(Window.orderBy("_first", "category")).cast("int").alias("cat_ord"))
+    d = d.withColumn("_first", F.min("row_ord").over(Window.partitionBy("category")))
     # A dictionary's numbers come from one ordered pass over it (its rows, not the corpus's).
     number = F.row_number().over(Window.orderBy("row_ord", "category", "keyword")).cast("long")
-    return (d.withColumn("kw_ord", number).join(cat_ord, F.col("category").eqNullSafe(F.col("_category")))
-             .select("category", "cat_ord", "keyword", "kw_ord"))
+    cat_ord = F.dense_rank().over(Window.orderBy("_first", "category")).cast("int")
+    return d.select("category", cat_ord.alias("cat_ord"), "keyword", number.alias("kw_ord"))
 
 
-def _with_match_columns(d: DataFrame) -> DataFrame:
-    word = probe_token(F.col("keyword"))
+def _with_match_columns(d: DataFrame, counts: DataFrame | None) -> DataFrame:
     mark = F.regexp_extract(fold(F.col("keyword")), MARK, 0)
-    return (d.withColumn("probe", F.when(word != "", word).otherwise(mark))
-             .withColumn("single", is_single_word(F.col("keyword")))
-             .withColumn("symbolic", word == "")
-             .withColumn("pattern", keyword_pattern(F.col("keyword"))))
-
-
-def matchable(dictionary: DataFrame, prepared: bool = False) -> DataFrame:
+    d = (d.withColumn("_words", F.array_distinct(F.regexp_extract_all(fold(F.col("keyword")), F.lit(WORD_RUN), F.lit(0))))
+          .withColumn("single", is_single_word(F.col("keyword"))).withColumn("symbolic", F.size("_words") == 0)
+          .withColumn("pattern", keyword_pattern(F.col("keyword"))))
+    words = d.select("*", F.explode_outer("_words").alias("_w")).drop("_words")
+    words = words.withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy("_w")))
+    if counts is not None:
+        words = words.join(counts.select(F.col("word").alias("_w"), F.col("n").alias("_n")), "_w", "left")
+    else:
+        words = words.withColumn("_n", F.lit(0))
+    order = F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_k", (-F.length("_w")).alias("l"), "_w")
+    rarest = words.groupBy(*d.drop("_words").columns).agg(F.min_by("_w", order).alias("_probe"))
+    return rarest.withColumn("probe", F.coalesce("_probe", mark)).drop("_probe")
+
+
+def word_counts(segments: DataFrame, dictionary: DataFrame, text: str = "text") -> DataFrame:
+    """``word, n``: in how many segments each word of the dictionary's phrases
+    occurs, exactly; one pass over the text, for ``matchable``."""
+    words = dictionary.where(~is_single_word(F.col("keyword"))).select(
+        F.explode(F.regexp_extract_all(fold(F.col("keyword")), F.lit(WORD_RUN), F.lit(0))).alias("word")).distinct()
+    held = segments.select(F.explode(F.array_distinct(_tokens(F.col(text), False))).alias("word"))
+    return held.join(words, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def matchable(dictionary: DataFrame, prepared: bool = False, counts: DataFrame | None = None) -> DataFrame:
     """The dictionary with its probe and pattern columns. A run prepares it
-    once and passes it to every match with ``prepared=True``."""
+    once and passes it to every match with ``prepared=True``. ``counts``: see
+    ``word_counts``."""
     if "pattern" in dictionary.columns:
         return dictionary
     d = dictionary if prepared else prepare_dictionary(dictionary)
-    return _with_match_columns(d).select(*DICT_COLS, "probe", "single", "symbolic", "pattern")
+    return _with_match_columns(d, counts).select(*DICT_COLS, "probe", "single", "symbolic", "pattern")
 
 
-def _token_counts(text: Column, symbols: bool) -> tuple[Column, Column, Column]:
-    """Expressions for a three-step projection: sorted tokens, run starts, (token, n) structs."""
+def _tokens(text: Column, symbols: bool) -> Column:
+    """The folded words of a text, repeats included; with ``symbols`` its distinct non-word characters, too."""
     words = F.split(fold(text), NON_WORD_RUN)
     if symbols:
-        # Non-word characters, one token each; blanks separate and are never probes.
+        # Blanks separate and are never probes.
         words = F.concat(words, F.array_distinct(F.regexp_extract_all(fold(text), F.lit(MARK), F.lit(0))))
-    toks = F.sort_array(F.filter(words, lambda t: t != ""))
-    starts = F.filter(F.sequence(F.lit(0), F.size("_toks") - 1),
-                      lambda i: (i == 0) | (F.get("_toks", i) != F.get("_toks", i - 1)))
-    runs = F.transform("_starts", lambda i, j: F.struct(
-        F.get("_toks", i).alias("probe"),
-        (F.coalesce(F.get("_starts", j + 1), F.size("_toks")) - i).cast("long").alias("n")))
-    return toks, F.when(F.size("_toks") > 0, starts).otherwise(F.array().cast("array<int>")), runs
+    return words
+
+
+def _local(d: DataFrame, most: int) -> tuple[DataFrame | None, bool]:
+    """A dictionary of at most ``most`` rows, computed once, as rows of the plan
+    (None for a larger one); and whether it has keywords without a word."""
+    table = d.limit(most + 1).toArrow()
+    if table.num_rows > most:
+        return None, not d.where("symbolic").isEmpty()
+    return d.sparkSession.createDataFrame(table, d.schema), True in table["symbolic"].to_pylist()
+
+
+def _phrase_hits(text: Column, pattern: Column, edge: Column | None) -> Column:
+    """Matches of a phrase's pattern. In a window of a file (``edge``, see
+    ``sources.chunks``) that another one follows, a match needs a character after
+    it; in an edge row it must cross from one window to the next."""
+    if edge is None:
+        return F.regexp_count(text, pattern).cast("long")
+    beyond = F.concat(F.lit("(?s:.{"), edge + 1, F.lit("})"))
+    bounded = F.when(edge.isNull(), pattern).when(edge < 0, F.concat(pattern, F.lit("(?=(?s:.))"))).otherwise(
+        F.concat(F.lit("(?="), beyond, F.lit(")"), pattern, F.lit("(?!"), beyond, F.lit(")")))
+    return F.regexp_count(text, bounded).cast("long")
 
 
 def keyword_hits(segments: DataFrame, dictionary: DataFrame,
@@ -103,36 +133,73 @@ def keyword_hits(segments: DataFrame, dictionary: DataFrame,
     of every keyword (each keyword independently), counted per segment.
 
     Returns ``*key, category, cat_ord, keyword, kw_ord, hits`` (hits > 0,
-    BIGINT), keyword spelled as in the dictionary.
+    BIGINT), keyword spelled as in the dictionary. Segments with a column
+    ``edge`` are windows of files (``sources.chunks.text_segments``): each gives
+    rows of its own, and their hits add up to the file's.
     """
     key = list(key)
     d = matchable(dictionary, prepared)
-    # One tiny aggregate: the size (broadcast bound) and whether symbols are asked for.
-    kinds = d.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("symbolic"), 1)).alias("symbolic")).first()
-    toks, starts, runs = _token_counts(F.col(text), kinds["symbolic"] > 0)
-    if kinds["n"] <= broadcast_limit:
-        rows = (segments.select(*key, text).withColumn("_toks", toks).withColumn("_starts", starts)
-                .select(*key, text, F.explode(runs).alias("_t")).select(*key, text, "_t.probe", "_t.n"))
-        hits = F.when(F.col("single"), F.col("n")).otherwise(F.regexp_count(F.col(text), F.col("pattern")).cast("long"))
-        return (rows.join(F.broadcast(d), "probe").withColumn("hits", hits).where("hits > 0")
+    local, symbols = _local(d, broadcast_limit)
+    words = _tokens(F.col(text), symbols)
+    own = ["edge"] if "edge" in segments.columns else []
+    edge = F.col("edge") if own else None
+    # Words end with their window: an edge row holds parts of words, and counts phrases only.
+    single = F.col("single") & (edge.isNull() | (edge < 0)) if own else F.col("single")
+    if local is not None:
+        # Joined first, counted after: few of a text's words are in the dictionary.
+        rows = (segments.select(*key, text, *own, words.alias("_words"))
+                .select(*key, text, *own, "_words", F.explode(F.array_distinct("_words")).alias("probe")))
+        count = (F.size("_words") - F.size(F.array_remove("_words", F.col("probe")))).cast("long")
+        hits = F.when(F.col("single"), F.when(single, count).otherwise(0)).otherwise(_phrase_hits(F.col(text), F.col("pattern"), edge))
+        return (rows.join(F.broadcast(local), "probe").withColumn("hits", hits).where("hits > 0")
                     .select(*key, "category", "cat_ord", "keyword", "kw_ord", "hits"))
     # Shuffled by token, without the text; a segment is known by its key and digest.
-    seg = segments.select(*key, text).withColumn("_digest", F.xxhash64(text, F.length(text)))
-    ids = [*key, "_digest"]
-    rows = (seg.withColumn("_toks", toks).withColumn("_starts", starts)
-            .select(*ids, F.explode(runs).alias("_t")).select(*ids, "_t.probe", "_t.n"))
+    seg = segments.select(*key, text, *own).withColumn("_digest", F.xxhash64(text, F.length(text), *own))
+    ids = [*key, "_digest", *own]
+    probes = seg.select(*ids, words.alias("_words")).select(*ids, "_words", F.explode(F.array_distinct("_words")).alias("probe"))
+    probes = probes.where(maybe_in(F.col("probe"), d, "probe"))
+    rows = probes.select(*ids, "probe", (F.size("_words") - F.size(F.array_remove("_words", F.col("probe")))).cast("long").alias("n"))
     found = rows.join(d, "probe")
     out = [*DICT_COLS, "hits"]
-    single = found.where("single").withColumn("hits", F.col("n")).select(*key, *out)
+    singles = found.where(single).withColumn("hits", F.col("n")).select(*key, *out)
     cand = found.where("not single").select(*ids, *DICT_COLS, "pattern").distinct()
     same = [F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) for k in ids]
     on = same[0]
     for c in same[1:]:
         on = on & c
-    phrases = (seg.alias("s").join(cand.alias("c"), on)
-               .withColumn("hits", F.regexp_count(F.col(f"s.{text}"), F.col("c.pattern")).cast("long")).where("hits > 0")
+    matches = _phrase_hits(F.col(f"s.{text}"), F.col("c.pattern"), F.col("s.edge") if own else None)
+    phrases = (seg.alias("s").join(cand.alias("c"), on).withColumn("hits", matches).where("hits > 0")
                .select(*[F.col(f"s.{k}").alias(k) for k in key], *[F.col(f"c.{k}").alias(k) for k in DICT_COLS], "hits"))
-    return single.unionByName(phrases)
+    return singles.unionByName(phrases)
+
+
+# Bits per key of the filter before the shuffle; its size ends at MOST_BITS (8 MB), where more words pass it.
+KEY_BITS, MOST_BITS = 16, 1 << 26
+
+
+def maybe_in(word: Column, keys: DataFrame, key: str) -> Column:
+    """A Bloom filter as a column: true for every value of ``keys.key`` and for
+    few others (two bits of the value's hash are looked up in a bit table that
+    is a literal of the plan). The table's size is bounded whatever the keys."""
+    n = keys.select(key).distinct().count()
+    bits = 64
+    while bits < min(MOST_BITS, n * KEY_BITS):
+        bits *= 2
+
+    def places(c: Column) -> list[Column]:
+        h = F.xxhash64(c)
+        return [h.bitwiseAND(bits - 1), F.shiftrightunsigned(h, 32).bitwiseAND(bits - 1)]
+
+    at = keys.select(F.explode(F.array(*places(F.col(key)))).alias("p"))
+    cells = at.groupBy(F.shiftright("p", 6).cast("int").alias("cell")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("word"))
+    table = [0] * (bits // 64)
+    for r in cells.collect():  # at most MOST_BITS / 64 rows
+        table[r["cell"]] = r["word"]
+    cell = F.lit(table)
+    found = [F.get(cell, F.shiftright(p, 6).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), p.bitwiseAND(63).cast("int"))) != 0
+             for p in places(word)]
+    return found[0] & found[1]
 
 
 def expand_occurrences(hits: DataFrame) -> DataFrame:

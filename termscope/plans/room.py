@@ -14,9 +14,17 @@ from .materialize import materialize
 HIT_KEY = ("path", "seg_ord", "location", "page_count")
 
 
+_PREPARED: dict[tuple[str, bool], DataFrame] = {}
+
+
 def room_dictionary(spark: SparkSession, with_user: bool = True) -> DataFrame:
-    """The run's dictionary, prepared (category order, keyword ids, patterns)."""
-    return matchable(tb.room_dictionary(spark, with_user))
+    """The room's dictionary (fixed rows), prepared once per session: category
+    order, keyword ids, patterns."""
+    key = (spark.sparkContext.applicationId, with_user)
+    if key not in _PREPARED:
+        d = matchable(tb.room_dictionary(spark, with_user))
+        _PREPARED[key] = spark.createDataFrame(d.toArrow(), d.schema)
+    return _PREPARED[key]
 
 
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
