@@ -223,13 +223,8 @@ def category_patterns(dictionary: DataFrame, escape: bool = False) -> DataFrame:
 PASS_CHARS = 200_000
 
 
-def _passes(dictionary: DataFrame, escape: bool, broadcast_limit: int) -> list[list]:
-    """The category patterns, in order, cut into passes. The dictionary's size
-    is checked first: its patterns become literals of the plan."""
-    n = dictionary.count()
-    if n > broadcast_limit:
-        raise ValueError(f"category patterns are literals of the plan: {n} keywords exceed broadcast_limit={broadcast_limit}; "
-                         "raise the limit, or use keyword_hits, which takes dictionaries of any size")
+def _passes(dictionary: DataFrame, escape: bool) -> list[list]:
+    """The category patterns, in order, cut into passes."""
     rows = sorted(category_patterns(dictionary, escape).collect(), key=lambda r: (r["first"], r["category"] or ""))
     passes: list[list] = []
     room = 0
@@ -242,18 +237,73 @@ def _passes(dictionary: DataFrame, escape: bool, broadcast_limit: int) -> list[l
     return passes
 
 
+# Regex syntax: a term with any of it is live where terms are not escaped.
+LIVE = r"[\\^$.|?*+()\[\]{}]"
+
+
+def _by_candidates(segments: DataFrame, dictionary: DataFrame, key: list[str], text: str, escape: bool, fn,
+                   broadcast_limit: int, keep_text: bool) -> DataFrame:
+    """``_per_category`` for a dictionary of any size. A term can only match
+    where its probe is a token, so a segment's alternation for a category needs
+    the terms alone whose probes it has, in dictionary order: the leftmost match,
+    and of those at one place the first term, are the same. Candidates are found
+    by a join on tokens without the text and meet it again as one pattern per
+    segment and category. Live terms have no probe and are in every alternation
+    of their category; only they are bounded in number."""
+    d = prepare_dictionary(dictionary)
+    live_term = F.lit(False) if escape else F.col("keyword").rlike(LIVE)
+    live = d.where(live_term).groupBy("category", "cat_ord").agg(F.collect_list(F.struct("kw_ord", "keyword")).alias("live"))
+    n_live = d.where(live_term).count()
+    if n_live > broadcast_limit:
+        raise ValueError(f"{n_live} terms with live regex syntax exceed broadcast_limit={broadcast_limit}; escape them or raise the limit")
+    plain = _with_match_columns(d.where(~live_term), None)
+    words = _tokens(F.col(text), not plain.where("symbolic").isEmpty())
+    seg = segments.select(*key, text).withColumn("_digest", F.xxhash64(text, F.length(text)))
+    ids = [*key, "_digest"]
+    tokens = seg.select(*ids, F.explode(F.array_distinct(words)).alias("probe")).distinct().where(maybe_in(F.col("probe"), plain, "probe"))
+    found = tokens.join(plain.select("category", "cat_ord", "kw_ord", "keyword", "probe"), "probe").groupBy(*ids, "category", "cat_ord").agg(
+        F.collect_list(F.struct("kw_ord", "keyword")).alias("terms"))
+    names = [f"_i{i}" for i in range(len(ids))] + ["_cat"]
+    same = lambda left: [F.col(c).eqNullSafe(F.col(n)) for c, n in zip([*ids, "category"][:left], names)]
+
+    def all_of(conditions: list[Column]) -> Column:
+        out = conditions[0]
+        for c in conditions[1:]:
+            out = out & c
+        return out
+
+    renamed = found.select(*[F.col(c).alias(n) for c, n in zip([*ids, "category"], names)], F.col("cat_ord").alias("_ord"), "terms")
+    if n_live:
+        rows = live.collect()  # at most broadcast_limit terms
+        every = F.array(*[F.struct(F.lit(r["category"]).alias("category"), F.lit(r["cat_ord"]).alias("cat_ord"), F.array(*[
+            F.struct(F.lit(t["kw_ord"]).alias("kw_ord"), F.lit(t["keyword"]).alias("keyword")) for t in r["live"]]).alias("live")) for r in rows])
+        with_live = seg.select(*ids, F.explode(every).alias("_l")).select(*ids, "_l.*").distinct()
+        both = with_live.join(renamed, all_of(same(len(ids) + 1)), "full")
+        picked = both.select(*[F.coalesce(c, n).alias(n) for c, n in zip([*ids, "category"], names)], F.coalesce("cat_ord", "_ord").alias("_ord"),
+                             F.concat(*[F.coalesce(c, F.array().cast("array<struct<kw_ord:bigint,keyword:string>>")) for c in ("live", "terms")]).alias("terms"))
+    else:
+        picked = renamed
+    terms = F.transform(F.array_sort("terms"), lambda t: t["keyword"])
+    patterns = picked.select(*names[:-1], F.col("_cat").alias("category"), F.col("_ord").alias("cat_ord"),
+                             category_alternation(terms, escape=escape).alias("_pattern"))
+    met = seg.join(patterns, all_of(same(len(ids))))
+    return met.select(*key, *([text] if keep_text else []), "category", "cat_ord", fn(F.col(text), F.col("_pattern")).alias("m"))
+
+
 def _per_category(segments: DataFrame, dictionary: DataFrame, key: list[str], text: str,
                   escape: bool, fn, broadcast_limit: int, keep_text: bool = False) -> DataFrame:
-    """Evaluate ``fn(text, pattern)`` for every category inside each row.
-
-    The category patterns are strings derived from the dictionary; after a size
-    check they are placed in the plan as literals, so each pattern is compiled
-    once per task and each row is scanned once per category with neither a join
-    nor a copy of the text. Few or many categories take the same plan, once per
-    ``PASS_CHARS`` of patterns."""
+    """Evaluate ``fn(text, pattern)`` for every category.
+
+    Up to ``broadcast_limit`` terms the category patterns are placed in the plan
+    as literals, so each pattern is compiled once per task and each row is
+    scanned once per category with neither a join nor a copy of the text. Few or
+    many categories take the same plan, once per ``PASS_CHARS`` of patterns. A
+    larger dictionary goes by candidates, to the same result."""
+    if dictionary.count() > broadcast_limit:
+        return _by_candidates(segments, dictionary, key, text, escape, fn, broadcast_limit, keep_text)
     extra = [text] if keep_text else []
     out = None
-    for rows in _passes(dictionary, escape, broadcast_limit) or [[]]:
+    for rows in _passes(dictionary, escape) or [[]]:
         arr = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(i).alias("cat_ord"), fn(F.col(text), F.lit(p)).alias("m"))
                         for i, c, p in rows or [(0, "", "(?!)")]])
         part = (segments.select(*key, *extra, F.explode(arr).alias("c"))

@@ -62,4 +62,14 @@ UNION ALL SELECT DISTINCT regexp_extract(path, '^(/room/[^/]+)/', 1), 'Folder' F
     q["row_window"] = """
 SELECT 'p_name' AS category, p_name AS keyword, CAST(p_partkey + 1 AS BIGINT) AS row_ord FROM part WHERE p_partkey + 1 <= 50
 UNION ALL SELECT 'p_brand', p_brand, CAST(1000000000 + p_partkey + 1 AS BIGINT) FROM part WHERE p_partkey + 1 <= 50"""
+    # A doubled mark at both ends of every word run; a bound of a match takes one of the two.
+    word, other = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_\x01\x02]"
+    live = (rf"(?i)\x01th(?:{word}s?\x02|\x02\x02{other}(?:\x01\x01s\x02|\x01))|\x01a[nr]d?\x02|\x01(?:of|to)\x02")
+    more = rf"(?i)\x01e(?:{word}\x02|\x02\x02{other}\x01)"
+    q["live_patterns"] = f"""
+WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS t FROM documents),
+marked AS (SELECT regexp_replace(t, '({word}+)', chr(1) || chr(1) || '\\1' || chr(2) || chr(2), 'g') AS t FROM lines),
+found AS (SELECT 'Live' AS category, unnest(regexp_extract_all(t, '{live}')) AS m FROM marked
+          UNION ALL SELECT 'Other', unnest(regexp_extract_all(t, '{more}')) FROM marked)
+SELECT category, lower(replace(replace(m, chr(1), ''), chr(2), '')) AS keyword, CAST(count(*) AS BIGINT) AS hits FROM found GROUP BY 1, 2"""
     return q

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from hypothesis import given, settings, strategies as st
 
@@ -100,8 +101,8 @@ def test_category_passes_give_one_result(spark, monkeypatch):
     monkeypatch.setattr(match, "PASS_CHARS", 1)
     many = {(r.category, r.cat_ord, r.keyword, r.hits) for r in category_hits(seg, d).collect()}
     assert one == many == {("c1", 1, "red", 1), ("c2", 2, "hot", 1), ("c3", 3, "blue", 1), ("c3", 3, "ring", 1)}
-    with pytest.raises(ValueError):
-        category_hits(seg, d, broadcast_limit=3)
+    large = {(r.category, r.cat_ord, r.keyword, r.hits) for r in category_hits(seg, d, broadcast_limit=3).collect()}
+    assert large == one
 
 
 def test_repeated_keys_and_rows_are_rows_of_their_own(spark):
@@ -147,3 +148,76 @@ def test_case_equivalences_follow_python(spark):
     for i, t in enumerate(texts):
         for k in kws:
             assert got.get((f"/f{i}", k), 0) == py_count(k, t), (t, k)
+
+
+def test_phrases_of_one_first_word_meet_few_segments(spark):
+    """10,000 phrases that begin with "the": a phrase's pattern runs where its rarest word is."""
+    from termscope.operators.match import matchable, word_counts
+    rows = [("c", f"the w{i} house", i + 1) for i in range(10_000)] + [("c", "the common w7", 10_001), ("c", "the", 10_002)]
+    d = spark.createDataFrame(rows, "category string, keyword string, row_ord int")
+    seg = spark.range(400).selectExpr("concat('/f', id) as path", "1L as seg_ord",
+                                      "concat('the house the w', id, ' house and the common w', id % 50, ' the the') as text")
+    prepared = matchable(d)
+    assert prepared.where("keyword = 'the w5 house'").first().probe == "w5"
+    candidates = seg.selectExpr("explode(array_distinct(split(text, ' '))) as probe").join(prepared.where("not single"), "probe").count()
+    assert candidates <= 3 * seg.count()  # the first word would give 10,000 for each segment
+    hits = keyword_hits(seg, prepared, prepared=True)
+    got = {(r.path, r.keyword): r.hits for r in hits.collect()}
+    want = {(f"/f{i}", f"the w{i} house"): 1 for i in range(400)} | {(f"/f{i}", "the"): 5 for i in range(400)}
+    assert got == want | {(f"/f{i}", "the common w7"): 1 for i in range(7, 400, 50)}
+    counts = word_counts(seg, d)
+    assert {r.word: r.n for r in counts.where("word in ('the', 'house', 'w60')").collect()} == {"the": 400, "house": 400, "w60": 1}
+    by_corpus = matchable(d, counts=counts)
+    assert by_corpus.where("keyword = 'the common w7'").first().probe == "w7"
+    assert sorted(map(str, keyword_hits(seg, by_corpus, prepared=True).collect())) == sorted(map(str, hits.collect()))
+
+
+def test_words_outside_the_dictionary_stay_out_of_the_shuffle(spark):
+    """The Bloom filter lets every probe pass and few other words."""
+    from termscope.operators.match import maybe_in
+    d = spark.range(3000).selectExpr("concat('key ', id) as k")
+    words = spark.range(100_000).selectExpr("concat('key ', id) as w")
+    passed = {r.w for r in words.where(maybe_in(F.col("w"), d, "k")).collect()}
+    assert passed >= {f"key {i}" for i in range(3000)} and len(passed) < 3000 + 0.05 * 97_000
+    none = words.where(maybe_in(F.col("w"), d.where("false"), "k"))
+    assert none.count() == 0
+
+
+def _modes(seg, d, **kw):
+    from termscope.operators.match import cell_hits
+    return [sorted(map(str, fn(seg, d, **kw).collect())) for fn in (category_hits, cell_hits, first_hit_per_category)]
+
+
+@pytest.mark.parametrize("escape", [False, True])
+def test_category_modes_of_any_dictionary_size(spark, escape):
+    """By candidates or as one alternation: equal on random texts, with nested, overlapping and symbol-edged terms."""
+    import random
+    rng = random.Random(escape)
+    bits = ["a", "b", "ab", "c", "é", "Ab", "c++", ".x", "-", "_", "1"]
+    terms = list(dict.fromkeys("".join(rng.choice(bits) + rng.choice(["", " ", " "]) for _ in range(rng.randint(1, 3))).strip() for _ in range(60)))
+    terms = [t for t in terms if escape or not re.search(r"[+.]", t)]
+    if not escape:
+        terms += ["a.", "[bc]+", "(?:ab|1) c"]  # live in every alternation
+    d = spark.createDataFrame([(f"c{i % 4}", t, i) for i, t in enumerate(terms)], "category string, keyword string, row_ord int")
+    texts = ["".join(rng.choice(bits) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randint(0, 25))) for _ in range(150)]
+    seg = spark.createDataFrame([(f"/f{i % 140}", 1, t) for i, t in enumerate(texts)] + [("/n", 1, None), (None, 1, "a b"), (None, 1, "a b")],
+                                "path string, seg_ord long, text string")
+    if escape:
+        one, many = (sorted(map(str, category_hits(seg, d, escape=True, broadcast_limit=n).collect())) for n in (1000, 3))
+        assert one == many and len(one) > 100
+    else:
+        assert _modes(seg, d) == _modes(seg, d, broadcast_limit=10)
+        with pytest.raises(ValueError, match="live"):
+            category_hits(seg, d, broadcast_limit=2)
+
+
+def test_category_mode_with_half_a_million_terms(spark):
+    d = spark.range(500_000).selectExpr("concat('c', id % 3) as category", "concat('term', id, if(id % 2 = 0, ' x', '')) as keyword", "id as row_ord")
+    seg = spark.createDataFrame([(f"/f{i}", 1, f"Term{i} x, term{i * 2} x term{i * 2 + 1} nothing term{500_000 + i}") for i in range(50)],
+                                "path string, seg_ord long, text string")
+    got = {(r.path, r.category, r.keyword): r.hits for r in category_hits(seg, d).collect()}
+    want = {}
+    for i in range(50):
+        for k, text in ((i, f"Term{i}" + (" x" if i % 2 == 0 else "")), (i * 2, f"term{i * 2} x"), (i * 2 + 1, f"term{i * 2 + 1}")):
+            want[f"/f{i}", f"c{k % 3}", text] = want.get((f"/f{i}", f"c{k % 3}", text), 0) + 1
+    assert got == want
