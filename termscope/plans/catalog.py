@@ -51,6 +51,8 @@ QUERIES = {
     "paragraph_hits": room.q_paragraph_hits,
     "keyword_files": room.q_keyword_files,
     "request_files": room.q_request_files,
+    "keyword_lists": room.q_keyword_lists,
+    "request_lists": room.q_request_lists,
     **room_files.QUERIES,
 }
 

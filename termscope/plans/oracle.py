@@ -542,4 +542,28 @@ FROM (SELECT DISTINCT path, keyword FROM hits) fk
 JOIN (SELECT DISTINCT row_ord, keyword FROM r_hits) rk USING (keyword)
 GROUP BY ALL HAVING count(*) >= 5""", extra=REQUESTS + "," + hits_ctes(
         True, seg="it", key="row_ord", text="sentence", prefix="r_"))
+    chunks = """
+cells AS (SELECT {g}, list, (no - 1) // 100 AS cell, count(*) AS n_values, string_agg(value, ', ' ORDER BY no) AS items
+          FROM vals GROUP BY ALL)
+SELECT {g}, list, CAST(row_number() OVER (PARTITION BY {g}, list ORDER BY cell) AS INTEGER) AS chunk,
+       CAST(n_values AS BIGINT) AS n_values, items FROM cells"""
+    q["keyword_lists"] = room_hits_sql("SELECT * FROM chunked", extra="""
+per_file AS (SELECT h.keyword, h.path, sum(h.hits) AS n, f.file_name, f.index_number
+             FROM hits h JOIN files f USING (path) GROUP BY h.keyword, h.path, f.file_name, f.index_number),
+top AS (SELECT * FROM per_file p WHERE n = (SELECT max(n) FROM per_file m WHERE m.keyword = p.keyword)),
+fno AS (SELECT path, row_number() OVER (ORDER BY path) AS no, row_number() OVER (ORDER BY file_name, path) AS no2 FROM files),
+vals AS (SELECT keyword, 'paths' AS list, no, path AS value FROM per_file JOIN fno USING (path)
+         UNION ALL SELECT keyword, 'file_names', no, file_name FROM (SELECT keyword, file_name, min(path) AS path FROM per_file GROUP BY ALL) JOIN fno USING (path)
+         UNION ALL SELECT keyword, 'index_numbers', no, index_number FROM (SELECT keyword, index_number, min(path) AS path FROM per_file GROUP BY ALL) JOIN fno USING (path)
+         UNION ALL SELECT keyword, 'max_file_names', no2, file_name FROM top JOIN fno USING (path)
+         UNION ALL SELECT keyword, 'max_file_paths', no2, path FROM top JOIN fno USING (path)),
+chunked AS (WITH """ + chunks.format(g="keyword") + ")")
+    q["request_lists"] = room_hits_sql("SELECT * FROM chunked", extra=REQUESTS + "," + hits_ctes(
+        True, seg="it", key="row_ord", text="sentence", prefix="r_") + """,
+pairs AS (SELECT rk.row_ord, fk.path FROM (SELECT DISTINCT path, keyword FROM hits) fk
+          JOIN (SELECT DISTINCT row_ord, keyword FROM r_hits) rk USING (keyword) GROUP BY ALL HAVING count(*) >= 5),
+fno AS (SELECT path, file_name, index_number, row_number() OVER (ORDER BY path) AS no FROM files),
+vals AS (SELECT CAST(row_ord AS BIGINT) AS row_ord, v.list, no, v.value FROM pairs JOIN fno USING (path),
+         unnest([{'list': 'paths', 'value': path}, {'list': 'file_names', 'value': file_name}, {'list': 'index_numbers', 'value': index_number}]) AS t(v)),
+chunked AS (WITH """ + chunks.format(g="row_ord") + ")")
     return q

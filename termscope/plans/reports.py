@@ -15,10 +15,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import UNKNOWN, kind
+from ..functions.paths import UNKNOWN, file_name, kind
 from ..functions.text import keyword_count_label, yes_no
-from ..operators.lists import ordered_values, render
+from ..operators.lists import chunked_lists, ordered_values, render
 from ..operators.match import first_hit_per_category
+from ..operators.ordering import sequential_row_number
 
 FILE_PARTS = ["file_name", "index_number", "folder", "file_type"]
 
@@ -147,13 +148,17 @@ def skipped_files(files: DataFrame) -> DataFrame:
                  .select("file_name", "path", F.col("status").alias("reason")))
 
 
-def run_summary(files: DataFrame, hits: DataFrame, warnings: DataFrame | None = None) -> DataFrame:
+def run_summary(files: DataFrame, hits: DataFrame | None, warnings: DataFrame | None = None, total_hits: int | None = None) -> DataFrame:
     """R9 (A19, K9): one row with the skip count, totals and the warning
-    message (``|`` + each warning, in order)."""
+    message (``|`` + each warning, in order). ``total_hits``, observed while the
+    hit table was written, saves another pass over ``hits``."""
     f = files.agg(F.count(F.lit(1)).alias("n_files"),
                   F.count(F.when(F.col("status").isin("unknown", "failed"), 1)).alias("number_of_file_skipped"))
-    h = hits.agg(F.coalesce(F.sum("hits"), F.lit(0)).cast("long").alias("total_hits"))
-    row = f.withColumn("_k", F.lit(1)).join(h.withColumn("_k", F.lit(1)), "_k")
+    if total_hits is not None:
+        row = f.withColumn("total_hits", F.lit(total_hits).cast("long")).withColumn("_k", F.lit(1))
+    else:
+        h = hits.agg(F.coalesce(F.sum("hits"), F.lit(0)).cast("long").alias("total_hits"))
+        row = f.withColumn("_k", F.lit(1)).join(h.withColumn("_k", F.lit(1)), "_k")
     if warnings is None:
         row = row.withColumn("message", F.lit(""))
     else:
@@ -169,16 +174,26 @@ def run_summary(files: DataFrame, hits: DataFrame, warnings: DataFrame | None =
 LINE_KINDS = ("Microsoft Word", "Text File")
 
 
-def scope_first_hits(files: DataFrame, segments: DataFrame, dictionary: DataFrame) -> DataFrame:
+def scope_first_hits(segments: DataFrame, dictionary: DataFrame, documents: DataFrame | None = None) -> DataFrame:
     """R7's matches (M4/M5): the first match of each category in every line of a
     text or word file, and in the whole document of any other; files of no known
-    kind are not searched. Returns ``path, first_match``."""
-    seg = segments.join(files.select("path", kind(F.col("file_name")).alias("_kind")).where(F.col("_kind") != UNKNOWN), "path")
-    lined = F.col("_kind").isin(*LINE_KINDS)
-    lines = seg.where(lined).select("path", F.explode(F.split("text", "\n")).alias("text"))
-    # One file's segments, bounded by the file.
-    whole = (seg.where(~lined).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("seg_ord", "text"))).alias("_s"))
-                .select("path", F.array_join(F.transform("_s", lambda x: x["text"]), " ").alias("text")))
+    kind are not searched. Returns ``path, first_match``.
+
+    A file's kind is read off its path, in the row. ``documents`` (``path,
+    text``): the other files' whole texts, read whole (S7); without it they are
+    put together from their segments, the one exchange of text here."""
+    if "edge" in segments.columns:  # windows of a file end with a line; edge rows repeat text
+        segments = segments.where("edge is null or edge < 0")
+    of = kind(file_name("path"))
+    lined = of.isin(*LINE_KINDS)
+    lines = segments.where(lined).select("path", F.explode(F.split("text", "\n")).alias("text"))
+    other = ~lined & (of != UNKNOWN)
+    if documents is not None:
+        whole = documents.where(other).select("path", "text")
+    else:
+        # One file's segments, bounded by the file.
+        whole = (segments.where(other).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("seg_ord", "text"))).alias("_s"))
+                         .select("path", F.array_join(F.transform("_s", lambda x: x["text"]), " ").alias("text")))
     return first_hit_per_category(lines.unionByName(whole), dictionary, key=("path",)).select("path", "first_match")
 
 
@@ -221,3 +236,31 @@ def keyword_files(files: DataFrame, hits: DataFrame) -> DataFrame:
     return (per_file.join(mx, "keyword")
                     .select("keyword", "path", "file_name", "index_number", F.col("n").cast("long").alias("hits"),
                             (F.col("n") == F.col("_max")).alias("is_max")))
+
+
+# Files that a chunk of a list spans.
+CHUNK_FILES = 10_000
+
+
+def keyword_lists(files: DataFrame, hits: DataFrame, size: int = CHUNK_FILES) -> DataFrame:
+    """R3's list columns (A8-A11, W1) for collections of any size: ``keyword,
+    list, chunk, n_values, items``, every list in chunks of at most ``size``
+    files. ``paths``, ``file_names`` and ``index_numbers`` (each value once, by
+    its first path) follow the paths, ``max_file_names`` and ``max_file_paths``
+    (the files with the keyword's largest count) names, then paths. The chunks
+    of a list, joined, are the list that ``keyword_report(lists=True)`` renders."""
+    per = keyword_files(files, hits)
+    by_path = sequential_row_number(files.select("path"), "path", "no")
+    by_name = sequential_row_number(files.select("path", F.struct("file_name", "path").alias("_o")), "_o", "no").select("path", "no")
+
+    def of(rows: DataFrame, name: str, value: str) -> DataFrame:
+        return rows.select("keyword", F.lit(name).alias("list"), "path", F.col(value).alias("value"))
+
+    def firsts(value: str) -> DataFrame:
+        return per.groupBy("keyword", value).agg(F.min("path").alias("path"))
+
+    ordered = of(per, "paths", "path").unionByName(of(firsts("file_name"), "file_names", "file_name")).unionByName(
+        of(firsts("index_number"), "index_numbers", "index_number")).join(by_path, "path")
+    tops = per.where("is_max")
+    top = of(tops, "max_file_names", "file_name").unionByName(of(tops, "max_file_paths", "path")).join(by_name, "path")
+    return chunked_lists(ordered.unionByName(top).select("keyword", "list", "no", "value"), ["keyword", "list"], size)

@@ -6,19 +6,27 @@ each row is judged by itself, also when two carry one number; a request number
 that is not an integer is quarantined (the reference aborts the whole sheet).
 
 Plan: requests with the same keywords are one set, and each file has its
-keywords in one row (bounded by the dictionary). Whether a file is relevant to a
-set is decided in the file's row, so a pair below the threshold never becomes a
-row, and no pair is shuffled before it is known to be relevant.
+keywords in one row (bounded by the dictionary), both in one order: the rarest
+keyword first. Relevant pairs of file and set are a set-threshold join by a
+prefix filter: a pair that shares ``needed`` keywords shares one among the first
+``size - needed + 1`` of either side, so only those are joined; of the keywords
+that a pair shares there, the first makes the pair, and only if enough may
+follow it on both sides. For the weighted report a set's prefix leaves out the
+keywords that even their largest counts in any file cannot lift to the score.
+One plan serves sheets, dictionaries and collections of any size.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import python_strip, yes_no
-from ..operators.lists import ordered_values, render
+from ..operators.lists import chunked_lists, ordered_values, render
 from ..operators.match import DEFAULT_BROADCAST_LIMIT, keyword_hits
+from ..operators.ordering import sequential_row_number
+from .materialize import materialize
 
 IT_AREA = "it"
 
@@ -49,19 +57,27 @@ def quarantined_requests(requests: DataFrame) -> DataFrame:
 
 def contained(sentences: DataFrame, key: list[str], sentence: str, terms: DataFrame, term: str) -> DataFrame:
     """M6: (key, term) for every term contained in a sentence (substring, any
-    case, no word bounds). An equi-join on the term's first three characters
-    finds the candidates; ``contains`` decides."""
+    case, no word bounds). An equi-join on three-character grams finds the
+    candidates, ``contains`` decides; of a term's grams the one in the fewest
+    sentences is its probe, so a gram that every sentence has meets only terms
+    all of whose grams are as frequent. Shorter terms are their own probe."""
     s = sentences.select(*key, F.lower(sentence).alias("_s"))
-    t = terms.select(F.col(term).alias("_term"), F.lower(term).alias("_t")).distinct()
-    t = t.withColumn("_g", F.substring("_t", 1, 3))
     at = F.sequence(F.lit(1), F.greatest(F.length("_s"), F.lit(1)))
-    grams = F.array_distinct(F.concat(*[_grams(at, n) for n in (1, 2, 3)], F.array(F.lit(""))))
-    return (s.withColumn("_g", F.explode(grams)).join(t, "_g").where(F.contains("_s", "_t"))
-             .select(*key, F.col("_term").alias(term)).distinct())
+    grams = F.array_distinct(F.concat(*[_grams("_s", at, n) for n in (1, 2, 3)], F.array(F.lit(""))))
+    held = s.withColumn("_g", F.explode(grams))
+    t = terms.select(F.col(term).alias("_term"), F.lower(term).alias("_t")).distinct()
+    own = F.when(F.length("_t") <= 3, F.array("_t")).otherwise(
+        F.array_distinct(_grams("_t", F.sequence(F.lit(1), F.length("_t") - 2), 3)))
+    t = t.withColumn("_g", F.explode(own))
+    counts = held.select("_g").join(t.select("_g").distinct(), "_g").groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    # A gram that no sentence has rules its terms out.
+    least = t.join(counts, "_g", "left").groupBy("_term", "_t").agg(
+        F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_g")).alias("_m")).where("_m.n > 0").select("_term", "_t", "_m._g")
+    return held.join(least, "_g").where(F.contains("_s", "_t")).select(*key, F.col("_term").alias(term)).distinct()
 
 
-def _grams(at: Column, n: int) -> Column:
-    return F.transform(at, lambda i: F.substring(F.col("_s"), i, F.lit(n)))
+def _grams(text: str, at: Column, n: int) -> Column:
+    return F.transform(at, lambda i: F.substring(F.col(text), i, F.lit(n)))
 
 
 def _sets(request_keywords: DataFrame) -> DataFrame:
@@ -71,24 +87,58 @@ def _sets(request_keywords: DataFrame) -> DataFrame:
                .select(F.element_at("rows", 1).alias("set_id"), "kws", "rows"))
 
 
-def _set_pairs(per_file: DataFrame, sets: DataFrame, needed: int, value, least: int, name: str,
-               broadcast_limit: int) -> DataFrame:
-    """Relevant pairs (path, set_id, value); ``value(kws)`` reads the file's row.
-
-    A sheet's sets within ``broadcast_limit`` keywords come as one array, and
-    each file picks its relevant sets in its row. A larger sheet is met through
-    an index: a set's first ``size - needed + 1`` keywords, of which the first
-    that the file has counts. Either way only relevant pairs become rows."""
-    sets = sets.where(F.size("kws") >= needed)
-    if (sets.agg(F.sum(F.size("kws"))).first()[0] or 0) <= broadcast_limit:
-        every = sets.agg(F.sort_array(F.collect_list(F.struct("set_id", "kws"))).alias("a")).scalar()
-        rated = F.transform("_sets", lambda x: F.struct(x["set_id"].alias("set_id"), value(x["kws"]).alias(name)))
-        return (per_file.withColumn("_sets", every)
-                .select("path", F.explode(F.filter(rated, lambda x: x[name] >= least)).alias("_p")).select("path", "_p.*"))
-    index = sets.select("set_id", "kws", F.posexplode(F.slice("kws", 1, F.size("kws") - (needed - 1))).alias("_i", "keyword"))
-    return (per_file.withColumn("keyword", F.explode("fkws")).join(index, "keyword")
-            .where(F.size(F.array_intersect(F.slice("kws", 1, F.col("_i")), "fkws")) == 0)
-            .withColumn(name, value(F.col("kws"))).where(F.col(name) >= least).select("path", "set_id", name))
+def _numbered(hits: DataFrame, by: str, files: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(per file: ``path``, ``kws``: its keywords as (number, hits), rarest first;
+    per keyword: ``keyword``, its ``number`` and the largest ``most`` hits of a file)."""
+    per = hits.groupBy("path", "keyword").agg(F.sum("hits").alias("n"))
+    if by == "name":
+        # A13 parity: the reference collects keywords per file *name*, so
+        # same-named files in different folders pool their keywords; the
+        # name's first path stands for it in the lists.
+        per = per.join(files.select("path", "file_name"), "path")
+        first = per.groupBy("file_name").agg(F.min("path").alias("path"))
+        per = per.groupBy("file_name", "keyword").agg(F.sum("n").alias("n")).join(first, "file_name").drop("file_name")
+    per = materialize(per.select("path", "keyword", "n"), "file-keywords")
+    known = per.groupBy("keyword").agg(F.count(F.lit(1)).alias("df"), F.max("n").alias("most"))
+    # One ordered pass over the dictionary's keywords that occur.
+    known = materialize(known.select("keyword", "most", F.row_number().over(Window.orderBy("df", "keyword")).alias("number")), "keyword-numbers")
+    own = per.join(known.select("keyword", "number"), "keyword").groupBy("path").agg(
+        F.array_sort(F.collect_list(F.struct("number", "n"))).alias("kws"))
+    return own, known
+
+
+def _numbered_sets(sets: DataFrame, known: DataFrame) -> DataFrame:
+    """``set_id, kws, most``: the numbers of a set's keywords that occur in any file, rarest first, and their largest counts."""
+    return (sets.select("set_id", F.explode("kws").alias("keyword")).join(known, "keyword")
+                .groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("number", "most"))).alias("_k"))
+                .select("set_id", F.col("_k.number").alias("kws"), F.col("_k.most").alias("most")))
+
+
+def _threshold_pairs(own: DataFrame, sets: DataFrame, needed: int) -> DataFrame:
+    """(path, set_id, n_keywords) of the pairs that share ``needed`` keywords."""
+    files = own.select("path", F.col("kws.number").alias("fkws")).where(F.size("fkws") >= needed)
+    sets = sets.select("set_id", "kws").where(F.size("kws") >= needed)
+    left = files.select("path", "fkws", F.posexplode(F.slice("fkws", F.lit(1), F.size("fkws") - (needed - 1))).alias("_j", "number"))
+    right = sets.select("set_id", "kws", F.posexplode(F.slice("kws", F.lit(1), F.size("kws") - (needed - 1))).alias("_i", "number"))
+    met = left.join(right, "number").where(F.least(F.size("kws") - F.col("_i"), F.size("fkws") - F.col("_j")) >= needed)
+    met = met.where(~F.arrays_overlap(F.slice("kws", F.lit(1), F.col("_i")), F.slice("fkws", F.lit(1), F.col("_j"))))
+    met = met.withColumn("n_keywords", F.size(F.array_intersect("kws", "fkws")).cast("long"))
+    return met.where(F.col("n_keywords") >= needed).select("path", "set_id", "n_keywords")
+
+
+def _scored_pairs(own: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """(path, set_id, score) of the pairs whose hits of the set's keywords reach ``least``."""
+    # Keywords by falling largest count; those after which all the rest together stay under ``least`` are no entry to the set.
+    ranked = sets.select("set_id", "kws", F.sort_array(F.arrays_zip("most", "kws"), asc=False).alias("_m"))
+    entries = ranked.select("set_id", "kws", F.posexplode("_m").alias("_p", "_e"), "_m")
+    rest = F.aggregate(F.slice("_m", F.col("_p") + 1, F.size("_m")), F.lit(0).cast("long"), lambda acc, m: acc + m["most"])
+    entries = entries.where(rest >= least).select("set_id", "kws", F.col("_e.kws").alias("number"))
+    entries = entries.groupBy("set_id", "kws").agg(F.sort_array(F.collect_list("number")).alias("_in"))
+    right = entries.select("set_id", "kws", F.posexplode("_in").alias("_i", "number"), "_in")
+    left = own.select("path", F.col("kws.number").alias("fkws"), F.map_from_entries("kws").alias("_n"), F.explode("kws.number").alias("number"))
+    met = left.join(right, "number").where(~F.arrays_overlap(F.slice("_in", F.lit(1), F.col("_i")), F.col("fkws")))
+    score = F.aggregate(F.array_intersect("kws", "fkws"), F.lit(0).cast("long"), lambda acc, k: acc + F.element_at("_n", k))
+    return met.withColumn("score", score).where(F.col("score") >= least).select("path", "set_id", "score")
 
 
 def _request_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -125,20 +175,9 @@ def _keyword_pairs(files: DataFrame, hits: DataFrame, requests: DataFrame, dicti
     reqs = it_requests(requests).select("row_ord", "sentence")
     req_kw = keyword_hits(reqs, dictionary, key=("row_ord",), text="sentence",
                           broadcast_limit=broadcast_limit, prepared=True).select("row_ord", "keyword").distinct()
-    sets = _sets(req_kw)
-    if by == "name":
-        # A13 parity: the reference collects keywords per file *name*, so
-        # same-named files in different folders pool their keywords; the
-        # name's first path stands for it in the lists.
-        named = hits.select("path", "keyword").distinct().join(files.select("path", "file_name"), "path")
-        per_file = named.groupBy("file_name").agg(F.min("path").alias("path"), F.collect_set("keyword").alias("fkws"))
-    else:
-        # Partial collect_set before the shuffle: even a file holding a third of
-        # all hits ships at most one dictionary-sized set per task.
-        per_file = hits.groupBy("path").agg(F.collect_set("keyword").alias("fkws"))
-    per_file = per_file.where(F.size("fkws") >= min_keywords).select("path", "fkws")
-    return _set_pairs(per_file, sets, min_keywords, lambda kws: F.size(F.array_intersect(kws, F.col("fkws"))).cast("long"), min_keywords,
-                      "n_keywords", broadcast_limit), sets
+    sets = materialize(_sets(req_kw), "request-sets")
+    own, known = _numbered(hits, by, files)
+    return _threshold_pairs(own, _numbered_sets(sets, known), min_keywords), sets
 
 
 def request_matches(files: DataFrame, hits: DataFrame, requests: DataFrame,
@@ -164,32 +203,36 @@ def request_report(files: DataFrame, hits: DataFrame, requests: DataFrame, dicti
     return _roll_up(it_requests(requests), pairs, sets, files, lists)
 
 
-def _weighted_pairs(hits: DataFrame, requests: DataFrame, dictionary: DataFrame, min_score: int,
-                    broadcast_limit: int) -> tuple[DataFrame, DataFrame]:
-    reqs = it_requests(requests).select("row_ord", "sentence")
-    sets = _sets(contained(reqs, ["row_ord"], "sentence", dictionary.select("keyword"), "keyword"))
-    per_file = (hits.groupBy("path", "keyword").agg(F.sum("hits").alias("n"))
-                    .groupBy("path").agg(F.collect_list(F.struct("keyword", "n")).alias("_kn")))
-    per_file = per_file.select("path", F.transform("_kn", lambda x: x["keyword"]).alias("fkws"), F.map_from_entries("_kn").alias("_n"))
+def request_lists(files: DataFrame, pairs: DataFrame, size: int = 10_000) -> DataFrame:
+    """A14's lists for collections of any size: ``row_ord, list, chunk, n_values,
+    items`` (``paths``, ``file_names``, ``index_numbers`` in path order) from
+    ``request_matches`` or ``weighted_matches``, in chunks of at most ``size``
+    files, which joined are the lists of the report."""
+    numbered = sequential_row_number(files.select("path", "file_name", "index_number"), "path", "no")
+    names = {"paths": "path", "file_names": "file_name", "index_numbers": "index_number"}
+    values = F.explode(F.array(*[F.struct(F.lit(n).alias("list"), F.col(c).alias("value")) for n, c in names.items()])).alias("v")
+    rows = pairs.select("row_ord", "path").join(numbered, "path").select("row_ord", "no", values).select("row_ord", "no", "v.*")
+    return chunked_lists(rows, ["row_ord", "list"], size)
+
 
-    def score(kws: Column) -> Column:
-        return F.aggregate(kws, F.lit(0).cast("long"), lambda acc, k: acc + F.coalesce(F.try_element_at("_n", k), F.lit(0)))
-    return _set_pairs(per_file, sets, 1, score, min_score, "score", broadcast_limit), sets
+def _weighted_pairs(hits: DataFrame, requests: DataFrame, dictionary: DataFrame, min_score: int) -> tuple[DataFrame, DataFrame]:
+    reqs = it_requests(requests).select("row_ord", "sentence")
+    sets = materialize(_sets(contained(reqs, ["row_ord"], "sentence", dictionary.select("keyword"), "keyword")), "request-sets")
+    own, known = _numbered(hits, "path", None)
+    return _scored_pairs(own, _numbered_sets(sets, known), min_score), sets
 
 
-def weighted_matches(hits: DataFrame, requests: DataFrame, dictionary: DataFrame, min_score: int = 5,
-                     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+def weighted_matches(hits: DataFrame, requests: DataFrame, dictionary: DataFrame, min_score: int = 5) -> DataFrame:
     """(path, row_ord, score) pairs at ``min_score``: the sum of the file's
     hits of every keyword contained (as a substring, any case) in the request."""
-    return _request_pairs(*_weighted_pairs(hits, requests, dictionary, min_score, broadcast_limit))
+    return _request_pairs(*_weighted_pairs(hits, requests, dictionary, min_score))
 
 
 def request_report_weighted(files: DataFrame, hits: DataFrame, requests: DataFrame,
-                            dictionary: DataFrame, min_score: int = 5,
-                            broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, lists: bool = False) -> DataFrame:
+                            dictionary: DataFrame, min_score: int = 5, lists: bool = False) -> DataFrame:
     """R4b (A22). The reference parsed the counts back from the rendered
     keyword-details text; this uses the hits themselves."""
-    pairs, sets = _weighted_pairs(hits, requests, dictionary, min_score, broadcast_limit)
+    pairs, sets = _weighted_pairs(hits, requests, dictionary, min_score)
     return _roll_up(it_requests(requests), pairs, sets, files, lists)
 
 

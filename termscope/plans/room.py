@@ -239,7 +239,9 @@ def q_first_hit_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scope_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.inventory import with_folders
     files = tb.room_files(spark, sf_dir).select("path", "file_name")
-    first = reports.scope_first_hits(files, tb.room_segments(spark, sf_dir), tb.dict_from_rows(spark, tb.TEST_DICTIONARY))
+    # A document's lines are searched as one text with blanks for line feeds, as its segments would be.
+    whole = tb.room_texts(spark, sf_dir).select("path", F.translate("text", "\n", " ").alias("text"))
+    first = reports.scope_first_hits(tb.room_segments(spark, sf_dir), tb.dict_from_rows(spark, tb.TEST_DICTIONARY), whole)
     return reports.scope_index(with_folders(files), first)
 
 
@@ -415,3 +417,20 @@ def q_request_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (request_matches(tb.room_files(spark, sf_dir), _hits(spark, sf_dir), tb.room_requests(spark, sf_dir),
                             room_dictionary(spark))
             .select(F.col("row_ord").cast("long").alias("row_ord"), "path", "n_keywords"))
+
+
+# Files of a chunk in the room's list queries.
+LIST_FILES = 100
+
+
+def q_keyword_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list columns of R3 in chunks."""
+    return reports.keyword_lists(tb.room_files(spark, sf_dir), materialize(_hits(spark, sf_dir), "hits"), LIST_FILES)
+
+
+def q_request_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list columns of R4 in chunks."""
+    from .requests import request_lists, request_matches
+    files = tb.room_files(spark, sf_dir)
+    pairs = request_matches(files, _hits(spark, sf_dir), tb.room_requests(spark, sf_dir), room_dictionary(spark))
+    return request_lists(files, pairs, LIST_FILES).withColumn("row_ord", F.col("row_ord").cast("long"))

@@ -13,7 +13,8 @@ import argparse
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.match import keyword_hits, matchable
 from ..operators.ordering import sequential_row_number
@@ -48,9 +49,11 @@ def run(files: DataFrame, segments: DataFrame, dictionary: DataFrame,
     long forms (``keyword_files``, ``request_files``) say which files."""
     spark = segments.sparkSession
     d = materialize(matchable(dictionary), "dictionary")
-    hits = materialize(keyword_hits(segments, d, key=HIT_KEY, prepared=True), "hits")
+    seen = Observation("hits")
+    found = keyword_hits(segments, d, key=HIT_KEY, prepared=True).observe(seen, F.coalesce(F.sum("hits"), F.lit(0)).alias("total"))
+    hits = materialize(found, "hits")
     scope = reports.scope_index(with_folders(files.select("path", "file_name"), root),
-                                reports.scope_first_hits(files, segments, d.withColumnRenamed("kw_ord", "row_ord")))
+                                reports.scope_first_hits(segments, d.withColumnRenamed("kw_ord", "row_ord")))
     told = spark.createDataFrame(list(enumerate(warnings, 1)), "ord int, warning string") if warnings else None
     numbered = sequential_row_number(scope, "folder_path")
     out = Results({
@@ -61,7 +64,7 @@ def run(files: DataFrame, segments: DataFrame, dictionary: DataFrame,
         "unmatched_files": reports.unmatched_files(files, hits),
         "skipped_files": reports.skipped_files(files),
         "scope_index": numbered,
-        "run_summary": reports.run_summary(files, hits, told),
+        "run_summary": reports.run_summary(files, None, told, total_hits=int(seen.get["total"])),
     })
     if requests is not None:
         out["request_report"] = request_report(files, hits, requests, d, request_min_keywords, lists=lists)

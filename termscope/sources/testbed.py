@@ -121,6 +121,13 @@ def all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole_text_segments(_documents(spark, sf_dir))
 
 
+def room_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``path, text`` of the scanned files, each whole."""
+    from ..functions.paths import handler
+    path = room_path(F.col("doc_id"), F.col("source"), F.col("lang"))
+    return _documents(spark, sf_dir, (handler(path) != "unknown") & (F.col("n_chars") >= MIN_EXTRACTABLE_CHARS))
+
+
 def room_dictionary(spark: SparkSession, with_user: bool = True) -> DataFrame:
     """Team dictionary, de-duplicated by keyword (first wins), plus the user's
     terms, as ``category, keyword, row_ord``."""

@@ -122,16 +122,17 @@ def test_request_pairs_equal_brute_force(spark):
     rows = [(p, 1, "c", 1, w, i, rng.randint(1, 4)) for p, ws in held.items() for i, w in enumerate(ws)]
     hits = spark.createDataFrame(rows, "path string, seg_ord long, category string, cat_ord int, keyword string, kw_ord long, hits long")
     sheet = spark.createDataFrame(reqs, "request_no string, area string, sentence string, row_ord int")
-    for limit in (0, 1000):
-        got = {(r.path, r.row_ord): r.n_keywords for r in request_matches(None, hits, sheet, d, 3, broadcast_limit=limit).collect()}
-        assert got == {(p, i): n for p, ws in held.items() for _, _, s, i in reqs if (n := len(set(ws) & set(s.split()))) >= 3}
-        got = {(r.path, r.row_ord): r.score for r in weighted_matches(hits, sheet, d, 6, broadcast_limit=limit).collect()}
-        want = {}
-        for p, *_, w, _, n in rows:
-            for _, _, s, i in reqs:
-                if w in s:
-                    want[p, i] = want.get((p, i), 0) + n
-        assert got == {k: v for k, v in want.items() if v >= 6}
+    for needed in (1, 3, 5):
+        got = {(r.path, r.row_ord): r.n_keywords for r in request_matches(None, hits, sheet, d, needed).collect()}
+        assert got == {(p, i): n for p, ws in held.items() for _, _, s, i in reqs if (n := len(set(ws) & set(s.split()))) >= needed}
+    want = {}
+    for p, *_, w, _, n in rows:
+        for _, _, s, i in reqs:
+            if w in s:
+                want[p, i] = want.get((p, i), 0) + n
+    for least in (1, 6, 15):  # at 15 most sets have keywords that are no entry
+        got = {(r.path, r.row_ord): r.score for r in weighted_matches(hits, sheet, d, least).collect()}
+        assert got == {k: v for k, v in want.items() if v >= least}
     index = spark.createDataFrame([("/a", "a", "W1"), ("/a", "a", "w9"), ("/b", "b", ""), ("/c", "c", "it's")], "path string, file_name string, match string")
     got = {r.row_ord: r.file_names for r in request_report_any(sheet, index).collect()}
     assert got == {i: "a b" if "w1" in s or "w9" in s else "b" for _, _, s, i in reqs}
@@ -144,7 +145,7 @@ def test_scope_index_searches_by_kind_and_parses_back(spark):
     seg = spark.createDataFrame([("/r/a.txt", 1, "red\nblue and red"), ("/r/b.xlsx", 1, "blue"), ("/r/b.xlsx", 2, "l'or red"), ("/r/c.zzz", 1, "red")],
                                 "path string, seg_ord long, text string")
     d = spark.createDataFrame([("c", "red", 1), ("c", "blue", 2), ("q", "l'or", 3)], "category string, keyword string, row_ord int")
-    idx = reports.scope_index(with_folders(files), reports.scope_first_hits(files, seg, d))
+    idx = reports.scope_index(with_folders(files), reports.scope_first_hits(seg, d))
     notes = {r.folder_path: r.notes for r in idx.collect()}
     assert notes["/r/a.txt"] == "Matches: ['blue', 'red']"                 # line by line
     assert notes["/r/b.xlsx"] == "Matches: ['blue', 'l\\'or']" and notes["/r/c.zzz"] == ""   # the whole workbook once
@@ -177,3 +178,52 @@ def test_request_numbers_truncate_like_int(spark):
                                  "request_no string, area string, sentence string, row_ord int")
     assert sorted(r.request_no for r in it_requests(reqs).collect()) == [7, 12]
     assert [r.sentence for r in quarantined_requests(reqs).collect()] == ["c"]
+
+
+def test_lists_in_chunks_equal_the_rendered_lists(spark):
+    """A keyword in every file: no value holds more files than a chunk may, and the chunks joined are the old lists."""
+    from collections import defaultdict
+    from termscope.plans.requests import request_lists, request_report
+    from termscope.operators.match import prepare_dictionary
+    paths = [f"/room/{i % 7}/{i % 3}.{i % 5} f{i % 40}.txt" for i in range(300)]
+    files = with_path_parts(spark.createDataFrame([(p, "scanned") for p in dict.fromkeys(paths)], "path string, status string"))
+    rows = [(p, i, "c", 1, k, n, i % 4 + 1) for i, p in enumerate(paths) for n, k in ((1, "the"), (2, "of")) if k == "the" or i % 9 == 0]
+    hits = spark.createDataFrame(rows, "path string, seg_ord long, category string, cat_ord int, keyword string, kw_ord long, hits long")
+    got = defaultdict(list)
+    for r in sorted(reports.keyword_lists(files, hits, size=20).collect(), key=lambda r: r.chunk):
+        assert r.n_values <= 20 and len(r["items"].split(", ")) == r.n_values and r.chunk == len(got[r.keyword, r.list]) + 1
+        got[r.keyword, r.list].append(r["items"])
+    for r in reports.keyword_report(files, hits, lists=True).collect():
+        for name, column in (("paths", "paths"), ("file_names", "all_file_names"), ("index_numbers", "index_numbers"),
+                             ("max_file_names", "max_file_names"), ("max_file_paths", "max_file_paths")):
+            assert ", ".join(got[r.keyword, name]) == r[column], (r.keyword, name)
+    assert len(got["the", "paths"]) >= 10
+    d = prepare_dictionary(spark.createDataFrame([("c", "the", 1), ("c", "of", 2)], "category string, keyword string, row_ord int"))
+    sheet = spark.createDataFrame([("1", "it", "the of", 1), ("2", "it", "the", 2)], "request_no string, area string, sentence string, row_ord int")
+    from termscope.plans.requests import request_matches
+    parts = defaultdict(list)
+    for r in sorted(request_lists(files, request_matches(files, hits, sheet, d, 1), size=15).collect(), key=lambda r: r.chunk):
+        parts[r.row_ord, r.list].append(r["items"] + ", ")
+    for r in request_report(files, hits, sheet, d, 1, lists=True).collect():
+        for name in ("paths", "file_names", "index_numbers"):
+            assert "".join(parts[r.row_ord, name]) == r[name]
+
+
+def test_scope_index_exchanges_no_text(spark):
+    """Kinds come from the path: with whole documents at hand no text is shuffled."""
+    seg = spark.createDataFrame([("/r/a.txt", 1, "red")], "path string, seg_ord long, text string")
+    d = spark.createDataFrame([("c", "red", 1)], "category string, keyword string, row_ord int")
+    plan = reports.scope_first_hits(seg, d, seg.select("path", "text"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_terms_meet_sentences_by_their_rarest_gram(spark):
+    from termscope.plans.requests import contained
+    import random
+    rng = random.Random(3)
+    sent = [(i, "the " + "".join(rng.choices("abc d", k=rng.randint(0, 30)))) for i in range(150)] + [(900, ""), (901, None)]
+    terms = ["the", "the a", "THE b", "", "a", "ab", "abc", "bca b", "zzz", "d"] + ["".join(rng.choices("abcd ", k=5)) for _ in range(60)]
+    s = spark.createDataFrame(sent, "i int, s string")
+    t = spark.createDataFrame([(x,) for x in terms], "t string")
+    got = {(r.i, r.t) for r in contained(s, ["i"], "s", t, "t").collect()}
+    assert got == {(i, x) for i, y in sent for x in terms if y is not None and x.lower() in y}
