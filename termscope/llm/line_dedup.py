@@ -51,10 +51,11 @@ def later_windows(df: DataFrame, id_col: str, text_col: str, size: int = WINDOW)
     wins = written(lined.select("id", "digest", F.explode(window_hashes(F.col("lines"), size)).alias("w"))
                         .select("id", "digest", "w.hash", "w.pos").distinct(), "windows")
     place = F.struct("id", "digest", "pos")
-    first = wins.groupBy("hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = written(wins.groupBy("hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "firsts")
     salts = F.ceil(F.col("n") / F.lit(float(SALT_ROWS))).cast("int")
-    # Windows of few rows have the salt 0 alone; the others are few, by their number, and known to every task.
-    hot = first.filter(salts > 1).select("hash", salts.alias("salts"))
+    # Windows of few rows have the salt 0 alone. The others are few; as a table of
+    # its own their size is known to the planner, which broadcasts it where it is small.
+    hot = written(first.filter(salts > 1).select("hash", salts.alias("salts")), "hot")
     first = first.select("hash", "first", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
     salted = wins.join(hot, "hash", "left").withColumn(
         "salt", F.coalesce(F.pmod(F.xxhash64("id", "digest", "pos"), F.col("salts")).cast("int"), F.lit(0))).drop("salts")
