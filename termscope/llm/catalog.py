@@ -97,13 +97,13 @@ SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_remov
        sha256(unhex(k)) AS kept_sha256
 FROM d JOIN kept ON kept.doc_id = d.doc_id LEFT JOIN sums ON sums.doc_id = d.doc_id""",
     "op3_topk_search": """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+WITH v AS (SELECT row_number() OVER () AS tag, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
            FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id,
+s AS (SELECT q.tag, q.vec_id AS query_id, c.vec_id,
              CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
-      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+      FROM v q JOIN v c ON c.tag <> q.tag WHERE q.vec_id % 100 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10""",
+FROM (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10""",
     # Lines of every document; a window is its three lines as text; later windows cover their lines.
     "op5_line_dedup": r"""
 WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),

@@ -16,8 +16,9 @@ task holds is bounded by the block sizes. Each task leaves k rows per query, and
 one window per query over those picks the k best.
 
 Cases: rows with a null id, a null vector, or a null, NaN or infinite component
-take no part; rows that share an id count once, with the smallest vector; a
-shorter vector counts as filled up with zeros, an empty one scores 0; ties go to
+take no part; every other row is a candidate and, by its id, a query, also where
+rows share an id or are equal (a query leaves out its own row alone); a shorter
+vector counts as filled up with zeros, an empty one scores 0; ties go to
 the smaller id; fewer than k candidates give all; products beyond 62 bits are
 reckoned with unbounded integers, and scores beyond a long stop at its limits;
 an empty table gives an empty result; other columns are ignored.
@@ -42,10 +43,10 @@ EVERY = 100
 SCALE = 1024
 DIM_BLOCK = 8
 BLOCK = 4096        # candidates per block
-QUERY_BLOCK = 512   # queries per block
+QUERY_BLOCK = 16_384  # queries per block: as large as a task can hold, because every candidate goes to every query block
 RANGE_BLOCKS = 8    # candidate blocks per range
 LONG = 1 << 63
-PACKED = "first long, n int, dims int, ids binary, data binary"
+PACKED = "first long, n int, dims int, ids binary, tags binary, data binary"
 
 
 def whole(values: np.ndarray) -> np.ndarray:
@@ -59,40 +60,42 @@ def whole(values: np.ndarray) -> np.ndarray:
 def _pack(size: int):
     """A task that packs rows (id, vector) into blocks of ``size`` vectors."""
 
-    def block(ids: list, vectors: list) -> tuple:
+    def block(ids: list, tags: list, vectors: list) -> tuple:
         dims = max(map(len, vectors))
         flat = np.zeros((dims, len(ids)), float)  # vertical: one row per dimension
         for k, v in enumerate(vectors):
             flat[: len(v), k] = v
-        return min(ids), len(ids), dims, np.array(ids, np.int64).tobytes(), flat.tobytes()
+        return tags[0], len(ids), dims, np.array(ids, np.int64).tobytes(), np.array(tags, np.int64).tobytes(), flat.tobytes()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list = []
+        tags: list = []
         vectors: list = []
         for batch in batches:
             ids += batch.column(0).to_pylist()
-            vectors += batch.column(1).to_numpy(zero_copy_only=False).tolist()
+            tags += batch.column(1).to_pylist()
+            vectors += batch.column(2).to_numpy(zero_copy_only=False).tolist()
             while len(ids) >= size:
-                yield _one(block(ids[:size], vectors[:size]))
-                ids, vectors = ids[size:], vectors[size:]
+                yield _one(block(ids[:size], tags[:size], vectors[:size]))
+                ids, tags, vectors = ids[size:], tags[size:], vectors[size:]
         if ids:
-            yield _one(block(ids, vectors))
+            yield _one(block(ids, tags, vectors))
 
     return task
 
 
 def _one(row: tuple) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)],
-                                      names=["first", "n", "dims", "ids", "data"])
+                                      names=["first", "n", "dims", "ids", "tags", "data"])
 
 
 class Columns:
     """A candidate block in vertical layout with the lengths left after each block of dimensions."""
 
-    def __init__(self, n: int, dims: int, ids: bytes, data: bytes, total_dims: int):
+    def __init__(self, n: int, dims: int, ids: bytes, tags: bytes, data: bytes, total_dims: int):
         values = whole(np.frombuffer(data, float)).reshape(dims, n)
-        self.ids = np.frombuffer(ids, np.int64)
+        self.ids, self.tags = np.frombuffer(ids, np.int64), np.frombuffer(tags, np.int64)
         self.values = np.zeros((total_dims, n), values.dtype)
         self.values[:dims] = values
         self.largest = int(np.abs(values).max()) if values.size else 0
@@ -101,7 +104,7 @@ class Columns:
         self.left = [np.sqrt(squares[c:].sum(axis=0)) for c in cuts]
 
 
-def search(block: Columns, query: np.ndarray, query_id: int, best: tuple[np.ndarray, np.ndarray], k: int):
+def search(block: Columns, query: np.ndarray, tag: int, best: tuple[np.ndarray, np.ndarray], k: int):
     """The k best (scores, ids) so far, after this block."""
     scores, ids = best
     dims = len(query)
@@ -110,12 +113,12 @@ def search(block: Columns, query: np.ndarray, query_id: int, best: tuple[np.ndar
         for d in range(dims):
             acc = acc + block.values[d].astype(object) * int(query[d])
         found = np.array([min(max(int(a), -LONG), LONG - 1) for a in acc], np.int64)
-        alive = np.flatnonzero(block.ids != query_id)
+        alive = np.flatnonzero(block.tags != tag)
         found = found[alive]
     else:
         floor = scores[-1] if len(scores) == k else None
         rest = np.sqrt(np.add.accumulate((query.astype(float) ** 2)[::-1])[::-1])
-        alive = np.flatnonzero(block.ids != query_id)
+        alive = np.flatnonzero(block.tags != tag)
         found = np.zeros(len(alive), np.int64)
         every = len(alive) == len(block.ids)
         for b, at in enumerate(range(0, dims, DIM_BLOCK)):
@@ -149,14 +152,15 @@ def _search_range(k: int):
                 values = whole(np.frombuffer(q.data, float)).reshape(q.dims, q.n)
                 filled = np.zeros((dims, q.n), values.dtype)
                 filled[: q.dims] = values
-                asked += [(int(i), np.ascontiguousarray(filled[:, j])) for j, i in enumerate(np.frombuffer(q.ids, np.int64))]
+                asked += [(int(i), int(t), np.ascontiguousarray(filled[:, j])) for j, (i, t) in enumerate(
+                    zip(np.frombuffer(q.ids, np.int64), np.frombuffer(q.tags, np.int64)))]
             none = np.zeros(0, np.int64)
             best = [(none, none)] * len(asked)
             for c in candidates.sort_values("first").itertuples(index=False):
-                block = Columns(c.n, c.dims, c.ids, c.data, dims)
-                best = [search(block, v, i, b, k) for (i, v), b in zip(asked, best)]
-            out = [(i, int(v), int(s)) for (i, _), (scores, ids) in zip(asked, best) for s, v in zip(scores, ids)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"], dtype="int64")
+                block = Columns(c.n, c.dims, c.ids, c.tags, c.data, dims)
+                best = [search(block, v, t, b, k) for (_, t, v), b in zip(asked, best)]
+            out = [(i, t, int(v), int(s)) for (i, t, _), (scores, ids) in zip(asked, best) for s, v in zip(scores, ids)]
+        return pd.DataFrame(out, columns=["query_id", "tag", "vec_id", "score"], dtype="int64")
 
     return task
 
@@ -167,9 +171,9 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     ship(df.sparkSession)
     odd = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = (df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-              .filter(F.col("id").isNotNull() & F.col("v").isNotNull() & ~odd)
-              .groupBy("id").agg(F.min("v").alias("v")))
-    rows = written(rows, "vectors")
+              .filter(F.col("id").isNotNull() & F.col("v").isNotNull() & ~odd))
+    # A row's tag tells it from others of its id; it is written once, with the row.
+    rows = written(rows.select("id", F.monotonically_increasing_id().alias("tag"), "v"), "vectors")
     candidates = written(rows.mapInArrow(_pack(block), PACKED), "candidates")
     queries = written(rows.filter(F.col("id") % every == 0).mapInArrow(_pack(query_block), PACKED), "queries")
     ranges = max(1, math.ceil(candidates.count() / range_blocks))
@@ -179,7 +183,7 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     right = candidates.withColumn("r", number(ranges)).withColumn("q", all_of(turns))
     left = queries.withColumn("q", number(turns)).withColumn("r", all_of(ranges))
     found = left.groupBy("q", "r").cogroup(right.groupBy("q", "r")).applyInPandas(
-        _search_range(k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        _search_range(k), "query_id long, tag long, vec_id long, score long")
+    best = Window.partitionBy("tag").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
                  .select("query_id", "rank", "vec_id", "score"))

@@ -11,17 +11,14 @@ SCHEMA = "vec_id long, embedding array<double>, score int, first int"
 
 
 def brute(rows, k, every):
-    vectors = {}
-    for i, v, *_ in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        vectors[i] = min(vectors.get(i, v), v)
-    scaled = {i: [math.floor(x * 1024) if abs(x) < 2 ** 50 else int(x) * 1024 for x in v] for i, v in vectors.items()}
+    """Every row is a candidate but the query's own; rows are told apart by their place."""
+    vectors = [(i, v) for i, v, *_ in rows if i is not None and v is not None and not any(x is None or not math.isfinite(x) for x in v)]
+    scaled = [(i, [math.floor(x * 1024) if abs(x) < 2 ** 50 else int(x) * 1024 for x in v]) for i, v in vectors]
     out = []
-    for q in scaled:
+    for place, (q, own) in enumerate(scaled):
         if q % every == 0:
-            best = sorted((-max(min(sum(a * b for a, b in zip(scaled[q], v)), 2 ** 63 - 1), -2 ** 63), i)
-                          for i, v in scaled.items() if i != q)[:k]
+            best = sorted((-max(min(sum(a * b for a, b in zip(own, v)), 2 ** 63 - 1), -2 ** 63), i)
+                          for other, (i, v) in enumerate(scaled) if other != place)[:k]
             out += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
     return sorted(out)
 
@@ -51,3 +48,11 @@ def test_few_and_none(spark):
     assert topk.nearest(spark.createDataFrame([(0, [1.0], 1, 1)], SCHEMA)).count() == 0
     two = topk.nearest(spark.createDataFrame([(0, [1.0], 1, 1), (7, [-1.0], 1, 1)], SCHEMA)).collect()
     assert [tuple(r) for r in two] == [(0, 1, 7, -1024 * 1024)]
+
+
+def test_rows_that_share_an_id(spark):
+    """Every row counts: other vectors of the query's id, and equal rows."""
+    rows = [(0, [1.0, 0.0], 1, 1), (0, [0.0, 1.0], 1, 1), (5, [1.0, 1.0], 1, 1), (5, [2.0, 0.0], 1, 1), (7, [1.0, 0.0], 1, 1), (7, [1.0, 0.0], 1, 1), (0, [1.0, 0.0], 2, 2)]
+    got = sorted(tuple(r) for r in topk.nearest(spark.createDataFrame(rows, SCHEMA), k=4).collect())
+    assert got == brute(rows, 4, 100) and len(got) == 12
+    assert {(v, s) for q, _, v, s in got if q == 0} >= {(5, 2 * 1024 * 1024), (0, 1024 * 1024)}
