@@ -6,9 +6,10 @@ something identifier-like (a token with a digit or an at sign, groups of digits
 joined by blanks or the like, an email out of a longer token) is taken with
 its lexical patterns, the two words before it and the words around it. On the
 graph of patterns and mentioned strings, a pattern's confidence in a kind is
-the mean score of its strings, and a string's score is the chance that not all
-of its trusted patterns err; seeds keep a score of 1 for their kind. After a few
-rounds, strings that trusted patterns vouch for are added wherever they occur
+the score of its strings in that kind, as a share of all scores of its strings and
+of ``UNKNOWN`` for each one whose kind is not known (yet), and a string's score
+is the chance that not all of its trusted patterns err; seeds keep a score of 1
+for their kind. After a few rounds, strings that trusted patterns vouch for are added wherever they occur
 clear of base spans. Base spans always stay.
 
 Only DataFrame functions. Offsets come from one pass per kind: each match is
@@ -56,6 +57,7 @@ LENGTHS = (5, 200)   # of an identifier
 ROUNDS = 3
 MIN_SUPPORT = 3      # strings of the kind that a trusted pattern has
 MIN_CONFIDENCE = 0.6
+UNKNOWN = 0.25       # weight of a string of unknown kind against a pattern: a context has something to discover
 MIN_SCORE = 0.8      # of a string that is added
 
 
@@ -153,10 +155,12 @@ def discovered(found: DataFrame) -> DataFrame:
         told = edges.filter("seed is not null").select("pattern", F.col("seed").alias("kind"), F.lit(1.0).alias("score"))
         if scores is not None:
             told = told.unionByName(edges.filter("seed is null").join(scores, "string").select("pattern", "kind", "score"))
+        support = told.groupBy("pattern", "kind").agg(F.sum("score").alias("support"))
+        known = support.groupBy("pattern").agg(F.sum("support").alias("known"))
         sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-        trusted = (told.groupBy("pattern", "kind").agg(F.sum("score").alias("support")).filter(F.col("support") >= MIN_SUPPORT)
-                       .join(sizes, "pattern").withColumn("confidence", F.col("support") / F.col("n"))
-                       .filter(F.col("confidence") >= MIN_CONFIDENCE))
+        weight = F.col("known") + UNKNOWN * F.greatest(F.col("n") - F.col("known"), F.lit(0.0))
+        trusted = (support.filter(F.col("support") >= MIN_SUPPORT).join(known, "pattern").join(sizes, "pattern")
+                          .withColumn("confidence", F.col("support") / weight).filter(F.col("confidence") >= MIN_CONFIDENCE))
         vouched = edges.filter("seed is null").join(trusted, "pattern")
         scores = written(vouched.groupBy("string", "kind").agg(
             F.round(1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6))))), 9).alias("score")), "scores")

@@ -91,6 +91,17 @@ def test_unseen_identifiers_with_blanks_and_glued_seeds(spark):
     assert sorted((r.string, r.kind) for r in found.collect()) == [("a@b.org", 0), ("bob@x.org", 0), ("c@d.org", 0)]
 
 
+def test_as_many_unseen_identifiers_as_seeds(spark):
+    """A context is trusted while half of its strings are to be discovered, not where most of them are something else."""
+    texts = [f"hi. my phone is +1 (5{i:02d}) 555-20{i:02d} today" for i in range(8)] + [f"hi. my phone is 0171-55501{i:02d} today" for i in range(8)]
+    texts += [f"see order no +1 (5{i:02d}) 555-30{i:02d} soon" for i in range(4)] + [f"see order no 88-77{i:03d} soon" for i in range(60)]
+    texts += [f"reach it by bob{i}@x.org or so" for i in range(4)] + [f"reach it by {i}.{i}.{i}.7 or so" for i in range(4)] + ["reach it by a77-b88 or so"]
+    got = pii.report(spark.createDataFrame([(i, t, "x", 1, 2) for i, t in enumerate(texts)], SCHEMA)).collect()
+    check_base(got, texts)
+    assert {r.doc_id for r in got if r.n_added} == set(range(8, 16))  # neither orders nor what two kinds share
+    assert {r.spans for r in got if r.doc_id in range(8, 16)} == {"phone:16:28"}
+
+
 def test_repeated_rows_and_empty_table(spark):
     assert pii.report(spark.createDataFrame([], SCHEMA)).count() == 0
     rows = [(1, "a@b.c", "x", 1, 2), (1, "a@b.c", "x", 1, 2), (1, "nothing", "x", 1, 2), (None, "1.1.1.1", None, None, None)]
