@@ -64,15 +64,21 @@ def later_windows(df: DataFrame, id_col: str, text_col: str, size: int = WINDOW)
     return later.groupBy("id", "digest").agg(F.sort_array(F.collect_list("pos")).alias("starts"))
 
 
+def place_key(id_: Column, digest: Column) -> Column:
+    """A document's id and the MD5 of its text, either of them null or not, as one value."""
+    return F.md5(F.concat_ws("|", F.when(id_.isNull(), "-").otherwise("+"), id_.cast("string"), F.hex(digest)).cast("binary"))
+
+
 def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
     """Every row of ``df`` as ``row``, with the new ``text``, ``n_lines`` and ``n_removed``."""
     later = later_windows(df, id_col, text_col, size)
     text = F.col(f"row.{text_col}")
-    rows = packed(df).select("row", F.col(f"row.{id_col}").alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("digest"))
-    later = later.select(F.col("id").alias("__id"), F.col("digest").alias("__digest"), "starts")
-    met = rows.join(later, F.col("id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest")), "left")
-    # Rows equal in id and text: the join has brought and sorted them together; all but one are later occurrences.
-    met = met.withColumn("copy", F.row_number().over(Window.partitionBy("id", "digest").orderBy(F.lit(0))))
+    rows = packed(df).select("row", F.col(f"row.{id_col}").alias("id"))
+    # One null-free key for the join and for numbering copies: one exchange of the text serves both.
+    rows = rows.withColumn("key", place_key(F.col("id"), F.unhex(F.md5(text.cast("binary")))))
+    met = rows.join(later.select(place_key(F.col("id"), F.col("digest")).alias("key"), "starts"), "key", "left")
+    # Rows equal in id and text: all but one are later occurrences.
+    met = met.withColumn("copy", F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0))))
     met = met.withColumn("old", text).withColumn("lines", split_lines(text)).withColumn("n_lines", F.coalesce(F.size("lines"), F.lit(0)))
     met = met.withColumn("starts", F.when((F.col("copy") > 1) & (F.col("n_lines") >= size),
                                           F.sequence(F.lit(0), F.col("n_lines") - size)).otherwise(F.col("starts")))
