@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -86,6 +88,15 @@ def release(df: DataFrame) -> None:
         delete_table(df.sparkSession, path)
 
 
+def give_back() -> None:
+    """At the end of a task over texts: return the memory it has freed to the
+    system, because the worker process stays for other operators' tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_of(col: str | Column) -> Column:
     """A text column with null taken as the empty text."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

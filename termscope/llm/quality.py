@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import packed, ship, text_of, written
+from .common import give_back, packed, ship, text_of, written
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -117,6 +117,7 @@ def document_stats(df: DataFrame, id_col: str, text_col: str, strata: list[str])
                     [*batch.columns[:-1], *[pa.array([s[i] for s in stats], pa.int64()) for i in range(len(names))],
                      *[pa.array([v[i] for v in vectors], pa.int64()) for i in range(DIMS)]],
                     names=schema.names)
+        give_back()
 
     return rows.mapInArrow(task, schema)
 

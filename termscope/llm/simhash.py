@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import packed, ship, text_of, written
+from .common import give_back, packed, ship, text_of, written
 
 SHINGLE = 3
 RADIUS = 3
@@ -80,8 +80,9 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int = SHING
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
+            fps = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]  # one text at a time
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["id", "fp"])
+        give_back()
 
     return rows.mapInArrow(task, schema)
 
