@@ -7,15 +7,20 @@ has: sizes of up to 2**PRECISION bytes are told apart exactly, larger ones by
 their PRECISION leading bits, which bounds the table of size classes at any
 corpus size (about 75,000 classes for sizes below 2**63). The driver schedules
 that table from the largest class down. Many groups of a class are dealt at
-once: each shard below the level that the class reaches gets what brings it
-there, and the heap deals the rest. Where many rows share a class, groups take
-their places in it from ``common.ranked``, without a window over a class.
+once: the heap hands them out in order of the loads they start from, so each
+shard first gets all that start at least one group below the level that the
+class reaches, and the heap deals the rest; the loads are those of dealing one
+by one. Where many rows share a class, groups take their places in it from
+``common.ranked``, without a window over a class.
 
-A row's slot is its place in its shard, numbered the same way.
+Rows learn their shard by a join on the group. Groups with more than a
+thousandth of all rows, of which there are less than a thousand, are broadcast,
+so their rows stay where they are; all others meet their groups by a shuffle.
+A row's slot is its place in its shard, numbered the same way as the places.
 
 Cases: a null text is the empty text (size 16, CRC 0) and of one group with
 empty ones; repeated rows are rows of their own, of one group; one group may
-hold any share of the rows (it stays whole, as it must, in one shard, and its
+hold any share of the rows (it stays whole, as it must, in one shard, while its
 rows are spread over tasks); an empty table gives an empty result; other
 columns are ignored.
 """
@@ -32,6 +37,7 @@ from .common import ranked, text_of, written
 SHARDS = 40
 ROW_BYTES = 16
 PRECISION = 12  # leading bits of a size that tell classes apart
+HOT_PART = 1000  # a group with more than one row in so many is hot; fewer than that can be
 
 
 def size_class(size: str) -> Column:
@@ -50,8 +56,7 @@ def schedule(classes: list[tuple[int, int, int]], shards: int) -> list[tuple[int
     for cls, groups, total in sorted(classes, reverse=True):
         mean, left = total / groups, groups
         counts = dict.fromkeys(range(shards), 0)
-        if groups >= 4 * shards and mean > 0:
-            # Deal whole groups up to just below the level the class will reach; the heap levels the rest.
+        if groups > shards:  # a short cut only: same loads as one by one
             order, upto = sorted(loads), 0.0
             level = None
             for k, (load, _) in enumerate(order):
@@ -87,19 +92,24 @@ def sharded(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     rows = written(df.select(F.col(id_col).alias("id"), F.unhex(F.md5(data)).alias("key"),
                              (F.octet_length(data) + ROW_BYTES).cast("long").alias("size"),
                              F.crc32(data).alias("text_crc32")), "sizes")
-    groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"))
+    groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
     groups = written(groups.withColumn("cls", size_class("bytes")), "groups")
     # Bounded by PRECISION, whatever the corpus: one row per size class.
-    classes = [tuple(r) for r in groups.groupBy("cls").agg(F.count(F.lit(1)), F.sum("bytes")).collect()]
-    plan = schedule(classes, shards)
+    classes = groups.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows")).collect()
+    plan = schedule([(r["cls"], r["n"], r["bytes"]) for r in classes], shards)
+    total = sum(r["rows"] for r in classes)
     plan = spark.createDataFrame(plan, "__cls long, shard int, first long, n long")
     # At most `shards` stretches of places per class; a group's place falls in one of them.
     stretches = plan.groupBy("__cls").agg(F.sort_array(F.collect_list(F.struct("first", "n", "shard"))).alias("stretches"))
     placed = ranked(groups.withColumn("one", F.lit(0)), ["cls"], "one", ["key"], "place")
     placed = placed.join(stretches, F.col("cls") == F.col("__cls"))
-    placed = placed.select("key", F.expr(
-        "filter(stretches, s -> s.first <= place and place < s.first + s.n)[0].shard").alias("shard"))
-    dealt = rows.join(placed, "key").select("id", "size", "text_crc32", "shard")
+    placed = written(placed.select("key", "rows", F.expr(
+        "filter(stretches, s -> s.first <= place and place < s.first + s.n)[0].shard").alias("shard")), "places")
+    is_hot = F.col("rows") * HOT_PART > total
+    hot = F.broadcast(placed.filter(is_hot).drop("rows"))  # fewer than HOT_PART rows
+    spread = rows.join(hot, "key")
+    others = rows.join(hot, "key", "left_anti").join(placed.filter(~is_hot).drop("rows"), "key")
+    dealt = spread.unionByName(others).select("id", "size", "text_crc32", "shard")
     dealt = written(dealt.withColumn("zero", F.lit(0)), "dealt")
     return (ranked(dealt, ["shard"], "zero", ["id", "text_crc32", "size"], "slot")
             .select(F.col("id").alias(id_col), "size", "text_crc32", "shard", "slot"))
