@@ -9,8 +9,9 @@ random offset (by source) is added, and a document is emitted once per whole
 number its stretch of the sum crosses. As neighbours have like sizes, the words
 taken come within about one document of the target.
 
-Only DataFrame functions. A source may hold any share of the rows: positions
-come from ``common.ranked`` (windows over size classes cut by hash, counts
+Only DataFrame functions. There may be any number of sources: their order comes
+from range partitions, the level they share from a few aggregates. A source may
+hold any share of the rows: positions come from ``common.ranked`` (windows over size classes cut by hash, counts
 summed up per source). Sums are whole numbers (units of 2**-24 copies), so that
 reruns agree and no document is emitted more than ceil(rate) <= 2 times.
 
@@ -24,8 +25,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from ..operators.ordering import sequential_row_number
 from .common import WORD, packed, ranked, text_of, written
 
 WEIGHTS = (5, 2, 1)
@@ -40,30 +41,33 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD + "+")).cast("long")  # possessive: a run is taken at once
 
 
+def shared_level(per: DataFrame) -> float:
+    """Words per weight of the sources below their cap: shared out by weight, then
+    what sources have above their cap shared out again among the others, until
+    none is above. Each round is an aggregate over ``per``, one row per source."""
+    at_cap, capped, level = F.lit(False), -1, 0.0
+    while True:
+        got = per.agg(F.sum("source_size").alias("all"), F.count(F.when(at_cap, 1)).alias("capped"),
+                      F.coalesce(F.sum(F.when(at_cap, F.col("source_size"))), F.lit(0)).alias("held"),
+                      F.sum(F.when(~at_cap, F.col("weight"))).alias("weights")).first()
+        if got["capped"] == capped or not got["weights"]:
+            return level
+        capped, level = got["capped"], (TOTAL * got["all"] - MOST * got["held"]) / got["weights"]
+        at_cap = F.col("weight") * F.lit(level) > MOST * F.col("source_size")
+
+
 def source_targets(sizes: DataFrame) -> DataFrame:
-    """``src``, ``source_size``, ``target`` from rows (src, size). One row per
-    source after the first, pre-aggregated step; only those meet in one window."""
-    per = sizes.groupBy("src").agg(F.sum("size").alias("source_size"))
+    """``src``, ``source_size``, ``target`` from rows (src, size). Sources may be as
+    many as hosts: their order comes from a range partitioning, their shared level
+    from aggregates, so none of it needs all sources in one task."""
+    per = written(sizes.groupBy("src").agg(F.sum("size").alias("source_size")), "sources")
     # UTF-8 binary order is code point order.
-    order = Window.orderBy(F.col("src").isNull(), F.col("src"))
-    turn = F.pmod(F.row_number().over(order) - 1, F.lit(len(WEIGHTS)))
-    per = per.withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (turn + 1).cast("int")))
-    # A source is at its cap if its cap per weight is below the level the others share.
-    by_level = Window.orderBy(F.col("source_size") / F.col("weight"), F.col("src").isNull(), "src")
-    upto = by_level.rowsBetween(Window.unboundedPreceding, -1)
-    onward = by_level.rowsBetween(0, Window.unboundedFollowing)
-    all_rows = Window.partitionBy()
-    share = F.lit(TOTAL) * F.sum("source_size").over(all_rows)
-    left = share - MOST * F.coalesce(F.sum("source_size").over(upto), F.lit(0))
-    level = left / F.sum("weight").over(onward)  # if this source and all later ones were uncapped
-    per = per.withColumn("level", level).withColumn("fits", F.col("weight") * F.col("level") <= MOST * F.col("source_size"))
-    # The level of the first source in that order whose share fits holds for all later ones.
-    first = F.min(F.when(F.col("fits"), F.struct(F.col("source_size") / F.col("weight"), F.col("src").isNull(),
-                                                 F.col("src"), F.col("level")))).over(all_rows)
-    per = per.withColumn("shared", first["level"])
+    per = sequential_row_number(per, F.col("src").asc_nulls_last(), "__turn")
+    turn = F.pmod(F.col("__turn") - 1, F.lit(len(WEIGHTS)))
+    weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (turn + 1).cast("int"))
+    per = written(per.select("src", "source_size", weight.alias("weight")), "weights")
     cap = (MOST * F.col("source_size")).cast("double")
-    return per.select("src", "source_size",
-                      F.least(cap, F.coalesce(F.col("weight") * F.col("shared"), cap)).alias("target"))
+    return per.select("src", "source_size", F.least(cap, F.col("weight") * F.lit(shared_level(per))).alias("target"))
 
 
 def sized(df: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:

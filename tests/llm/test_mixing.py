@@ -53,6 +53,23 @@ def test_targets_and_taken_words(spark, sources):
     assert {r.doc_id: r.taken for r in got} == {r.doc_id: r.taken for r in again}
 
 
+def test_many_sources_share_in_rounds(spark):
+    """Sizes from one word to millions: many caps, met one round after another."""
+    sizes = [(None if i == 7 else f"{'é' if i % 2 else 'h'}{i:03d}", 1 if i > 200 else 3 ** (i % 15)) for i in range(300)]
+    _, target = brute_targets([(i, " ".join(["w"] * min(n, 9)), s) for i, (s, n) in enumerate(sizes)])
+    df = spark.createDataFrame([(s, min(n, 9)) for s, n in sizes], "src string, size long")
+    got = {r.src: r.target for r in mixing.source_targets(df).collect()}
+    assert set(got) == set(target) and all(got[s] == pytest.approx(target[s], rel=1e-9) for s in got)
+
+    wide = dict(sizes)
+    names = sorted(wide, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    per = spark.createDataFrame([(s, wide[s], weight[s]) for s in names], "src string, source_size long, weight int")
+    level = mixing.shared_level(per)
+    shared = sum(min(2 * wide[s], weight[s] * level) for s in names)
+    assert shared == pytest.approx(1.5 * sum(wide.values()), rel=1e-9)
+
+
 def test_mix_keeps_columns_and_copies(spark):
     rows = make(400, 5, ["a", "b", None])
     df = spark.createDataFrame(rows, SCHEMA)
