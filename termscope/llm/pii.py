@@ -4,7 +4,8 @@ Base patterns find emails, IP addresses, card numbers and phone numbers,
 leftmost and without overlap per kind. They are the seeds: every mention of
 something identifier-like (a token with a digit or an at sign, groups of digits
 joined by blanks or the like, an email out of a longer token) is taken with
-its lexical patterns, the two words before it and the words around it. On the
+its lexical patterns: the word before it, the two words before it and the words
+around it. On the
 graph of patterns and mentioned strings, a pattern's confidence in a kind is
 the score of its strings in that kind, as a share of all scores of its strings and
 of ``UNKNOWN`` for each one whose kind is not known (yet), and a string's score
@@ -138,11 +139,12 @@ def mentions(rows: DataFrame) -> DataFrame:
         kind = F.when(whole & valid(KINDS[k], F.col("string")), k).otherwise(kind)
     left = _words(F.concat_ws(" ", "edge", "before"))
     right = F.coalesce(F.get(_words(F.col("after")), F.lit(0)), F.lit("$"))
+    last = F.element_at("left", -1)
     one = one.withColumns({"kind": kind, "left": left}).withColumn("patterns", F.array(
-        F.concat(F.lit("two:"), F.array_join(F.slice("left", -2, 2), " ")),
-        F.concat(F.lit("around:"), F.element_at("left", -1), F.lit(" | "), right)))
+        F.concat(F.lit("one:"), last), F.concat(F.lit("around:"), last, F.lit(" | "), right),
+        F.concat(F.lit("two:"), F.array_join(F.slice("left", -2, 2), " "))))
     return one.select("id", "digest", "start", (F.col("start") + F.length("string")).alias("end"), "string", "kind",
-                      F.when(F.size("left") >= 2, F.col("patterns")).otherwise(F.slice("patterns", 2, 1)).alias("patterns"))
+                      F.when(F.size("left") >= 2, F.col("patterns")).otherwise(F.slice("patterns", 1, 2)).alias("patterns"))
 
 
 def discovered(found: DataFrame) -> DataFrame:
@@ -193,9 +195,10 @@ def rendered(found: Column) -> Column:
 
 
 def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The contract's columns: base counts, the digest of base spans, all spans; and how many the method added."""
+    """The contract's columns: base counts, the digest of base spans, all spans; and how many spans there are and the method added."""
     found = personal_data(df, id_col, text_col)
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     return found.select(id_col, *[count(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)],
                         F.sha2(rendered(F.col("base")).cast("binary"), 256).alias("base_sha256"),
-                        rendered(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+                        rendered(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"),
+                        (F.size("base") + F.size("added")).cast("long").alias("n_spans"))

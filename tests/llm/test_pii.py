@@ -102,6 +102,16 @@ def test_as_many_unseen_identifiers_as_seeds(spark):
     assert {r.spans for r in got if r.doc_id in range(8, 16)} == {"phone:16:28"}
 
 
+def test_one_word_before_is_a_pattern(spark):
+    """Contexts that share only the word before the identifier."""
+    texts = [f"w{chr(97 + i)} phone +1 (5{i:02d}) 555-20{i:02d} z{chr(97 + i)}" for i in range(20)]
+    texts += ["other phone 0171-5550199 end", "other fax 0171-5550188 end", "order 88-77123 end"]
+    got = pii.report(spark.createDataFrame([(i, t, "x", 1, 2) for i, t in enumerate(texts)], SCHEMA)).collect()
+    check_base(got, texts)
+    assert {r.doc_id: r.spans for r in got if r.n_added} == {20: "phone:12:24"}
+    assert all(r.n_spans == len([s for s in r.spans.split(",") if s]) for r in got)
+
+
 def test_repeated_rows_and_empty_table(spark):
     assert pii.report(spark.createDataFrame([], SCHEMA)).count() == 0
     rows = [(1, "a@b.c", "x", 1, 2), (1, "a@b.c", "x", 1, 2), (1, "nothing", "x", 1, 2), (None, "1.1.1.1", None, None, None)]
