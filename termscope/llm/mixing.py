@@ -62,7 +62,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     from aggregates, so none of it needs all sources in one task."""
     per = written(sizes.groupBy("src").agg(F.sum("size").alias("source_size")), "sources")
     # UTF-8 binary order is code point order.
-    per = sequential_row_number(per, F.col("src").asc_nulls_last(), "__turn")
+    per = sequential_row_number(per, F.col("src").asc_nulls_last(), "__turn", save=written)
     turn = F.pmod(F.col("__turn") - 1, F.lit(len(WEIGHTS)))
     weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (turn + 1).cast("int"))
     per = written(per.select("src", "source_size", weight.alias("weight")), "weights")
