@@ -38,8 +38,7 @@ def _doc_id(path: str = "path"):
 def _text_files(spark: SparkSession, sf_dir: str) -> str:
     """Every document as a text file of its own (the writer ends it with a line feed)."""
     folder = _folder(spark, "texts")
-    docs = tb.read(spark, sf_dir, "documents").select("doc_id", "text")
-    docs.repartition(8, "doc_id").write.partitionBy("doc_id").text(folder)
+    writers.write_file_each(tb.read(spark, sf_dir, "documents").select("doc_id", "text"), folder, "doc_id")
     return folder
 
 
@@ -85,11 +84,10 @@ def q_csv_cells(spark: SparkSession, sf_dir: str, file_rows: int = CSV_ROWS) ->
 def q_folder_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + P13 + S4/S7/U1 + status: a folder of text, CSV and unknown files, matched; per file its status and hits."""
     root = _folder(spark, "room")
-    docs = tb.read(spark, sf_dir, "documents").select("doc_id", "lang", "text").repartition(8, "doc_id")
-    docs.where("lang = 'en'").select("doc_id", "text").write.partitionBy("doc_id").text(f"{root}/t")
-    (docs.where("lang = 'fr'").select("doc_id", "text").write.partitionBy("doc_id").options(**writers.CSV_OPTIONS)
-         .csv(f"{root}/c"))
-    docs.where("lang not in ('en', 'fr')").select("doc_id", "text").write.partitionBy("doc_id").json(f"{root}/u")
+    docs = tb.read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    for where, place, fmt, options in (("lang = 'en'", "t", "text", {}), ("lang = 'fr'", "c", "csv", writers.CSV_OPTIONS),
+                                       ("lang not in ('en', 'fr')", "u", "json", {})):
+        writers.write_file_each(docs.where(where).drop("lang"), f"{root}/{place}", "doc_id", fmt, **options)
     scan = scan_folder(spark, root, glob="part-*")
     hits = keyword_hits(scan.segments, room.room_dictionary(spark), key=room.HIT_KEY, prepared=True)
     per = hits.groupBy("path").agg(F.sum("hits").alias("n"))
