@@ -23,6 +23,7 @@ from ..functions.cells import cell_address, qualified_location
 from ..functions.paths import plain_path
 from ..operators.extract import COLUMN_BITS
 from .csv_files import csv_cells  # noqa: F401
+from .inventory import few_tasks
 
 SEGMENT_COLS = ["path", "seg_ord", "location", "page_count", "text"]
 
@@ -48,7 +49,7 @@ def read_whole_text(spark: SparkSession, root: str, glob: str = "*.txt") -> Data
     """S7 from storage: ``text`` files read whole, path from file metadata."""
     df = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
           .select(plain_path(F.col("_metadata.file_path")).alias("path"), F.regexp_replace("value", "\r\n?", "\n").alias("text")))
-    return whole_text_segments(df)
+    return whole_text_segments(few_tasks(df))
 
 
 def read_lines_latin1(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
@@ -57,8 +58,8 @@ def read_lines_latin1(spark: SparkSession, root: str, glob: str = "*.txt") -> Da
     The reference deletes its input afterwards; this does not."""
     raw = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
            .option("pathGlobFilter", glob).load(root))
-    return line_segments(raw.select(plain_path(F.col("_metadata.file_path")).alias("path"),
-                                    F.decode("content", "ISO-8859-1").alias("text")))
+    return line_segments(few_tasks(raw.select(plain_path(F.col("_metadata.file_path")).alias("path"),
+                                              F.decode("content", "ISO-8859-1").alias("text"))))
 
 
 # A file's bytes are one value of a row: Spark's own bound for such a value.
