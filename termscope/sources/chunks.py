@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.paths import plain_path
+from .inventory import few_tasks
 
 CHUNK_BYTES = 1 << 20
 CHUNK = "path string, block long, seq int, body binary"
@@ -36,7 +37,7 @@ def file_chunks(spark: SparkSession, root: str, glob: str | None = None, keep: C
         reader = reader.option("pathGlobFilter", glob)
     lines = reader.text(root).select(plain_path(F.col("_metadata.file_path")).alias("path"),
                                      F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
-    lines = lines if keep is None else lines.where(keep)
+    lines = few_tasks(lines if keep is None else lines.where(keep))
     schema = pa.schema([("path", pa.string()), ("block", pa.int64()), ("seq", pa.int32()), ("body", pa.binary())])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

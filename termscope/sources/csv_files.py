@@ -98,9 +98,13 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(errors, pa.string()), *columns], names=[*PLACE, "error", *_SIDES])
 
 
-def _composed(scanned: pa.Table) -> pa.Table:
+_STATES = pa.schema([
+    ("path", pa.string()), ("block", pa.int64()), ("seq", pa.int32()), ("quoted", pa.bool_()), ("before", pa.int64()), ("ends", pa.int64()),
+    ("open", pa.bool_()), ("head", pa.int64()), ("tail", pa.int64()), ("error", pa.string())])
+
+
+def _composed(rows: list[dict]) -> list[dict]:
     """The chunks of one file in order: how each begins, and the records before it."""
-    rows = sorted(scanned.to_pylist(), key=lambda r: (r["block"], r["seq"]))
     out, quoted, before = [], False, 0
     error = next((r["error"] for r in rows if r["error"]), None)
     for r in rows[:1] if error else rows:
@@ -108,9 +112,20 @@ def _composed(scanned: pa.Table) -> pa.Table:
         out.append({**{c: r[c] for c in PLACE}, "quoted": quoted, "before": before, "error": error,
                     **{c: r[f"{c}_{side}"] for c in ("ends", "open", "head", "tail")}})
         quoted, before = r[f"open_{side}"], before + r[f"ends_{side}"]
-    return pa.Table.from_pylist(out, schema=pa.schema([
-        ("path", pa.string()), ("block", pa.int64()), ("seq", pa.int32()), ("quoted", pa.bool_()), ("before", pa.int64()), ("ends", pa.int64()),
-        ("open", pa.bool_()), ("head", pa.int64()), ("tail", pa.int64()), ("error", pa.string())]))
+    return out
+
+
+def _states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The chunks of files that arrive one after the other, each in order."""
+    out = []
+    rows = (r for batch in batches for r in batch.to_pylist())
+    for _, own in itertools.groupby(rows, operator.itemgetter("path")):
+        out += _composed(list(own))
+        if len(out) >= BATCH_CELLS:
+            yield pa.RecordBatch.from_pylist(out, schema=_STATES)
+            out = []
+    if out:
+        yield pa.RecordBatch.from_pylist(out, schema=_STATES)
 
 
 class CsvFiles:
@@ -120,7 +135,8 @@ class CsvFiles:
     def __init__(self, spark: SparkSession, root: str, glob: str | None = "*.csv", keep: Column | None = None, size: int = CHUNK_BYTES):
         from ..plans.materialize import materialize
         self.chunks = file_chunks(spark, root, glob, keep, size)
-        self.states = materialize(self.chunks.mapInArrow(_scanned, SCANNED).groupBy("path").applyInArrow(_composed, STATES), "csv-states")
+        scanned = self.chunks.mapInArrow(_scanned, SCANNED).repartition("path").sortWithinPartitions("path", "block", "seq")
+        self.states = materialize(scanned.mapInArrow(_states, STATES), "csv-states")
 
     def errors(self) -> DataFrame:
         return self.states.where("error is not null").select("path", "error")
