@@ -236,22 +236,51 @@ def request_report_weighted(files: DataFrame, hits: DataFrame, requests: DataFra
     return _roll_up(it_requests(requests), pairs, sets, files, lists)
 
 
+def _index_files(index_matches: DataFrame) -> DataFrame:
+    """``path, file_name, terms``: a scope index's files, each with its match list."""
+    return index_matches.groupBy("path", "file_name").agg(F.array_sort(F.collect_set("match")).alias("terms"))
+
+
+def _rows_of_terms(requests: DataFrame, files: DataFrame) -> DataFrame:
+    """``terms, rows``: per distinct match list, the request rows whose sentence
+    contains any of its terms. Files with one list are found as one."""
+    reqs = requests.where(request_number(F.col("request_no")).isNotNull()).select("row_ord", "sentence")
+    each = files.select("terms").distinct().select("terms", F.explode("terms").alias("match"))
+    rt = contained(reqs, ["row_ord"], "sentence", each.select("match").distinct(), "match")
+    return each.join(rt, "match").groupBy("terms").agg(F.collect_set(F.struct("row_ord")).alias("rows"))
+
+
 def any_matches(requests: DataFrame, index_matches: DataFrame) -> DataFrame:
     """(row_ord, path, file_name) of the scope index's files whose match
     list holds any term contained in the sentence (no area gate)."""
-    reqs = requests.where(request_number(F.col("request_no")).isNotNull()).select("row_ord", "sentence")
-    rt = contained(reqs, ["row_ord"], "sentence", index_matches.select("match").distinct(), "match")
-    return index_matches.join(rt, "match").select("row_ord", "path", "file_name").distinct()
+    files = _index_files(index_matches)
+    return files.join(_rows_of_terms(requests, files), "terms").select(F.explode("rows.row_ord").alias("row_ord"), "path", "file_name")
+
+
+# Files of a cell of the name lists; pairs of match list and request row that are broadcast.
+CELL_FILES, BROADCAST_PAIRS = 10_000, 1_000_000
 
 
-def request_report_any(requests: DataFrame, index_matches: DataFrame) -> DataFrame:
+def request_report_any(requests: DataFrame, index_matches: DataFrame, size: int = CELL_FILES) -> DataFrame:
     """R4c (A23, M6): per request row with a match, the number of files and
     their names, space-separated in path order (the reference's one cell; the
     pairs themselves are :func:`any_matches`). ``index_matches``: ``path,
-    file_name, match`` (one row per term, as S20 parses it back)."""
-    per = any_matches(requests, index_matches).groupBy("row_ord").agg(
-        F.count(F.lit(1)).cast("long").alias("n_files"),
-        F.array_join(ordered_values(F.col("path"), F.col("file_name")), " ").alias("file_names"))
+    file_name, match`` (one row per term, as S20 parses it back).
+
+    The files in order are cut into cells of ``size``. A cell's names move as one
+    list per match list to the requests that meet it and are ordered and joined
+    there; a request's value is put together from its cells' texts."""
+    files = sequential_row_number(_index_files(index_matches).withColumn("_o", F.struct("path", "file_name")), "_o", "no")
+    rows = materialize(_rows_of_terms(requests, files), "rows-of-terms")
+    n_pairs = rows.agg(F.sum(F.size("rows"))).first()[0] or 0
+    names = files.groupBy(F.expr(f"(no - 1) div {size}").alias("_cell"), "terms").agg(F.collect_list(F.struct("no", "file_name")).alias("_f"))
+    met = names.join(F.broadcast(rows) if n_pairs <= BROADCAST_PAIRS else rows, "terms").select(
+        F.explode("rows.row_ord").alias("row_ord"), "_cell", "_f")
+    cells = met.groupBy("row_ord", "_cell").agg(F.sum(F.size("_f")).alias("_n"), F.array_sort(F.flatten(F.collect_list("_f"))).alias("_f"))
+    named = F.filter(F.transform("_f", lambda x: x["file_name"]), lambda v: v.isNotNull())
+    cells = cells.select("row_ord", "_cell", "_n", F.when(F.size(named) > 0, F.array_join(named, " ")).alias("_text"))
+    per = cells.groupBy("row_ord").agg(F.sum("_n").cast("long").alias("n_files"),
+                                       F.array_join(ordered_values(F.col("_cell"), F.col("_text")), " ").alias("file_names"))
     sheet = requests.select("row_ord", request_number(F.col("request_no")).cast("long").alias("request_no"))
     return sheet.join(per, "row_ord").select("request_no", F.col("row_ord").cast("long").alias("row_ord"), "n_files", "file_names")
 
