@@ -28,7 +28,8 @@ def raw_details(files: DataFrame, hits: DataFrame, expand: bool = True) -> DataF
     """One row per occurrence (M1b) with file details, pages and location;
     Unknown files appended with blanks (U2). ``hits`` carry ``location`` and
     ``page_count`` from the matcher, so the text is not read again."""
-    h = hits.join(files.select("path", *FILE_PARTS), "path")
+    # The files' rows are hashed, so a task holds neither side's hits sorted.
+    h = hits.join(files.select("path", *FILE_PARTS).hint("shuffle_hash"), "path")
     if expand:
         h = h.withColumn("occurrence", F.explode(F.sequence(F.lit(1), F.col("hits").cast("int"))))
     found = h.select("file_name", "index_number", "folder", "path", "file_type",
