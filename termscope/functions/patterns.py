@@ -78,6 +78,11 @@ def category_alternation(keywords: Column, escape: bool = False) -> Column:
     # Word characters at both ends and no regex syntax in between.
     plain = "^" + WORD_CLASS + r"(?:[\p{L}\p{N}_ &',/-]*" + WORD_CLASS + r")?\z"
     word_edges = F.forall(keywords, lambda k: k.rlike(plain))
-    factored = F.concat(F.lit(CASE_FLAGS + LEFT_BOUND + "(?:"), F.array_join(items, "|"),
+    # A character that begins no keyword is passed over by one look at it. Java's classes fold ASCII
+    # letters as its literals do (not all others), so any other first character leaves this out.
+    ascii_first = (F.size(keywords) > 0) & F.forall(keywords, lambda k: k.rlike("^[A-Za-z0-9_]"))
+    firsts = F.array_join(F.array_sort(F.array_distinct(F.transform(keywords, lambda k: F.lower(F.left(k, F.lit(1)))))), "")
+    ahead = F.when(ascii_first, F.concat(F.lit("(?=["), firsts, F.lit("])"))).otherwise(F.lit(""))
+    factored = F.concat(F.lit(CASE_FLAGS), ahead, F.lit(LEFT_BOUND + "(?:"), F.array_join(items, "|"),
                         F.lit(")" + RIGHT_BOUND))
     return F.when(word_edges, factored).otherwise(general)

@@ -236,53 +236,74 @@ def request_report_weighted(files: DataFrame, hits: DataFrame, requests: DataFra
     return _roll_up(it_requests(requests), pairs, sets, files, lists)
 
 
-def _index_files(index_matches: DataFrame) -> DataFrame:
-    """``path, file_name, terms``: a scope index's files, each with its match list."""
-    return index_matches.groupBy("path", "file_name").agg(F.array_sort(F.collect_set("match")).alias("terms"))
+def _met_files(requests: DataFrame, index_matches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``path, file_name, classes`` of the index's files that a request meets; ``classes, rows``: the requests of each).
 
-
-def _rows_of_terms(requests: DataFrame, files: DataFrame) -> DataFrame:
-    """``terms, rows``: per distinct match list, the request rows whose sentence
-    contains any of its terms. Files with one list are found as one."""
+    Terms that the same request rows contain are one class, named by its least
+    term. A file is known by the set of its terms' classes, of which there are
+    far fewer than match lists, and each set's request rows are found once."""
     reqs = requests.where(request_number(F.col("request_no")).isNotNull()).select("row_ord", "sentence")
-    each = files.select("terms").distinct().select("terms", F.explode("terms").alias("match"))
-    rt = contained(reqs, ["row_ord"], "sentence", each.select("match").distinct(), "match")
-    return each.join(rt, "match").groupBy("terms").agg(F.collect_set(F.struct("row_ord")).alias("rows"))
+    rt = contained(reqs, ["row_ord"], "sentence", index_matches.select("match").distinct(), "match")
+    # Structs, as collect_list() leaves nulls out.
+    held = rt.groupBy("match").agg(F.sort_array(F.collect_list(F.struct("row_ord"))).alias("_r")).select("match", F.col("_r.row_ord").alias("rows"))
+    classes = materialize(held.groupBy("rows").agg(F.min("match").alias("class"), F.collect_list("match").alias("matches")), "term-classes")
+    class_of = classes.select("class", F.explode("matches").alias("match"))
+    files = index_matches.join(_small(class_of, DEFAULT_BROADCAST_LIMIT), "match").groupBy("path", "file_name").agg(
+        F.sort_array(F.collect_set("class")).alias("classes"))
+    files = materialize(files, "met-files")
+    sets = files.select("classes").distinct()
+    rows = sets.select("classes", F.explode("classes").alias("class")).join(classes.select("class", "rows"), "class").groupBy("classes").agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("rows")))).alias("rows"))
+    return files, rows
 
 
 def any_matches(requests: DataFrame, index_matches: DataFrame) -> DataFrame:
     """(row_ord, path, file_name) of the scope index's files whose match
     list holds any term contained in the sentence (no area gate)."""
-    files = _index_files(index_matches)
-    return files.join(_rows_of_terms(requests, files), "terms").select(F.explode("rows.row_ord").alias("row_ord"), "path", "file_name")
+    files, rows = _met_files(requests, index_matches)
+    return files.join(rows, "classes").select(F.explode("rows").alias("row_ord"), "path", "file_name")
 
 
-# Files of a cell of the name lists; pairs of match list and request row that are broadcast.
+# Files of a cell of the name lists; pairs of row set and request row that are broadcast.
 CELL_FILES, BROADCAST_PAIRS = 10_000, 1_000_000
 
 
+def _small(df: DataFrame, most: int) -> DataFrame:
+    """``df`` to be broadcast, if it has ``most`` rows or fewer."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def request_report_any(requests: DataFrame, index_matches: DataFrame, size: int = CELL_FILES) -> DataFrame:
     """R4c (A23, M6): per request row with a match, the number of files and
     their names, space-separated in path order (the reference's one cell; the
     pairs themselves are :func:`any_matches`). ``index_matches``: ``path,
     file_name, match`` (one row per term, as S20 parses it back).
 
-    The files in order are cut into cells of ``size``. A cell's names move as one
-    list per match list to the requests that meet it and are ordered and joined
-    there; a request's value is put together from its cells' texts."""
-    files = sequential_row_number(_index_files(index_matches).withColumn("_o", F.struct("path", "file_name")), "_o", "no")
-    rows = materialize(_rows_of_terms(requests, files), "rows-of-terms")
-    n_pairs = rows.agg(F.sum(F.size("rows"))).first()[0] or 0
-    names = files.groupBy(F.expr(f"(no - 1) div {size}").alias("_cell"), "terms").agg(F.collect_list(F.struct("no", "file_name")).alias("_f"))
-    met = names.join(F.broadcast(rows) if n_pairs <= BROADCAST_PAIRS else rows, "terms").select(
-        F.explode("rows.row_ord").alias("row_ord"), "_cell", "_f")
-    cells = met.groupBy("row_ord", "_cell").agg(F.sum(F.size("_f")).alias("_n"), F.array_sort(F.flatten(F.collect_list("_f"))).alias("_f"))
-    named = F.filter(F.transform("_f", lambda x: x["file_name"]), lambda v: v.isNotNull())
-    cells = cells.select("row_ord", "_cell", "_n", F.when(F.size(named) > 0, F.array_join(named, " ")).alias("_text"))
-    per = cells.groupBy("row_ord").agg(F.sum("_n").cast("long").alias("n_files"),
-                                       F.array_join(ordered_values(F.col("_cell"), F.col("_text")), " ").alias("file_names"))
+    Files that the same request rows meet are one set, request rows that meet the
+    same sets are one group. The files in order are cut into cells of ``size``;
+    a cell's names move as one list per set to the groups that meet it and are
+    ordered and joined there, and a group's value is put together from its
+    cells' texts, once for all of its requests."""
+    files, rows = _met_files(requests, index_matches)
+    sets = rows.groupBy("rows").agg(F.collect_list("classes").alias("_all")).withColumn("set", F.monotonically_increasing_id())
+    sets = materialize(sets, "file-sets")
+    met = sets.select("set", F.explode("rows").alias("row_ord")).where("row_ord is not null")
+    groups = met.groupBy("row_ord").agg(F.sort_array(F.collect_list("set")).alias("sets"))
+    groups = groups.groupBy("sets").agg(F.collect_list("row_ord").alias("rows")).withColumn("group", F.monotonically_increasing_id())
+    groups = materialize(groups, "request-groups")
+    numbered = sequential_row_number(files.select(F.struct("path", "file_name").alias("_o"), "classes"), "_o", "no")
+    names = numbered.join(_small(sets.select("set", F.explode("_all").alias("classes")), DEFAULT_BROADCAST_LIMIT), "classes").groupBy(
+        F.expr(f"(no - 1) div {size}").alias("_cell"), "set").agg(F.collect_list(F.struct("no", "_o.file_name")).alias("_f"))
+    cells = names.join(_small(groups.select("group", F.explode("sets").alias("set")), BROADCAST_PAIRS), "set").groupBy("group", "_cell").agg(
+        F.sort_array(F.flatten(F.collect_list("_f"))).alias("_f"))
+    named = F.filter("_f.file_name", lambda v: v.isNotNull())
+    cells = cells.select("group", "_cell", F.size("_f").alias("_n"), F.when(F.size(named) > 0, F.array_join(named, " ")).alias("_text"))
+    per = cells.groupBy("group").agg(F.sum("_n").cast("long").alias("n_files"),
+                                     F.array_join(ordered_values(F.col("_cell"), F.col("_text")), " ").alias("file_names"))
     sheet = requests.select("row_ord", request_number(F.col("request_no")).cast("long").alias("request_no"))
-    return sheet.join(per, "row_ord").select("request_no", F.col("row_ord").cast("long").alias("row_ord"), "n_files", "file_names")
+    sheet = sheet.join(groups.select("group", F.explode("rows").alias("row_ord")), "row_ord")
+    return _small(sheet, BROADCAST_PAIRS).join(per, "group").select(
+        "request_no", F.col("row_ord").cast("long").alias("row_ord"), "n_files", "file_names")
 
 
 def parse_prior_index(index: DataFrame, notes: str = "notes") -> DataFrame:

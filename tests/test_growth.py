@@ -88,3 +88,38 @@ def test_hits_of_one_category_are_written_by_many_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
     assert len(glob.glob(f"{tmp_path}/raw/category_part=c/*.parquet")) > 1
     assert spark.read.parquet(str(tmp_path / "raw")).select("path").distinct().count() == n
+
+
+def test_requests_meet_sets_of_files_not_match_lists(spark, monkeypatch):
+    """Many match lists of which requests know two terms: no table but the files' own has a row per list."""
+    import itertools
+
+    from termscope.plans import requests as r
+    words = ["red", "blue", *(f"w{i:02d}x" for i in range(10))]
+    lists = [c for k in (1, 2, 3) for c in itertools.combinations(words, k)]
+    idx = spark.createDataFrame([(f"/{i:03d}", f"n{i}", w) for i, own in enumerate(lists) for w in own], "path string, file_name string, match string")
+    sheet = spark.createDataFrame([("1", "HR", "a RED one", 1), ("2", "IT", "red again", 2), ("3", "IT", "blue, red", 3), ("4", "IT", "none", 4)],
+                                  "request_no string, area string, sentence string, row_ord int")
+    sizes, write = {}, r.materialize
+
+    def counted(df, name="table"):
+        out = write(df, name)
+        sizes[name] = out.count()
+        return out
+    monkeypatch.setattr(r, "materialize", counted)
+    got = {x.row_ord: (x.n_files, x.file_names) for x in r.request_report_any(sheet, idx, 50).collect()}
+    red, both = ([i for i, own in enumerate(lists) if set(own) & known] for known in ({"red"}, {"red", "blue"}))
+    assert got == {k: (len(own), " ".join(f"n{i}" for i in own)) for k, own in ((1, red), (2, red), (3, both))}
+    assert max(n for name, n in sizes.items() if name != "met-files") <= 3
+
+
+def test_alternation_looks_at_first_characters_to_the_same_matches(spark):
+    from termscope.functions.patterns import category_alternation
+    texts = ["Kelvin is Kelvin", "sun ſun ẞe", "it ıt İt IT, ßße", "Été été 1a _b", "xthe the", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kws, looks in ((["kelvin", "sun", "it", "the"], True), (["1a", "_b"], True), (["ße", "été", "it"], False), ([], False)):
+        p = spark.range(1).select(category_alternation(F.array(*[F.lit(k) for k in kws]).cast("array<string>")).alias("p")).first().p
+        assert ("(?=[" in p) == looks
+        plain = p.replace(p[p.index("(?=["):p.index("])") + 2], "") if looks else p
+        a, b = ([r.m for r in df.select(F.regexp_extract_all("t", F.lit(x), F.lit(0)).alias("m")).collect()] for x in (p, plain))
+        assert a == b
