@@ -22,6 +22,7 @@ from ..sources.csv_files import CsvFiles, csv_cells
 from ..sources.dictionary import user_keywords
 from ..sources.inventory import last_file, list_files
 from ..sources.scans import MAX_FILE_BYTES, csv_cell_segments, read_binary
+from ..sources.walk import walked
 from .materialize import materialize, release
 from .requests import quarantined_requests
 from .run import Results, run
@@ -62,19 +63,22 @@ def scan_folder(spark: SparkSession, root: str, extractors: dict[str, Extractor]
     extractors = dict(extractors or {})
     known = [*extractors, *(h for h in BUILT_IN if h not in extractors)]
     owned, segments, errors = [], [], []
+    # The folder is walked once; every reader takes its files from that table.
+    listed, tables = walked(spark, root, glob) or (None, [])
+    owned += tables
     none = F.lit(None).cast("int").alias("edge")
 
     def of(name: str) -> Column:
         return handler(F.col("path")) == name
 
     if "txt" not in extractors:
-        windows = materialize(text_windows(file_chunks(spark, root, glob, of("txt"))), "windows")
+        windows = materialize(text_windows(file_chunks(spark, root, glob, of("txt"), files=listed)), "windows")
         owned.append(windows)
         bad = windows.where("error is not null").select("path", "error")
         errors.append(bad)
         segments.append(text_segments(windows.join(bad.select("path").distinct(), "path", "left_anti"), reach))
     if "csv" not in extractors:
-        files = CsvFiles(spark, root, glob, of("csv"))
+        files = CsvFiles(spark, root, glob, of("csv"), files=listed)
         cells = materialize(files.cells(), "cells")
         owned += [files.states, cells]
         errors.append(files.errors())
@@ -84,7 +88,8 @@ def scan_folder(spark: SparkSession, root: str, extractors: dict[str, Extractor]
             name, path = key.split(":", 1)
             return extractors[name](path, body)
 
-        bodies = read_binary(spark, root, glob, max_bytes).withColumn("_handler", handler(F.col("path")))
+        taken = None if listed is None else listed.where(handler(F.col("path")).isin(*extractors))
+        bodies = read_binary(spark, root, glob, max_bytes, files=taken).withColumn("_handler", handler(F.col("path")))
         bodies = bodies.where(F.col("_handler").isin(*extractors)).select(F.concat_ws(":", "_handler", "path").alias("_route"), "content")
         extracted = extract(bodies, routed, key="_route", seconds=seconds).withColumn("path", F.regexp_replace("path", "^[^:]*:", ""))
         extracted = materialize(extracted, "segments")
@@ -92,7 +97,7 @@ def scan_folder(spark: SparkSession, root: str, extractors: dict[str, Extractor]
         errors.append(errors_of(extracted))
         segments.append(segments_of(extracted).withColumn("edge", none))
 
-    listing = list_files(spark, root, glob).withColumn("handler", handler(F.col("path")))
+    listing = list_files(spark, root, glob, files=listed).withColumn("handler", handler(F.col("path")))
     failed = errors[0]
     for e in errors[1:]:
         failed = failed.unionByName(e)

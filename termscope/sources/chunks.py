@@ -1,7 +1,8 @@
 """Text files of any size, read by many tasks.
 
-Spark reads a file in splits that begin and end at line ends; a task packs the
-lines of a split into chunks of about ``CHUNK_BYTES``. A chunk is named by file,
+A file is read in splits that begin and end at line ends, by the tasks
+themselves in a folder that they see (``sources.walk``), else by Spark; a task
+packs the lines of a split into chunks of about ``CHUNK_BYTES``. A chunk is named by file,
 split (its first byte) and number, which depend on nothing but the file and the
 split size, so it may be made again in a later job and met by its name: small
 tables about chunks are joined to chunks, and the text itself is not shuffled
@@ -21,6 +22,7 @@ from pyspark.sql.window import Window
 
 from ..functions.paths import plain_path
 from .inventory import few_tasks
+from .walk import line_chunks, walked
 
 CHUNK_BYTES = 1 << 20
 CHUNK = "path string, block long, seq int, body binary"
@@ -28,10 +30,16 @@ PLACE = ["path", "block", "seq"]
 
 
 def file_chunks(spark: SparkSession, root: str, glob: str | None = None, keep: Column | None = None,
-                size: int = CHUNK_BYTES) -> DataFrame:
+                size: int = CHUNK_BYTES, *, files: DataFrame | None = None) -> DataFrame:
     """``path, block, seq, body``: the lines of the files under ``root``, each with
     a line feed (other line ends are read as such, as ``open()`` does), in chunks.
-    ``keep`` is a condition on ``path``; files that it excludes are not opened."""
+    ``keep`` is a condition on ``path``; files that it excludes are not opened.
+    ``files``: the listing of ``sources.walk.walked``, if there is one already."""
+    if files is None and (found := walked(spark, root, glob)):
+        files = found[0]
+    chunks = None if files is None else line_chunks(files, size, keep)
+    if chunks is not None:
+        return chunks
     reader = spark.read.option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)

@@ -132,9 +132,10 @@ class CsvFiles:
     """The CSV files under ``root``. ``states`` has a row per chunk (a written
     table); a file that cannot be parsed has one row, with an ``error``, and no cells."""
 
-    def __init__(self, spark: SparkSession, root: str, glob: str | None = "*.csv", keep: Column | None = None, size: int = CHUNK_BYTES):
+    def __init__(self, spark: SparkSession, root: str, glob: str | None = "*.csv", keep: Column | None = None, size: int = CHUNK_BYTES,
+                 *, files: DataFrame | None = None):
         from ..plans.materialize import materialize
-        self.chunks = file_chunks(spark, root, glob, keep, size)
+        self.chunks = file_chunks(spark, root, glob, keep, size, files=files)
         scanned = self.chunks.mapInArrow(_scanned, SCANNED).repartition("path").sortWithinPartitions("path", "block", "seq")
         self.states = materialize(scanned.mapInArrow(_states, STATES), "csv-states")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import plain_path, with_path_parts
+from .walk import walked
 
 
 def few_tasks(files: DataFrame) -> DataFrame:
@@ -17,20 +18,28 @@ def few_tasks(files: DataFrame) -> DataFrame:
     return files.coalesce(most) if n > most else files
 
 
-def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+def list_files(spark: SparkSession, root: str, glob: str | None = None, *, files: DataFrame | None = None) -> DataFrame:
     """Every file under ``root`` (recursive) with ``path, length,
-    modification_time`` and the path parts. The content column is pruned, so
-    no file body is read. An empty root is an error, as in the reference."""
+    modification_time`` and the path parts. The tasks walk a folder that they
+    see into a table (``sources.walk``; ``files``, if that was done before); in
+    another store Spark's listing is read, the content column pruned. No file
+    body is read. An empty root is an error, as in the reference."""
+    if files is None and (found := walked(spark, root, glob)):
+        files = found[0]
+    df = _listed(spark, root, glob) if files is None else files
+    if not df.head(1):  # one task; isEmpty() runs them all
+        raise FileNotFoundError(f"no files under {root}")
+    return with_path_parts(df)
+
+
+def _listed(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.load(root).select(
         plain_path(F.col("_metadata.file_path")).alias("path"), "length",
         F.col("modificationTime").alias("modification_time"))
-    df = few_tasks(df)
-    if not df.head(1):  # one task; isEmpty() runs them all
-        raise FileNotFoundError(f"no files under {root}")
-    return with_path_parts(df)
+    return few_tasks(df)
 
 
 def with_folders(files: DataFrame, root: str = "", exclude_suffix: str | None = None) -> DataFrame:

@@ -24,6 +24,7 @@ from ..functions.paths import plain_path
 from ..operators.extract import COLUMN_BITS
 from .csv_files import csv_cells  # noqa: F401
 from .inventory import few_tasks
+from .walk import bodies, walked
 
 SEGMENT_COLS = ["path", "seg_ord", "location", "page_count", "text"]
 
@@ -46,31 +47,40 @@ def whole_text_segments(df: DataFrame, path: str = "path", text: str = "text") -
 
 
 def read_whole_text(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
-    """S7 from storage: ``text`` files read whole, path from file metadata."""
-    df = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
-          .select(plain_path(F.col("_metadata.file_path")).alias("path"), F.regexp_replace("value", "\r\n?", "\n").alias("text")))
-    return whole_text_segments(few_tasks(df))
+    """S7 from storage: ``text`` files read whole, by the tasks that see the
+    folder, else by Spark's reader (path from file metadata)."""
+    found = walked(spark, root, glob)
+    df = bodies(found[0], decoded=True) if found else None
+    if df is None:
+        df = few_tasks(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
+                       .select(plain_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("content")))
+    return whole_text_segments(df.select("path", F.regexp_replace(F.col("content").cast("string"), "\r\n?", "\n").alias("text")))
 
 
 def read_lines_latin1(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
     """S8 from storage: bytes decoded as ISO-8859-1, one segment per line.
 
     The reference deletes its input afterwards; this does not."""
-    raw = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-           .option("pathGlobFilter", glob).load(root))
-    return line_segments(few_tasks(raw.select(plain_path(F.col("_metadata.file_path")).alias("path"),
-                                              F.decode("content", "ISO-8859-1").alias("text"))))
+    found = walked(spark, root, glob)
+    raw = bodies(found[0]) if found else few_tasks(
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+             .select(plain_path(F.col("_metadata.file_path")).alias("path"), "content"))
+    return line_segments(raw.select("path", F.decode("content", "ISO-8859-1").alias("text")))
 
 
 # A file's bytes are one value of a row: Spark's own bound for such a value.
 MAX_FILE_BYTES = (1 << 31) - 16
 
 
-def read_binary(spark: SparkSession, root: str, glob: str | None = None, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+def read_binary(spark: SparkSession, root: str, glob: str | None = None, max_bytes: int = MAX_FILE_BYTES, *,
+                files: DataFrame | None = None) -> DataFrame:
     """Files with their bytes, for parsers that need a whole file (the extractor
     hook): ``path, content``. The length filter is pushed to the listing, so a
     larger file is not opened (``scan_folder`` reports it as failed). Text and
-    CSV files are read in chunks instead and may have any size."""
+    CSV files are read in chunks instead and may have any size. ``files``: those
+    to be read, from ``sources.walk.walked``."""
+    if files is not None:
+        return bodies(files.where(F.col("length") <= max_bytes))
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
