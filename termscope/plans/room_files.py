@@ -35,16 +35,16 @@ def _doc_id(path: str = "path"):
     return F.regexp_extract(path, DOC_OF, 1).cast("long")
 
 
-def _text_files(spark: SparkSession, sf_dir: str) -> str:
+def _text_files(spark: SparkSession, sf_dir: str, own_folder: bool = False) -> str:
     """Every document as a text file of its own (the writer ends it with a line feed)."""
     folder = _folder(spark, "texts")
-    writers.write_file_each(tb.read(spark, sf_dir, "documents").select("doc_id", "text"), folder, "doc_id")
+    writers.write_file_each(tb.read(spark, sf_dir, "documents").select("doc_id", "text"), folder, "doc_id", own_folder=own_folder)
     return folder
 
 
 def q_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files of a folder with sizes and path parts."""
-    files = list_files(spark, _text_files(spark, sf_dir), glob="*.txt")
+    files = list_files(spark, _text_files(spark, sf_dir, own_folder=True), glob="*.txt")
     return files.select(_doc_id().alias("doc_id"), F.col("length").cast("long").alias("length"), "file_type", "index_number",
                         F.regexp_extract("folder", "/(doc_id=[0-9]+)/$", 1).alias("folder"))
 

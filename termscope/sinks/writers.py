@@ -55,9 +55,11 @@ def write_summary_json(summary: DataFrame, path: str) -> None:
 FILE_GROUPS = 240
 
 
-def write_file_each(rows: DataFrame, root: str, key: str, fmt: str = "text", **options) -> None:
+def write_file_each(rows: DataFrame, root: str, key: str, fmt: str = "text", *, own_folder: bool = True, **options) -> None:
     """A file per value of ``key`` (an integer), with its rows in ``fmt`` (text,
     csv, json): ``<root>/group=<g>/<key>=<value>/part-...``, the group being a hash.
+    A folder costs more than its file; where no one looks at it, without
+    ``own_folder`` a local file is ``<root>/group=<g>/<key>=<value>.<suffix>``.
 
     Spark's local file system starts two processes (``chmod``) for every file it
     creates, so in a local folder (shared by the executors, as the checkpoint
@@ -81,14 +83,16 @@ def write_file_each(rows: DataFrame, root: str, key: str, fmt: str = "text", **o
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
-        n = 0
+        n, made = 0, None
         for (group, value), own in groupby(each, lambda r: r[:2]):
             value = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-            to = f"{folder}/group={group}/{key}={value}"
-            os.makedirs(to, exist_ok=True)
+            to = f"{folder}/group={group}" + (f"/{key}={value}" if own_folder else "")
+            if to != made:
+                os.makedirs(to, exist_ok=True)
+                made = to
             with open(f"{to}/.{uuid.uuid4().hex}", "wb") as f:
                 f.writelines(x for _, _, text in own for x in (text or b"", b"\n"))
-            os.replace(f.name, f"{to}/part-0.{suffix}")
+            os.replace(f.name, f"{to}/part-0.{suffix}" if own_folder else f"{to}/{key}={value}.{suffix}")
             n += 1
         yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
 
