@@ -93,3 +93,13 @@ def test_files_without_own_folders_hold_the_same(spark, tmp_path):
         got.append({r.i: sorted(r.text.split("\n")) for r in scans.read_whole_text(spark, root).select(F.regexp_extract("path", "/id=([^/]*?)(?:/part-0)?[.]txt$", 1).alias("i"), "text").collect()})
         assert len(list(os.walk(root))) == 1 + len(os.listdir(root)) + 21 * own
     assert got[0] == got[1] and len(got[0]) == 21
+
+
+def test_inventory_lists_without_a_file_index(spark, tmp_path):
+    from termscope.plans import room_files
+    docs = spark.createDataFrame([(i, "x" * i) for i in range(30)] + [(7, "again")], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    out = room_files.q_inventory(spark, str(tmp_path))
+    assert not [f for f in out.inputFiles() if "/texts-" in f]
+    want = {(i, i + 1 + 6 * (i == 7), "txt", f"doc_id={i}") for i in range(30)}
+    assert {(r.doc_id, r.length, r.file_type, r.folder) for r in out.collect()} == want
