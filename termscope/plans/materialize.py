@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", **options) -> DataFrame:
     """Write ``df`` as a parquet table in the cluster's checkpoint folder and
     read it back.
 
@@ -22,7 +22,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._table_path = path
     return out

@@ -46,11 +46,19 @@ def whole_text_segments(df: DataFrame, path: str = "path", text: str = "text") -
                      F.col(text).alias("text"))
 
 
+def _bodies_table(files: DataFrame, decoded: bool = False) -> DataFrame | None:
+    """``sources.walk.bodies`` as a written table: the tasks read the files in
+    Python, what is made of them is Spark's alone."""
+    from ..plans.materialize import materialize
+    df = bodies(files, decoded)
+    return None if df is None else materialize(df, "bodies", compression="zstd")
+
+
 def read_whole_text(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
     """S7 from storage: ``text`` files read whole, by the tasks that see the
     folder, else by Spark's reader (path from file metadata)."""
     found = walked(spark, root, glob)
-    df = bodies(found[0], decoded=True) if found else None
+    df = _bodies_table(found[0], decoded=True) if found else None
     if df is None:
         df = few_tasks(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
                        .select(plain_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("content")))
@@ -62,7 +70,7 @@ def read_lines_latin1(spark: SparkSession, root: str, glob: str = "*.txt") -> Da
 
     The reference deletes its input afterwards; this does not."""
     found = walked(spark, root, glob)
-    raw = bodies(found[0]) if found else few_tasks(
+    raw = _bodies_table(found[0]) if found else few_tasks(
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
              .select(plain_path(F.col("_metadata.file_path")).alias("path"), "content"))
     return line_segments(raw.select("path", F.decode("content", "ISO-8859-1").alias("text")))
